@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from strandtide.functions import sequence as seqfn
 from strandtide.functions.text import record_url
 from strandtide.operators.dedup import keep_first
-from strandtide.operators.grouping import collapse_rare
+from strandtide.names import quoted
+from strandtide.operators.grouping import collapse_rare, exact_quantiles
 from strandtide.operators.tree import inherit_when_unknown, nearest_resolved
 from strandtide.runtime import cut_lineage
 
@@ -181,21 +182,12 @@ def export_nodes(
     return out
 
 
-def clock_filter(tips: DataFrame, rate: float = 0.004, n_iqd: float = 10.0, accuracy: int = 0) -> DataFrame:
-    """Residual of divergence against date per tip, and whether it is within n interquartile distances.
-
-    The quartiles are exact; `accuracy` above 0 switches to a sketch of that accuracy.
-    """
-    drift = F.col("divergence") - rate * F.col("date")
-    if accuracy:
-        quantile = lambda q: F.percentile_approx("_drift", q, accuracy)
-    else:
-        quantile = lambda q: F.percentile("_drift", q)
-    shaped = tips.withColumn("_drift", drift)
-    stats = shaped.agg(
-        F.avg("_drift").alias("_mean"), quantile(0.25).alias("_q1"), quantile(0.5).alias("_q2"), quantile(0.75).alias("_q3")
-    ).first()
-    if stats["_mean"] is None:
-        return shaped.select(*tips.columns, F.lit(None).cast("double").alias("residual"), F.lit(True).alias("kept"))
-    far = F.abs(F.col("_drift") - stats["_q2"]) > n_iqd * (stats["_q3"] - stats["_q1"])
-    return shaped.select(*tips.columns, (F.col("_drift") - stats["_mean"]).alias("residual"), (~far).alias("kept"))
+def clock_filter(tips: DataFrame, rate: float = 0.004, n_iqd: float = 10.0) -> DataFrame:
+    """Residual of divergence against date per tip, and whether it is within n interquartile distances."""
+    shaped = tips.withColumn("_drift", F.col("divergence") - rate * F.col("date"))
+    mean = shaped.agg(F.avg("_drift").alias("m")).first()["m"]
+    if mean is None:
+        return shaped.select(*quoted(tips.columns), F.lit(None).cast("double").alias("residual"), F.lit(True).alias("kept"))
+    q1, q2, q3 = exact_quantiles(shaped, "_drift", (0.25, 0.5, 0.75))
+    near = F.abs(F.col("_drift") - q2) <= n_iqd * (q3 - q1)
+    return shaped.select(*quoted(tips.columns), (F.col("_drift") - mean).alias("residual"), near.alias("kept"))

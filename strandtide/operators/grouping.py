@@ -67,3 +67,16 @@ def retention_summary(df: DataFrame, kept: Column) -> DataFrame:
 
 def composition_index(seqs: DataFrame, seq: str = "seq") -> DataFrame:
     return seqs.select("id", *[c.alias(f"n_{k}") for k, c in seqfn.composition(F.col(seq)).items()])
+
+
+def exact_quantiles(df: DataFrame, col: str, shares: Sequence[float]) -> list[float | None]:
+    """Quantiles with linear interpolation, from global ranks: no task ever holds all values."""
+    ranked = rank_in_group(df.select(F.col(col).alias("v")).filter("v IS NOT NULL"), [], ["v"], "_rank")
+    n = ranked.agg(F.max("_rank").alias("n")).first()["n"]
+    if n is None:
+        return [None] * len(shares)
+    spots = [(n - 1) * q for q in shares]
+    wanted = sorted({int(x) + d for x in spots for d in (1, 2) if int(x) + d <= n})
+    # at most two rows per share come back
+    at = {r["_rank"]: r["v"] for r in ranked.filter(F.col("_rank").isin(wanted)).collect()}
+    return [at[int(x) + 1] + (at.get(int(x) + 2, at[int(x) + 1]) - at[int(x) + 1]) * (x - int(x)) for x in spots]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandtide.functions import text
 from strandtide.operators import dedup, grouping, joins, select
 from strandtide.operators.fuzzy import match_vocabulary, standardize_terms
 from strandtide.operators.select import DropRule
@@ -412,7 +411,7 @@ def _(spark, sf):
     return standardize_terms(rows, "term", mapping_table(spark, VOCAB), 75, "lower")
 
 
-@query("standardize_diagnosis", _sql_standard("array_to_string(list_transform(regexp_extract_all(token, '\\p{L}+|\\P{L}+'), lambda w: upper(w[1:1]) || lower(w[2:])), '')", False, "'widget'"))
+@query("standardize_diagnosis", _sql_standard("CASE WHEN token = 'widget' THEN token ELSE array_to_string(list_transform(regexp_extract_all(token, '\\p{L}+|\\P{L}+'), lambda w: upper(w[1:1]) || lower(w[2:])), '') END", False, "'widget'"))
 def _(spark, sf):
     rows = table(spark, sf, "part").select("p_partkey", _term_text().alias("term"))
     return standardize_terms(rows, "term", mapping_table(spark, VOCAB), 75, "title", ["widget"])
@@ -564,6 +563,3 @@ def sampled_counts_by_country(spark, sf):
     sampled = dedup.subsample_per_group(kept, ["lang", "source"], 5, "id", "0", forced)
     return sampled.groupBy(F.col("lang").alias("country")).agg(F.count(F.lit(1)).alias("n_sequences"), F.sum("n_length").alias("n_letters"))
 
-
-def keyed_text(col: str):
-    return text.blank_to_null(F.col(col))
