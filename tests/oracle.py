@@ -40,10 +40,15 @@ def table_of(columns, rows):
     return sorted(columns), sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
+TIMES: dict[str, float] = {}
+
+
 def compare(spark, con, folder, name, fn, sql) -> str | None:
     """None when equal, otherwise what differs."""
+    start = time.time()
     df = fn(spark, folder)
     got_cols, got = table_of(df.columns, [tuple(r) for r in df.collect()])
+    TIMES[name] = time.time() - start
     if sql is None:
         return None if got else "no rows"
     res = con.execute(sql)
@@ -78,7 +83,7 @@ def main() -> None:
         except Exception as e:  # noqa: BLE001
             problem = f"{type(e).__name__}: {str(e)[:900]}"
         bad += problem is not None
-        print(f"{'ok ' if problem is None else 'BAD'} {time.time() - start:6.1f}s {name}{'' if sql.get(name) else ' (rows only)'} {problem or ''}", flush=True)
+        print(f"{'ok ' if problem is None else 'BAD'} {TIMES.get(name, 0):6.1f}s of {time.time() - start:6.1f}s {name}{'' if sql.get(name) else ' (rows only)'} {problem or ''}", flush=True)
     print("bad:", bad)
 
 
