@@ -73,8 +73,8 @@ def _(spark, sf):
 @query(
     "branch_mutations",
     f"""WITH {SQL_DOC_TREE}, pair AS (SELECT a.node, a.seq AS s, b.seq AS r FROM nodes a JOIN nodes b ON a.parent = b.node),
-    p AS (SELECT node, unnest(range(1, least(length(s), length(r)) + 1)) AS pos, string_split(s, '') AS s, string_split(r, '') AS r FROM pair)
-    SELECT node, CAST(pos AS INTEGER) AS pos, r[pos] AS ref, s[pos] AS alt FROM p WHERE r[pos] <> s[pos] AND r[pos] NOT IN ('-', 'N') AND s[pos] NOT IN ('-', 'N')""",
+    p AS (SELECT node, unnest(range(1, least(length(s), length(r)) + 1)) AS pos, unnest(string_split(left(s, least(length(s), length(r))), '')) AS s, unnest(string_split(left(r, least(length(s), length(r))), '')) AS r FROM pair)
+    SELECT node, CAST(pos AS INTEGER) AS pos, r AS ref, s AS alt FROM p WHERE r <> s AND r NOT IN ('-', 'N') AND s NOT IN ('-', 'N')""",
 )
 def branch_mutations(spark, sf):
     n = document_tree(spark, sf)
