@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandtide.functions.binding import bind
+
 # The ambiguity letters and the standard genetic code in TCAG order.
 AMBIGUOUS = "RYSWKMBDHV"
 CODE_BASES = "TCAG"
@@ -79,39 +81,33 @@ def positions_string(seq: Column, positions: Sequence[int]) -> Column:
     return F.concat(*[F.substr(seq, F.lit(p), F.lit(1)) for p in positions])
 
 
-def kmers(seq: Column, k: int) -> Column:
-    """Array of (pos, kmer) with 1-based positions; k-mers are binary and hold ACGT only.
+def differences(seq: Column, ref: Column, skip: str = "-N") -> Column:
+    """Array of (pos, ref, alt) where both are known and unequal, over the shorter length.
 
-    Binary slices are constant-time; string slices walk the text for every position.
+    Letters are compared as bytes, whose slices are constant-time.
     """
-    raw = F.encode(seq, "utf-8")
-    last = F.length(raw) - k + 1
-    cells = F.when(
-        last >= 1,
-        F.transform(
-            F.sequence(F.lit(1), last),
-            lambda i: F.struct(i.alias("pos"), F.substr(raw, i, F.lit(k)).alias("kmer")),
-        ),
-    )
-    clean = F.filter(cells, lambda c: F.length(F.translate(c["kmer"].cast("string"), "ACGT", "")) == 0)
-    # sequences of pure ACGT need no per-slice check
-    return F.when(F.length(F.translate(seq, "ACGT", "")) == 0, cells).otherwise(clean)
-
-
-def differences(seq: Column, ref: Column, skip: str = "-N") -> Column:
-    """Array of (pos, ref, alt) where both are known and unequal, over the shorter length."""
-    a, b = F.encode(seq, "utf-8"), F.encode(ref, "utf-8")
-    n = F.least(F.length(a), F.length(b))
-    at = lambda raw, i: F.substr(raw, i, F.lit(1))
-    unequal = F.filter(F.when(n >= 1, F.sequence(F.lit(1), n)), lambda i: at(a, i) != at(b, i))
-    cells = F.transform(
-        unequal,
-        lambda i: F.struct(
-            i.alias("pos"), at(b, i).cast("string").alias("ref"), at(a, i).cast("string").alias("alt")
-        ),
-    )
     known = list(skip)
-    return F.filter(cells, lambda c: ~c["alt"].isin(known) & ~c["ref"].isin(known))
+    letter = lambda raw, i: F.substr(raw, i, F.lit(1))
+
+    def compare(pair: Column) -> Column:
+        unequal = F.filter(
+            F.when(pair["n"] >= 1, F.sequence(F.lit(1), pair["n"])),
+            lambda i: letter(pair["a"], i) != letter(pair["b"], i),
+        )
+        cells = F.transform(
+            unequal,
+            lambda i: F.struct(
+                i.alias("pos"),
+                letter(pair["b"], i).cast("string").alias("ref"),
+                letter(pair["a"], i).cast("string").alias("alt"),
+            ),
+        )
+        return F.filter(cells, lambda c: ~c["alt"].isin(known) & ~c["ref"].isin(known))
+
+    shorter = F.least(F.length(seq), F.length(ref))
+    return bind(
+        F.struct(F.encode(seq, "utf-8").alias("a"), F.encode(ref, "utf-8").alias("b"), shorter.alias("n")), compare
+    )
 
 
 @F.pandas_udf(T.IntegerType())

@@ -13,7 +13,7 @@ from strandtide.operators.dedup import keep_first
 from strandtide.names import quoted
 from strandtide.operators.grouping import collapse_rare, exact_quantiles
 from strandtide.operators.tree import inherit_when_unknown, nearest_resolved
-from strandtide.runtime import cut_lineage
+from strandtide.runtime import broadcast_when_small, cut_lineage
 
 # Residue positions of the epitopes and the accepted escape pairs.
 EPITOPES = {
@@ -80,8 +80,9 @@ def clades_held(states: DataFrame, rules: DataFrame) -> DataFrame:
     """Every clade whose rules all hold for an id, with its depth."""
     needed, depth = inherited_rules(rules)
     wanted = needed.groupBy("clade").agg(F.count(F.lit(1)).alias("_wanted"))
+    # a curated list as a rule, so that states need no shuffle by site; its size is checked all the same
     met = (
-        states.join(needed, ["gene", "site", "alt"])
+        states.join(broadcast_when_small(needed), ["gene", "site", "alt"])
         .groupBy("id", "clade")
         .agg(F.count_distinct("gene", "site", "alt").alias("_met"))
     )

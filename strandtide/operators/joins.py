@@ -66,10 +66,13 @@ def join_qc(
 
 
 def attach_sequences(
-    meta: DataFrame, seqs: DataFrame, key: str
+    meta: DataFrame, seqs: DataFrame, key: str, order: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Records paired by id, ids found on one side only, ids that occur more than once on either side."""
-    matched = meta.join(seqs, key)
+    """Every metadata row with the first sequence of its id, ids found on one side only, repeated ids.
+
+    Sequences are made unique first, so an id that is repeated on both sides is not multiplied out.
+    """
+    matched = meta.join(keep_first(seqs, [key], [order]).drop(order), key)
     only = lambda a, b, side: a.select(key).join(b.select(key), key, "left_anti").select(key, F.lit(side).alias("side"))
     unmatched = only(meta, seqs, "metadata").unionByName(only(seqs, meta, "sequences"))
     repeated = lambda t, side: duplicate_report(t, key).select(key, "n", F.lit(side).alias("side"))
@@ -208,6 +211,3 @@ def row_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
-
-def first_by(expr: Column, order: Column) -> Column:
-    return F.min_by(expr, order)

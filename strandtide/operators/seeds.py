@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandtide.names import quoted
@@ -23,14 +23,31 @@ HIT_COLUMNS = (
 BROADCAST_LETTERS = 2_000_000
 
 
+def sequence_key(col: str) -> Column:
+    """32-byte digest that stands for a sequence in shuffles and sorts."""
+    return F.unhex(F.sha2(col, 256)).alias("key")
+
+
 def _distinct_sequences(seqs: DataFrame) -> DataFrame:
     """Copies share one key, so each distinct sequence is searched once however often it occurs."""
-    return seqs.select(F.sha2("seq", 256).alias("key"), "seq").groupBy("key").agg(F.first("seq").alias("seq"))
+    return seqs.select(sequence_key("seq"), "seq").groupBy("key").agg(F.first("seq").alias("seq"))
 
 
 def seed_table(seqs: DataFrame, key: str, k: int) -> DataFrame:
-    """One row per k-mer occurrence: (key, pos, kmer)."""
-    return seqs.select(key, F.explode(seqfn.kmers(F.col("seq"), k)).alias("s")).select(key, "s.pos", "s.kmer")
+    """One row per k-mer occurrence: (key, pos, kmer); positions are 1-based, k-mers hold ACGT only.
+
+    Slices are taken from bytes, where they are constant-time; slices of text walk it from its start.
+    """
+    letters = seqs.select(
+        key,
+        F.encode("seq", "utf-8").alias("_raw"),
+        (F.length(F.translate("seq", "ACGT", "")) == 0).alias("_plain"),
+    ).filter(F.length("_raw") >= k)
+    placed = letters.withColumn("pos", F.explode(F.sequence(F.lit(1), F.length("_raw") - k + 1)))
+    cut = placed.select(key, "pos", F.substr("_raw", F.col("pos"), F.lit(k)).alias("kmer"), "_plain")
+    # sequences of nothing but ACGT need no check per slice
+    clean = F.col("_plain") | (F.length(F.translate(F.col("kmer").cast("string"), "ACGT", "")) == 0)
+    return cut.filter(clean).select(key, "pos", "kmer")
 
 
 def segments(queries: DataFrame, refs: DataFrame, k: int = 11) -> DataFrame:
@@ -66,10 +83,13 @@ def kmer_hits(
     Seeds are an equi join on k-mers. The reference side is broadcast only when its letters are few
     enough; beyond that it is a sort-merge join, whose hot k-mers the adaptive planner splits.
     """
-    keyed = queries.select("id", F.sha2("seq", 256).alias("key"))
+    keyed = queries.select("id", sequence_key("seq"))
     distinct = _distinct_sequences(queries)
     db_letters = refs.agg(F.sum(F.length("seq")).alias("n")).first()["n"] or 0
-    found = segments(distinct, refs.select("id", "seq"), k)
+    # the best a segment can do is to match throughout, and its query is at least qend letters long:
+    # segments that fail even so, nearly all of them, are dropped before any sequence is joined
+    best_case = kappa * F.col("qend") * db_letters * F.exp(-lam * match * (F.col("qend") - F.col("qstart") + 1))
+    found = segments(distinct, refs.select("id", "seq"), k).filter(best_case <= max_evalue)
     placed = found.join(distinct, "key").join(
         refs.select(F.col("id").alias("sseqid"), F.col("seq").alias("_ref")), "sseqid"
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandtide.functions import sequence as seqfn
 from strandtide.operators.dedup import top_n
+from strandtide.operators.seeds import sequence_key
 
 
 def strain_representatives(seqs: DataFrame, strain: str) -> DataFrame:
@@ -47,19 +48,20 @@ def neighbours(seqs: DataFrame, k: int, min_identity: float = 0.995) -> DataFram
     position: partners differ in few blocks, so they share one of the rarest blocks of each, and only
     those few rare blocks are joined (prefix filter). Common blocks are never joined for long.
     """
+    if not 0.5 < min_identity <= 1.0:
+        raise ValueError("min_identity must be above 0.5: below it texts need not share a block")
     slack = 1.0 - min_identity
     width = max(int(1.0 / (2.0 * slack)), 1) if slack > 0 else 1 << 30
-    keyed = seqs.select("id", F.sha2("seq", 256).alias("key"), "seq")
+    keyed = seqs.select("id", sequence_key("seq"), "seq")
     texts = keyed.groupBy("key").agg(F.first("seq").alias("seq"))
     texts = texts.withColumn("_n", F.length("seq")).filter("_n > 0")
     # ids worth naming: the first k + 1 of each group of copies
     named = top_n(keyed.select("key", "id"), ["key"], ["id"], k + 1)
 
-    raw = F.encode("seq", "utf-8")
     starts = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / width).cast("int"))
-    blocks = texts.select(
-        "key", "_n", F.posexplode(F.transform(starts, lambda i: F.xxhash64(F.substr(raw, i * width + 1, F.lit(width))))).alias("at", "block")
-    )
+    cut = texts.select("key", "_n", F.encode("seq", "utf-8").alias("_raw"), F.explode(starts).alias("at"))
+    block = F.xxhash64(F.substr("_raw", F.col("at") * width + 1, F.lit(width)))
+    blocks = cut.select("key", "_n", "at", block.alias("block"))
     frequency = blocks.groupBy("at", "block").agg(F.count(F.lit(1)).alias("_df"))
     # partners of a text of n letters have at most n / min_identity letters
     longest = F.floor(F.col("_n") / min_identity + F.lit(1e-9))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandtide.names import quoted
-from strandtide.runtime import cut_lineage
+from strandtide.runtime import cut_lineage, fresh_path
 
 MAX_ROUNDS = 64  # doubling covers 2**64 levels; only a cycle runs longer
 
@@ -106,6 +106,14 @@ def branch_mutations(nodes: DataFrame, seqs: DataFrame) -> DataFrame:
     return substitutions(child, seqs).withColumnRenamed("id", "node")
 
 
+def _by_level(df: DataFrame) -> DataFrame:
+    """Store rows by depth in the shared folder and read them back."""
+    path = fresh_path(df.sparkSession, "levels")
+    # ranges of (depth, node): even tasks however unequal the levels are, and few files per level
+    df.repartitionByRange("depth", "node").write.partitionBy("depth").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 UNKNOWN_STATES = ("N", "X", "?", "-")
 
 
@@ -117,21 +125,23 @@ def parsimony_states(tree: DataFrame, tips: DataFrame, by: Sequence[str] = (), u
     trait columns, which are then handled together. Nodes without any informed tip are absent.
     """
     by = list(by)
-    depths = cut_lineage(with_parents(tree))
-    deepest = depths.agg(F.max("depth").alias("d")).first()["d"] or 0
+    placed = _by_level(with_parents(tree))
     informed = tips.filter(F.col("state").isNotNull() & ~F.col("state").isin(list(unknown)))
-    tip_sets = cut_lineage(informed.join(depths, "node").select("node", "parent", "depth", *by, "state").distinct())
+    tip_sets = _by_level(informed.join(placed, "node").select("node", "parent", "depth", *by, "state").distinct())
+    deepest = placed.agg(F.max("depth").alias("d")).first()["d"] or 0
     levels: list[DataFrame] = []
     below = None
     for depth in range(deepest, -1, -1):
-        here = tip_sets.filter(F.col("depth") == depth)
+        # both tables are stored by level, so a round reads its own level only
+        here = tip_sets.filter(F.col("depth") == depth).drop("depth")
         if below is not None:
             votes = below.filter(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("node"), *by, "state").agg(
                 F.count(F.lit(1)).alias("_n")
             )
             top = votes.groupBy("node", *by).agg(F.max("_n").alias("_n"))
             held = votes.join(top, ["node", *by, "_n"], "left_semi").drop("_n")
-            inner = held.join(depths, "node").select("node", "parent", "depth", *by, "state")
+            parents = placed.filter(F.col("depth") == depth).select("node", "parent")
+            inner = held.join(parents, "node").select("node", "parent", *by, "state")
             here = here.unionByName(inner).distinct()
         below = cut_lineage(here)
         levels.append(below)

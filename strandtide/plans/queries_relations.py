@@ -235,8 +235,8 @@ def _(spark, sf):
     version = F.concat(F.col("doc_id").cast("string"), F.lit(".1")).alias("id")
     d = table(spark, sf, "documents")
     meta = d.filter("doc_id % 6 > 0").select(version, "lang").unionByName(d.filter("doc_id % 30 = 1").select(version, "lang"))
-    seqs = table(spark, sf, "labels").select(version, "quality")
-    matched, unmatched, repeated = joins.attach_sequences(meta, seqs, "id")
+    seqs = table(spark, sf, "labels").select(version, "quality", F.col("doc_id").alias("ord"))
+    matched, unmatched, repeated = joins.attach_sequences(meta, seqs, "id", "ord")
     row = lambda df, part, n: df.select("id", part.alias("part"), n.cast("long").alias("n"))
     return (
         row(matched, F.lit("matched"), F.lit(1))

@@ -15,6 +15,7 @@ from strandtide.plans.standins import (
     dirty_dates,
     table,
 )
+from strandtide.runtime import spread_when_few
 from strandtide.sources.tables import node_rows, parse_json
 
 # word characters and title case as SQL sees them
@@ -34,7 +35,7 @@ def _sql_title(x: str) -> str:
     r"SELECT doc_id, md5(nfc_normalize(trim(regexp_replace(replace('  ' || text, 'é', 'e' || chr(769)), '[\s\p{Z}]+', ' ', 'g')))) AS text_md5 FROM documents",
 )
 def _(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread_when_few(table(spark, sf, "documents"))
     # composed letters are taken apart first, so that there is something to compose
     apart = F.replace(F.concat(F.lit("  "), F.col("text")), F.lit("é"), F.lit("é"))
     out = text.normalize_strings(d.select("doc_id", apart.alias("text")), ["text"])
@@ -112,7 +113,7 @@ def _(spark, sf):
     SELECT doc_id, CAST(len(parts) AS INTEGER) AS n_parts, md5(array_to_string(parts, '|')) AS parts_md5 FROM p""",
 )
 def _(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", text.split_multi(F.col("text")).alias("parts"))
+    d = spread_when_few(table(spark, sf, "documents")).select("doc_id", text.split_multi(F.col("text")).alias("parts"))
     return d.select("doc_id", F.size("parts").alias("n_parts"), F.md5(F.array_join("parts", "|")).alias("parts_md5"))
 
 
@@ -202,7 +203,7 @@ def _sql_mine(field: str) -> str:
 
 @query("mine_host_text", _sql_mine(_HOST_SQL))
 def _(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread_when_few(table(spark, sf, "documents"))
     mined = d.select("doc_id", mining.mine_host_text(_host_field(), SYMPTOMS).alias("m")).select("doc_id", "m.*")
     # binary sums such as 2 + 0.25 keep more digits than the rule's three
     return mined.withColumns({"age_yrs": F.bround("age_yrs", 3), "age_mo": F.bround("age_mo", 3)})
@@ -286,7 +287,7 @@ def _description():
     SELECT doc_id, regexp_matches(d, '(?i)\b(Enterovirus A71|EV-A71)\b') AND (regexp_matches(d, '(?i)\bVP1\b') OR regexp_matches(d, '(?i)\bcomplete \b') OR regexp_matches(d, '(?i)\bpartial cds\b')) AS is_target FROM t""",
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", mining.description_is_target(_description(), "Enterovirus A71|EV-A71").alias("is_target"))
+    return spread_when_few(table(spark, sf, "documents")).select("doc_id", mining.description_is_target(_description(), "Enterovirus A71|EV-A71").alias("is_target"))
 
 
 @query(
@@ -296,7 +297,7 @@ def _(spark, sf):
     SELECT doc_id, CASE WHEN regexp_matches(d, '(?i)\bcomplete \b') AND n > 1 THEN name || 'c' ELSE name END AS strain FROM s""",
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", mining.strain_from_title(_description(), F.col("doc_id") % 3).alias("strain"))
+    return spread_when_few(table(spark, sf, "documents")).select("doc_id", mining.strain_from_title(_description(), F.col("doc_id") % 3).alias("strain"))
 
 
 @query(

@@ -159,12 +159,12 @@ def _(spark, sf):
 @query(
     "neighbours",
     f"""WITH {SQL_SEQS}, p AS (SELECT a.id AS id, b.id AS neighbour, {_SAME} / greatest(length(a.seq), length(b.seq)) AS identity FROM seqs a JOIN seqs b ON a.id <> b.id
-      WHERE least(length(a.seq), length(b.seq)) >= 0.8 * greatest(length(a.seq), length(b.seq)))
-    SELECT id, neighbour, round(identity, 9) AS identity, row_number() OVER (PARTITION BY id ORDER BY identity DESC, neighbour) AS rank FROM p WHERE identity >= 0.8
+      WHERE least(length(a.seq), length(b.seq)) >= 0.95 * greatest(length(a.seq), length(b.seq)))
+    SELECT id, neighbour, round(identity, 9) AS identity, row_number() OVER (PARTITION BY id ORDER BY identity DESC, neighbour) AS rank FROM p WHERE identity >= 0.95
     QUALIFY row_number() OVER (PARTITION BY id ORDER BY identity DESC, neighbour) <= 3""",
 )
 def _(spark, sf):
-    near = similarity.neighbours(sequences(spark, sf), 3, 0.8)
+    near = similarity.neighbours(sequences(spark, sf), 3, 0.95)
     return near.withColumn("identity", F.round("identity", 9))
 
 

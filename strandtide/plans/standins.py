@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandtide.runtime import spread_when_few
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 BASES = "ACGTACGTACGTACGTACGTACGTAC"
 # the same with unknown letters (x, z) and gaps (q)
@@ -21,7 +23,7 @@ def as_bases(text: Column, alphabet: str = BASES) -> Column:
 
 def sequences(spark: SparkSession, folder: str, alphabet: str = BASES) -> DataFrame:
     """(id, seq, ord) from all documents."""
-    d = table(spark, folder, "documents")
+    d = spread_when_few(table(spark, folder, "documents").select("doc_id", "text"))
     return d.select(F.col("doc_id").cast("string").alias("id"), as_bases(F.col("text"), alphabet).alias("seq"), F.col("doc_id").alias("ord"))
 
 

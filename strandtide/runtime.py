@@ -64,3 +64,14 @@ def broadcast_when_small(df: DataFrame, size_expr=None, bound: int = BROADCAST_R
     """
     size = df.agg((F.count(F.lit(1)) if size_expr is None else size_expr).alias("n")).first()["n"] or 0
     return F.broadcast(df) if size <= bound else df.hint("merge")
+
+
+def spread_when_few(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores when the scan has fewer splits than cores; otherwise leave them in place.
+
+    A small file with one row group would keep heavy per-row work on one core. A large input has
+    more splits than cores and is never shuffled here. Planning only, no job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandtide.functions.binding import bind
+
 
 def file_order() -> Column:
     """Orderable position of a record: file, split, row within the split."""
@@ -87,7 +89,7 @@ def genbank_features(records: DataFrame) -> DataFrame:
     keys = F.regexp_extract_all("item", pattern, F.lit(1))
     values = F.regexp_extract_all("item", pattern, F.lit(2))
     pairs = F.zip_with(keys, values, lambda k, v: F.struct(F.trim(k).alias("k"), v.alias("v")))
-    first = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, F.lit(1), i), lambda o: o["k"] == p["k"]))
+    first = bind(pairs, lambda all_: F.filter(all_, lambda p, i: ~F.exists(F.slice(all_, F.lit(1), i), lambda o: o["k"] == p["k"])))
     return rows.select(
         "seqid",
         F.regexp_extract("item", r"^(\S+)", 1).alias("type"),
