@@ -33,6 +33,8 @@ def match_vocabulary(tokens: DataFrame, vocab: DataFrame, cutoff: float = 75.0)
     the token, moved by at most d positions. Pieces are equi-joined with the token's substrings by
     (text, position), and only those candidates are scored: complete, and no cross join.
     """
+    if not 50 < cutoff <= 100:
+        raise ValueError("cutoff must be above 50: below it no piece of a key need survive")
     keys = (
         vocab.groupBy(F.lower("key").alias("key"))
         .agg(F.min("ord").alias("ord"), F.min_by("value", "ord").alias("value"))

@@ -48,6 +48,10 @@ def max_numeric_suffix(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.coalesce(F.max(number), F.lit(0)).cast("long").alias("max_id"))
 
 
+def change_class(delta: Column) -> Column:
+    return F.when(delta > 0, "more").when(delta < 0, "fewer").otherwise("same")
+
+
 def record_count_delta(new: DataFrame, old: DataFrame) -> DataFrame:
     """Row counts of two tables, their difference and its class, in one grouping."""
     both = new.select(F.lit(1).alias("_new")).unionAll(old.select(F.lit(0).alias("_new")))
@@ -55,8 +59,7 @@ def record_count_delta(new: DataFrame, old: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_new"), F.lit(0)).alias("n_new"),
         F.coalesce(F.sum(1 - F.col("_new")), F.lit(0)).alias("n_old"),
     ).withColumn("delta", F.col("n_new") - F.col("n_old"))
-    label = F.when(F.col("delta") > 0, "more").when(F.col("delta") < 0, "fewer").otherwise("same")
-    return counts.withColumn("change", label)
+    return counts.withColumn("change", change_class(F.col("delta")))
 
 
 def retention_summary(df: DataFrame, kept: Column) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from strandtide.names import quoted
 from strandtide.functions.text import ACCESSION, accession_in, looks_like_accession
 from strandtide.operators.dedup import assign_sequential_ids, keep_last, rmdup_sequences
-from strandtide.operators.grouping import max_numeric_suffix, record_count_delta
-from strandtide.operators.joins import replace_ids, row_diff
+from strandtide.operators.grouping import change_class, max_numeric_suffix
+from strandtide.operators.joins import replace_ids
 from strandtide.operators.select import drop_sparse
 from strandtide.runtime import fresh_path
 
@@ -67,13 +67,20 @@ def snapshot_unchanged(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def snapshot_report(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows added and removed together with the counts and their class: one row."""
-    diff = row_diff(old, new).agg(
-        F.count_if(F.col("side") == "added").alias("n_added"), F.count_if(F.col("side") == "removed").alias("n_removed")
+    """Rows added and removed together with the counts and their class: one row, one grouping of both sides."""
+    names = [f"`{c}`" for c in old.columns]
+    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    per_row = both.groupBy(*names).agg(F.sum("_new").alias("_n"), F.sum(1 - F.col("_new")).alias("_o"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    surplus = F.col("_n") - F.col("_o")
+    counts = per_row.agg(
+        total("_n").alias("n_new"),
+        total("_o").alias("n_old"),
+        total("_n").alias("delta"),
+        total(F.greatest(surplus, F.lit(0))).alias("n_added"),
+        total(F.greatest(-surplus, F.lit(0))).alias("n_removed"),
     )
-    # two one-row results side by side, paired on a constant
-    counts = record_count_delta(new, old).withColumn("_k", F.lit(1))
-    return counts.join(diff.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return counts.withColumns({"delta": F.col("n_new") - F.col("n_old"), "change": change_class(F.col("n_new") - F.col("n_old"))})
 
 
 def local_id_registry(
