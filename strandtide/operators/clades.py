@@ -157,9 +157,16 @@ def published_clades(
     key: str,
     wanted_type: str,
     suffix: str = "",
+    fallback: DataFrame | None = None,
 ) -> DataFrame:
-    """Enrich metadata with published clades: keep-first, four left joins, length as text, url, new labels."""
+    """Enrich metadata with published clades: keep-first, four left joins, length as text, url, new labels.
+
+    `fallback` (key, subgenogroup, ord) fills subgenogroups that the metadata lacks.
+    """
     base = keep_first(meta, [key], ["ord"]).drop("ord")
+    if fallback is not None:
+        spare = keep_first(fallback, [key], ["ord"]).select(key, F.trim("subgenogroup").alias("_spare"))
+        base = base.join(spare, key, "left").withColumn("subgenogroup", F.coalesce("subgenogroup", "_spare")).drop("_spare")
     sub = keep_first(subgenotypes, [key], ["ord"]).drop("ord")
     rivm = keep_first(typed, ["name"], ["ord"]).filter(
         (F.col("VP1 subgenogroup") != "Could not assign") & (F.col("type") == wanted_type)

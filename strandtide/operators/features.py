@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from strandtide.names import quoted
 from strandtide.functions import sequence as seqfn
+from strandtide.functions.text import safe_feature_name
+from strandtide.operators.dedup import rank_in_group
 
 WHOLE_GENOME = "whole_genome"
 
@@ -72,3 +74,11 @@ def mutation_positions(muts: DataFrame, features: DataFrame) -> DataFrame:
     fine = F.coalesce(F.col("_p").between(1, size), F.lit(False))
     position = F.when(fine, F.floor((F.col("start") - 1) / 3) + F.col("_p")).otherwise(F.raise_error(message).cast("long"))
     return joined.select("feature_set", position.cast("int").alias("position")).distinct()
+
+
+def unique_feature_names(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
+    """Names without forbidden characters; from its second occurrence on a name gets `_002`, `_003`, ..."""
+    safe = df.withColumn(name, safe_feature_name(F.col(name)))
+    ranked = rank_in_group(safe, [name], order, "_nth")
+    numbered = F.concat(F.col(name), F.format_string("_%03d", F.col("_nth")))
+    return ranked.withColumn(name, F.when(F.col("_nth") > 1, numbered).otherwise(F.col(name))).select(quoted(df.columns))

@@ -49,7 +49,10 @@ def match_vocabulary(tokens: DataFrame, vocab: DataFrame, cutoff: float = 75.0)
     pieces = pieces.withColumn("piece", F.substr("key", F.col("_from"), F.col("_next") - F.col("_from")))
     pieces = pieces.withColumn(
         "at", F.explode(F.sequence(F.greatest(F.col("_from") - F.col("_d"), F.lit(1)), F.col("_from") + F.col("_d")))
-    ).select("key", "value", "ord", "_d", "piece", "at")
+    )
+    # the token's length is part of the join key as well: at most d letters more or fewer
+    lengths = F.sequence(F.greatest(F.col("_len") - F.col("_d"), F.lit(1)), F.col("_len") + F.col("_d"))
+    pieces = pieces.withColumn("size", F.explode(lengths)).select("key", "value", "ord", "piece", "at", "size")
     probe = tokens.select(F.lower("token").alias("_t"), "token").filter(F.length("token") > 0).distinct()
     # pieces are at most c / (1 - c) letters long, rounded up
     widest = math.ceil(cutoff / (100.0 - cutoff)) if cutoff < 100 else None
@@ -58,11 +61,10 @@ def match_vocabulary(tokens: DataFrame, vocab: DataFrame, cutoff: float = 75.0)
     grams = (
         probe.withColumn("at", F.explode(F.sequence(F.lit(1), size)))
         .withColumn("_w", F.explode(F.sequence(F.lit(1), F.least(room, size - F.col("at") + 1))))
-        .select("token", "_t", "at", F.substr("_t", F.col("at"), F.col("_w")).alias("piece"))
+        .select("token", "_t", "at", F.substr("_t", F.col("at"), F.col("_w")).alias("piece"), size.alias("size"))
     )
     candidates = (
-        grams.join(pieces, ["piece", "at"])
-        .filter(F.abs(F.length("_t") - F.length("key")) <= F.col("_d"))
+        grams.join(pieces, ["piece", "at", "size"])
         .select("token", "_t", "key", "value", "ord")
         .distinct()
     )

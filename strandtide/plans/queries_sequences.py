@@ -113,6 +113,17 @@ def _(spark, sf):
     return rows.unionByName(moved.select(F.col("seqid").alias("id"), label.alias("label"), F.col("start").alias("first"), F.col("end").alias("last"), F.lit("").alias("seq")))
 
 
+@query(
+    "unique_feature_names",
+    """WITH n AS (SELECT p_partkey, translate(p_name || '.' || (p_size % 3), ' ,.;:()[]', '_________') AS name FROM part),
+    r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY p_partkey) AS nth FROM n)
+    SELECT p_partkey, CASE WHEN nth > 1 THEN name || '_' || lpad(CAST(nth AS VARCHAR), CAST(greatest(3, length(CAST(nth AS VARCHAR))) AS INTEGER), '0') ELSE name END AS name FROM r""",
+)
+def _(spark, sf):
+    name = F.concat("p_name", F.lit("."), (F.col("p_size") % 3).cast("string"))
+    return features.unique_feature_names(table(spark, sf, "part").select("p_partkey", name.alias("name")), "name", ["p_partkey"])
+
+
 _PROTEINS = (("VP1", 1696, 2586), ("VP2", 208, 969), ("VP3", 970, 1695), ("VP4", 1, 207))
 
 

@@ -233,7 +233,7 @@ def _(spark, sf):
 @query(
     "published_clades",
     f"""WITH {SQL_HITS}, len AS (SELECT qseqid AS accession, abs(send - sstart) AS n FROM best)
-    SELECT CAST(d.doc_id AS VARCHAR) AS accession, d.lang AS country, doc_id % 2 = 0 AS "Age available", doc_id % 3 = 0 AS "Diagnosis available", CASE WHEN q.quality IS NOT NULL THEN 'g' || q.quality END AS subgenotype,
+    SELECT CAST(d.doc_id AS VARCHAR) AS accession, d.lang AS country, doc_id % 2 = 0 AS "Age available", doc_id % 3 = 0 AS "Diagnosis available", CASE WHEN doc_id % 4 = 0 THEN 'C1' WHEN doc_id % 4 = 1 THEN upper(d.lang) END AS subgenogroup, CASE WHEN q.quality IS NOT NULL THEN 'g' || q.quality END AS subgenotype,
       CASE WHEN d.source NOT IN ('src1', 'src2') THEN upper(d.source) END AS "RIVM_subgenogroup", CAST(n AS VARCHAR) || 'nt' AS length_blast, CASE WHEN q.toxic = 1 THEN '#f00' END AS color,
       'https://www.ncbi.nlm.nih.gov/nuccore/' || d.doc_id AS url FROM documents d LEFT JOIN labels q USING (doc_id) LEFT JOIN len ON len.accession = CAST(d.doc_id AS VARCHAR)""",
 )
@@ -241,13 +241,14 @@ def _(spark, sf):
     d, q = table(spark, sf, "documents"), table(spark, sf, "labels")
     key = F.col("doc_id").cast("string").alias("accession")
     k, ord_ = F.col("doc_id"), F.col("doc_id").alias("ord")
-    meta = d.select(key, F.col("lang").alias("country"), (k % 2 == 0).alias("has_age"), (k % 3 == 0).alias("has_diagnosis"), ord_)
+    meta = d.select(key, F.col("lang").alias("country"), (k % 2 == 0).alias("has_age"), (k % 3 == 0).alias("has_diagnosis"), F.when(k % 4 == 0, "C1").alias("subgenogroup"), ord_)
+    spare = d.filter("doc_id % 4 < 2").select(key, F.concat(F.lit(" "), F.upper("lang")).alias("subgenogroup"), ord_)
     sub = q.select(key, F.concat(F.lit("g"), F.col("quality").cast("string")).alias("subgenotype"), ord_)
     group = F.when(F.col("source") == "src1", "Could not assign").otherwise(F.concat(F.lit(" "), F.upper("source"), F.lit("  ")))
     typed = d.select(k.cast("string").alias("name"), group.alias("VP1 subgenogroup"), F.when(F.col("source") == "src2", "other").otherwise("EV-A71").alias("type"), ord_)
     lengths = hit_lengths(search_hits(spark, sf)).select(F.col("qseqid").alias("accession"), F.col("diff_length_ref").alias("length"), F.lit(0).alias("ord"))
     colors = q.filter("toxic = 1").select(key, F.lit("#f00").alias("color"), ord_)
-    return clades.published_clades(meta.unionByName(meta.withColumn("ord", F.col("ord") + 1000000)), sub, typed, lengths, colors, "accession", "EV-A71", "nt")
+    return clades.published_clades(meta.unionByName(meta.withColumn("ord", F.col("ord") + 1000000)), sub, typed, lengths, colors, "accession", "EV-A71", "nt", spare)
 
 
 @query(

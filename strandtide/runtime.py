@@ -49,11 +49,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that iterative plans stay short and survive lost executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    """Write `df` as a table below the shared folder and read it back.
+
+    Iterative plans stay short and survive lost executors, and the planner knows the size of the
+    result, which it would not know of a checkpointed RDD.
+    """
+    path = fresh_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_when_small(df: DataFrame, size_expr=None, bound: int = BROADCAST_ROWS) -> DataFrame:
@@ -70,7 +73,7 @@ def spread_when_few(df: DataFrame) -> DataFrame:
     """Spread rows over all cores when the scan has fewer splits than cores; otherwise leave them in place.
 
     A small file with one row group would keep heavy per-row work on one core. A large input has
-    more splits than cores and is never shuffled here. Planning only, no job.
+    more splits than cores and is never shuffled here. For plain scans: planning only, no job.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = df._jdf.queryExecution().toRdd().getNumPartitions()
