@@ -111,8 +111,7 @@ def differences(seq: Column, ref: Column, skip: str = "-N") -> Column:
 
 
 @F.pandas_udf(T.IntegerType())
-def equal_positions(a: pd.Series, b: pd.Series) -> pd.Series:
-    """How many positions agree over the shorter length (bytes compared as arrays)."""
+def _equal_positions(a: pd.Series, b: pd.Series) -> pd.Series:
 
     def count(x: bytes, y: bytes) -> int:
         n = min(len(x), len(y))
@@ -121,6 +120,15 @@ def equal_positions(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([count(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
+def equal_positions(a: Column, b: Column) -> Column:
+    """How many positions of two binary columns agree over the shorter length.
+
+    Marked as not deterministic, because a filter on the result would otherwise be pushed below it
+    and compute it twice.
+    """
+    return _equal_positions.asNondeterministic()(a, b)
+
+
 def pairwise_identity(a: Column, b: Column) -> Column:
     """Agreeing positions over the shorter length, divided by the longer length."""
     longer = F.greatest(F.length(a), F.length(b))

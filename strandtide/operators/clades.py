@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandtide.functions import sequence as seqfn
@@ -77,16 +77,24 @@ def site_states(seqs: DataFrame, sites: Sequence[tuple[str, int]], proteins: Map
 
 
 def clades_held(states: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every clade whose rules all hold for an id, with its depth."""
+    """Every clade whose rules all hold for an id, with its depth.
+
+    The rules of a clade are numbered; an id has the clade when it meets all numbers. Sets of numbers
+    are combined before the one shuffle by (id, clade) and are never longer than the clade's rules.
+    """
     needed, depth = inherited_rules(rules)
-    wanted = needed.groupBy("clade").agg(F.count(F.lit(1)).alias("_wanted"))
+    per_clade = Window.partitionBy("clade")
+    numbered = needed.withColumns(
+        {"_i": F.row_number().over(per_clade.orderBy("gene", "site", "alt")), "_wanted": F.count(F.lit(1)).over(per_clade)}
+    ).join(depth, "clade")
     # a curated list as a rule, so that states need no shuffle by site; its size is checked all the same
+    small = broadcast_when_small(cut_lineage(numbered))
     met = (
-        states.join(broadcast_when_small(needed), ["gene", "site", "alt"])
+        states.join(small, ["gene", "site", "alt"])
         .groupBy("id", "clade")
-        .agg(F.count_distinct("gene", "site", "alt").alias("_met"))
+        .agg(F.size(F.collect_set("_i")).alias("_met"), F.first("_wanted").alias("_wanted"), F.first("depth").alias("depth"))
     )
-    return met.join(wanted, "clade").filter("_met = _wanted").join(depth, "clade").select("id", "clade", "depth")
+    return met.filter("_met = _wanted").select("id", "clade", "depth")
 
 
 def clade_by_rules(ids: DataFrame, states: DataFrame, rules: DataFrame) -> DataFrame:

@@ -86,7 +86,9 @@ def neighbours(seqs: DataFrame, k: int, min_identity: float = 0.995) -> DataFram
         .select("key_a", "key_b", seqfn.pairwise_identity(F.col("seq_a"), F.col("seq_b")).alias("identity"))
         .filter(F.col("identity") >= min_identity)
     )
-    both = scored.unionAll(scored.select(F.col("key_b"), F.col("key_a"), "identity"))
+    # both directions from one row: the scoring runs once
+    way = lambda a, b: F.struct(F.col(a).alias("key_a"), F.col(b).alias("key_b"), "identity")
+    both = scored.select(F.inline(F.array(way("key_a", "key_b"), way("key_b", "key_a"))))
     # a text needs only its k best partner texts, each with its first k + 1 ids
     first_id = named.groupBy("key").agg(F.min("id").alias("_first"))
     near = top_n(
