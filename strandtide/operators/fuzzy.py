@@ -53,16 +53,24 @@ def match_vocabulary(tokens: DataFrame, vocab: DataFrame, cutoff: float = 75.0)
     # the token's length is part of the join key as well: at most d letters more or fewer
     lengths = F.sequence(F.greatest(F.col("_len") - F.col("_d"), F.lit(1)), F.col("_len") + F.col("_d"))
     pieces = pieces.withColumn("size", F.explode(lengths)).select("key", "value", "ord", "piece", "at", "size")
-    probe = tokens.select(F.lower("token").alias("_t"), "token").filter(F.length("token") > 0).distinct()
-    # pieces are at most c / (1 - c) letters long, rounded up
-    widest = math.ceil(cutoff / (100.0 - cutoff)) if cutoff < 100 else None
     size = F.length("_t")
-    room = size if widest is None else F.least(F.lit(widest), size)
-    grams = (
-        probe.withColumn("at", F.explode(F.sequence(F.lit(1), size)))
-        .withColumn("_w", F.explode(F.sequence(F.lit(1), F.least(room, size - F.col("at") + 1))))
-        .select("token", "_t", "at", F.substr("_t", F.col("at"), F.col("_w")).alias("piece"), size.alias("size"))
+    # tokens of a length that no key can reach, such as whole paragraphs, are not cut up at all
+    probe = (
+        tokens.select(F.lower("token").alias("_t"), "token")
+        .withColumn("size", size)
+        .distinct()
+        .join(pieces.select("size").distinct(), "size", "left_semi")
     )
+    if cutoff == 100:  # every key is one piece
+        grams = probe.select("token", "_t", F.lit(1).alias("at"), F.col("_t").alias("piece"), "size")
+    else:
+        widest = math.ceil(cutoff / (100.0 - cutoff))  # pieces are at most c / (1 - c) letters long, rounded up
+        room = F.least(F.lit(widest), F.col("size") - F.col("at") + 1)
+        grams = (
+            probe.withColumn("at", F.explode(F.sequence(F.lit(1), F.col("size"))))
+            .withColumn("_w", F.explode(F.sequence(F.lit(1), room)))
+            .select("token", "_t", "at", F.substr("_t", F.col("at"), F.col("_w")).alias("piece"), "size")
+        )
     candidates = (
         grams.join(pieces, ["piece", "at", "size"])
         .select("token", "_t", "key", "value", "ord")

@@ -11,19 +11,24 @@ from strandtide.operators.seeds import sequence_key
 
 
 def strain_representatives(seqs: DataFrame, strain: str) -> DataFrame:
-    """Longest sequence per strain, ties to the smallest id."""
-    return top_n(seqs, [strain], [F.desc(F.length("seq")), F.asc("id")], 1)
+    """(strain, kept_id) for strains of two or more: the longest sequence, ties to the smallest id.
+
+    Only ids and lengths are grouped, combined before the shuffle; no sequence moves here.
+    """
+    sizes = seqs.select(strain, "id", F.length("seq").alias("_n"))
+    best = F.min_by("id", F.struct(-F.col("_n"), F.col("id"))).alias("kept_id")
+    return sizes.dropna(subset=[strain]).groupBy(strain).agg(best, F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").drop("_rows")
 
 
 def near_identical(seqs: DataFrame, strain: str, threshold: float) -> DataFrame:
     """Ids whose identity to their strain's longest sequence is above the threshold.
 
-    Each sequence meets one partner only, so a strain that holds a third of all rows costs one pass.
+    Each sequence meets one partner only, so a strain that holds a third of all rows costs one pass;
+    the partner side has one row per strain, which lets the planner split a hot strain.
     """
-    rep = strain_representatives(seqs, strain).select(
-        strain, F.col("id").alias("kept_id"), F.col("seq").alias("_kept")
-    )
-    pairs = seqs.join(rep, strain).filter(F.col("id") != F.col("kept_id"))
+    texts = seqs.select(F.col("id").alias("kept_id"), F.col("seq").alias("_kept"))
+    kept = strain_representatives(seqs, strain).join(texts, "kept_id")
+    pairs = seqs.join(kept, strain).filter(F.col("id") != F.col("kept_id"))
     # the shorter over the longer bounds the identity, so most pairs need no comparison
     possible = F.least(F.length("seq"), F.length("_kept")) > threshold * F.greatest(F.length("seq"), F.length("_kept"))
     scored = pairs.filter(possible).withColumn("identity", seqfn.pairwise_identity(F.col("seq"), F.col("_kept")))
