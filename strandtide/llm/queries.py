@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandtide.llm import mixing, near_dups, sharding, warc
+from strandtide.llm import mixing, near_dups, quality, sharding, token_files, warc
 from strandtide.llm.common import WORD
 from strandtide.runtime import fresh_path
 
@@ -35,6 +35,15 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@_query("op2_quality")
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = quality.fit(docs, _table(spark, folder, "labels").where(~held_out))
+    scored = quality.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @_query(
     "op4_warc",
     """
@@ -96,6 +105,21 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
+    """The JSON of a public tokenizer, read on the driver and sent along with the job."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+@_query("op9_token_files")
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    token_files.write(_table(spark, folder, "documents"), path, tokenizer_definition(), end_id=1)
+    return token_files.with_starts(token_files.read(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @_query("op10_near_duplicates")
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
