@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandtide.llm import mixing, near_dups, quality, sharding, token_files, warc
+from strandtide.llm import decontaminate, fingerprints, mixing, near_dups, quality, sharding, token_files, warc
 from strandtide.llm.common import WORD
 from strandtide.runtime import fresh_path
 
@@ -44,6 +44,23 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@_query(
+    "op3_decontamination",
+    r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    ds AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)),
+    bs AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM b)),
+    n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
+    f AS (SELECT doc_id, item_id, count(*) AS n_found FROM ds JOIN bs USING (s) GROUP BY ALL)
+    SELECT doc_id, item_id, n_item, n_found, n_found / n_item AS containment FROM f JOIN n USING (item_id) WHERE n_found * 5 >= n_item * 4
+    """,
+)
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contained(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_found", "containment")
+
+
 @_query(
     "op4_warc",
     """
@@ -72,6 +89,11 @@ def thirds(place):
     return F.element_at(F.array(F.lit(3), F.lit(1), F.lit(2)), (F.pmod(place, F.lit(3)) + 1).cast("int"))
 
 
+@_query("op5_fingerprints")
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, folder, "documents"))
+
+
 @_query(
     "op6_mixing",
     rf"""
