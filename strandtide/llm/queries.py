@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandtide.llm import decontaminate, fingerprints, mixing, near_dups, quality, sharding, token_files, warc
+from strandtide.llm import decontaminate, fingerprints, mixing, near_dups, quality, sharding, substrings, token_files, warc
 from strandtide.llm.common import WORD
 from strandtide.runtime import fresh_path
 
@@ -127,6 +127,25 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+@_query(
+    "op7_substrings",
+    rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+    s AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d)),
+    f AS (SELECT h, min(doc_id) AS lo FROM s GROUP BY h),
+    bad AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM s JOIN f USING (h) WHERE doc_id > lo),
+    gone AS (SELECT doc_id, count(*) AS n_removed FROM bad GROUP BY doc_id),
+    words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN bad USING (doc_id, p) GROUP BY doc_id)
+    SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = substrings.remove_repeats(_table(spark, folder, "documents"), length=50, texts=False)
+    return cleaned.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
     """The JSON of a public tokenizer, read on the driver and sent along with the job."""
     import public_tokenizers
