@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandtide.llm import decontaminate, fingerprints, mixing, near_dups, quality, sharding, substrings, token_files, warc
+from strandtide.llm import decontaminate, fingerprints, mixing, near_dups, quality, secrets, sharding, substrings, token_files, warc
 from strandtide.llm.common import WORD
-from strandtide.runtime import fresh_path
+from strandtide.runtime import cut_lineage, fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -154,6 +155,17 @@ def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
         return f.read()
 
 
+def tokenizer_words(name: str = "word_bpe_49k.json") -> frozenset[str]:
+    """Words of a public vocabulary, as dictionary."""
+    return secrets.dictionary(json.loads(tokenizer_definition(name))["model"]["vocab"])
+
+
+@_query("op8_secrets")
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    findings = cut_lineage(secrets.candidates(_table(spark, folder, "documents"), tokenizer_words()))
+    return secrets.scan(findings, secrets.fit(findings))
+
+
 @_query("op9_token_files")
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "tokens")
