@@ -117,3 +117,11 @@ def _before(turn: int, end) -> Column:
     mine = F.struct(_finish(turn).alias("a"), F.col("source").alias("b"), F.col("place").alias("c"), F.col("content").alias("d"))
     then = F.struct(F.lit(end["finish"]).alias("a"), F.lit(end["source"]).cast("string").alias("b"), F.lit(end["place"]).alias("c"), F.lit(end["content"]).alias("d"))
     return mine < then
+
+
+def mixed(docs: DataFrame, weight_of: Callable[[Column], Column], budget: float = 1.5, passes: int = 2, seed: int = 7) -> DataFrame:
+    """The documents of the mix, each as often as `mix` takes it, with the columns of `docs` unchanged."""
+    copies = cut_lineage(mix(docs, weight_of, budget, passes, seed).groupBy("row").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0"))
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("row"))
+    one = marked.join(copies, "row").dropDuplicates(["row"])
+    return one.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
