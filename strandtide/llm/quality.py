@@ -126,16 +126,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int =
 def score(docs: DataFrame, model: Trees, columns: list[str]) -> DataFrame:
     """`columns` of `docs` and `score`, the probability of label 1, for every row; the text column is `text`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = list(columns)
+    # columns travel by place: any name will do
+    places = [f"_{i}" for i in range(len(columns))]
 
     def run(batches):
         for batch in batches:
-            found = probability(shared.value, statistics(batch.column(len(names))))
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], pa.array(found)], names=[*names, "score"])
+            found = probability(shared.value, statistics(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([*[batch.column(p) for p in places], pa.array(found)], names=[*places, "score"])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in names], F.col("text").alias("_text"))
-    schema = source.drop("_text").schema.add("score", "double")
-    return source.mapInArrow(run, schema)
+    source = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(columns, places, strict=True)], "text")
+    schema = source.drop("text").schema.add("score", "double")
+    return source.mapInArrow(run, schema).toDF(*columns, "score")
 
 
 def keep_good(docs: DataFrame, model: Trees, threshold: float = THRESHOLD) -> DataFrame:
@@ -147,4 +148,5 @@ def keep_good(docs: DataFrame, model: Trees, threshold: float = THRESHOLD) -> Da
         for batch in batches:
             yield batch.filter(pa.array(probability(shared.value, statistics(batch.column(at))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    placed = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)
