@@ -173,13 +173,6 @@ def range_label(col: Column, bins: Sequence[tuple[str, float, float]]) -> Column
 
 
 def interval_coverage(target_lo: Column, target_hi: Column, span_lo: Column, span_hi: Column) -> Column:
-    """Share of the target interval that the span covers."""
-    width = target_hi - target_lo
-    inside = (span_lo > target_lo) & (span_hi < target_hi)
-    return (
-        F.when((span_lo > target_hi) | (span_hi < target_lo), F.lit(0.0))
-        .when((span_lo <= target_lo) & (span_hi >= target_hi), F.lit(1.0))
-        .when(inside, (span_hi - span_lo) / width)
-        .when((span_lo > target_lo) & (span_hi > target_hi), (target_hi - span_lo) / width)
-        .otherwise((span_hi - target_lo) / width)
-    )
+    """Share of the target interval that the span covers; null for a target without width."""
+    shared = F.least(target_hi, span_hi) - F.greatest(target_lo, span_lo)
+    return F.try_divide(F.greatest(shared, F.lit(0.0)), target_hi - target_lo)

@@ -30,6 +30,11 @@ GENOTYPE_PATTERN = (
 NOTE_GENOTYPE_PATTERN = r"(?i)(type|genogroup)[\s:]*([A-Za-z0-9\-\.]+)"
 SEVERITY_PATTERN = r"severity\s*score:\s*(\w+).*outcome:\s*(\w+)"
 STRAIN_PATTERN = r"(strain|isolate)\s+([\w\-\./]+)"
+# Words of clinical notes, and what a title must name.
+CLINICAL_WORDS = ("year", "month", "patient", "male")
+WANTED_REGIONS = (r"\bVP1\b", r"\bcomplete \b", r"\bpartial cds\b")
+# matches no text, for empty lists
+NOTHING = "(?!)"
 
 
 def _found(col: Column, pattern: str, group: int = 0) -> Column:
@@ -43,7 +48,7 @@ def _capitalized(col: Column) -> Column:
 def term_pattern(terms: Sequence[str]) -> str:
     """Whole-word alternation of the terms, in their given order."""
     escaped = "|".join(re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", t.lower()) for t in terms)
-    return rf"(?U)\b(?:{escaped})\b"
+    return rf"(?U)\b(?:{escaped})\b" if escaped else NOTHING
 
 
 def _age_from_parts(pairs: Column) -> Column:
@@ -115,9 +120,8 @@ def mine_host_text(col: Column, symptoms: Mapping[str, str]) -> Column:
 
 def worth_mining(col: Column, symptoms: Mapping[str, str]) -> Column:
     """Whether a source field holds clinical words rather than a plain specimen name."""
-    words = "|".join(["year", "month", "patient", "male"])
     escaped = "|".join(re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", k.lower()) for k in symptoms)
-    return F.coalesce(col.rlike(words) | F.lower(col).rlike(escaped), F.lit(False))
+    return F.coalesce(col.rlike("|".join(CLINICAL_WORDS)) | F.lower(col).rlike(escaped or NOTHING), F.lit(False))
 
 
 def mine_genotype(title: Column, note: Column | None = None) -> Column:
@@ -137,7 +141,7 @@ def mine_severity(diagnosis: Column, note: Column) -> Column:
 
 def description_is_target(col: Column, organism_pattern: str) -> Column:
     """Title names the organism and a wanted region or completeness."""
-    wanted = (r"\bVP1\b", r"\bcomplete \b", r"\bpartial cds\b")
+    wanted = WANTED_REGIONS
     region = col.rlike(rf"(?i){wanted[0]}") | col.rlike(rf"(?i){wanted[1]}") | col.rlike(rf"(?i){wanted[2]}")
     return F.coalesce(col.rlike(rf"(?i)\b({organism_pattern})\b") & region, F.lit(False))
 

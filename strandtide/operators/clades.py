@@ -27,28 +27,30 @@ EPITOPES = {
 ESCAPE_PAIRS = ("SA", "TA", "TX", "TS", "SS", "XX")
 EPITOPE_MIN_COUNT = 6
 UNASSIGNED = "unassigned"
+MOST_SITES = 5000
 
 
-def inherited_rules(rules: DataFrame, max_depth: int = 64) -> tuple[DataFrame, DataFrame]:
+def inherited_rules(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All (clade, gene, site, alt) a clade needs, inherited ones included, and the depth per clade.
 
-    Rule rows with gene `clade` name the parent in `site`. A rule table is a small curated list; the
-    walk up the clades is a loop of joins on it, and a cycle is an error.
+    Rule rows with gene `clade` name the parent in `site`. Ancestors are found by doubling: each round joins the known
+    paths with each other, so a chain of any length takes about its logarithm in rounds. A clade that reaches itself
+    is an error.
     """
-    edges = rules.filter(F.lower("gene") == "clade").select("clade", F.col("site").alias("parent")).distinct()
     names = rules.select("clade").distinct()
-    reach = names.select("clade", F.col("clade").alias("source"), F.lit(0).alias("depth"))
-    front = reach
-    for _ in range(max_depth):
-        step = edges.select(F.col("clade").alias("source"), "parent")
-        front = cut_lineage(
-            front.join(step, "source").select("clade", F.col("parent").alias("source"), (F.col("depth") + 1).alias("depth"))
-        )
-        if front.isEmpty():
+    paths = rules.filter(F.lower("gene") == "clade").select("clade", F.col("site").alias("source"), F.lit(1).cast("long").alias("depth")).distinct()
+    paths, known = cut_lineage(paths), -1
+    while True:
+        state = paths.agg(F.sum("depth").alias("n"), F.count_if(F.col("clade") == F.col("source")).alias("loops")).first()
+        if state["loops"]:
+            raise ValueError("the clade rules inherit in a cycle")
+        if state["n"] is None or state["n"] == known:
             break
-        reach = reach.unionByName(front)
-    else:
-        raise ValueError("the clade rules inherit in a cycle")
+        known = state["n"]
+        on = paths.select(F.col("clade").alias("source"), F.col("source").alias("beyond"), F.col("depth").alias("more"))
+        longer = paths.join(on, "source").select("clade", F.col("beyond").alias("source"), (F.col("depth") + F.col("more")).alias("depth"))
+        paths = cut_lineage(paths.unionByName(longer).groupBy("clade", "source").agg(F.max("depth").alias("depth")), replaces=paths)
+    reach = paths.unionByName(names.select("clade", F.col("clade").alias("source"), F.lit(0).cast("long").alias("depth")))
     own = rules.filter(F.lower("gene") != "clade").select(
         F.col("clade").alias("source"), "gene", F.col("site").cast("int").alias("site"), "alt"
     )
@@ -97,6 +99,24 @@ def clades_held(states: DataFrame, rules: DataFrame) -> DataFrame:
     return met.filter("_met = _wanted").select("id", "clade", "depth")
 
 
+def clades_from_table(seqs: DataFrame, rules: DataFrame, proteins: Mapping[str, tuple[int, int]]) -> DataFrame:
+    """The most derived clade of every sequence, straight from a rule table (clade, gene, site, alt).
+
+    The sites to look at are those of the table, a curated list whose size is checked; genes other than `nuc` must be
+    in `proteins`. Only letters at those sites leave a sequence's row.
+    """
+    needed = rules.filter(F.lower("gene") != "clade").select("gene", F.col("site").cast("int").alias("site")).distinct()
+    sites = needed.orderBy("gene", "site").limit(MOST_SITES + 1).collect()
+    if len(sites) > MOST_SITES:
+        raise ValueError(f"a rule table may name at most {MOST_SITES} sites")
+    absent = sorted({r["gene"] for r in sites} - {"nuc", *proteins})
+    if absent:
+        raise ValueError(f"the rules name proteins without a window: {absent}")
+    if not sites:
+        return seqs.select("id", F.lit(UNASSIGNED).alias("clade"))
+    return clade_by_rules(seqs, site_states(seqs, [(r["gene"], r["site"]) for r in sites], proteins), rules)
+
+
 def clade_by_rules(ids: DataFrame, states: DataFrame, rules: DataFrame) -> DataFrame:
     """The most derived clade per id, ties by name; ids without one are unassigned."""
     best = clades_held(states, rules).groupBy("id").agg(F.min_by("clade", F.struct(-F.col("depth"), "clade")).alias("clade"))

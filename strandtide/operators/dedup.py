@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandtide.names import quoted
 from strandtide.runtime import cut_lineage
 
 Order = Sequence[str | Column]
@@ -31,7 +32,7 @@ def top_n(df: DataFrame, key: Sequence[str], order: Order, n: int) -> DataFrame:
     # above the planner's own limit: the same cut in two steps, first per salted part of a group
     part = Window.partitionBy(*key, "_salt").orderBy(*order)
     cut = (
-        df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+        df.withColumn("_salt", F.pmod(F.xxhash64(*quoted(df.columns)), F.lit(64)))
         .withColumn("_rn", F.row_number().over(part))
         .filter(F.col("_rn") <= n)
         .drop("_salt", "_rn")
@@ -77,21 +78,21 @@ def rank_in_group(df: DataFrame, key: Sequence[str], order: Sequence[str], name:
     Rows are range-partitioned by (key, order) and that layout is checkpointed; ranks are counted
     inside each slice and shifted by the slices before it, of which there are few.
     """
-    cols = [*key, *order]
+    group, cols = quoted(key), quoted([*key, *order])
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     laid = cut_lineage(df.repartitionByRange(parts, *cols).withColumn("_slice", F.spark_partition_id()))
-    sizes = laid.groupBy(*key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(*key, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(Window.partitionBy(*key, "_slice").orderBy(*cols))
+    sizes = laid.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select(*group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    inside = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*cols))
     ranked = laid.withColumn("_rn", inside)
     # null keys must find their shift, too
-    on = [F.col("l._slice") == F.col("s._slice"), *[F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in key]]
+    on = [F.col("l._slice") == F.col("s._slice"), *[F.col(f"l.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in key]]
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
     joined = ranked.alias("l").join(shift.alias("s"), cond, "left")
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("l._rn") + F.col("s._shift")).alias(name))
+    return joined.select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col("l._rn") + F.col("s._shift")).alias(name))
 
 
 def assign_sequential_ids(names: DataFrame, col: str, start: int | DataFrame, fmt: str = "X%07d") -> DataFrame:

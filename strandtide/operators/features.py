@@ -13,6 +13,7 @@ from strandtide.functions.text import safe_feature_name
 from strandtide.operators.dedup import rank_in_group
 
 WHOLE_GENOME = "whole_genome"
+MOST_POSITIONS = 5000
 
 
 def _names_feature(col, name: str):
@@ -20,27 +21,67 @@ def _names_feature(col, name: str):
     return F.lower(col).rlike(rf"(?U)\b{escaped}\b")
 
 
+def _with_spans(features: DataFrame) -> DataFrame:
+    """Features with their parts: `spans` as read, or the one part that start, end and strand describe."""
+    if "spans" in features.columns:
+        return features
+    strand = F.coalesce("strand", F.lit("+")) if "strand" in features.columns else F.lit("+")
+    return features.withColumn("spans", F.array(F.struct("start", "end", strand.alias("strand"))))
+
+
 def find_feature(features: DataFrame, name: str) -> DataFrame:
-    """First CDS per record whose product, else gene, holds the name as a whole word."""
-    label = F.coalesce(F.try_element_at("attrs", F.lit("product")), F.try_element_at("attrs", F.lit("gene")))
-    hits = features.filter((F.col("type") == "CDS") & _names_feature(label, name))
-    order = F.struct("ord")
-    return hits.groupBy("seqid").agg(F.min_by(F.struct("start", "end"), order).alias("_f")).select(
-        "seqid", F.col("_f.start").alias("start"), F.col("_f.end").alias("end")
-    )
+    """First CDS per record that holds the name as a whole word in any of its products, else in any of its genes.
+
+    Returns (seqid, start, end, spans); the spans are the feature's parts in reading order.
+    """
+    with_spans = _with_spans(features)
+    if "values" in features.columns:
+        every = lambda key: F.coalesce(F.try_element_at("values", F.lit(key)), F.array())
+    else:
+        every = lambda key: F.array_compact(F.array(F.try_element_at("attrs", F.lit(key))))
+    labels = F.when(F.size(every("product")) > 0, every("product")).otherwise(every("gene"))
+    hits = with_spans.filter((F.col("type") == "CDS") & F.exists(labels, lambda x: _names_feature(x, name)))
+    return hits.groupBy("seqid").agg(F.min_by(F.struct("start", "end", "spans"), "ord").alias("_f")).select("seqid", "_f.*")
 
 
 def extract_feature(seqs: DataFrame, features: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Cut the named feature out of each record, and the features inside it shifted to the new origin."""
+    """Cut the named feature out of each record, and the features inside it moved to the new origin.
+
+    Parts are joined in reading order; a part on the minus strand is reverse-complemented, and features in it change
+    their strand. A feature that lies within one part moves with it, the named feature itself spans the whole cut, and
+    features across parts stay out.
+    """
     if name.lower() == WHOLE_GENOME:
         return seqs, features
-    span = find_feature(features, name)
-    cut = seqs.join(span.withColumnRenamed("seqid", "id"), "id")
-    cut = cut.withColumn("seq", F.substr("seq", F.col("start"), F.col("end") - F.col("start") + 1)).select(quoted(seqs.columns))
-    window = span.select("seqid", F.col("start").alias("_lo"), F.col("end").alias("_hi"))
-    inside = features.join(window, "seqid").filter("start >= _lo AND end <= _hi")
-    moved = inside.withColumns({"start": F.col("start") - F.col("_lo") + 1, "end": F.col("end") - F.col("_lo") + 1})
-    return cut, moved.select(features.columns)
+    found = find_feature(features, name)
+    cut = seqs.join(found.withColumnRenamed("seqid", "id"), "id")
+    cut = cut.withColumn("seq", seqfn.cut_spans(F.col("seq"), F.col("spans"))).select(quoted(seqs.columns))
+    parts = found.select("seqid", F.posexplode("spans").alias("_at", "_part"), F.col("spans").alias("_all"), F.col("start").alias("_from"), F.col("end").alias("_to"))
+    length = lambda p: p["end"] - p["start"] + 1
+    before = F.aggregate(F.slice("_all", F.lit(1), F.col("_at")), F.lit(0), lambda n, p: n + length(p))
+    total = F.aggregate("_all", F.lit(0), lambda n, p: n + length(p))
+    window = parts.select("seqid", "_at", "_part", "_from", "_to", before.alias("_before"), total.alias("_total"), F.size("_all").alias("_parts"))
+    full = _with_spans(features)
+    joined = full.join(window, "seqid")
+    itself = (F.col("start") == F.col("_from")) & (F.col("end") == F.col("_to")) & (F.col("_parts") > 1)
+    inside = (F.col("start") >= F.col("_part.start")) & (F.col("end") <= F.col("_part.end")) & ~itself
+    turned = F.col("_part.strand") == "-"
+    flip = lambda s: F.when(turned, F.when(s == "-", "+").otherwise("-")).otherwise(s)
+    lo = lambda p: F.when(turned, F.col("_part.end") - p["end"]).otherwise(p["start"] - F.col("_part.start")) + F.col("_before") + 1
+    hi = lambda p: F.when(turned, F.col("_part.end") - p["start"]).otherwise(p["end"] - F.col("_part.start")) + F.col("_before") + 1
+    whole = itself & (F.col("_at") == 0)
+    own = F.struct("start", "end")
+    values = {
+        "start": F.when(whole, F.lit(1)).otherwise(lo(own)).cast("int"),
+        "end": F.when(whole, F.col("_total")).otherwise(hi(own)).cast("int"),
+        "spans": F.when(whole, F.array(F.struct(F.lit(1).alias("start"), F.col("_total").cast("int").alias("end"), F.lit("+").alias("strand")))).otherwise(
+            F.transform("spans", lambda p: F.struct(lo(p).cast("int").alias("start"), hi(p).cast("int").alias("end"), flip(p["strand"]).alias("strand")))
+        ),
+    }
+    if "strand" in features.columns:
+        values["strand"] = F.when(whole, F.lit("+")).otherwise(flip(F.col("strand")))
+    moved = joined.filter(inside | whole)
+    return cut, moved.select([values[c].alias(c) if c in values else F.col(f"`{c}`") for c in features.columns])
 
 
 def _windows(features: Sequence[tuple[str, int, int]]):
@@ -76,6 +117,17 @@ def mutation_positions(muts: DataFrame, features: DataFrame) -> DataFrame:
     return joined.select("feature_set", position.cast("int").alias("position")).distinct()
 
 
+def position_sets(positions: DataFrame) -> dict[str, list[int]]:
+    """Ascending positions of each feature set, from `mutation_positions`: a curated list, whose size is checked."""
+    listed = positions.orderBy("feature_set", "position").limit(MOST_POSITIONS + 1).collect()
+    if len(listed) > MOST_POSITIONS:
+        raise ValueError(f"at most {MOST_POSITIONS} positions can be listed")
+    sets: dict[str, list[int]] = {}
+    for row in listed:
+        sets.setdefault(row["feature_set"], []).append(row["position"])
+    return sets
+
+
 def unique_feature_names(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
     """Names without forbidden characters; from its second occurrence on a name gets `_002`, `_003`, ..."""
     safe = df.withColumn(name, safe_feature_name(F.col(name)))

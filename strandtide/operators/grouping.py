@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandtide.names import quoted
 from strandtide.functions import sequence as seqfn
 from strandtide.operators.dedup import rank_in_group
+from strandtide.runtime import cut_lineage, drop_stored
 
 
 def collect_per_group(df: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
@@ -73,13 +74,27 @@ def composition_index(seqs: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, col: str, shares: Sequence[float]) -> list[float | None]:
-    """Quantiles with linear interpolation, from global ranks: no task ever holds all values."""
-    ranked = rank_in_group(df.select(F.col(col).alias("v")).filter("v IS NOT NULL"), [], ["v"], "_rank")
-    n = ranked.agg(F.max("_rank").alias("n")).first()["n"]
+    """Quantiles with linear interpolation, from global ranks: no task ever holds all values.
+
+    Equal values are counted first, so a value that most rows share is one row of what is ranked.
+    """
+    counted = df.select(F.col(f"`{col}`").alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("_n"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    laid = cut_lineage(counted.repartitionByRange(parts, "v").withColumn("_slice", F.spark_partition_id()))
+    sizes = laid.groupBy("_slice").agg(F.sum("_n").alias("_size"))
+    # one row for each slice
+    before = Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    inside = F.sum("_n").over(Window.partitionBy("_slice").orderBy("v"))
+    ranked = laid.withColumn("_last", inside).join(F.broadcast(shift), "_slice").select("v", (F.col("_last") + F.col("_shift")).alias("_last"), "_n")
+    n = sizes.agg(F.sum("_size").alias("n")).first()["n"]
     if n is None:
         return [None] * len(shares)
     spots = [(n - 1) * q for q in shares]
     wanted = sorted({int(x) + d for x in spots for d in (1, 2) if int(x) + d <= n})
     # at most two rows per share come back
-    at = {r["_rank"]: r["v"] for r in ranked.filter(F.col("_rank").isin(wanted)).collect()}
+    holds = F.exists(F.array(*[F.lit(w) for w in wanted]), lambda w: (w <= F.col("_last")) & (w > F.col("_last") - F.col("_n")))
+    rows = ranked.filter(holds).collect()
+    drop_stored(laid)
+    at = {w: r["v"] for r in rows for w in wanted if r["_last"] - r["_n"] < w <= r["_last"]}
     return [at[int(x) + 1] + (at.get(int(x) + 2, at[int(x) + 1]) - at[int(x) + 1]) * (x - int(x)) for x in spots]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandtide.names import quoted
@@ -18,35 +18,45 @@ from strandtide.runtime import fresh_path
 NO_ACCESSION = "NA"
 
 
+def file_date() -> Column:
+    """The day on which the file that holds a row was last changed; for tables read from files."""
+    return F.to_date("_metadata.file_modification_time")
+
+
 def first_seen_ledger(ledger: DataFrame, ids: DataFrame, date: str | None = None) -> DataFrame:
-    """Append ids that are not in the ledger; `ids` carries `date_added`, or `date` is used for all."""
+    """Append ids that are not in the ledger; `ids` carries `date_added` (such as `file_date()`), or `date` is used for all."""
     dated = ids if date is None else ids.withColumn("date_added", F.lit(date).cast("date"))
     fresh = dated.groupBy("accession").agg(F.min("date_added").alias("date_added"))
     return ledger.unionByName(fresh.join(ledger.select("accession"), "accession", "left_anti"))
 
 
-def upsert_latest(history: DataFrame, batch: DataFrame, key: str, min_non_null: int = 2) -> DataFrame:
-    """Append the batch, keep the last row per key, drop rows with too few values."""
+def upsert_latest(history: DataFrame, batch: DataFrame, key: str, min_non_null: int = 2, order: str | None = None) -> DataFrame:
+    """Append the batch, keep the last row per key, drop rows with too few values.
+
+    `order` is a column that says which of several rows of one key in the batch (or the history) is the last; rows
+    equal in it, or all without it, are ordered by their values, so the result never depends on partitions.
+    """
     ranked = history.withColumn("_rank", F.lit(0)).unionByName(batch.withColumn("_rank", F.lit(1)), allowMissingColumns=True)
-    last = ranked.groupBy(key).agg(
-        F.max_by(F.struct(*[f"`{c}`" for c in ranked.columns if c not in (key, "_rank")]), "_rank").alias("_row")
-    )
-    out = last.select(key, "_row.*")
-    return drop_sparse(out.select([c for c in ranked.columns if c != "_rank"]), min_non_null)
+    row = F.struct(*[f"`{c}`" for c in ranked.columns if c not in (key, "_rank")])
+    place = [F.col("_rank"), *([F.col(f"`{order}`")] if order else []), row.alias("_row")]
+    last = ranked.groupBy(F.col(f"`{key}`").alias(key)).agg(F.max_by(row, F.struct(*place)).alias("_row"))
+    out = last.select(f"`{key}`", "_row.*")
+    return drop_sparse(out.select(quoted(c for c in ranked.columns if c != "_rank")), min_non_null)
 
 
-def upsert_table(target: str | None, batch: DataFrame, key: str) -> str:
-    """Upsert a batch into a stored table; the result goes to a new path, which is returned."""
+def upsert_table(target: str | None, batch: DataFrame, key: str, order: str | None = None) -> str:
+    """Upsert a batch into a stored table; the result goes to a new path, which is returned and is the caller's."""
     spark = batch.sparkSession
-    merged = batch if target is None else upsert_latest(spark.read.parquet(target), batch, key, 1)
+    history = batch.limit(0) if target is None else spark.read.parquet(target)
+    merged = upsert_latest(history, batch, key, 1, order)
     path = fresh_path(spark, "upsert")
     merged.write.parquet(path)
     return path
 
 
 def snapshot_digest(df: DataFrame) -> DataFrame:
-    """Order-free digest of a table: row count, sum and xor of row hashes."""
-    h = F.xxhash64(*[f"`{c}`" for c in sorted(df.columns)])
+    """Order-free digest of a table: row count, sum and xor of row hashes. A null counts by its column, too."""
+    h = F.xxhash64(*[x for c in quoted(sorted(df.columns)) for x in (c.isNull(), c)])
     return df.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(h.cast("decimal(38,0)")).alias("hash_sum"),
@@ -113,7 +123,9 @@ def local_id_registry(
                 "gb_accession": F.when(late, F.col("_acc")).otherwise(F.col("gb_accession")),
             }
         )
-    kept = keep_last(out.dropna(subset=["sample_name"]), ["sample_name"], ["_r", "internal_accession"])
+    number = F.regexp_extract("internal_accession", r"(\d+)", 1).try_cast("decimal(38,0)")
+    out = out.dropna(subset=["sample_name"]).withColumn("_number", number)
+    kept = keep_last(out, ["sample_name"], ["_r", "_number", "internal_accession"])
     return kept.select(quoted(registry.columns))
 
 

@@ -13,6 +13,9 @@ from strandtide.functions.text import blank_to_null, title_letters
 from strandtide.operators.dedup import keep_first
 
 
+COPIES_AT_ONCE = 10_000
+
+
 def merge_sides(base: DataFrame, extra: DataFrame, key: str, base_order: str, extra_order: str) -> DataFrame:
     """Full outer join of two tables after keep-first per key; sides are structs `base` and `extra`.
 
@@ -25,24 +28,28 @@ def merge_sides(base: DataFrame, extra: DataFrame, key: str, base_order: str, ex
     return left.join(right, key, "full")
 
 
-def merge_many(tables: Sequence[DataFrame], key: str) -> DataFrame:
+def merge_many(tables: Sequence[DataFrame], key: str, order: str | None = None) -> DataFrame:
     """Outer merge of any number of tables; per column the last table with a non-empty value wins.
 
-    One union and one grouping instead of a chain of full joins: a single shuffle, combined map-side.
+    Where a key is repeated inside one table, `order` (a column of every table that repeats keys) says which row is
+    the last; values that are equal in it, or all without it, are ordered as text, so no result depends on
+    partitions. One union and one grouping instead of a chain of full joins: a single shuffle, combined map-side.
     """
-    columns = list(dict.fromkeys(c for t in tables for c in t.columns if c != key))
+    columns = list(dict.fromkeys(c for t in tables for c in t.columns if c not in (key, order)))
     ranked = [
         t.select(
-            key,
+            F.col(f"`{key}`").alias(key),
             F.lit(rank).alias("_rank"),
+            (F.col(f"`{order}`").cast("decimal(38,6)") if order in t.columns else F.lit(None).cast("decimal(38,6)")).alias("_order"),
             *[(F.col(f"`{c}`").cast("string") if c in t.columns else F.lit(None).cast("string")).alias(c) for c in columns],
         )
         for rank, t in enumerate(tables)
     ]
     union = reduce(DataFrame.unionByName, ranked)
     filled = lambda c: blank_to_null(F.col(f"`{c}`")).isNotNull()
-    return union.groupBy(key).agg(
-        *[F.max_by(F.when(filled(c), F.col(f"`{c}`")), F.when(filled(c), F.col("_rank"))).alias(c) for c in columns]
+    place = lambda c: F.struct("_rank", "_order", f"`{c}`")
+    return union.groupBy(F.col(f"`{key}`").alias(key)).agg(
+        *[F.max_by(F.when(filled(c), F.col(f"`{c}`")), F.when(filled(c), place(c))).alias(c) for c in columns]
     )
 
 
@@ -52,9 +59,15 @@ def left_enrich(df: DataFrame, dim: DataFrame, key: str, order: str) -> DataFram
 
 
 def join_qc(
-    metadata: DataFrame, qc: DataFrame, key: str, qc_id: str, column_map: Mapping[str, str], tail: int = 0
+    metadata: DataFrame, qc: DataFrame, key: str, qc_id: str, column_map: Mapping[str, str] | None = None, tail: int = 0
 ) -> DataFrame:
-    """Left join of quality columns under new names; ids lose text after ` |`; the last columns stay last."""
+    """Left join of quality columns under new names; ids lose text after ` |`; the last columns stay last.
+
+    Without a map all quality columns are joined under their own names; one that the metadata has, too, keeps the
+    metadata's values.
+    """
+    if column_map is None:
+        column_map = {c: c for c in qc.columns if c != qc_id and c not in metadata.columns}
     mapped = qc.select(
         F.regexp_replace(F.col(qc_id), r" \|.*", "").alias(key),
         *[F.col(f"`{c}`").alias(n) for c, n in column_map.items()],
@@ -203,9 +216,11 @@ def row_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """
     both = old.withColumn("_d", F.lit(-1)).unionByName(new.withColumn("_d", F.lit(1)))
     surplus = both.groupBy(*[f"`{c}`" for c in old.columns]).agg(F.sum("_d").alias("_d")).filter("_d <> 0")
+    # copies come in blocks: no array is longer than one, however often a row is repeated
+    blocks = surplus.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.abs("_d") - 1) / COPIES_AT_ONCE))))
+    inside = F.least(F.lit(COPIES_AT_ONCE), F.abs("_d") - F.col("_block") * COPIES_AT_ONCE).cast("int")
     side = F.when(F.col("_d") > 0, F.lit("added")).otherwise(F.lit("removed"))
-    copies = F.explode(F.array_repeat(side, F.abs("_d").cast("int")))
-    return surplus.select(*[f"`{c}`" for c in old.columns], copies.alias("side"))
+    return blocks.select(*quoted(old.columns), F.explode(F.array_repeat(side, inside)).alias("side"))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

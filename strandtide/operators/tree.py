@@ -35,7 +35,7 @@ def _to_root(state: DataFrame, carry: dict[str, callable]) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if state.filter(F.col("ptr").isNotNull()).isEmpty():
             return state.drop("ptr")
-        state = cut_lineage(_double(state, carry))
+        state = cut_lineage(_double(state, carry), replaces=state)
     raise ValueError("the parent pointers form a cycle")
 
 
@@ -88,7 +88,7 @@ def nearest_resolved(nodes: DataFrame, value: str, resolved: Column) -> DataFram
             .join(target, "ptr", "left")
             .select("node", F.col("_ptr").alias("ptr"), F.coalesce("_ok", F.lit(True)).alias("ok"), F.col("_v").alias(value))
         )
-        state = cut_lineage(moved.unionByName(state.filter(F.col("ptr").isNull())))
+        state = cut_lineage(moved.unionByName(state.filter(F.col("ptr").isNull())), replaces=state)
     raise ValueError("the parent pointers form a cycle")
 
 

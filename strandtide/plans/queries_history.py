@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandtide.operators import history
+from strandtide.operators.features import extract_feature
 from strandtide.plans import curation
 from strandtide.plans.registry import query
 from strandtide.plans.standins import (
@@ -41,42 +42,53 @@ def _(spark, sf):
     return out.withColumn("date_added", F.col("date_added").cast("string"))
 
 
-_UPSERT_SQL = """WITH h AS (SELECT user_id AS accession, arg_max(event_type, event_id) AS kind, 0 AS r FROM events WHERE event_id % 2 = 0 GROUP BY user_id),
-  b AS (SELECT user_id AS accession, CASE WHEN user_id % 4 = 0 THEN NULL ELSE max(event_type) END AS kind, 1 AS r FROM events WHERE event_id % 2 = 1 AND user_id % 2 = 0 GROUP BY user_id),
-  u AS (SELECT * FROM h UNION ALL SELECT * FROM b), l AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY accession ORDER BY r DESC) = 1)"""
+@query("ledger_from_files", "SELECT CAST(c_custkey AS VARCHAR) AS accession, CASE WHEN c_custkey % 2 = 0 THEN '2020-02-02' ELSE CAST(current_date AS VARCHAR) END AS date_added FROM customer")
+def _(spark, sf):
+    c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("accession"), "c_custkey")
+    path = fresh_path(spark, "accessions")
+    c.select("accession").write.text(path)
+    found = spark.read.text(path).select(F.col("value").alias("accession"), history.file_date().alias("date_added"))
+    old = c.filter("c_custkey % 2 = 0").select("accession", F.lit("2020-02-02").cast("date").alias("date_added"))
+    return history.first_seen_ledger(old, found).withColumn("date_added", F.col("date_added").cast("string"))
+
+
+_UPSERT_SQL = """WITH u AS (SELECT user_id AS accession, CASE WHEN event_id % 2 = 0 OR user_id % 4 <> 0 THEN event_type END AS kind, event_id AS ord, event_id % 2 AS r FROM events),
+  l AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY accession ORDER BY r DESC, ord DESC) = 1)"""
 
 
 def _history_and_batch(spark, sf):
-    e = table(spark, sf, "events")
-    key = F.col("user_id").alias("accession")
-    old = e.filter("event_id % 2 = 0").groupBy(key).agg(F.max_by("event_type", "event_id").alias("kind"))
-    new = e.filter("event_id % 2 = 1 AND user_id % 2 = 0").groupBy(key).agg(F.max("event_type").alias("kind"))
-    return old, new.withColumn("kind", F.when(F.col("accession") % 4 != 0, F.col("kind")))
+    """Even events as history, odd ones as batch; both repeat keys, and `ord` says which row is the last."""
+    e = table(spark, sf, "events").select(F.col("user_id").alias("accession"), F.col("event_type").alias("kind"), F.col("event_id").alias("ord"))
+    new = e.filter("ord % 2 = 1").withColumn("kind", F.when(F.col("accession") % 4 != 0, F.col("kind")))
+    return e.filter("ord % 2 = 0"), new
 
 
-@query("upsert_latest", _UPSERT_SQL + " SELECT accession, kind FROM l WHERE kind IS NOT NULL")
+@query("upsert_latest", _UPSERT_SQL + " SELECT accession, kind, ord FROM l WHERE kind IS NOT NULL")
 def _(spark, sf):
     old, new = _history_and_batch(spark, sf)
-    return history.upsert_latest(old, new, "accession")
+    return history.upsert_latest(old, new, "accession", min_non_null=3, order="ord")
 
 
-@query("upsert_table", _UPSERT_SQL + " SELECT accession, kind FROM l")
+@query("upsert_table", _UPSERT_SQL + " SELECT accession, kind, ord FROM l")
 def _(spark, sf):
     old, new = _history_and_batch(spark, sf)
-    first = history.upsert_table(None, old, "accession")
-    return spark.read.parquet(history.upsert_table(first, new, "accession"))
+    first = history.upsert_table(None, old, "accession", "ord")
+    return spark.read.parquet(history.upsert_table(first, new, "accession", "ord"))
 
 
 # ---- snapshots
 
 
-@query("snapshot_unchanged", "SELECT 'same rows' AS pair, true AS unchanged UNION ALL SELECT 'one removed', false")
+@query("snapshot_unchanged", "SELECT 'same rows' AS pair, true AS unchanged UNION ALL SELECT 'one removed', false UNION ALL SELECT 'null moved', false")
 def _(spark, sf):
     o = table(spark, sf, "orders")
     shuffled = o.repartition(7, "o_custkey")
     same = history.snapshot_unchanged(o, shuffled).withColumn("pair", F.lit("same rows"))
     fewer = history.snapshot_unchanged(o, shuffled.filter("o_orderkey <> 1")).withColumn("pair", F.lit("one removed"))
-    return same.unionByName(fewer).select("pair", "unchanged")
+    key, none = F.col("o_orderkey"), F.lit(None).cast("string")
+    ahead, behind = o.select(key, none.alias("a"), F.col("o_orderstatus").cast("string").alias("b")), o.select(key, F.col("o_orderstatus").cast("string").alias("a"), none.alias("b"))
+    moved = history.snapshot_unchanged(ahead, behind).withColumn("pair", F.lit("null moved"))
+    return same.unionByName(fewer).unionByName(moved).select("pair", "unchanged")
 
 
 @query(
@@ -93,10 +105,22 @@ def _(spark, sf):
 
 # ---- local ids
 
+
+def _accession(k):
+    """Accession-shaped and different for every number below 676 million."""
+    letter = lambda n: F.chr(F.floor(n) % 26 + 65)
+    return F.concat(letter(k / 26000000), letter(k / 1000000), F.lpad((k % 1000000).cast("string"), 6, "0"))
+
+
+def _sql_accession(k):
+    letter = lambda n: f"chr((({k} // {n}) % 26 + 65)::INTEGER)"
+    return f"{letter(26000000)} || {letter(1000000)} || lpad(CAST({k} % 1000000 AS VARCHAR), 6, '0')"
+
+
 _REGISTRY_SQL = """reg AS (SELECT 'X' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 7, '0') AS internal_accession, 'Customer#' || lpad(CAST(n_nationkey * 2 AS VARCHAR), 9, '0') AS sample_name,
     CASE WHEN n_nationkey % 5 = 0 THEN 'AB' || lpad(CAST(n_nationkey AS VARCHAR), 6, '0') ELSE 'pending' END AS gb_accession, '2024-01-01' AS date_added,
     CASE WHEN n_nationkey % 5 = 0 THEN 'AB' || lpad(CAST(n_nationkey AS VARCHAR), 6, '0') ELSE 'X' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 7, '0') END AS seq_accession FROM nation),
-  acc AS (SELECT 'Customer#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS sample_name, 'MK' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS accession FROM customer WHERE c_custkey % 7 = 2 AND c_custkey < 1000000),"""
+  acc AS (SELECT 'Customer#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS sample_name, 'MK' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS accession FROM customer WHERE c_custkey % 7 = 2),"""
 
 
 def _registry(spark, sf):
@@ -111,7 +135,7 @@ def _registry(spark, sf):
 
 def _accessions(spark, sf):
     k = F.col("c_custkey").cast("string")
-    rows = table(spark, sf, "customer").filter("c_custkey % 7 = 2 AND c_custkey < 1000000")
+    rows = table(spark, sf, "customer").filter("c_custkey % 7 = 2")
     return rows.select(F.concat(F.lit("Customer#"), F.lpad(k, 9, "0")).alias("sample_name"), F.concat(F.lit("MK"), F.lpad(k, 6, "0")).alias("accession"))
 
 
@@ -124,19 +148,19 @@ _REGISTERED_SQL = """fresh AS (SELECT DISTINCT name FROM names WHERE NOT regexp_
 
 @query(
     "local_id_registry",
-    f"WITH {_REGISTRY_SQL} names AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 'U' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') ELSE c_name END AS name FROM customer), {_REGISTERED_SQL} SELECT * FROM registered",
+    f"WITH {_REGISTRY_SQL} names AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 'U' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') ELSE c_name END AS name FROM customer), {_REGISTERED_SQL} SELECT * FROM registered",
 )
 def _(spark, sf):
     k = F.col("c_custkey")
-    name = F.when(k % 3 == 0, F.concat(F.lit("U"), F.lpad((k % 100000).cast("string"), 5, "0"))).otherwise(F.col("c_name"))
+    name = F.when(k % 3 == 0, F.concat(F.lit("U"), F.lpad(k.cast("string"), 5, "0"))).otherwise(F.col("c_name"))
     names = table(spark, sf, "customer").select(name.alias("name"))
     return history.local_id_registry(_registry(spark, sf), names, _accessions(spark, sf), "2024-05-01")
 
 
 @query(
     "update_sequences",
-    f"""WITH {_REGISTRY_SQL} {SQL_SEQS}, heads AS (SELECT CASE ord % 3 WHEN 0 THEN 'AB' || lpad(CAST(ord % 1000000 AS VARCHAR), 6, '0') ELSE 'Customer#' || lpad(CAST(ord AS VARCHAR), 9, '0') END AS head, seq, ord FROM seqs),
-    led AS (SELECT 'AB' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS accession FROM customer WHERE c_custkey % 9 = 0 AND c_custkey < 1000000),
+    f"""WITH {_REGISTRY_SQL} {SQL_SEQS}, heads AS (SELECT CASE ord % 3 WHEN 0 THEN {_sql_accession('ord')} ELSE 'Customer#' || lpad(CAST(ord AS VARCHAR), 9, '0') END AS head, seq, ord FROM seqs),
+    led AS (SELECT {_sql_accession('c_custkey')} AS accession FROM customer WHERE c_custkey % 9 = 0),
     unseen AS (SELECT head AS name FROM heads WHERE head NOT IN (SELECT accession FROM led)), names AS (SELECT * FROM unseen), {_REGISTERED_SQL},
     entries AS (SELECT DISTINCT coalesce(seq_accession, name) AS accession FROM unseen LEFT JOIN registered ON sample_name = name WHERE name NOT IN (SELECT sample_name FROM reg) AND name NOT IN (SELECT seq_accession FROM reg))
     SELECT 'sequence' AS part, coalesce(seq_accession, head) AS id, md5(seq) AS detail FROM heads LEFT JOIN registered ON sample_name = head
@@ -145,12 +169,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     k = F.col("ord")
-    head = F.when(k % 3 == 0, F.concat(F.lit("AB"), F.lpad((k % 1000000).cast("string"), 6, "0"))).otherwise(F.concat(F.lit("Customer#"), F.lpad(k.cast("string"), 9, "0")))
+    head = F.when(k % 3 == 0, _accession(k)).otherwise(F.concat(F.lit("Customer#"), F.lpad(k.cast("string"), 9, "0")))
     seqs = sequences(spark, sf).withColumn("id", head)
-    seqs = seqs.unionByName(seqs.withColumns({"ord": k + 100000000, "seq": F.lit("second copy")}))
-    ledger = table(spark, sf, "customer").filter("c_custkey % 9 = 0 AND c_custkey < 1000000").select(
-        F.concat(F.lit("AB"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("accession"), F.lit("2020-02-02").cast("date").alias("date_added")
-    )
+    seqs = seqs.withColumn("ord", k * 2).unionByName(seqs.withColumns({"ord": k * 2 + 1, "seq": F.lit("second copy")}))
+    ledger = table(spark, sf, "customer").filter("c_custkey % 9 = 0").select(_accession(F.col("c_custkey")).alias("accession"), F.lit("2020-02-02").cast("date").alias("date_added"))
     out, registry, led = history.update_sequences(seqs, _registry(spark, sf), ledger, _accessions(spark, sf), "2024-05-01")
     part = lambda n: F.lit(n).alias("part")
     return (
@@ -184,7 +206,7 @@ def record_edits(spark, sf):
     return e.select(
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("id"),
         F.when(k % 3 == 0, "country").when(k % 3 == 1, "date").otherwise("strain").alias("field"), F.col("event_type").alias("value"), k.alias("ord"),
-    ).filter("ord % 5 = 0")
+    )
 
 
 _TITLE = "array_to_string(list_transform(string_split({x}, ' '), lambda w: CASE WHEN upper(w) = 'USA' THEN 'USA' WHEN lower(w) IN ('of', 'the', 'and') THEN lower(w) ELSE upper(w[1:1]) || lower(w[2:]) END), ' ')"
@@ -198,7 +220,7 @@ _SQL_CURATE = f"""WITH {SQL_CUSTOMER_NAMES}, {SQL_DIRTY_DATES}, raw AS (SELECT c
   rules AS (SELECT * FROM (VALUES {_CURATE_RULES}) v(ord, f, t, stars)),
   hit AS (SELECT k, t FROM raw JOIN rules ON f[1] IN ('*', region) AND f[2] IN ('*', country) AND f[3] IN ('*', coalesce(division, '')) AND f[4] IN ('*', coalesce(location, '')) QUALIFY row_number() OVER (PARTITION BY k ORDER BY stars, ord DESC) = 1),
   placed AS (SELECT raw.* REPLACE ({", ".join(f"CASE WHEN t IS NULL OR t[{i}] = '*' THEN {c} ELSE nullif(t[{i}], '') END AS {c}" for i, c in enumerate(curation.PLACE_LEVELS, 1))}) FROM raw LEFT JOIN hit USING (k)),
-  e AS (SELECT 'C' || user_id AS id, CASE event_id % 3 WHEN 0 THEN 'country' WHEN 1 THEN 'date' ELSE 'strain' END AS field, event_type AS value FROM events WHERE event_id % 5 = 0 QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id DESC) = 1),
+  e AS (SELECT 'C' || user_id AS id, CASE event_id % 3 WHEN 0 THEN 'country' WHEN 1 THEN 'date' ELSE 'strain' END AS field, event_type AS value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id DESC) = 1),
   done AS (SELECT p.* REPLACE (coalesce(a.value, country) AS country, coalesce(b.value, date) AS date, coalesce(c.value, strain) AS strain) FROM placed p LEFT JOIN e a ON a.id = accession AND a.field = 'country' LEFT JOIN e b ON b.id = accession AND b.field = 'date' LEFT JOIN e c ON c.id = accession AND c.field = 'strain')"""
 _SHOWN = ["accession", "strain", "date", "region", "country", "division", "location", "host", "abbr_authors"]
 _CHAIN_RULES = (("Africa/Nation_1/*/*", "Africa/One//*", 0), ("*/*/Building of the North/Loc2", "*/*/Build/Two", 1), ("Asia/*/*/*", "Asia of Old/*/*/*", 2))
@@ -245,7 +267,7 @@ _MAJOR = {"HFMD": "HFMD", "Rash": "Rash-associated", "Fever": "Other"}
 def add_metadata_inputs(spark, sf):
     d, q, n = (table(spark, sf, t) for t in ("documents", "labels", "nation"))
     k = F.col("doc_id")
-    acc = F.concat(F.lit("AB"), F.lpad((k % 1000000).cast("string"), 6, "0"))
+    acc = _accession(k)
     text_or = lambda *pairs: F.coalesce(*[F.when(c, F.lit(v)) for c, v in pairs])
     meta = d.select(
         acc.alias("accession"), F.concat(acc, F.lit(".1")).alias("accession_version"), F.when(k % 4 == 0, acc).otherwise(F.col("source")).alias("strain"), F.lit("2001-XX-XX").alias("date"),
@@ -268,7 +290,7 @@ def add_metadata_inputs(spark, sf):
 
 @query(
     "add_metadata",
-    """WITH m AS (SELECT doc_id, 'AB' || lpad(CAST(doc_id % 1000000 AS VARCHAR), 6, '0') AS accession, source, n_chars, l.doc_id AS x, quality FROM documents d LEFT JOIN labels l USING (doc_id)),
+    f"""WITH m AS (SELECT doc_id, {_sql_accession('doc_id')} AS accession, source, n_chars, l.doc_id AS x, quality FROM documents d LEFT JOIN labels l USING (doc_id)),
     j AS (SELECT *, doc_id AS k, x IS NOT NULL AS has_x, coalesce(x IS NOT NULL AND x % 9 = 0, false) AS en FROM m),
     f AS (SELECT *, CASE WHEN has_x AND k % 10 = 0 THEN 'France' WHEN k % 3 = 0 THEN 'United Kingdom' ELSE 'Nation ' || k % 30 END AS country_out,
       CASE WHEN NOT has_x THEN NULL WHEN k % 5 = 0 THEN 'HFMD' WHEN k % 5 = 1 THEN 'Fever; Rash' WHEN k % 5 = 2 THEN 'Odd Thing' END AS diag FROM j)
@@ -295,7 +317,7 @@ def _(spark, sf):
       CASE WHEN doc_id % 6 = 0 THEN 'F' END AS sex, CASE WHEN doc_id % 6 = 0 THEN (n_chars % 90)::DOUBLE END AS age_yrs, CASE WHEN doc_id % 6 = 0 THEN 'Fever' WHEN doc_id % 4 = 1 THEN 'HFMD' END AS diagnosis,
       CASE WHEN doc_id % 6 = 0 THEN NULL ELSE 'stool' END AS isolation, 'Homo sapiens' AS origin, CASE WHEN doc_id % 7 = 0 THEN 'PMID: ' || doc_id ELSE 'genbank corrections' END AS doi FROM documents WHERE lang = 'fr' AND doc_id % 6 <> 0
     UNION ALL SELECT CAST(doc_id AS VARCHAR), 'iso/' || source || '/Utrecht', CASE WHEN doc_id % 3 > 0 THEN 'Netherlands' END, CASE WHEN doc_id % 3 = 2 THEN 'Delft' ELSE 'Utrecht' END, CASE WHEN doc_id % 4 = 0 THEN 'of' END,
-      CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'undated' ELSE '2011' END, 'F', (n_chars % 90)::DOUBLE, 'Fever', 'Patient'[1:0] || 'female', 'Homo sapiens', CASE WHEN doc_id % 7 = 0 THEN 'PMID: ' || doc_id ELSE 'genbank corrections' END FROM documents WHERE lang = 'fr' AND doc_id % 6 = 0""",
+      CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'undated' ELSE '2011' END, 'F', (n_chars % 90)::DOUBLE, 'Fever', 'female', 'Homo sapiens', CASE WHEN doc_id % 7 = 0 THEN 'PMID: ' || doc_id ELSE 'genbank corrections' END FROM documents WHERE lang = 'fr' AND doc_id % 6 = 0""",
 )
 def _(spark, sf):
     k, s = F.col("doc_id"), F.col("doc_id").cast("string")
@@ -354,7 +376,7 @@ def _(spark, sf):
     k = F.col("p_partkey")
     line = F.concat_ws(
         "\t", F.concat(F.lit("chr"), F.col("p_size").cast("string")), F.lit("src"), F.when(k % 3 > 0, "CDS").otherwise("region"), k.cast("string"), (k + 9).cast("string"), F.lit("."), F.lit("+"), F.lit("."),
-        F.concat(F.lit("Name="), "p_name", F.lit(";product="), "p_brand"),
+        F.concat(F.lit("Name=first;Name="), "p_name", F.lit(";product="), "p_brand"),
     )
     table(spark, sf, "part").select(F.concat(F.lit("##sequence-region\n"), line).alias("value")).write.text(path)
     out = seqio.read_gff3(spark, path, ["CDS"])
@@ -364,7 +386,7 @@ def _(spark, sf):
 @query(
     "genbank_round_trip",
     f"""WITH {SQL_SEQS} SELECT 'D' || id || '.1' AS seqid, 'Document ' || id || ' of ' || source AS definition, 'source' AS type, 1 AS start, CAST(length(seq) AS INTEGER) AS "end", '+' AS strand, lang || ' long text' AS label, seq FROM seqs JOIN documents ON doc_id = ord
-    UNION ALL SELECT 'D' || id || '.1', 'Document ' || id || ' of ' || source, 'CDS', 5, 90, '-', 'VP1', seq FROM seqs JOIN documents ON doc_id = ord""",
+    UNION ALL SELECT 'D' || id || '.1', 'Document ' || id || ' of ' || source, 'CDS', 5, 90, '-', 'VP1', reverse(translate(substr(seq, 5, 16) || substr(seq, 61, 30), 'ACGT', 'TGCA')) FROM seqs JOIN documents ON doc_id = ord""",
 )
 def _(spark, sf):
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), "lang", "source")
@@ -373,13 +395,15 @@ def _(spark, sf):
     pad = " " * 21
     record = F.concat(
         F.lit("LOCUS       D"), "id", F.lit("\nDEFINITION  Document "), "id", F.lit("\n            of "), "source", F.lit("\nACCESSION   D"), "id", F.lit("\nVERSION     D"), "id", F.lit(".1\nFEATURES             Location/Qualifiers\n     source          1.."),
-        F.length("seq").cast("string"), F.lit(f'\n{pad}/organism="Enterovirus A71"\n{pad}/note="'), "lang", F.lit(f' long\n{pad}text"\n     CDS             complement(5..90)\n{pad}/product="VP1"\n{pad}/product="second"\nORIGIN'), blocks, F.lit("\n//"),
+        F.length("seq").cast("string"), F.lit(f'\n{pad}/organism="Enterovirus A71"\n{pad}/note="'), "lang", F.lit(f' long\n{pad}text"\n     CDS             complement(join(5..20,\n{pad}61..90))\n{pad}/product="first"\n{pad}/product="VP1"\nORIGIN'), blocks, F.lit("\n//"),
     )
     path = fresh_path(spark, "genbank")
     s.select(record.alias("value")).write.text(path)
     records = seqio.read_genbank(spark, path)
     feats = seqio.genbank_features(records)
-    label = F.coalesce(F.try_element_at("attrs", F.lit("product")), F.try_element_at("attrs", F.lit("note")))
-    seqs = seqio.genbank_sequences(records).withColumnRenamed("id", "seqid")
+    label = F.coalesce(F.try_element_at(F.try_element_at("values", F.lit("product")), F.lit(2)), F.try_element_at("attrs", F.lit("note")))
+    seqs = seqio.genbank_sequences(records)
+    cut, _inside = extract_feature(seqs, feats, "vp1")
+    letters = seqs.select(F.col("id").alias("seqid"), F.lit("source").alias("type"), "seq").unionByName(cut.select(F.col("id").alias("seqid"), F.lit("CDS").alias("type"), "seq"))
     named = records.select(F.col("version").alias("seqid"), "definition")
-    return feats.join(named, "seqid").join(seqs, "seqid").select("seqid", "definition", "type", "start", "end", "strand", label.alias("label"), "seq")
+    return feats.join(named, "seqid").join(letters, ["seqid", "type"]).select("seqid", "definition", "type", "start", "end", "strand", label.alias("label"), "seq")

@@ -189,7 +189,7 @@ def _(spark, sf):
 @query(
     "merge_many",
     """WITH a AS (SELECT c_custkey AS id, c_mktsegment AS segment, c_name AS name FROM customer),
-    b AS (SELECT o_custkey AS id, max(o_orderpriority) AS segment FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1),
+    b AS (SELECT o_custkey AS id, arg_max(o_orderpriority, o_orderkey) AS segment FROM orders GROUP BY 1),
     c AS (SELECT c_custkey + 10 AS id, CASE WHEN c_custkey % 2 = 0 THEN ' ' ELSE 'late' END AS name FROM customer)
     SELECT coalesce(a.id, b.id, c.id) AS id, coalesce(b.segment, a.segment) AS segment, coalesce(nullif(trim(c.name), ''), a.name) AS name
     FROM a FULL JOIN b ON a.id = b.id FULL JOIN c ON coalesce(a.id, b.id) = c.id""",
@@ -197,9 +197,9 @@ def _(spark, sf):
 def _(spark, sf):
     c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
     first = c.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name"))
-    second = o.filter("o_orderkey % 3 = 0").groupBy(F.col("o_custkey").alias("id")).agg(F.max("o_orderpriority").alias("segment"))
+    second = o.select(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("segment"), F.col("o_orderkey").alias("ord"))
     third = c.select((F.col("c_custkey") + 10).alias("id"), F.when(F.col("c_custkey") % 2 == 0, " ").otherwise("late").alias("name"))
-    return joins.merge_many([first, second, third], "id")
+    return joins.merge_many([first, second, third], "id", order="ord")
 
 
 @query(
@@ -222,6 +222,16 @@ def _(spark, sf):
     return joins.join_qc(meta, qc, "accession", "seqName", {"total.Missing": "missing_data", "totalSubstitutions": "divergence"}, tail=2)
 
 
+@query(
+    "join_qc_all",
+    "SELECT CAST(d.doc_id AS VARCHAR) AS accession, d.lang, l.quality AS \"total.Missing\", l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id",
+)
+def _(spark, sf):
+    meta = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("accession"), "lang")
+    qc = table(spark, sf, "labels").select(F.concat(F.col("doc_id").cast("string"), F.lit(" |extra")).alias("seqName"), F.lit("qc").alias("lang"), F.col("quality").alias("total.Missing"), "toxic")
+    return joins.join_qc(meta, qc, "accession", "seqName")
+
+
 _ATTACH_SQL = """WITH m AS (SELECT doc_id || '.1' AS id, lang FROM documents WHERE doc_id % 6 > 0 UNION ALL SELECT doc_id || '.1', lang FROM documents WHERE doc_id % 30 = 1),
   s AS (SELECT doc_id || '.1' AS id, quality FROM labels)"""
 
@@ -461,9 +471,10 @@ def _(spark, sf):
     return dedup.keep_last(table(spark, sf, "events").select("user_id", "event_id", "event_type"), ["user_id"], ["event_id"])
 
 
-@query("rmdup_sequences", f"WITH {SQL_SEQS} SELECT id[1:2] AS id, seq, ord FROM seqs QUALIFY row_number() OVER (PARTITION BY id[1:2] ORDER BY ord) = 1")
+@query("rmdup_sequences", f"WITH {SQL_SEQS} SELECT id, seq, ord * 2 AS ord FROM seqs")
 def _(spark, sf):
-    return dedup.rmdup_sequences(sequences(spark, sf).withColumn("id", F.substring("id", 1, 2)))
+    s = sequences(spark, sf).withColumn("ord", F.col("ord") * 2)
+    return dedup.rmdup_sequences(s.unionByName(s.withColumns({"ord": F.col("ord") + 1, "seq": F.lit("second copy")})))
 
 
 @query(

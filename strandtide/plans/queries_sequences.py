@@ -113,6 +113,31 @@ def _(spark, sf):
     return rows.unionByName(moved.select(F.col("seqid").alias("id"), label.alias("label"), F.col("start").alias("first"), F.col("end").alias("last"), F.lit("").alias("seq")))
 
 
+@query(
+    "extract_feature_strands",
+    f"""WITH {SQL_SEQS}, d AS (SELECT s.id, s.seq, s.ord % 3 AS k, CAST(n_chars % 40 AS INTEGER) AS o FROM seqs s JOIN documents ON doc_id = s.ord), t AS (SELECT *, translate(seq, 'ACGT', 'TGCA') AS c FROM d)
+    SELECT id, 'sequence' AS label, 0 AS first, 0 AS last, '.' AS strand, CASE k WHEN 0 THEN substr(seq, o + 1, 90) WHEN 1 THEN reverse(substr(c, o + 1, 90)) ELSE reverse(substr(c, o + 61, 30)) || reverse(substr(c, o + 1, 30)) END AS seq FROM t
+    UNION ALL SELECT id, 'P1', 1, CASE WHEN k = 2 THEN 60 ELSE 90 END, '+', '' FROM t
+    UNION ALL SELECT id, 'VP1', CASE WHEN k = 0 THEN 11 ELSE 51 END, CASE WHEN k = 0 THEN 40 ELSE 80 END, CASE WHEN k = 0 THEN '+' ELSE '-' END, '' FROM t WHERE k < 2
+    UNION ALL SELECT id, 'VP2', CASE k WHEN 0 THEN 66 WHEN 1 THEN 16 ELSE 16 END, CASE k WHEN 0 THEN 75 WHEN 1 THEN 25 ELSE 25 END, CASE WHEN k = 0 THEN '-' ELSE '+' END, '' FROM t""",
+)
+def _(spark, sf):
+    k, o = F.col("doc_id") % 3, (F.col("n_chars") % 40).cast("int")
+    plus, minus = F.lit("+"), F.lit("-")
+    part = lambda lo, hi, strand: F.struct((o + lo).alias("start"), (o + hi).alias("end"), strand.alias("strand"))
+    own = F.when(k == 2, F.array(part(61, 90, minus), part(1, 30, minus))).otherwise(F.array(part(1, 90, F.when(k == 0, plus).otherwise(minus))))
+    row = lambda n, name, lo, hi, strand, spans: F.struct(F.lit(n).alias("ord"), F.lit("CDS").alias("type"), (o + lo).alias("start"), (o + hi).alias("end"), strand.alias("strand"), spans.alias("spans"), F.create_map(F.lit("product"), F.lit(name)).alias("attrs"))
+    cells = F.array(
+        row(0, "P1", 1, 90, F.when(k == 0, plus).otherwise(minus), own),
+        row(1, "VP1", 11, 40, plus, F.array(part(11, 40, plus))),
+        row(2, "VP2", 66, 75, minus, F.array(part(66, 75, minus))),
+    )
+    found = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("seqid"), F.inline(cells))
+    cut, moved = features.extract_feature(sequences(spark, sf), found, "P1")
+    rows = cut.select("id", F.lit("sequence").alias("label"), F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit(".").alias("strand"), "seq")
+    return rows.unionByName(moved.select(F.col("seqid").alias("id"), F.col("attrs")["product"].alias("label"), F.col("start").alias("first"), F.col("end").alias("last"), "strand", F.lit("").alias("seq")))
+
+
 @query(
     "unique_feature_names",
     """WITH n AS (SELECT p_partkey, translate(p_name || '.' || (p_size % 3), ' ,.;:()[]', '_________') AS name FROM part),

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from strandtide.functions import sequence as seqfn
 from strandtide.functions.dates import numeric_date
-from strandtide.operators import clades, grouping, tree as treeops
+from strandtide.operators import clades, features, grouping, tree as treeops
 from strandtide.operators.joins import dimension_attach
 from strandtide.plans.queries_sequences import SQL_HITS, search_hits, sql_protein
 from strandtide.plans.registry import query
 from strandtide.plans.standins import GAPPED, SQL_GAPPED, SQL_TREE, sequences, table, tree
 from strandtide.operators.seeds import hit_lengths
+from strandtide.runtime import fresh_path
+from strandtide.sources.tables import read_rule_table
 
 # ---- paths
 
@@ -121,6 +123,23 @@ def _(spark, sf):
     return clades.key_mutation_strings(document_tree(spark, sf), _KEY_POSITIONS)
 
 
+@query(
+    "key_mutations_from_labels",
+    f"""WITH {SQL_DOC_TREE}, pr AS (SELECT node, is_tip, {sql_protein('seq')} AS protein FROM nodes),
+    pos AS (SELECT DISTINCT 'VP4' AS s, CAST(p_size AS INTEGER) AS p FROM part WHERE p_size <= 30 UNION SELECT 'VP1', CAST(565 + p_size % 4 + 1 AS INTEGER) FROM part),
+    k AS (SELECT node, is_tip, coalesce(string_agg(substr(protein, p, 1), '' ORDER BY p) FILTER (s = 'VP1'), '') AS c1, coalesce(string_agg(substr(protein, p, 1), '' ORDER BY p) FILTER (s = 'VP4'), '') AS c4 FROM pr, pos GROUP BY ALL)
+    SELECT node, CASE WHEN count(*) FILTER (is_tip) OVER (PARTITION BY c1) >= 1 THEN c1 ELSE 'other' END AS "VP1", CASE WHEN count(*) FILTER (is_tip) OVER (PARTITION BY c4) >= 1 THEN c4 ELSE 'other' END AS "VP4" FROM k""",
+)
+def _(spark, sf):
+    size = F.col("p_size")
+    part = table(spark, sf, "part")
+    label = lambda n: F.concat(n.cast("string"), F.lit("M"))
+    late = part.select(F.lit("VP4").alias("feature_set"), F.lit("VP4").alias("protein"), label(size).alias("label")).filter("cast(replace(label, 'M', '') as int) <= 30")
+    muts = late.unionByName(part.select(F.lit("VP1").alias("feature_set"), F.lit("VP1").alias("protein"), label(size % 4 + 1).alias("label")))
+    coords = spark.createDataFrame([("VP1", 1696, 2586), ("VP4", 1, 207)], "protein string, start int, end int")
+    return clades.key_mutation_strings(document_tree(spark, sf), features.position_sets(features.mutation_positions(muts, coords)))
+
+
 # ---- clade rules
 
 RULES = (
@@ -157,6 +176,17 @@ def clade_by_rules(spark, sf):
     return clades.clade_by_rules(s, doc_states(spark, sf, s), clade_rules(spark))
 
 
+@query(
+    "clades_from_table",
+    f"WITH RECURSIVE {SQL_GAPPED}, texts AS (SELECT id, seq, {sql_protein('substr(seq, 1, 30)')} AS protein FROM seqs), {SQL_CLADES} SELECT t.id, coalesce(clade, 'unassigned') AS clade FROM texts t LEFT JOIN best USING (id)",
+)
+def _(spark, sf):
+    path = fresh_path(spark, "rules")
+    lines = clade_rules(spark).select(F.concat_ws("\t", "clade", "gene", "site", F.coalesce("alt", F.lit(""))).alias("value"))
+    lines.write.text(path)
+    return clades.clades_from_table(sequences(spark, sf, GAPPED), read_rule_table(spark, path).drop("ord"), {"VP": (1, 30)})
+
+
 @query(
     "clade_on_tree",
     f"""WITH RECURSIVE {SQL_DOC_TREE}, texts AS (SELECT node AS id, seq, {sql_protein('substr(seq, 1, 30)')} AS protein FROM nodes), {SQL_CLADES},
@@ -172,14 +202,14 @@ def clade_on_tree(spark, sf):
 @query(
     "clade_label",
     f"""WITH RECURSIVE {SQL_GAPPED}, texts AS (SELECT id, seq, {sql_protein('substr(seq, 1, 30)')} AS protein FROM seqs), {SQL_CLADES},
-    cl AS (SELECT t.id, coalesce(clade, 'unassigned') AS clade FROM texts t LEFT JOIN best USING (id) WHERE CAST(t.id AS BIGINT) % 9 > 0)
+    cl AS (SELECT t.id, coalesce(clade, 'unassigned') AS clade FROM texts t LEFT JOIN best USING (id) WHERE CAST(t.id AS BIGINT) IN (SELECT doc_id FROM labels))
     SELECT 'metadata' AS side, id AS id, CASE WHEN clade = 'unassigned' THEN '' ELSE clade END AS subgenogroup FROM cl
     UNION ALL SELECT 'sequences', CASE WHEN clade = 'unassigned' THEN id ELSE id || '-Clade' || clade END, md5(seq) FROM cl JOIN seqs USING (id)""",
 )
 def _(spark, sf):
     s = sequences(spark, sf, GAPPED)
     meta = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang")
-    assigned = clade_by_rules(spark, sf).filter(F.col("id").cast("long") % 9 > 0)
+    assigned = clade_by_rules(spark, sf).join(table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id")), "id", "left_semi")
     m, q = clades.clade_label(meta, s.select("id", "seq"), assigned)
     return m.select(F.lit("metadata").alias("side"), "id", "subgenogroup").unionByName(q.select(F.lit("sequences").alias("side"), "id", F.md5("seq").alias("subgenogroup")))
 

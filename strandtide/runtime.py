@@ -8,8 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its measured size is below these bounds.
-BROADCAST_ROWS = 1_000_000
+# A side is broadcast only when its measured size is below this bound.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -48,24 +47,42 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     """Write `df` as a table below the shared folder and read it back.
 
     Iterative plans stay short and survive lost executors, and the planner knows the size of the
-    result, which it would not know of a checkpointed RDD.
+    result, which it would not know of a checkpointed RDD. `replaces` is a result of this function that nothing
+    needs once `df` is written, such as the round before; its folder is deleted then. The last table of a loop belongs to
+    the caller's result and stays below the shared folder.
     """
     path = fresh_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if replaces is not None:
+        drop_stored(replaces)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
-def broadcast_when_small(df: DataFrame, size_expr=None, bound: int = BROADCAST_ROWS) -> DataFrame:
+def drop_stored(df: DataFrame) -> None:
+    """Delete the folder behind a result of `cut_lineage`; other tables are left alone."""
+    path = getattr(df, "_stored_at", None)
+    if path is None:
+        return
+    jvm = df.sparkSession._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+    del df._stored_at
+
+
+def broadcast_when_small(df: DataFrame, size_expr=None, bound: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast `df` only if its measured size is within `bound`; otherwise a shuffled join.
 
-    `size_expr` is an aggregate such as the number of letters; the default counts rows.
+    `size_expr` is an aggregate such as the number of letters; the default is the bytes of all rows as JSON text.
     The check is one small aggregate whose result is a single number.
     """
-    size = df.agg((F.count(F.lit(1)) if size_expr is None else size_expr).alias("n")).first()["n"] or 0
+    text = F.to_json(F.struct(*[f"`{c}`" for c in df.columns]))
+    size = df.agg((F.sum(F.octet_length(text)) if size_expr is None else size_expr).alias("n")).first()["n"] or 0
     return F.broadcast(df) if size <= bound else df.hint("merge")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandtide.functions.binding import bind
+from strandtide.functions.text import parse_attributes
 
 
 def file_order() -> Column:
@@ -77,18 +78,43 @@ def genbank_sequences(records: DataFrame) -> DataFrame:
 
 
 def genbank_features(records: DataFrame) -> DataFrame:
-    """(seqid, type, start, end, strand, attrs, ord): 1-based closed, first value per qualifier."""
+    """(seqid, type, start, end, strand, spans, attrs, values, ord), 1-based closed.
+
+    `start` and `end` are the outermost positions, `spans` (start, end, strand) the parts of the location in reading
+    order: those of `complement(join(..))` come last first. `attrs` has the first value of each qualifier, `values`
+    all of them.
+    """
     block = F.regexp_extract("record", r"(?s)\nFEATURES[^\n]*(\n.*?)(?:\n[A-Z]|$)", 1)
     # continuation lines of a qualifier or location join the line before them
     joined = F.regexp_replace(block, r"\n {21}(?!/)", " ")
     items = F.filter(F.split(joined, r"\n {5}(?=\S)"), lambda x: F.trim(x) != "")
     rows = records.select(F.col("version").alias("seqid"), "ord", F.posexplode(items).alias("pos", "item"))
     location = F.regexp_extract("item", r"^\S+\s+([^\n]*)", 1)
-    numbers = F.transform(F.regexp_extract_all(location, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("int"))
+    # continuation lines are joined with blanks; positions in other records have those records' names before a colon
+    plain = F.regexp_replace(location, r"\s+|[A-Za-z0-9_.]+:", "")
+    numbers = F.transform(F.regexp_extract_all(plain, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("int"))
+    turned = plain.rlike(r"^complement\((join|order)\(")
+    pieces = F.regexp_extract_all(F.regexp_replace(plain, r"^complement\((?=join|order)", ""), F.lit(r"((?:complement\()?[<>]?\d+(?:(?:\.\.|\^)[<>]?\d+)?)"), F.lit(1))
+
+    def part(piece: Column) -> Column:
+        first, last = F.regexp_extract(piece, r"(\d+)", 1).cast("int"), F.regexp_extract(piece, r"(\d+)\D*$", 1).cast("int")
+        minus = F.startswith(piece, F.lit("complement")) != turned
+        return F.struct(first.alias("start"), last.alias("end"), F.when(minus, "-").otherwise("+").alias("strand"))
+
+    in_order = bind(F.transform(pieces, part), lambda parts: F.when(turned, F.reverse(parts)).otherwise(parts))
     pattern = F.lit(r'\n {21}/([^=\n]+)(?:="?((?:[^"\n]|"")*)"?)?')
     keys = F.regexp_extract_all("item", pattern, F.lit(1))
     values = F.regexp_extract_all("item", pattern, F.lit(2))
     pairs = F.zip_with(keys, values, lambda k, v: F.struct(F.trim(k).alias("k"), v.alias("v")))
+    all_values = bind(
+        pairs,
+        lambda all_: F.map_from_entries(
+            F.transform(
+                F.array_distinct(F.transform(all_, lambda p: p["k"])),
+                lambda k: F.struct(k, F.transform(F.filter(all_, lambda p: p["k"] == k), lambda p: p["v"])),
+            )
+        ),
+    )
     first = bind(pairs, lambda all_: F.filter(all_, lambda p, i: ~F.exists(F.slice(all_, F.lit(1), i), lambda o: o["k"] == p["k"])))
     return rows.select(
         "seqid",
@@ -96,7 +122,9 @@ def genbank_features(records: DataFrame) -> DataFrame:
         F.array_min(numbers).alias("start"),
         F.array_max(numbers).alias("end"),
         F.when(F.contains(location, F.lit("complement")), "-").otherwise("+").alias("strand"),
+        in_order.alias("spans"),
         F.map_from_entries(first).alias("attrs"),
+        all_values.alias("values"),
         F.struct("ord", "pos").alias("ord"),
     )
 
@@ -106,15 +134,13 @@ def read_gff3(
 ) -> DataFrame:
     """Features of the wanted types as (seqid, type, start, end, strand, phase, attrs, ord).
 
-    With `names` only features whose `Name` is listed are kept, and a listed name that is missing is an error.
+    The last value of a repeated attribute counts. With `names` only features whose `Name` is listed are kept, and a
+    listed name that is missing is an error.
     """
     lines = spark.read.text(path).select(F.trim("value").alias("line"), file_order().alias("ord"))
     cells = F.split("line", "\t")
     at = lambda i: F.get(cells, F.lit(i))
-    items = F.filter(F.split(at(8), ";"), lambda x: x.contains("="))
-    attrs = F.map_from_entries(
-        F.transform(items, lambda x: F.struct(F.substring_index(x, "=", 1), F.regexp_replace(x, "^[^=]*=", "")))
-    )
+    attrs = parse_attributes(at(8))
     out = lines.filter((F.col("line") != "") & ~F.col("line").startswith("#") & (F.size(cells) == 9)).select(
         at(0).alias("seqid"), at(2).alias("type"), at(3).try_cast("int").alias("start"), at(4).try_cast("int").alias("end"),
         at(6).alias("strand"), at(7).alias("phase"), attrs.alias("attrs"), "ord",
@@ -131,4 +157,6 @@ def read_gff3(
 
 
 def write_fasta(df: DataFrame, path: str, id_col: str = "id", seq_col: str = "seq") -> None:
-    df.select(F.concat(F.lit(">"), F.col(id_col), F.lit("\n"), F.col(seq_col)).alias("value")).write.text(path)
+    """One record per row; a null id or sequence is written as empty."""
+    cell = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit(""))
+    df.select(F.concat(F.lit(">"), cell(id_col), F.lit("\n"), cell(seq_col)).alias("value")).write.text(path)

@@ -66,10 +66,23 @@ def node_rows(df: DataFrame, col: str) -> DataFrame:
 
 
 def read_node_data(spark: SparkSession, path: str) -> DataFrame:
-    """Node data of one JSON document per file."""
+    """Node data of one JSON document per file: a document is one row, so this is for small trees."""
     return node_rows(spark.read.text(path, wholetext=True), "value")
 
 
+def read_node_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Node data of one `{"name": .., "values": {key: value}}` per line as (node, key, value); files are split freely."""
+    line = F.from_json("value", "name string, values map<string,string>").alias("n")
+    return spark.read.text(path).select(line).select(F.col("n.name").alias("node"), F.explode("n.values").alias("key", "value"))
+
+
+def write_node_lines(nodes: DataFrame, path: str) -> None:
+    """Rows (node, key, value) as the lines that `read_node_lines` reads; one value per node and key."""
+    values = F.map_from_entries(F.collect_list(F.struct("key", "value")))
+    grouped = nodes.groupBy("node").agg(values.alias("values"))
+    grouped.select(F.to_json(F.struct(F.col("node").alias("name"), "values")).alias("value")).write.text(path)
+
+
 def read_rule_table(spark: SparkSession, path: str) -> DataFrame:
     """Clade rules (clade, gene, site, alt, ord) without blank lines and carriage returns."""
     lines = spark.read.text(path).select(F.regexp_replace("value", r"\r$", "").alias("line"), file_order().alias("ord"))

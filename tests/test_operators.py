@@ -262,7 +262,7 @@ def test_clades(spark):
     assert rows(clades.clade_by_rules(seqs, states.unionAll(states), rules)) == rows(clades.clade_by_rules(seqs, states, rules))
     loop = spark.createDataFrame([("P", "clade", "Q", None), ("Q", "clade", "P", None)], "clade string, gene string, site string, alt string")
     with pytest.raises(ValueError, match="cycle"):
-        clades.inherited_rules(loop, max_depth=4)
+        clades.inherited_rules(loop)
 
 
 def test_clock_filter_without_rows(spark):
