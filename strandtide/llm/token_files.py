@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -26,15 +28,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandtide.llm.common import utf8
+from strandtide.runtime import cut_lineage
 
 MAGIC = b"TOKIDS01"
 SAMPLE = 256
 FILE_BYTES = 8 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 _HEAD = struct.Struct("<8sIIQQQqBx")
 _SEQUENCE = struct.Struct("<QBxxxxxxxQQ")
-# letters below U+0250 whose lower case does not depend on what follows, and ASCII signs but the apostrophe
-_WORD_AND_SIGNS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+# letters whose lower case is one letter and does not depend on what follows; ASCII signs but the apostrophe
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != ord("'"))
 
 
 class EliasFano:
@@ -97,48 +101,68 @@ class EliasFano:
         return out
 
 
-class WordCache:
-    """Ids of texts from ids of their white-space-separated pieces.
+def _four_bytes(ids: list[int]) -> bytes:
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
 
-    For tokenizers that treat white space as a separator and nothing more, and lower-case letter by letter:
-    then a text's ids are those of its pieces in order, and a piece of plain letters and ASCII signs is the
-    lowered letters' ids and the signs' ids. Each piece is given to the library once while it is cached.
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it is printable, else one from 256 on."""
+    itself = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in itself)
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+class WordCache(dict):
+    """Ids of texts from ids of their white-space-separated pieces; maps a piece to its little-endian 32-bit ids.
+
+    For byte-level tokenizers that treat white space as a separator and nothing more, lower-case letter by letter
+    and take letters and other signs apart: then a text's ids are those of its pieces in order, and a piece of plain letters
+    and ASCII signs after them is the lowered word's ids and the signs' ids. Plain words go straight to the library's model,
+    all other pieces through its whole chain, and each once while it is cached.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.pieces: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _learn(self, unknown: set[bytes]) -> None:
-        if len(self.pieces) + len(unknown) > CACHED_WORDS:
-            self.pieces = {}
-        if len(self.parts) > CACHED_WORDS:
-            self.parts = {"": b""}
-        split, ask = [], set()
-        for piece in unknown:
-            text = piece.decode()
-            plain = _WORD_AND_SIGNS.fullmatch(text)
-            both = (plain[1].lower(), plain[2]) if plain else (text, "")
-            split.append((piece, both))
-            ask.update(x for x in both if x not in self.parts)
-        asked = list(ask)
-        for part, found in zip(asked, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False), strict=True):
-            self.parts[part] = np.array(found.ids, dtype="<u4").tobytes()
-        self.pieces.update((piece, self.parts[a] + self.parts[b]) for piece, (a, b) in split)
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.parts: dict[bytes, bytes] = {}
+
+    def _word(self, word: bytes) -> bytes | None:
+        """Ids of a word of plain letters whose ASCII letters are lowered; None for anything else."""
+        if word.isalpha():
+            seen = word.decode()
+        elif _LETTERS.fullmatch(text := word.decode()):
+            seen = text.lower().encode().decode("latin-1").translate(self.letters)
+        else:
+            return None
+        found = self.parts[word] = _four_bytes([t.id for t in self.model.tokenize(seen)])
+        return found
+
+    def _whole(self, piece: bytes) -> bytes:
+        return _four_bytes(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids)
+
+    def __missing__(self, piece: bytes) -> bytes:
+        core = piece.rstrip(_SIGNS)
+        word = core.lower()
+        found = self.parts.get(word) or self._word(word)
+        if found is None:
+            found = self._whole(piece)
+        elif len(core) < len(piece):
+            signs = piece[len(core) :]
+            found += self.parts.get(signs) or self.parts.setdefault(signs, self._whole(signs))
+        self[piece] = found
+        return found
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        pieces = [t.split() for t in texts]
-        unknown = set(chain.from_iterable(pieces)).difference(self.pieces)
-        if unknown:
-            held = self.pieces
-            self._learn(unknown)
-            if held is not self.pieces:
-                self._learn(set(chain.from_iterable(pieces)).difference(self.pieces))
-        return [b"".join(map(self.pieces.__getitem__, p)) for p in pieces]
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        if len(self.parts) > CACHED_WORDS:
+            self.parts.clear()
+        return [b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
 @lru_cache(maxsize=1)
@@ -228,7 +252,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for content in batch.column("content"):
-                one = TokenFile(content.as_py())
+                # a writer without rows leaves an empty file
+                if not (raw := content.as_py()):
+                    continue
+                one = TokenFile(raw)
                 ends = one.ends.all().astype(np.int64)
                 starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]])
                 wide = one.data.astype("<u4")
@@ -245,6 +272,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def with_starts(rows: DataFrame) -> DataFrame:
     """`start` for the rows of `read`: the ids of all files before, by one sum for each partition and one for each file in it."""
+    rows = cut_lineage(rows)
     files = rows.where("place = 0").select("part", "number", "total")
     parts = files.groupBy("part").agg(F.sum("total").alias("n"))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
