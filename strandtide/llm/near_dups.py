@@ -10,7 +10,9 @@
    deviations below the threshold go, the others are confirmed on their full sets.
 4. What is in one component by then needs no further comparison. Buckets that still hold classes of several
    components are compared in full, in blocks of bounded size, inside the task: only pairs of different
-   components whose estimate passes leave it, and they are confirmed as well. No link is left out by a cap.
+   components whose estimate passes leave it, and they are confirmed as well. Here the estimate comes from
+   1024 minima of two bits, made only for classes that share a bucket, so that few pairs below the threshold
+   pass even in a cluster of thousands of near copies. No link is left out by a cap.
 5. Components are contracted by random order in tables; nothing of them reaches the driver.
 """
 
@@ -28,14 +30,29 @@ from strandtide.llm.common import NOT_SPACE, bit_filter, blocks, distinct_per_te
 from strandtide.runtime import cut_lineage
 
 MINIMA, ROWS_PER_BAND, LOW_BITS = 128, 4, 4
+WIDE_MINIMA, WIDE_BITS = 1024, 2
 BLOCK_CLASSES = 1024
-_NIBBLES = np.uint64(0x1111111111111111)
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    seeds = np.arange(1, 2 * MINIMA + 1, dtype=np.uint64)
-    drawn = mix(mix(seeds * np.uint64(0x9E3779B97F4A7C15)))
-    return drawn[:MINIMA], drawn[MINIMA:] | np.uint64(1)
+def _minima(values: np.ndarray, bounds: np.ndarray, count: int) -> np.ndarray:
+    """Minima of each set under `count` random orders; zeros for empty sets."""
+    drawn = mix(mix(np.arange(1, 2 * count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    salt, factor = drawn[:count], drawn[count:] | np.uint64(1)
+    out = np.zeros((len(bounds) - 1, count), dtype=np.uint64)
+    full = np.flatnonzero(np.diff(bounds))
+    if len(full):
+        at = bounds[:-1][full]
+        for k in range(count):
+            out[full, k] = np.minimum.reduceat((values ^ salt[k]) * factor[k], at)
+    return out
+
+
+def _packed(minima: np.ndarray, bits: int) -> np.ndarray:
+    """The low bits of each minimum, side by side in 64-bit numbers."""
+    n, count = minima.shape
+    per = 64 // bits
+    low = (mix(minima) & np.uint64((1 << bits) - 1)).reshape(n, count // per, per)
+    return np.bitwise_or.reduce(low << (np.arange(per, dtype=np.uint64) * np.uint64(bits)), axis=2)
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -63,25 +80,19 @@ def _set_keys(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     """`row`, `doc_id`, `n_shingles`, `node` and `check` (keys of the set), `packed` minima, `bands` for every row of `docs`."""
-    salt, factor = _permutations()
     bands = MINIMA // ROWS_PER_BAND
 
     def run(batches):
         for batch in batches:
             for lo, hi, values, bounds in shingle_sets(batch.column("text"), words):
                 sizes = np.diff(bounds)
-                minima = np.zeros((hi - lo, MINIMA), dtype=np.uint64)
-                if full := np.flatnonzero(sizes).tolist():
-                    at = bounds[:-1][full]
-                    for k in range(MINIMA):
-                        minima[full, k] = np.minimum.reduceat((values ^ salt[k]) * factor[k], at)
+                minima = _minima(values, bounds, MINIMA)
                 node, check = _set_keys(values, bounds)
                 grouped = minima.reshape(hi - lo, bands, ROWS_PER_BAND)
                 key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (hi - lo, bands))
                 for r in range(ROWS_PER_BAND):
                     key = mix(key ^ grouped[:, :, r])
-                low = (mix(minima) & np.uint64(15)).reshape(hi - lo, MINIMA // 16, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(LOW_BITS))
-                packed = np.bitwise_or.reduce(low, axis=2)
+                packed = _packed(minima, LOW_BITS)
                 per = lambda n: np.arange(hi - lo + 1) * n
                 own = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
@@ -104,11 +115,11 @@ def estimate(a: str, b: str) -> Column:
     return ((1 - F.expr(differ) / F.lit(float(MINIMA))) - chance) / (1 - chance)
 
 
-def estimate_floor(percent: int) -> float:
+def estimate_floor(percent: int, minima: int = MINIMA, bits: int = LOW_BITS) -> float:
     """Five standard deviations of the estimate below the threshold."""
-    chance = 1 / (1 << LOW_BITS)
+    chance = 1 / (1 << bits)
     p = percent / 100 * (1 - chance) + chance
-    return percent / 100 - 5 * (p * (1 - p) / MINIMA) ** 0.5 / (1 - chance)
+    return percent / 100 - 5 * (p * (1 - p) / minima) ** 0.5 / (1 - chance)
 
 
 def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -146,16 +157,24 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """`labels` after the further links `more`: only labels that these connect are contracted again."""
+    name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    between = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+    met = components(between).select(F.col("node").alias("label"), F.col("label").alias("further"))
+    known = labels.union(met.select("label", "label")).distinct()
+    return cut_lineage(known.join(met, "label", "left").select("node", F.coalesce("further", "label").alias("label")).distinct())
+
+
 def _within_buckets(open_rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket with different labels whose sizes and packed minima pass, found block against block."""
-    floor = estimate_floor(percent)
-    chance = 1 / (1 << LOW_BITS)
-    most = int(MINIMA * (1 - (floor * (1 - chance) + chance)))
+    floor, chance = estimate_floor(percent, WIDE_MINIMA, WIDE_BITS), 1 / (1 << WIDE_BITS)
+    most = int(WIDE_MINIMA * (1 - (floor * (1 - chance) + chance)))
+    pairs_of_bits = np.uint64(0x5555555555555555)
 
     def pairs_of(sig, n, label, left, right):
         x = sig[left][:, None, :] ^ sig[right][None, :, :]
-        x |= (x >> np.uint64(1)) | (x >> np.uint64(2)) | (x >> np.uint64(3))
-        differ = np.bitwise_count(x & _NIBBLES).sum(axis=2)
+        differ = np.bitwise_count((x | (x >> np.uint64(1))) & pairs_of_bits).sum(axis=2)
         small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
         return np.nonzero((differ <= most) & (label[left][:, None] != label[right][None, :]) & (small * 100 >= large * percent))
 
@@ -163,7 +182,7 @@ def _within_buckets(open_rows: DataFrame, percent: int) -> DataFrame:
         for table in in_groups(batches, ["bucket", "i", "j"]):
             node, n, label, block = (table.column(c).to_numpy() for c in ("node", "n_shingles", "label", "block"))
             i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-            sig = pc.list_flatten(table.column("packed")).to_numpy().reshape(-1, MINIMA // 16).view(np.uint64)
+            sig = pc.list_flatten(table.column("wide")).to_numpy().reshape(-1, WIDE_MINIMA * WIDE_BITS // 64).view(np.uint64)
             bounds = group_bounds(table, ["bucket", "i", "j"])
             found = []
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -171,8 +190,8 @@ def _within_buckets(open_rows: DataFrame, percent: int) -> DataFrame:
                     continue
                 at = np.arange(lo, hi)
                 left, right = at[block[lo:hi] == i[lo]], at[block[lo:hi] == j[lo]]
-                for k in range(0, len(left), 256):
-                    x, y = pairs_of(sig, n, label, left[k : k + 256], right)
+                for k in range(0, len(left), 16):
+                    x, y = pairs_of(sig, n, label, left[k : k + 16], right)
                     found.append(np.stack([node[left[k + x]], node[right[y]]]))
             if found:
                 a, b = np.concatenate(found, axis=1)
@@ -184,13 +203,13 @@ def _within_buckets(open_rows: DataFrame, percent: int) -> DataFrame:
     dealt = (
         open_rows.withColumn("block", F.pmod(F.xxhash64("node"), nb).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), nb - 1)))
-        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n_shingles", "label", "packed")
+        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n_shingles", "label", "wide")
     )
     return dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """Full sets of the classes in `nodes` (node, row of one member), from one more pass over the texts.
+    """Full sets and wide signatures of the classes in `nodes` (node, row of one member), from one more pass over the texts.
 
     A bitmap of fixed size over the members' row keys thins out the texts; the join is exact.
     """
@@ -201,10 +220,12 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             keep = passes(cells, batch.column("row").to_numpy().view(np.uint64))
             batch = batch.filter(pa.array(keep))
             for lo, hi, values, bounds in shingle_sets(batch.column("text"), words):
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), lists(signed(values), bounds)], names=["row", "hashes"])
+                wide = _packed(_minima(values, bounds, WIDE_MINIMA), WIDE_BITS)
+                per = np.arange(hi - lo + 1) * wide.shape[1]
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), lists(signed(values), bounds), lists(signed(wide.ravel()), per)], names=["row", "hashes", "wide"])
 
-    sets = docs.select(row_key().alias("row"), "text").mapInArrow(run, "row long, hashes array<long>")
-    return sets.join(nodes, "row").dropDuplicates(["node"]).select("node", "hashes")
+    sets = docs.select(row_key().alias("row"), "text").mapInArrow(run, "row long, hashes array<long>, wide array<long>")
+    return sets.join(nodes, "row").dropDuplicates(["node"]).select("node", "hashes", "wide")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -244,10 +265,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labelled = shared.join(labels, "node", "left").select("bucket", "members", "node", F.coalesce("label", "node").alias("label"))
     several = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("bucket")
     # in a bucket of two the only pair has been compared
-    open_rows = labelled.where("members > 2").join(several, "bucket", "left_semi").join(slim.drop("row"), "node")
+    open_rows = labelled.where("members > 2").join(several, "bucket", "left_semi").join(slim.select("node", "n_shingles"), "node").join(sets.select("node", "wide"), "node")
     more = cut_lineage(confirm(_within_buckets(open_rows, percent), sets, percent))
     if not more.isEmpty():
-        labels = components(links.union(more))
+        labels = _joined(labels, more)
 
     whole = classes.select("node", "check", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = whole.groupBy("label").agg(F.min("least_id").alias("component_id"))
