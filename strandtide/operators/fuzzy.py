@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,54 @@ def match_vocabulary(tokens: DataFrame, vocab: DataFrame, cutoff: float = 75.0)
     return best.select("token", F.col("_b.value").alias("value"), F.col("_b.score").alias("score"))
 
 
+@dataclass(frozen=True)
+class Terms:
+    """How one list field is standardized; see `standardize_terms`."""
+
+    col: str
+    vocab: DataFrame
+    cutoff: float = 75.0
+    fallback: str = "lower"
+    short_forms: Sequence[str] = ()
+    target: str | None = None
+
+
+def _standard_texts(texts: DataFrame, job: Terms) -> DataFrame:
+    """(_text, _out) for distinct field values: their parts matched, written, distinct and sorted."""
+    passed = F.col("_text").isin(list(job.short_forms)) if job.short_forms else F.lit(False)
+    parts = texts.filter(~passed).withColumn("token", F.explode_outer(split_multi(F.col("_text"))))
+    matched = match_vocabulary(parts.select("token").dropna().distinct(), job.vocab, job.cutoff)
+    own = F.lower("token")
+    if job.fallback == "title":
+        keeps = F.col("token").isin(list(job.short_forms)) if job.short_forms else F.lit(False)
+        own = F.when(keeps, F.col("token")).otherwise(title_letters(F.col("token")))
+    value = F.coalesce(F.col("value"), own)
+    if job.fallback == "lower":
+        value = F.lower(value)
+    return (
+        parts.join(matched, "token", "left")
+        .groupBy("_text")
+        .agg(F.collect_set(value).alias("_set"))  # bounded by the parts of one field value
+        .select("_text", distinct_sorted_join(F.col("_set")).alias("_out"))
+    )
+
+
+def standardize_all(df: DataFrame, jobs: Sequence[Terms]) -> DataFrame:
+    """Several list fields at once. Every field's distinct values are read from `df` itself, so with a stored table as
+    `df` nothing above it is planned again, however many fields there are."""
+    out = df
+    for job in jobs:
+        if job.fallback not in ("lower", "title"):
+            raise ValueError("fallback must be 'lower' or 'title'")
+        target = job.target or job.col
+        done = _standard_texts(df.select(F.col(f"`{job.col}`").alias("_text")).dropna().distinct(), job)
+        text = F.col(f"`{job.col}`")
+        joined = out.join(done, text == F.col("_text"), "left")
+        value = F.when(text.isin(list(job.short_forms)), text).otherwise(F.col("_out")) if job.short_forms else F.col("_out")
+        out = joined.select(*quoted(c for c in out.columns if c != target), value.alias(target))
+    return out
+
+
 def standardize_terms(
     df: DataFrame,
     col: str,
@@ -96,27 +145,4 @@ def standardize_terms(
     Works on distinct field values and joins back once, so repeated texts are matched once.
     `fallback` says how unmatched parts are written: 'lower' (then all output is lower case) or 'title'.
     """
-    if fallback not in ("lower", "title"):
-        raise ValueError("fallback must be 'lower' or 'title'")
-    target = target or col
-    texts = df.select(F.col(col).alias("_text")).dropna().distinct()
-    passed = F.col("_text").isin(list(short_forms)) if short_forms else F.lit(False)
-    parts = texts.filter(~passed).withColumn("token", F.explode_outer(split_multi(F.col("_text"))))
-    matched = match_vocabulary(parts.select("token").dropna().distinct(), vocab, cutoff)
-    own = F.lower("token")
-    if fallback == "title":
-        keeps = F.col("token").isin(list(short_forms)) if short_forms else F.lit(False)
-        own = F.when(keeps, F.col("token")).otherwise(title_letters(F.col("token")))
-    value = F.coalesce(F.col("value"), own)
-    if fallback == "lower":
-        value = F.lower(value)
-    done = (
-        parts.join(matched, "token", "left")
-        .groupBy("_text")
-        .agg(F.collect_set(value).alias("_set"))  # bounded by the parts of one field value
-        .select("_text", distinct_sorted_join(F.col("_set")).alias("_out"))
-    )
-    joined = df.join(done, df[col] == done["_text"], "left")
-    out = F.when(F.col(col).isin(list(short_forms)), F.col(col)).otherwise(F.col("_out")) if short_forms else F.col("_out")
-    keep = [c for c in df.columns if c != target]
-    return joined.select(*quoted(keep), out.alias(target))
+    return standardize_all(df, [Terms(col, vocab, cutoff, fallback, short_forms, target)])

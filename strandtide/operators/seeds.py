@@ -19,6 +19,7 @@ LAMBDA, KAPPA = 0.625, 0.41
 HIT_COLUMNS = (
     "qseqid sseqid pident length mismatch gapopen qstart qend sstart send evalue bitscore qcovs".split()
 )
+CHUNK_LETTERS = 20_000
 # Most reference letters whose k-mers may be broadcast (about 60 bytes each once hashed).
 BROADCAST_LETTERS = 2_000_000
 
@@ -43,8 +44,13 @@ def seed_table(seqs: DataFrame, key: str, k: int) -> DataFrame:
         F.encode("seq", "utf-8").alias("_raw"),
         (F.length(F.translate("seq", "ACGT", "")) == 0).alias("_plain"),
     ).filter(F.length("_raw") >= k)
-    placed = letters.withColumn("pos", F.explode(F.sequence(F.lit(1), F.length("_raw") - k + 1)))
-    cut = placed.select(key, "pos", F.substr("_raw", F.col("pos"), F.lit(k)).alias("kmer"), "_plain")
+    # first into chunks that overlap by k - 1 letters, spread over the tasks: no list of positions, and no task, follows
+    # the length of one sequence
+    last = F.length("_raw") - k
+    chunks = letters.withColumn("_from", F.explode(F.sequence(F.lit(0), last, F.lit(CHUNK_LETTERS))))
+    pieces = chunks.select(key, "_from", F.substr("_raw", F.col("_from") + 1, F.lit(CHUNK_LETTERS + k - 1)).alias("_raw"), "_plain")
+    placed = pieces.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_raw") - k + 1)))
+    cut = placed.select(key, (F.col("_from") + F.col("_at")).alias("pos"), F.substr("_raw", F.col("_at"), F.lit(k)).alias("kmer"), "_plain")
     # sequences of nothing but ACGT need no check per slice
     clean = F.col("_plain") | (F.length(F.translate(F.col("kmer").cast("string"), "ACGT", "")) == 0)
     return cut.filter(clean).select(key, "pos", "kmer")
@@ -131,7 +137,7 @@ def kmer_hits(
 
 def with_hit_order(hits: DataFrame) -> DataFrame:
     """Stable order column for hits that do not come from a file."""
-    return hits.withColumn("ord", F.concat_ws("|", "sseqid", F.lpad(F.col("qstart").cast("string"), 9, "0"), F.lpad(F.col("sstart").cast("string"), 9, "0")))
+    return hits.withColumn("ord", F.struct("sseqid", "qstart", "sstart"))
 
 
 def abs_span(hits: DataFrame) -> DataFrame:

@@ -11,9 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandtide.names import quoted
-from strandtide.runtime import cut_lineage, fresh_path
+from strandtide.runtime import cut_lineage, drop_folder, fresh_path
 
 MAX_ROUNDS = 64  # doubling covers 2**64 levels; only a cycle runs longer
 
@@ -106,12 +107,32 @@ def branch_mutations(nodes: DataFrame, seqs: DataFrame) -> DataFrame:
     return substitutions(child, seqs).withColumnRenamed("id", "node")
 
 
-def _by_level(df: DataFrame) -> DataFrame:
-    """Store rows by depth in the shared folder and read them back."""
-    path = fresh_path(df.sparkSession, "levels")
-    # ranges of (depth, node): even tasks however unequal the levels are, and few files per level
-    df.repartitionByRange("depth", "node").write.partitionBy("depth").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class _Levels:
+    """Rows stored by depth below one folder: a round reads and writes its own level, one read sees all of them."""
+
+    def __init__(self, spark, label: str):
+        self.spark, self.path, self.schema = spark, fresh_path(spark, label), None
+
+    def store(self, df: DataFrame) -> _Levels:
+        """All levels at once, by the column `depth`; ranges of (depth, node) make even tasks and few files per level."""
+        self.schema = df.drop("depth").schema
+        df.repartitionByRange("depth", "node").write.partitionBy("depth").parquet(self.path)
+        return self
+
+    def put(self, depth: int, df: DataFrame) -> DataFrame:
+        self.schema = df.schema
+        df.write.parquet(f"{self.path}/depth={depth}")
+        return self.get(depth)
+
+    def get(self, depth: int) -> DataFrame:
+        """One level; empty if no row has that depth."""
+        return self.everything().filter(F.col("depth") == depth).drop("depth")
+
+    def everything(self) -> DataFrame:
+        return self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("depth", T.IntegerType())])).parquet(self.path)
+
+    def drop(self) -> None:
+        drop_folder(self.spark, self.path)
 
 
 UNKNOWN_STATES = ("N", "X", "?", "-")
@@ -122,44 +143,41 @@ def parsimony_states(tree: DataFrame, tips: DataFrame, by: Sequence[str] = (), u
 
     Up: a node keeps the states that most of its children hold. Down: the parent's state if the node
     has it, else the first in the alphabet. `tips` has (node, *by, state); `by` may name sites or
-    trait columns, which are then handled together. Nodes without any informed tip are absent.
+    trait columns, which are then handled together. Nodes without any informed tip are absent. Rounds follow the
+    depth of the tree: a vote depends on all votes below it.
     """
-    by = list(by)
-    placed = _by_level(with_parents(tree))
+    by, spark = list(by), tree.sparkSession
+    rooted = with_parents(tree)
+    placed = _Levels(spark, "levels").store(rooted)
     informed = tips.filter(F.col("state").isNotNull() & ~F.col("state").isin(list(unknown)))
-    tip_sets = _by_level(informed.join(placed, "node").select("node", "parent", "depth", *by, "state").distinct())
-    deepest = placed.agg(F.max("depth").alias("d")).first()["d"] or 0
-    levels: list[DataFrame] = []
+    tip_sets = _Levels(spark, "tips").store(informed.join(placed.everything(), "node").select("node", "parent", "depth", *by, "state").distinct())
+    sets, chosen = _Levels(spark, "sets"), _Levels(spark, "chosen")
+    deepest = placed.everything().agg(F.max("depth").alias("d")).first()["d"] or 0
     below = None
     for depth in range(deepest, -1, -1):
-        # both tables are stored by level, so a round reads its own level only
-        here = tip_sets.filter(F.col("depth") == depth).drop("depth")
+        here = tip_sets.get(depth)
         if below is not None:
             votes = below.filter(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("node"), *by, "state").agg(
                 F.count(F.lit(1)).alias("_n")
             )
             top = votes.groupBy("node", *by).agg(F.max("_n").alias("_n"))
             held = votes.join(top, ["node", *by, "_n"], "left_semi").drop("_n")
-            parents = placed.filter(F.col("depth") == depth).select("node", "parent")
-            inner = held.join(parents, "node").select("node", "parent", *by, "state")
+            inner = held.join(placed.get(depth).select("node", "parent"), "node").select("node", "parent", *by, "state")
             here = here.unionByName(inner).distinct()
-        below = cut_lineage(here)
-        levels.append(below)
+        below = sets.put(depth, here)
     # down: one choice per node, from the root's level to the deepest
-    chosen: list[DataFrame] = []
     above = None
-    for sets in reversed(levels):
+    for depth in range(deepest + 1):
+        level = sets.get(depth)
         if above is None:
-            picked = sets.groupBy("node", *by).agg(F.min("state").alias("state"))
+            picked = level.groupBy("node", *by).agg(F.min("state").alias("state"))
         else:
             up = above.select(F.col("node").alias("parent"), *by, F.col("state").alias("_up"))
-            joined = sets.join(up, ["parent", *by], "left")
+            joined = level.join(up, ["parent", *by], "left")
             picked = joined.groupBy("node", *by).agg(
                 F.coalesce(F.min(F.when(F.col("state") == F.col("_up"), F.col("state"))), F.min("state")).alias("state")
             )
-        above = cut_lineage(picked)
-        chosen.append(above)
-    out = chosen[0]
-    for level in chosen[1:]:
-        out = out.unionByName(level)
-    return out
+        above = chosen.put(depth, picked)
+    for used in (placed, tip_sets, sets):
+        used.drop()
+    return chosen.everything().drop("depth")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from strandtide.functions import dates, precedence, text
 from strandtide.operators import joins, select
 from strandtide.operators.dedup import keep_first
-from strandtide.operators.fuzzy import standardize_terms
+from strandtide.operators.fuzzy import Terms, standardize_all
+from strandtide.runtime import cut_lineage
 
 # The source columns of a downloaded record and what they are called here.
 FIELD_MAP = {
@@ -204,11 +205,17 @@ def add_metadata(
     )
     first_seen = ledger.groupBy("accession").agg(F.min("date_added").cast("date").alias("date_added"))
     merged = merged.join(first_seen, "accession", "left").withColumn("date_added_num", dates.numeric_date(F.col("date_added")))
-    for c in ("_iso_extra", "_iso_base"):
-        merged = standardize_terms(merged, c, vocab.isolation, cutoff, "lower")
+    # stored once: each field's distinct values are then read from this table, not from the sources again
+    merged = standardize_all(
+        cut_lineage(merged),
+        [
+            Terms("_iso_extra", vocab.isolation, cutoff),
+            Terms("_iso_base", vocab.isolation, cutoff),
+            Terms("diagnosis", vocab.symptoms, cutoff, "title", vocab.short_forms, "med_diagnosis_all"),
+        ],
+    )
     merged = merged.withColumn("isolation_source", F.coalesce("_iso_extra", "_iso_base"))
     merged = joins.country_region(merged, "country", regions)
-    merged = standardize_terms(merged, "diagnosis", vocab.symptoms, cutoff, "title", vocab.short_forms, "med_diagnosis_all")
     merged = text.private_authors(merged, flag)
     merged = merged.withColumns(
         {
@@ -233,6 +240,3 @@ def add_metadata(
         .select([f"`{c}`" for c in select.FINAL_COLUMNS])
     )
 
-
-def source_text(col: Column) -> Column:
-    return F.coalesce(col, F.lit(""))

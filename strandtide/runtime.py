@@ -67,12 +67,15 @@ def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
 def drop_stored(df: DataFrame) -> None:
     """Delete the folder behind a result of `cut_lineage`; other tables are left alone."""
     path = getattr(df, "_stored_at", None)
-    if path is None:
-        return
-    jvm = df.sparkSession._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
-    del df._stored_at
+    if path is not None:
+        drop_folder(df.sparkSession, path)
+        del df._stored_at
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def broadcast_when_small(df: DataFrame, size_expr=None, bound: int = BROADCAST_BYTES) -> DataFrame:
