@@ -72,6 +72,21 @@ def drop_stored(df: DataFrame) -> None:
         del df._stored_at
 
 
+def _listed(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(system.listStatus(folder)) if system.exists(folder) else []
+
+
+def stored_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders right below `path`; none if it does not exist."""
+    return [f"{path}/{s.getPath().getName()}" for s in _listed(spark, path) if s.isDirectory()]
+
+
+def stored_files(spark: SparkSession, path: str) -> list[str]:
+    return [f"{path}/{s.getPath().getName()}" for s in _listed(spark, path) if s.isFile()]
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made, on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandtide.plans.curation import CurationSettings, curate
-from strandtide.runtime import fresh_path
+from strandtide.runtime import drop_folder, fresh_path, stored_files, stored_folders
 
 
 def ndjson_stream(spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
@@ -27,23 +27,46 @@ def curate_stream(
     run_available(records, step, checkpoint)
 
 
-def first_seen_stream(ids: DataFrame, folder: str, checkpoint: str, key: str = "id", time: str = "ts") -> DataFrame:
+def first_seen_stream(ids: DataFrame, folder: str, checkpoint: str, key: str = "id", time: str = "ts", merge_every: int = 20) -> DataFrame:
     """Earliest time per id over a stream. Each micro-batch adds one small table of its own minima.
 
-    The ledger is the minimum over these tables, so no batch rewrites the ledger or reads the path it
-    writes, and a batch that is repeated after a failure replaces its own part only.
+    The ledger is the minimum over these tables. After every `merge_every` batches they become one table, written to a
+    new path before the old ones go, so a batch that is repeated after a failure loses nothing and the number of tables
+    stays bounded.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         part = batch.groupBy(key).agg(F.min(time).alias("first_seen"))
-        part.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        part.write.mode("overwrite").parquet(f"{folder}/parts/{batch_id}")
+        if (batch_id + 1) % merge_every == 0:
+            _merge(batch.sparkSession, folder, batch_id, key)
 
     run_available(ids, step, checkpoint)
     return compact_ledger(ids.sparkSession, folder, key)
 
 
-def compact_ledger(spark: SparkSession, folder: str, key: str = "id") -> DataFrame:
-    return spark.read.parquet(folder).groupBy(key).agg(F.min("first_seen").alias("first_seen"))
+def _tables(spark: SparkSession, folder: str, kind: str) -> dict[int, str]:
+    return {int(path.rsplit("/", 1)[1]): path for path in stored_folders(spark, f"{folder}/{kind}")}
+
+
+def _merge(spark: SparkSession, folder: str, batch_id: int, key: str) -> None:
+    """All tables up to a batch as one. The minimum may be taken twice, so parts that outlive a failure do no harm."""
+    done = [p for i, p in _tables(spark, folder, "merged").items() if i == batch_id and f"{p}/_SUCCESS" in stored_files(spark, p)]
+    if not done:
+        compact_ledger(spark, folder, key, before=batch_id).write.mode("overwrite").parquet(f"{folder}/merged/{batch_id}")
+    for i, path in _tables(spark, folder, "parts").items():
+        if i <= batch_id:
+            drop_folder(spark, path)
+    for i, path in _tables(spark, folder, "merged").items():
+        if i < batch_id:
+            drop_folder(spark, path)
+
+
+def compact_ledger(spark: SparkSession, folder: str, key: str = "id", before: int | None = None) -> DataFrame:
+    """The ledger over all tables; merged ones of batch `before` and later are left out."""
+    merged = [p for i, p in _tables(spark, folder, "merged").items() if before is None or i < before]
+    paths = [*_tables(spark, folder, "parts").values(), *merged]
+    return spark.read.parquet(*paths).groupBy(key).agg(F.min("first_seen").alias("first_seen"))
 
 
 def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> None:

@@ -16,6 +16,7 @@ from strandtide.operators import clades, dedup, features, grouping, history, joi
 from strandtide.operators import tree as treeops
 from strandtide.sources import sequences as seqio
 from strandtide.sources import tables as tabio
+from strandtide.streaming import flows
 
 
 def test_a_chain_of_200_clades(spark):
@@ -224,6 +225,22 @@ def test_rounds_leave_one_folder(spark, monkeypatch, tmp_path):
     assert len(list(tmp_path.iterdir())) == 1
 
 
+def test_ledger_tables_are_merged(spark, tmp_path):
+    schema = "id long, ts long"
+    for i in range(7):
+        spark.createDataFrame([(k, 100 - i) for k in range(i, 10)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    folder = str(tmp_path / "ledger")
+    got = flows.first_seen_stream(stream, folder, str(tmp_path / "c"), merge_every=3)
+    assert rows(got) == sorted([(k, 100 - min(k, 6)) for k in range(10)], key=lambda t: tuple((False, str(v)) for v in t))
+    assert len(os.listdir(f"{folder}/parts")) == 1 and os.listdir(f"{folder}/merged") == ["5"]
+    # a merge that is repeated after a failure changes nothing
+    before = rows(got)
+    flows._merge(spark, folder, 5, "id")
+    flows._merge(spark, folder, 6, "id")
+    assert rows(flows.compact_ledger(spark, folder)) == before and os.listdir(f"{folder}/merged") == ["6"]
+
+
 def test_broadcast_is_bounded_by_bytes(spark):
     wide = spark.range(10).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("t"))
     plan = lambda bound: wide.join(runtime.broadcast_when_small(wide, bound=bound), "id")._jdf.queryExecution().executedPlan().toString()
