@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 1 << 20
+BLOCK_TEXTS = 2048
+BATCH_ROWS = 1000
 SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
@@ -45,7 +47,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * BLOCK_BYTES)
+            size = max(n, BLOCK_BYTES + BLOCK_BYTES // 4)
             self.up = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, self.base)]))
             self.down = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, self.inverse)]))
         return self.up[:n], self.down[:n]
@@ -134,11 +136,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(column: pa.Array, word_bytes: np.ndarray = NOT_SPACE, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, Block]]:
-    """(from, to, block) over the rows of a string column; a block has about `size` bytes, or one longer text."""
+    """(from, to, block) over the rows of a string column; a block has at most `size` bytes and BLOCK_TEXTS texts, or one longer text."""
     data, offsets = utf8(column)
     rows, i = len(offsets) - 1, 0
     while i < rows:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1)
+        j = min(max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1), i + BLOCK_TEXTS)
         yield i, j, Block(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], word_bytes)
         i = j
 
@@ -150,6 +152,23 @@ def distinct_per_text(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
     return (np.concatenate(parts) if parts else values[:0]), np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
 
 
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; what they took is given back to the system at its end, as workers live on between tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
+def map_batches(df: DataFrame, function, schema) -> DataFrame:
+    """`mapInArrow` for rows that hold texts: batches of at most BATCH_ROWS rows, memory given back after each task.
+
+    The batch size is a session setting; it is only lowered here, from its default.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(setting)) > BATCH_ROWS:
+        df.sparkSession.conf.set(setting, str(BATCH_ROWS))
+    return df.mapInArrow(lambda batches: function(tidy(batches)), schema)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -171,10 +190,10 @@ def bit_filter(hashes: DataFrame, column: str, bits: int = 1 << 24) -> np.ndarra
         .select(F.shiftright(place, 6).alias("cell"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
         .groupBy("cell")
         .agg(F.bit_or("bit").alias("bit"))
-        .toPandas()
+        .toArrow()
     )
     cells = np.zeros(bits // 64, dtype=np.uint64)
-    cells[found["cell"].to_numpy(np.int64)] = found["bit"].to_numpy(np.int64).view(np.uint64)
+    cells[found.column("cell").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
     return cells
 
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import LETTERS, bit_filter, blocks, distinct_per_text, passes, row_key, signed
+from strandtide.llm.common import LETTERS, bit_filter, blocks, distinct_per_text, map_batches, passes, row_key, signed
 from strandtide.runtime import cut_lineage
 
 FILTER_BITS = 1 << 26
@@ -43,7 +43,7 @@ def item_shingles(items: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("item").take(of), batch.column("item_id").take(of), pa.array(np.repeat(sizes, sizes)), pa.array(signed(values))], names=["item", "item_id", "n_item", "hash"])
 
     source = items.select(row_key("item_id").alias("item"), F.col("item_id").cast("long").alias("item_id"), "text").dropDuplicates(["item"])
-    return source.mapInArrow(run, "item long, item_id long, n_item long, hash long")
+    return map_batches(source, run, "item long, item_id long, n_item long, hash long")
 
 
 def minima(shingles: DataFrame, share: float) -> DataFrame:
@@ -75,7 +75,7 @@ def contained(docs: DataFrame, items: DataFrame, words: int = 5, share: float =
                 yield pa.RecordBatch.from_arrays([batch.column("row").take(of), batch.column("doc_id").take(of), pa.array(np.diff(bounds)[text]), pa.array(signed(values[found]))], names=["row", "doc_id", "n_doc", "hash"])
 
     source = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hits = cut_lineage(source.mapInArrow(run, "row long, doc_id long, n_doc long, hash long").distinct())
+    hits = cut_lineage(map_batches(source, run, "row long, doc_id long, n_doc long, hash long").distinct())
     needed = lambda c: F.ceil(F.col(c) * share - 1e-9)
     candidates = hits.join(minima(wanted, share), "hash").where(F.col("n_doc") >= needed("n_item")).select("row", "item").distinct()
     asked = cut_lineage(candidates).join(wanted, "item")

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import NOT_SPACE, Block, mix
+from strandtide.llm.common import NOT_SPACE, Block, map_batches, mix
 from strandtide.runtime import cut_lineage
 
 SAMPLES = 64
@@ -154,11 +154,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     order = [F.col("doc_id").asc_nulls_last(), F.col("tie")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    found = cut_lineage(ordered.mapInArrow(run, _SCHEMA + ", kind int, part int, text string"))
+    found = cut_lineage(map_batches(ordered, run, _SCHEMA + ", kind int, part int, text string"))
     ends, heads = found.where("kind = 2").select("doc_id", "text", "part"), found.where("kind = 1")
     # one number for each partition
     by_part = Window.partitionBy(F.lit(0)).orderBy("part")
     whole = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     turn = heads.select("part", F.coalesce(F.lead("part").over(by_part), F.first("part").over(whole)).alias("to"))
     met = ends.join(turn, "part").join(heads.select(F.col("part").alias("to"), F.col("text").alias("following")), "to")
-    return found.where("kind is null").select(*_RESULT).union(met.select("doc_id", "text", "following").mapInArrow(resolve, _SCHEMA))
+    return found.where("kind is null").select(*_RESULT).union(map_batches(met.select("doc_id", "text", "following"), resolve, _SCHEMA))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import NOT_SPACE, Block, blocks, distinct_per_text
+from strandtide.llm.common import NOT_SPACE, Block, blocks, distinct_per_text, map_batches
 from strandtide.llm.trees import Trees, boosted
 
 #: At most so many labelled rows are used for fitting, chosen by a hash of their id.
@@ -116,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int =
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, x array<float>")
+    found = map_batches(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text"), run, "doc_id long, y int, x array<float>")
     # ids may be repeated in `docs`: the bound holds for what is fetched, too
     rows = found.orderBy(*order, "x").limit(bound).toArrow()
     x = np.asarray(rows.column("x").combine_chunks().flatten(), dtype=np.float32).reshape(-1, FEATURES) if rows.num_rows else np.zeros((0, FEATURES), np.float32)
@@ -136,7 +136,7 @@ def score(docs: DataFrame, model: Trees, columns: list[str]) -> DataFrame:
 
     source = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(columns, places, strict=True)], "text")
     schema = source.drop("text").schema.add("score", "double")
-    return source.mapInArrow(run, schema).toDF(*columns, "score")
+    return map_batches(source, run, schema).toDF(*columns, "score")
 
 
 def keep_good(docs: DataFrame, model: Trees, threshold: float = THRESHOLD) -> DataFrame:
@@ -149,4 +149,4 @@ def keep_good(docs: DataFrame, model: Trees, threshold: float = THRESHOLD) -> Da
             yield batch.filter(pa.array(probability(shared.value, statistics(batch.column(at))) >= threshold))
 
     placed = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
-    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)
+    return map_batches(placed, run, placed.schema).toDF(*docs.columns)

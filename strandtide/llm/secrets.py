@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandtide.llm.common import map_batches
 from strandtide.llm.trees import Trees, forest
 
 #: At most so many labelled findings are used for fitting, chosen by a hash of their content.
@@ -131,7 +132,7 @@ def candidates(docs: DataFrame, known: frozenset[str], path: str = "source") ->
                 )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(path).cast("string").alias("path"))
-    return source.mapInArrow(run, "doc_id long, start long, length long, value_sha256 string, label int, x array<float>")
+    return map_batches(source, run, "doc_id long, start long, length long, value_sha256 string, label int, x array<float>")
 
 
 def fit(findings: DataFrame, bound: int = TRAINING_FINDINGS) -> Trees:
@@ -154,4 +155,4 @@ def scan(findings: DataFrame, model: Trees, threshold: float = THRESHOLD) -> Dat
                 score = shared.value.total(x)
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score), pa.array(score >= threshold)], names=[*keep, "score", "is_secret"])
 
-    return findings.select(*keep, "x").mapInArrow(run, "doc_id long, start long, length long, value_sha256 string, score double, is_secret boolean")
+    return map_batches(findings.select(*keep, "x"), run, "doc_id long, start long, length long, value_sha256 string, score double, is_secret boolean")

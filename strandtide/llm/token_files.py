@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import utf8
+from strandtide.llm.common import map_batches, utf8
 from strandtide.runtime import cut_lineage
 
 MAGIC = b"TOKIDS01"
@@ -240,7 +240,7 @@ def write(docs: DataFrame, path: str, definition: str, end_id: int, file_bytes:
     order = [F.col("doc_id").asc_nulls_last(), F.col("tie")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    blobs = ordered.mapInArrow(run, "content binary")
+    blobs = map_batches(ordered, run, "content binary")
     # the text writer puts bytes down as they are; the line end after a blob is beyond its lengths
     blobs.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
@@ -267,7 +267,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     schema = "part long, number long, place long, doc_id long, inside long, n_tokens long, ids_crc32 long, total long"
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
+    return map_batches(spark.read.format("binaryFile").load(path).select("content"), run, schema)
 
 
 def with_starts(rows: DataFrame) -> DataFrame:

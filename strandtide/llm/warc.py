@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandtide.llm.common import map_batches
 from strandtide.runtime import cut_lineage
 
 END = "\r\n\r\n"
@@ -161,7 +162,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist([dict(zip(_COLUMNS, r, strict=True)) for r in held], schema=_TYPES)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, _SCHEMA)
+    return map_batches(spark.read.format("binaryFile").load(path).select("content"), run, _SCHEMA)
 
 
 def assemble(found: DataFrame, blocks: bool = True) -> DataFrame:
