@@ -173,6 +173,18 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.with_starts(token_files.read(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-@_query("op10_near_duplicates")
+@_query(
+    "op10_near_duplicates",
+    rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS h FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, least(len(w), 1)))) AS i FROM d)),
+    n AS (SELECT doc_id, count(h)::BIGINT AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (h) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+    e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+    r(doc_id, here) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.here = e.x)
+    SELECT doc_id, any_value(n) AS n_shingles, min(here) AS component_id, min(here) = doc_id AS kept FROM r JOIN n USING (doc_id) GROUP BY doc_id
+    """,
+)
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")

@@ -107,7 +107,7 @@ def _grow(nodes: _Nodes, bins, edges, grad, hess, depth: int, least: float, deca
     return root, value
 
 
-def boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.12, least: float = 5.0, decay: float = 1.0) -> Trees:
+def boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.12, least: float = 1.0, decay: float = 1.0) -> Trees:
     """Gradient-boosted trees for the log-odds of y = 1. Without rows, or with one label only, a constant."""
     nodes, roots = _Nodes(), []
     mean = float(np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3))
