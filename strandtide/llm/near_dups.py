@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import NOT_SPACE, bit_filter, blocks, distinct_per_text, group_bounds, in_groups, lists, mix, passes, row_key, signed
+from strandtide.llm.common import NOT_SPACE, bit_filter, blocks, distinct_per_text, group_bounds, in_groups, lists, map_batches, mix, passes, row_key, signed
 from strandtide.runtime import cut_lineage
 
 MINIMA, ROWS_PER_BAND, LOW_BITS = 128, 4, 4
@@ -101,7 +101,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
                 )
 
     source = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(run, "row long, doc_id long, n_shingles long, node long, check long, packed array<long>, bands array<long>")
+    return map_batches(source, run, "row long, doc_id long, n_shingles long, node long, check long, packed array<long>, bands array<long>")
 
 
 def estimate(a: str, b: str) -> Column:
@@ -182,6 +182,8 @@ def _within_buckets(open_rows: DataFrame, percent: int) -> DataFrame:
         for table in in_groups(batches, ["bucket", "i", "j"]):
             node, n, label, block = (table.column(c).to_numpy() for c in ("node", "n_shingles", "label", "block"))
             i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
+            bands = pc.list_flatten(table.column("bands")).to_numpy().reshape(-1, MINIMA // ROWS_PER_BAND)
+            bucket = table.column("bucket").to_numpy()
             sig = pc.list_flatten(table.column("wide")).to_numpy().reshape(-1, WIDE_MINIMA * WIDE_BITS // 64).view(np.uint64)
             bounds = group_bounds(table, ["bucket", "i", "j"])
             found = []
@@ -192,20 +194,23 @@ def _within_buckets(open_rows: DataFrame, percent: int) -> DataFrame:
                 left, right = at[block[lo:hi] == i[lo]], at[block[lo:hi] == j[lo]]
                 for k in range(0, len(left), 16):
                     x, y = pairs_of(sig, n, label, left[k : k + 16], right)
-                    found.append(np.stack([node[left[k + x]], node[right[y]]]))
+                    x, y = left[k + x], right[y]
+                    # a pair that meets in several buckets is named in that of its first common band
+                    first = (bands[x] == bands[y]).argmax(axis=1)
+                    own = (bands[x, first] == bucket[lo]) & ((i[lo] != j[lo]) | (node[x] < node[y]))
+                    found.append(np.stack([node[x[own]], node[y[own]]]))
             if found:
                 a, b = np.concatenate(found, axis=1)
-                edges = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(edges[0]), pa.array(edges[1])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     # each member goes to the block pairs it takes part in: one, unless a bucket exceeds BLOCK_CLASSES
     nb = F.ceil(F.col("members") / BLOCK_CLASSES).cast("int")
     dealt = (
         open_rows.withColumn("block", F.pmod(F.xxhash64("node"), nb).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), nb - 1)))
-        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n_shingles", "label", "wide")
+        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n_shingles", "label", "wide", "bands")
     )
-    return dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return map_batches(dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), run, "a long, b long")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -224,7 +229,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                 per = np.arange(hi - lo + 1) * wide.shape[1]
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), lists(signed(values), bounds), lists(signed(wide.ravel()), per)], names=["row", "hashes", "wide"])
 
-    sets = docs.select(row_key().alias("row"), "text").mapInArrow(run, "row long, hashes array<long>, wide array<long>")
+    sets = map_batches(docs.select(row_key().alias("row"), "text"), run, "row long, hashes array<long>, wide array<long>")
     return sets.join(nodes, "row").dropDuplicates(["node"]).select("node", "hashes", "wide")
 
 
@@ -248,7 +253,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("lead")).where("members > 1")
     shared = cut_lineage(rows.join(buckets, "bucket"))
     in_buckets = classes.join(shared.select("node").distinct(), "node", "left_semi")
-    slim = cut_lineage(in_buckets.select("node", "n_shingles", "packed", "row"))
+    slim = cut_lineage(in_buckets.select("node", "n_shingles", "packed", "bands", "row"))
     sets = cut_lineage(_sets_of(docs, slim.select("node", "row"), words))
 
     stars = shared.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
@@ -265,7 +270,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labelled = shared.join(labels, "node", "left").select("bucket", "members", "node", F.coalesce("label", "node").alias("label"))
     several = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("bucket")
     # in a bucket of two the only pair has been compared
-    open_rows = labelled.where("members > 2").join(several, "bucket", "left_semi").join(slim.select("node", "n_shingles"), "node").join(sets.select("node", "wide"), "node")
+    open_rows = labelled.where("members > 2").join(several, "bucket", "left_semi").join(slim.select("node", "n_shingles", "bands"), "node").join(sets.select("node", "wide"), "node")
     more = cut_lineage(confirm(_within_buckets(open_rows, percent), sets, percent))
     if not more.isEmpty():
         labels = _joined(labels, more)
