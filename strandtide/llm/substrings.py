@@ -16,7 +16,8 @@ all of it fits no executor. The same spans are found by equality of whole window
    neighbouring windows mostly share theirs, so a document has one anchor for about 17 words. Anchors that
    occur in one document only are dropped by a grouping that combines before it shuffles.
 2. Windows whose anchor is left are compared by 128-bit hashes: the least id that has each of them, again
-   a grouping that combines first, and a join back that Spark can split where one window is very common.
+   a grouping that combines first. Windows that several documents have are joined back, by a join that
+   Spark can split where one window is very common.
 3. Documents that have such windows get their list and drop the covered words. All others are finished in
    one scan.
 """
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import NOT_SPACE, Block, bit_filter, blocks, passes, signed
+from strandtide.llm.common import NOT_SPACE, Block, bit_filter, blocks, map_batches, passes, signed
 from strandtide.runtime import cut_lineage
 
 RUN_WORDS = 18
@@ -86,7 +87,7 @@ def _columns(ids: list, rows: list[tuple]) -> list[pa.Array]:
 
 
 def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, window): 64-bit hashes of those windows of a document whose words also stand in one with a smaller id."""
+    """(doc_id, windows): 64-bit hashes of those windows of a document whose words also stand in one with a smaller id."""
 
     def anchors(batches):
         for batch in batches:
@@ -102,26 +103,37 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(of), pa.array(signed(least[at]))], names=["doc_id", "anchor"])
 
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = source.mapInArrow(anchors, "doc_id long, anchor long")
+    found = map_batches(source, anchors, "doc_id long, anchor long")
     shared = cut_lineage(found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor"))
-    cells = docs.sparkSession.sparkContext.broadcast(bit_filter(shared, "anchor", FILTER_BITS))
+    of_anchors = _thinned(shared, "anchor")
 
-    def windows(batches):
-        for batch in batches:
-            for lo, _, block in blocks(batch.column("text"), NOT_SPACE):
-                words = block.words()
-                least, first, bounds = _anchors(block, words, length)
-                at = np.flatnonzero(passes(cells.value, least))
-                if not len(at):
-                    continue
-                one, _, _ = block.runs(words, length)
-                two, _, _ = block.runs(block.words(which=1), length, which=1)
-                of = pa.array(np.searchsorted(bounds, at, side="right") - 1 + lo)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(of), pa.array(signed(one[at])), pa.array(signed(two[at]))], names=["doc_id", "window", "check"])
+    def windows(anchors, repeated):
+        """Windows whose anchor, or whose own hash, passes the filter at hand."""
+
+        def run(batches):
+            for batch in batches:
+                for lo, _, block in blocks(batch.column("text"), NOT_SPACE):
+                    words = block.words()
+                    one, _, bounds = block.runs(words, length)
+                    at = np.flatnonzero(passes(anchors.value, _anchors(block, words, length)[0]) if anchors else passes(repeated.value, one))
+                    if not len(at):
+                        continue
+                    two, _, _ = block.runs(block.words(which=1), length, which=1)
+                    of = pa.array(np.searchsorted(bounds, at, side="right") - 1 + lo)
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(of), pa.array(signed(one[at])), pa.array(signed(two[at]))], names=["doc_id", "window", "check"])
+
+        return map_batches(source, run, "doc_id long, window long, check long")
+
+    # windows are made twice from the texts: keeping them would take more room than the texts do
+    seen = windows(of_anchors, None).groupBy("window", "check").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    least = cut_lineage(seen.where("lo < hi").select("window", "check", "lo"), replaces=shared)
+    later = windows(None, _thinned(least, "window")).join(least, ["window", "check"]).where("doc_id > lo")
+    # a document's windows are no more than its words
+    return cut_lineage(later.groupBy("doc_id").agg(F.collect_set("window").alias("windows")), replaces=least)
 
-    seen = cut_lineage(source.mapInArrow(windows, "doc_id long, window long, check long"))
-    least = cut_lineage(seen.groupBy("window", "check").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("window", "check", "lo"))
-    return seen.join(least, ["window", "check"]).where("doc_id > lo").select("doc_id", "window")
+
+def _thinned(hashes: DataFrame, column: str):
+    return hashes.sparkSession.sparkContext.broadcast(bit_filter(hashes, column, FILTER_BITS))
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, texts: bool = True) -> DataFrame:
@@ -131,8 +143,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, texts: bool = True) -> Dat
     what is left. Rows of equal id are no reference for each other; rows without id lose nothing and are no
     reference. Other columns are ignored. `texts=False` leaves `kept` null.
     """
-    # a document's windows are no more than its words
-    found = cut_lineage(repeated_windows(docs, length).groupBy("doc_id").agg(F.collect_set("window").alias("windows")))
+    found = repeated_windows(docs, length)
     cells = docs.sparkSession.sparkContext.broadcast(bit_filter(found, "doc_id", 1 << 24))
 
     def split(batches):
@@ -164,9 +175,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, texts: bool = True) -> Dat
                 yield pa.RecordBatch.from_arrays(_columns(ids[lo:hi], rows), names=_RESULT)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = cut_lineage(source.mapInArrow(split, _RESULT_SCHEMA + ", text string"))
+    parts = cut_lineage(map_batches(source, split, _RESULT_SCHEMA + ", text string"))
     joined = parts.where("text is not null").select("doc_id", "text").join(found, "doc_id", "left")
-    return parts.where("text is null").select(*_RESULT).union(joined.mapInArrow(finish, _RESULT_SCHEMA))
+    return parts.where("text is null").select(*_RESULT).union(map_batches(joined, finish, _RESULT_SCHEMA))
 
 
 class SuffixAutomaton:
@@ -257,7 +268,7 @@ def against_references(docs: DataFrame, references: DataFrame, length: int = 50,
     source = cut_lineage(docs.select(F.monotonically_increasing_id().alias("at"), F.col("doc_id").cast("long").alias("doc_id"), "text"))
     hits = None
     for shard in [r["shard"] for r in sized.select("shard").distinct().orderBy("shard").toLocalIterator()]:
-        blob = sized.where(F.col("shard") == shard).coalesce(1).select("doc_id", "text").mapInArrow(build, "automaton binary").first()["automaton"]
+        blob = map_batches(sized.where(F.col("shard") == shard).coalesce(1).select("doc_id", "text"), build, "automaton binary").first()["automaton"]
         held = spark.sparkContext.broadcast(bytes(blob))
 
         def look(batches, held=held):
@@ -268,7 +279,7 @@ def against_references(docs: DataFrame, references: DataFrame, length: int = 50,
                 found = [(at, starts) for at, starts in found if starts]
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], names=["at", "starts"])
 
-        one = cut_lineage(source.mapInArrow(look, "at long, starts array<long>"))
+        one = cut_lineage(map_batches(source, look, "at long, starts array<long>"))
         hits = one if hits is None else cut_lineage(hits.union(one))
 
     def finish(batches):
@@ -283,4 +294,4 @@ def against_references(docs: DataFrame, references: DataFrame, length: int = 50,
     if hits is None:
         hits = spark.createDataFrame([], "at long, starts array<long>")
     merged = hits.groupBy("at").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    return source.join(merged, "at", "left").select("doc_id", "text", "starts").mapInArrow(finish, _RESULT_SCHEMA)
+    return map_batches(source.join(merged, "at", "left").select("doc_id", "text", "starts"), finish, _RESULT_SCHEMA)
