@@ -48,6 +48,8 @@ def identity_pairs(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def neighbours(seqs: DataFrame, k: int, min_identity: float = 0.995) -> DataFrame:
     """The k nearest sequences with identity of at least `min_identity`: (id, neighbour, identity, rank).
 
+    A text without a partner at the bound has no row, and one with fewer than k has as many.
+
     Exact for that bound. Copies are grouped first and only k + 1 ids of a group can ever be
     neighbours, so groups of copies produce no pairs. For the rest, texts are cut into blocks by
     position: partners differ in few blocks, so they share one of the rarest blocks of each, and only

@@ -182,14 +182,15 @@ def _(spark, sf):
     )
 
 
-# ---- curation: raw records from customers, their nations and an order date each
+# ---- curation: raw records from customers, their nations and the date of their latest order
 
 RAW_SCHEMA = "`isolate-lineage` string, accession string, `geo-region` string, `geo-location` string, `isolate-collection-date` string, `host-name` string, `submitter-names` string, sequence string"
 
 
 def raw_records(spark, sf):
     n = customer_names(spark, sf)
-    dates = dirty_dates(spark, sf).withColumnsRenamed({"o_orderkey": "c_custkey"})
+    latest = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderkey").alias("o_orderkey"))
+    dates = latest.join(dirty_dates(spark, sf), "o_orderkey").drop("o_orderkey")
     k = F.col("c_custkey")
     place = F.concat("n_name", F.when(k % 2 == 0, F.concat(F.lit(":  "), F.lower("c_mktsegment"), F.lit(" of THE north, loc"), (k % 4).cast("string"))).otherwise(""))
     authors = F.when(k % 3 == 0, F.concat("c_name", F.lit(", B"))).when(k % 3 == 1, F.col("c_name")).otherwise("")
@@ -213,10 +214,10 @@ _TITLE = "array_to_string(list_transform(string_split({x}, ' '), lambda w: CASE
 _CURATE_RULES = ", ".join(f"({i}, string_split('{a}', '/'), string_split('{b}', '/'), {a.count('*')})" for i, (a, b) in enumerate((("Africa/Nation_1/*/*", "Africa/One//*"), ("*/*/Building of the North/Loc2", "*/*/Build/Two"), ("Asia/*/*/*", "Asia of Old/*/*/*"))))
 _SQL_CURATE = f"""WITH {SQL_CUSTOMER_NAMES}, {SQL_DIRTY_DATES}, raw AS (SELECT c_custkey AS k, 'C' || c_custkey AS accession, CASE WHEN c_custkey % 4 > 0 THEN 'strain ' || c_custkey ELSE 'C' || c_custkey END AS strain,
     {_TITLE.format(x="r_name")} AS region, {_TITLE.format(x="n_name")} AS country, CASE WHEN c_custkey % 2 = 0 THEN {_TITLE.format(x="lower(c_mktsegment) || ' of THE north'")} END AS division, CASE WHEN c_custkey % 2 = 0 THEN 'Loc' || c_custkey % 4 END AS location,
-    CASE WHEN raw_date IS NULL THEN NULL ELSE CASE c_custkey % 10 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-XX-XX') WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 3 THEN strftime(o_orderdate, '%Y-%m-XX') WHEN 4 THEN strftime(o_orderdate, '%Y-%m-XX')
+    CASE WHEN raw_date IS NULL THEN NULL ELSE CASE ok % 10 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-XX-XX') WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 3 THEN strftime(o_orderdate, '%Y-%m-XX') WHEN 4 THEN strftime(o_orderdate, '%Y-%m-XX')
       WHEN 6 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 8 THEN strftime(o_orderdate, '%Y-%m-XX') WHEN 9 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'XXXX-XX-XX' END END AS date,
     CASE c_custkey % 3 WHEN 0 THEN c_name || ' et al' WHEN 1 THEN c_name ELSE '?' END AS abbr_authors, 'Homo sapiens' AS host, CASE WHEN c_custkey % 6 > 0 THEN repeat('ACGT', c_custkey % 5 + 1) END AS sequence
-    FROM names LEFT JOIN dirty ON dirty.o_orderkey = c_custkey LEFT JOIN orders ON orders.o_orderkey = c_custkey),
+    FROM names LEFT JOIN (SELECT o_custkey AS ck, max(o_orderkey) AS ok FROM orders GROUP BY o_custkey) ON ck = c_custkey LEFT JOIN dirty ON dirty.o_orderkey = ok LEFT JOIN orders ON orders.o_orderkey = ok),
   rules AS (SELECT * FROM (VALUES {_CURATE_RULES}) v(ord, f, t, stars)),
   hit AS (SELECT k, t FROM raw JOIN rules ON f[1] IN ('*', region) AND f[2] IN ('*', country) AND f[3] IN ('*', coalesce(division, '')) AND f[4] IN ('*', coalesce(location, '')) QUALIFY row_number() OVER (PARTITION BY k ORDER BY stars, ord DESC) = 1),
   placed AS (SELECT raw.* REPLACE ({", ".join(f"CASE WHEN t IS NULL OR t[{i}] = '*' THEN {c} ELSE nullif(t[{i}], '') END AS {c}" for i, c in enumerate(curation.PLACE_LEVELS, 1))}) FROM raw LEFT JOIN hit USING (k)),
