@@ -5,13 +5,13 @@
 2. 128 minima per class give 32 band keys of four minima each, and afterwards only the low four bits of
    each minimum are kept, packed into eight longs. At a similarity of 0.85 a pair shares no band with
    probability 6e-11, at 0.8 with 5e-8.
-3. In each band bucket every class is compared with the bucket's first class. Bit counts of the packed
+3. In each band bucket every class is compared with the bucket's first and last class. Bit counts of the packed
    minima estimate the similarity, corrected for chance collisions; pairs more than five standard
    deviations below the threshold go, the others are confirmed on their full sets.
 4. What is in one component by then needs no further comparison. Buckets that still hold classes of several
    components are compared in full, in blocks of bounded size, inside the task: only pairs of different
    components whose estimate passes leave it, and they are confirmed as well. Here the estimate comes from
-   1024 minima of two bits, made only for classes that share a bucket, so that few pairs below the threshold
+   1536 minima of two bits, made only for classes that share a bucket, so that few pairs below the threshold
    pass even in a cluster of thousands of near copies. No link is left out by a cap.
 5. Components are contracted by random order in tables; nothing of them reaches the driver.
 """
@@ -30,8 +30,8 @@ from strandtide.llm.common import NOT_SPACE, bit_filter, blocks, distinct_per_te
 from strandtide.runtime import cut_lineage
 
 MINIMA, ROWS_PER_BAND, LOW_BITS = 128, 4, 4
-WIDE_MINIMA, WIDE_BITS = 1024, 2
-BLOCK_CLASSES = 1024
+WIDE_MINIMA, WIDE_BITS = 1536, 2
+BLOCK_CLASSES = 512
 
 
 def _minima(values: np.ndarray, bounds: np.ndarray, count: int) -> np.ndarray:
@@ -250,13 +250,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row"), F.first("packed").alias("packed"), F.first("bands").alias("bands"))
     )
     rows = classes.select("node", F.explode("bands").alias("bucket"))
-    buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("lead")).where("members > 1")
+    buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("lead"), F.max("node").alias("last")).where("members > 1")
     shared = cut_lineage(rows.join(buckets, "bucket"))
     in_buckets = classes.join(shared.select("node").distinct(), "node", "left_semi")
     slim = cut_lineage(in_buckets.select("node", "n_shingles", "packed", "bands", "row"))
     sets = cut_lineage(_sets_of(docs, slim.select("node", "row"), words))
 
-    stars = shared.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    pair = lambda end: shared.where(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b"))
+    stars = pair("lead").union(pair("last")).distinct()
     side = lambda c: slim.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("packed").alias(f"packed_{c}"))
     likely = (
         stars.join(side("a"), "a")
@@ -292,7 +293,6 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     kept = near_duplicates(docs, words, percent).where("kept")
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("row"))
     plain = cut_lineage(kept.groupBy("row").agg(F.max("n_shingles").alias("n_shingles")))
-    # copies of one row number few or very many: they are combined before any shuffle of texts meets them
-    joined = marked.join(plain, "row")
-    empty = joined.where("n_shingles = 0").select("doc.*")
-    return joined.where("n_shingles > 0").dropDuplicates(["row"]).select("doc.*").unionByName(empty)
+    # the join and the choice of one among equal rows both go by `row`, so texts are shuffled once
+    joined = marked.join(plain, "row").withColumn("copy", F.when(F.col("n_shingles") == 0, F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    return joined.dropDuplicates(["row", "copy"]).select("doc.*")
