@@ -1,7 +1,8 @@
 """Secret scan: candidate strings, and a random forest that takes out the false positives.
 
-Candidates are runs of letters, digits and a few signs of at least twelve characters that hold a digit or
-no small letter. Each is described by its length, its transitions between kinds of characters, how much
+Candidates are the values of settings named after secrets, credentials in URLs and words in quotes, all of
+any length and signs, and elsewhere runs of letters, digits and a few signs of at least eight characters that
+hold a digit or no small letter (see `spans`). Each is described by its length, its transitions between kinds of characters, how much
 of it a dictionary covers, the path it was found under and the words beside it. The forest is fitted on a
 bounded number of labelled findings on the driver; scanning needs no shuffle.
 """
@@ -24,13 +25,27 @@ from strandtide.llm.trees import Trees, forest
 #: At most so many labelled findings are used for fitting, chosen by a hash of their content.
 TRAINING_FINDINGS = 20_000
 THRESHOLD = 0.5
-LEAST = 12
+LEAST = 8
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*[0-9]|[A-Z0-9_+/\-]{{{LEAST},}}(?![A-Za-z0-9_+/\-]))[A-Za-z0-9_+/\-]{{{LEAST},}}")
 _AROUND = 48
 # Names of settings that hold secrets, and words in paths of files that hold settings or examples.
-SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "access_key", "private_key", "credential", "auth", "bearer", "key")
+SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "access_key", "private_key", "credential", "auth", "bearer", "key", "pass", "cred")
+HASH_WORDS = ("commit", "sha", "etag", "md5", "checksum", "digest", "revision", "hash", "blob", "tree", "integrity", "uuid", "guid")
 CONFIG_PATHS = ("env", "conf", "cfg", "ini", "yml", "yaml", "toml", "properties", "json", "pem", "key")
 EXAMPLE_PATHS = ("test", "example", "sample", "mock", "doc", "fixture")
+_SHORTEST = [w for w in SECRET_WORDS if not any(v in w for v in SECRET_WORDS if v != w)]
+_NAMED = "|".join(_SHORTEST)
+# The name and its sign (or a flag, or a scheme of authorization), then a value in quotes, or up to white space or the next setting of a row.
+SETTING = re.compile(
+    rf"(?:(?:{_NAMED})[\w.\-]{{0,64}}[\"'`\])]{{0,2}}\s*(?:=>|:=|==?|:|>)\s*(?:(?:bearer|basic|token)\s+)?|(?<=-)(?:{_NAMED})[\w\-]{{0,64}}\s+|\bbearer\s+)"
+    r"""(?:"((?:[^"\\\n]|\\.)+)"|'((?:[^'\\\n]|\\.)+)'|`([^`\n]+)`|["'`]{0,3}([^\s"'`](?:(?![&,;?]["']?[\w.\-]+["']?[=:])\S)*))""",
+    re.IGNORECASE,
+)
+# What an unquoted value may be without the signs that close or part it.
+_BARE = re.compile(r"[^\s&,;|\"'`<>()\[\]{}]+")
+URL_CREDENTIAL = re.compile(r"""://(?:[^\s:/@?#"'<>]*:(?:([^\s/"'<>]+)|([^\s"'<>]+))@|([^\s:/@?#"'<>]+)@)""")
+QUOTED = re.compile(r"""["`](?=(?![,;:=()\[\]{}+]+["`])([^\s"`]+)["`])|(?:(?<!\w)|(?<=\b[bBrRuUfF]))'(?=(?![,;:=()\[\]{}+]+')([^\s']+)')|[“„«](?=([^\s“”„«»]+)[“”»])""")
+_QUOTE = re.compile("[\"'`“„«]")
 
 
 def dictionary(words, least: int = 4) -> frozenset[str]:
@@ -91,27 +106,81 @@ def describe(value: str, before: str, after: str, path: str, known: frozenset[st
         float(any(w in low for w in CONFIG_PATHS)),
         float(any(w in low for w in EXAMPLE_PATHS)),
         low.count("/"),
+        float(any(w in last for w in HASH_WORDS)),
+        float(after[:1] == "@"),
+        float(_UUID.fullmatch(value) is not None),
+        float(_DATED.fullmatch(value) is not None),
     ]
 
 
-FEATURES = 1 + 4 + 16 + 4 + 12
+FEATURES = 1 + 4 + 16 + 4 + 16
 
 
-def known_label(value: str, before: str) -> int | None:
+_SECRET_SETTING = re.compile(r"(?i)(password|passwd|pwd|passphrase|secret|token|api_?key|access_?key|private_?key|credential)[\"']?\s*[=:]\s*([\"']?)$")
+_HASH_SETTING = re.compile(r"(?i)(?<![a-z])(commit|sha-?\d*|etag|md5|checksum|digest|revision|rev|hash|blob|tree|parent|integrity)[\"']?[\s=:(]+[\"'(]*$")
+_UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_DATED = re.compile(r"([A-Za-z]+[_/\-])*(19|20)\d\d([_/\-]?)(0[1-9]|1[0-2])\3(0[1-9]|[12]\d|3[01])(T\d{2,6}Z?)?([_/\-][A-Za-z]*)*")
+# Variables, calls, placeholders and short words.
+_DOUBTFUL = re.compile(rf"[$<({{%\[*].*|\w*[.\w]*[(\[].*|[A-Za-z_]+(\.[A-Za-z_]+)+|[A-Za-z]{{0,{LEAST - 1}}}|(?i:(your|change|example|placeholder|insert|xxx).*)", re.DOTALL)
+
+
+def known_label(value: str, before: str, after: str = "") -> int | None:
     """The label of a finding whose form or setting leaves no doubt, else None.
 
-    1: a cloud access key id, or the value of a setting named after a secret. 0: digits alone, or letters alone
-    that stand between white space without such a setting.
+    1: a cloud access key id, a password in a URL, or the value of a setting named after a secret that is no
+    variable, placeholder or plain word. 0: digits alone, letters alone that stand outside quotes and URLs, UUIDs,
+    hashes after words like commit or etag, and names with a date, all without such a setting.
     """
     if re.fullmatch(r"A(KIA|SIA)[A-Z0-9]{16}", value):
         return 1
-    if re.search(r"(?i)(password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?$", before):
-        return 1
-    if re.fullmatch(r"[0-9+\-/]+|[A-Za-z_+/\-]+", value):
+    if named := _SECRET_SETTING.search(before):
+        plain = not named[2] and re.fullmatch("[A-Za-z]?[a-z]*", value)
+        return None if plain or _DOUBTFUL.fullmatch(value) else 1
+    if after[:1] == "@" and re.search(r"://[^\s:/@]*:$", before):
+        return None if _DOUBTFUL.fullmatch(value) else 1
+    if _UUID.fullmatch(value) or _DATED.fullmatch(value) or re.fullmatch(r"[0-9+\-/]+", value):
+        return 0
+    if re.fullmatch("[0-9a-fA-F]{7,}", value) and _HASH_SETTING.search(before):
+        return 0
+    if re.fullmatch(r"[A-Za-z_+/\-]+", value) and before[-1:] not in {*"\"'`“„«=:>"} and after[:1] != "@":
         return 0
     return None
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """(start, stop) of all candidates of `text`, distinct and sorted; they may lie in one another.
+
+    An unquoted value of a setting counts as it stands and, if it holds signs that close or part values, up to the
+    first of them, too. Quotes elsewhere hold no white space.
+    """
+    found = {m.span() for m in CANDIDATE.finditer(text)}
+    found.update(m.span(m.lastindex) for m in URL_CREDENTIAL.finditer(text))
+    found.update(m.span(m.lastindex) for q in _QUOTE.finditer(text) if (m := QUOTED.match(text, q.start())))
+    past = 0
+    for at in _named_at(text):
+        if at < past or not (m := SETTING.match(text, at)):
+            continue
+        start, past = m.span(m.lastindex)
+        found.add((start, past))
+        if m.lastindex == 4 and (bare := _BARE.match(text, start, past)) and (kept := bare[0].rstrip(".:!?")):
+            found.add((start, start + len(kept)))
+    return sorted(found)
+
+
+def _named_at(text: str) -> list[int]:
+    """Places of the words that name secrets, in order."""
+    low = text.lower()
+    if len(low) != len(text):
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    found = []
+    for word in _SHORTEST:
+        at = low.find(word)
+        while at >= 0:
+            found.append(at)
+            at = low.find(word, at + 1)
+    return sorted(found)
+
+
 def candidates(docs: DataFrame, known: frozenset[str], path: str = "source") -> DataFrame:
     """`doc_id`, `start` (code points), `length`, `value_sha256`, `label` (see `known_label`), `x` for every candidate of every text."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
@@ -120,9 +189,9 @@ def candidates(docs: DataFrame, known: frozenset[str], path: str = "source") ->
         for batch in batches:
             rows = []
             for number, text, where in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("path").to_pylist(), strict=True):
-                for m in CANDIDATE.finditer(text or ""):
-                    before, after, value = text[max(0, m.start() - _AROUND) : m.start()], text[m.end() : m.end() + _AROUND], m[0]
-                    rows.append((number, m.start(), len(value), hashlib.sha256(value.encode()).hexdigest(), known_label(value, before), describe(value, before, after, where or "", shared.value)))
+                for start, stop in spans(text or ""):
+                    before, after, value = text[max(0, start - _AROUND) : start], text[stop : stop + _AROUND], text[start:stop]
+                    rows.append((number, start, len(value), hashlib.sha256(value.encode()).hexdigest(), known_label(value, before, after), describe(value, before, after, where or "", shared.value)))
             if rows:
                 number, start, length, sha, label, x = zip(*rows, strict=True)
                 flat = pa.array(np.array(x, dtype=np.float32).ravel())

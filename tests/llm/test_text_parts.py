@@ -228,6 +228,38 @@ def test_secret_candidates():
     assert find("internationalisation short1 a-b") == []
 
 
+def test_values_of_settings_quotes_and_urls_are_candidates():
+    find = lambda t: {t[a:b] for a, b in secrets.spans(t)}
+    small = "abcdefgh" * 4
+    for text, value in [
+        ('password="Tr0ub4dor&3"', "Tr0ub4dor&3"),
+        ("db_password=hunter2", "hunter2"),
+        ("password: CorrectHorseBatteryStaple", "CorrectHorseBatteryStaple"),
+        (f'token = "{small}"', small),
+        ("secret=Xk9!vQ2#mZ7$pL4&", "Xk9!vQ2#mZ7$pL4&"),
+        ('{"API_KEY": "a b", "x": 1}', "a b"),
+        ("https://h/?x=1&token=ab1&user=me", "ab1"),
+        ("Authorization: Bearer ab.c-d", "ab.c-d"),
+        ("run --password hunter2 now", "hunter2"),
+        ("the İ password = hunter2.", "hunter2"),
+        ("postgres://me:p@ss@host/db", "p@ss"),
+        ("redis://:pw@host", "pw"),
+        ("login('me', 'pässwort')", "pässwort"),
+        ("“geheim”", "geheim"),
+    ]:
+        assert value in find(text), text
+    assert find("it's what they don't say") == find("") == set()
+
+
+def test_mixed_negatives_have_a_label():
+    label = lambda t, v: secrets.known_label(v, t[: t.index(v)], t[t.index(v) + len(v) :])
+    sha, uuid = "9ab8c7d6e5f4a3b2c1d09ab8c7d6e5f4a3b2c1d0", "123e4567-e89b-12d3-a456-426614174000"
+    assert label(f"commit {sha} of", sha) == label(f'ETag: "{sha}"', sha) == label(f"sha256:{sha}", sha) == label(f"id {uuid}", uuid) == 0
+    assert label("see report-2024-01-05.csv", "report-2024-01-05") == label("log_20240105_old", "log_20240105_old") == 0
+    assert label(f"token={sha}", sha) == label(f'secret: "{uuid}"', uuid) == label("db_password=hunter2", "hunter2") == label("x://u:hunter22@h", "hunter22") == 1
+    assert label(sha, sha) is label("password = ${DB_PASS1}", "${DB_PASS1}") is label("the password: what", "what") is label('say "CorrectHorse"', "CorrectHorse") is None
+
+
 def test_coverage():
     known = secrets.dictionary(["word</w>", "Ġletter", "abc", "x1y2z3"])
     assert known == {"word", "letter"}
