@@ -9,8 +9,9 @@ member on any file system that Spark writes to, and a lost task leaves no half f
 
 from __future__ import annotations
 
+import gzip
 import hashlib
-import zlib
+import io
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,8 +112,9 @@ def write(pages: DataFrame, path: str, least_bytes: int = 1000, records_per_file
 
 
 def parse(content: bytes):
-    """(headers, block) of each record of one file, plain or gzip; lengths come from Content-Length alone."""
-    data = zlib.decompress(content, wbits=31) if content[:2] == b"\x1f\x8b" else content
+    """(headers, block) of each record of one file, plain or gzip of one or more members; lengths come from Content-Length alone."""
+    # GzipFile goes on after the end of a member; zlib.decompress would stop there.
+    data = gzip.GzipFile(fileobj=io.BytesIO(content)).read() if content[:2] == b"\x1f\x8b" else content
     at = 0
     while at < len(data):
         stop = data.index(b"\r\n\r\n", at)
@@ -169,8 +171,9 @@ def assemble(found: DataFrame, blocks: bool = True) -> DataFrame:
     """One nested row for each capture: `transaction`, `response`, `request`, `metadata`.
 
     Records meet through the id that request and metadata give as concurrent-to and the response has itself, in
-    one shuffle. A part that is missing is null. `blocks=False` leaves the records' contents out of it.
+    one shuffle. A part that is missing is null. Records about a file (warcinfo) are no capture. `blocks=False`
+    leaves the records' contents out of it.
     """
     keep = [c for c in _COLUMNS if c != "transaction" and (blocks or c != "block")]
     part = lambda *kinds: F.first(F.when(F.col("record_type").isin(*kinds), F.struct(*keep)), ignorenulls=True)
-    return found.groupBy("transaction").agg(part("response", "revisit").alias("response"), part("request").alias("request"), part("metadata").alias("metadata"))
+    return found.where("record_type <> 'warcinfo'").groupBy("transaction").agg(part("response", "revisit").alias("response"), part("request").alias("request"), part("metadata").alias("metadata"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import gzip
 import hashlib
 import math
 import random
@@ -326,6 +327,20 @@ def test_warc(spark):
     assert bodies["4"].endswith(bigger.encode()) and bodies["11"].endswith(("é" * 300_000).encode())
 
 
+def test_warc_read_finds_records_of_all_members(spark, tmp_path):
+    record = lambda kind, name, more, body: f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n{more}Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n".encode()
+    for f in range(2):
+        made = [record("warcinfo", f"w:{f}", "", "software: x\r\n")]
+        for i in range(300):
+            made.append(record("request", f"q:{f}:{i}", f"WARC-Concurrent-To: <r:{f}:{i}>\r\n", "GET / HTTP/1.1\r\n\r\n"))
+            made.append(record("response", f"r:{f}:{i}", "WARC-Target-URI: http://a/\r\n", f"HTTP/1.1 200 OK\r\n\r\npage {i}"))
+        (tmp_path / f"{f}.warc.gz").write_bytes(b"".join(map(gzip.compress, made)))
+    found = warc.read(spark, str(tmp_path))
+    assert {r.record_type: r["count"] for r in found.groupBy("record_type").count().collect()} == {"warcinfo": 2, "request": 600, "response": 600}
+    got = warc.assemble(found).collect()
+    assert len(got) == 600 and all(r.response is not None and r.request is not None for r in got)
+
+
 def quality_rows():
     rng = random.Random(2)
     good = [prose(rng, rng.randrange(5, 120), 5000).capitalize() + "." for _ in range(150)]

@@ -220,6 +220,18 @@ def test_warc_records_may_hold_record_ends():
         list(warc.parse(b"junk\r\n\r\n"))
 
 
+def test_warc_files_may_have_a_gzip_member_for_each_record():
+    record = lambda i, body: b"WARC/1.1\r\nWARC-Type: %s\r\nWARC-Record-ID: <a:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (b"request" if i else b"warcinfo", i, len(body), body)
+    bodies = [b"software: x\r\n", b"one", b"", b"\x1f\x8btwo" * 50_000]
+    files = [record(i, b) for i, b in enumerate(bodies)]
+    cut = b"".join(files)
+    for raw in (b"".join(map(gzip.compress, files)), gzip.compress(cut[:70]) + gzip.compress(b"") + gzip.compress(cut[70:]) + b"\0" * 9):
+        found = list(warc.parse(raw))
+        assert [b for _, b in found] == bodies and [h["warc-record-id"] for h, _ in found] == [f"<a:{i}>" for i in range(4)]
+    with pytest.raises(EOFError):
+        list(warc.parse(b"".join(map(gzip.compress, files))[:-20]))
+
+
 def test_secret_candidates():
     find = lambda t: [m[0] for m in secrets.CANDIDATE.finditer(t)]
     assert find("password=7602ad27cf5550de1c st") == ["7602ad27cf5550de1c"]
