@@ -12,9 +12,11 @@ from strandtide.plans.standins import (
     SQL_CUSTOMER_NAMES,
     SQL_DIRTY_DATES,
     SQL_SEQS,
+    accession,
     customer_names,
     dirty_dates,
     sequences,
+    short_accession,
     table,
 )
 from strandtide.runtime import fresh_path
@@ -106,12 +108,6 @@ def _(spark, sf):
 # ---- local ids
 
 
-def _accession(k):
-    """Accession-shaped and different for every number below 676 million."""
-    letter = lambda n: F.chr(F.floor(n) % 26 + 65)
-    return F.concat(letter(k / 26000000), letter(k / 1000000), F.lpad((k % 1000000).cast("string"), 6, "0"))
-
-
 def _sql_accession(k):
     letter = lambda n: f"chr((({k} // {n}) % 26 + 65)::INTEGER)"
     return f"{letter(26000000)} || {letter(1000000)} || lpad(CAST({k} % 1000000 AS VARCHAR), 6, '0')"
@@ -134,9 +130,9 @@ def _registry(spark, sf):
 
 
 def _accessions(spark, sf):
-    k = F.col("c_custkey").cast("string")
+    k = F.col("c_custkey")
     rows = table(spark, sf, "customer").filter("c_custkey % 7 = 2")
-    return rows.select(F.concat(F.lit("Customer#"), F.lpad(k, 9, "0")).alias("sample_name"), F.concat(F.lit("MK"), F.lpad(k, 6, "0")).alias("accession"))
+    return rows.select(F.concat(F.lit("Customer#"), F.lpad(k.cast("string"), 9, "0")).alias("sample_name"), accession(k, "MK").alias("accession"))
 
 
 _REGISTERED_SQL = """fresh AS (SELECT DISTINCT name FROM names WHERE NOT regexp_matches(name, '^[A-Z]{1,2}\\d{5,6}$') AND name NOT IN (SELECT sample_name FROM reg) AND name NOT IN (SELECT seq_accession FROM reg)),
@@ -152,7 +148,7 @@ _REGISTERED_SQL = """fresh AS (SELECT DISTINCT name FROM names WHERE NOT regexp_
 )
 def _(spark, sf):
     k = F.col("c_custkey")
-    name = F.when(k % 3 == 0, F.concat(F.lit("U"), F.lpad(k.cast("string"), 5, "0"))).otherwise(F.col("c_name"))
+    name = F.when(k % 3 == 0, short_accession(k, "U")).otherwise(F.col("c_name"))
     names = table(spark, sf, "customer").select(name.alias("name"))
     return history.local_id_registry(_registry(spark, sf), names, _accessions(spark, sf), "2024-05-01")
 
@@ -169,10 +165,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     k = F.col("ord")
-    head = F.when(k % 3 == 0, _accession(k)).otherwise(F.concat(F.lit("Customer#"), F.lpad(k.cast("string"), 9, "0")))
+    head = F.when(k % 3 == 0, accession(k)).otherwise(F.concat(F.lit("Customer#"), F.lpad(k.cast("string"), 9, "0")))
     seqs = sequences(spark, sf).withColumn("id", head)
     seqs = seqs.withColumn("ord", k * 2).unionByName(seqs.withColumns({"ord": k * 2 + 1, "seq": F.lit("second copy")}))
-    ledger = table(spark, sf, "customer").filter("c_custkey % 9 = 0").select(_accession(F.col("c_custkey")).alias("accession"), F.lit("2020-02-02").cast("date").alias("date_added"))
+    ledger = table(spark, sf, "customer").filter("c_custkey % 9 = 0").select(accession(F.col("c_custkey")).alias("accession"), F.lit("2020-02-02").cast("date").alias("date_added"))
     out, registry, led = history.update_sequences(seqs, _registry(spark, sf), ledger, _accessions(spark, sf), "2024-05-01")
     part = lambda n: F.lit(n).alias("part")
     return (
@@ -268,7 +264,7 @@ _MAJOR = {"HFMD": "HFMD", "Rash": "Rash-associated", "Fever": "Other"}
 def add_metadata_inputs(spark, sf):
     d, q, n = (table(spark, sf, t) for t in ("documents", "labels", "nation"))
     k = F.col("doc_id")
-    acc = _accession(k)
+    acc = accession(k)
     text_or = lambda *pairs: F.coalesce(*[F.when(c, F.lit(v)) for c, v in pairs])
     meta = d.select(
         acc.alias("accession"), F.concat(acc, F.lit(".1")).alias("accession_version"), F.when(k % 4 == 0, acc).otherwise(F.col("source")).alias("strain"), F.lit("2001-XX-XX").alias("date"),

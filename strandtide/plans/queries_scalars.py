@@ -11,8 +11,10 @@ from strandtide.plans.registry import query
 from strandtide.plans.standins import (
     SQL_CUSTOMER_NAMES,
     SQL_DIRTY_DATES,
+    accession,
     customer_names,
     dirty_dates,
+    short_accession,
     table,
 )
 from strandtide.runtime import spread_when_few
@@ -346,10 +348,10 @@ def _(spark, sf):
       WHEN 2 THEN 'MK' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') ELSE c_name END AS accession FROM customer""",
 )
 def _(spark, sf):
-    c, k, key = table(spark, sf, "customer"), F.col("c_custkey") % 4, F.col("c_custkey").cast("string")
+    c, k, key = table(spark, sf, "customer"), F.col("c_custkey") % 4, F.col("c_custkey")
     raw = (
-        F.when(k == 0, F.concat(F.lit("AB"), F.lpad(key, 6, "0"))).when(k == 1, F.concat(F.lit("U"), F.lpad(key, 5, "0")))
-        .when(k == 2, F.concat(F.lit("strain 7 MK"), F.lpad(key, 6, "0"), F.lit(" VP1"))).otherwise(F.concat(F.lit("  "), "c_name"))
+        F.when(k == 0, accession(key, "AB")).when(k == 1, short_accession(key, "U"))
+        .when(k == 2, F.concat(F.lit("strain 7 "), accession(key, "MK"), F.lit(" VP1"))).otherwise(F.concat(F.lit("  "), "c_name"))
     )
     return c.select("c_custkey", text.looks_like_accession(raw).alias("is_accession"), text.accession_in(raw).alias("accession"))
 

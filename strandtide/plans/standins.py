@@ -43,6 +43,19 @@ SQL_GAPPED = (
 SQL_REFS = f"refs AS (SELECT 'R' || CAST(item_id AS VARCHAR) AS id, {sql_bases('text')} AS seq FROM benchmark)"
 
 
+def accession(k: Column, first: str = "AA") -> Column:
+    """Accession-shaped and different for every number below 676 million: six digits after `first`, from each further
+    million on after the next two letters."""
+    n = F.floor(k / 1000000) + (ord(first[0]) - 65) * 26 + ord(first[1]) - 65
+    letter = lambda c: F.chr(F.floor(c) % 26 + 65)
+    return F.concat(letter(n / 26), letter(n), F.lpad((k % 1000000).cast("string"), 6, "0"))
+
+
+def short_accession(k: Column, first: str) -> Column:
+    """Five digits after the letter `first`; numbers that have more digits are as in `accession`, which begins with it."""
+    return F.when(k < 100000, F.concat(F.lit(first), F.lpad(k.cast("string"), 5, "0"))).otherwise(accession(k, first + "A"))
+
+
 def customer_names(spark: SparkSession, folder: str) -> DataFrame:
     """(id, name, nation, region, balance) of every customer."""
     c, n, r = (table(spark, folder, t) for t in ("customer", "nation", "region"))

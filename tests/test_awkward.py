@@ -14,6 +14,7 @@ from strandtide.functions import dates, mining
 from strandtide.functions import sequence as seqfn
 from strandtide.operators import clades, dedup, features, grouping, history, joins
 from strandtide.operators import tree as treeops
+from strandtide.plans.registry import all_queries
 from strandtide.sources import sequences as seqio
 from strandtide.sources import tables as tabio
 from strandtide.streaming import flows
@@ -245,3 +246,24 @@ def test_broadcast_is_bounded_by_bytes(spark):
     wide = spark.range(10).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("t"))
     plan = lambda bound: wide.join(runtime.broadcast_when_small(wide, bound=bound), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan(100_000) and "SortMergeJoin" in plan(5_000)
+
+
+def test_customers_of_seven_digits_have_accessions_of_their_own(spark, tmp_path):
+    keys = [2, 9, 16, 100, 99_999, 100_002, 100_005, 999_999, 1_000_000, *range(1_000_001, 1_000_200), *range(1_428_000, 1_428_100), 9_999_999, 14_999_999]
+    name = F.concat(F.lit("Customer#"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("c_name")
+    spark.createDataFrame([(k,) for k in keys], "c_custkey long").select("c_custkey", name).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k,) for k in range(25)], "n_nationkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    documents = [(k * 10 + 1, f"text {'a' * (k % 97)}c{'g' * (k % 89)}") for k in keys] + [(k, f"u {'t' * i}") for i, k in enumerate(keys) if k % 14 == 2]
+    spark.createDataFrame(documents, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    queries = all_queries()
+    shaped = queries["looks_like_accession"](spark, str(tmp_path)).collect()
+    assert len({r.accession for r in shaped}) == len(keys) and all(r.is_accession == (r.c_custkey % 4 < 2) for r in shaped)
+    registered = queries["local_id_registry"](spark, str(tmp_path)).collect()
+    given = [r.seq_accession for r in registered]
+    assert len(set(given)) == len(given) and sum(a.startswith("ML") for a in given) > 20
+    parts = queries["update_sequences"](spark, str(tmp_path)).collect()
+    for part in ("ledger", "registry"):
+        named = [(r.id, r.detail)[part == "registry"] for r in parts if r.part == part]
+        assert len(set(named)) == len(named)
+    late = [k for k in keys if k % 14 == 2 and k % 3 and 1_000_000 <= k < 2_000_000]
+    assert len(late) > 5 and {r.id for r in parts if r.part == "ledger" and r.id.startswith("M")} >= {f"ML{k - 1_000_000:06d}" for k in late}
