@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandtide.llm import decontaminate, fingerprints, mixing, near_dups, quality, secrets, sharding, substrings, token_files, warc
+from strandtide.llm import decontaminate, fill_middle, fingerprints, languages, mixing, near_dups, quality, runs, secrets, sharding, substrings, token_files, warc
 from strandtide.llm.common import WORD
 from strandtide.runtime import cut_lineage, fresh_path
 
@@ -188,3 +188,89 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query("op11_languages")
+def op11_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    model = languages.fit(docs.where(~held_out))
+    return languages.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+# crc32 of a decimal number, bit by bit: the polynomial 0xEDB88320 and the ends 0xFFFFFFFF are fixed values
+_SQL_CRC = """xor(4294967295::UBIGINT, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT), lambda crc, byte:
+        list_reduce(list_transform(range(8), lambda i: 0::UBIGINT), lambda x, zero: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END, xor(crc, byte)), 4294967295::UBIGINT))"""
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """`docs` in which every document whose id says so repeats a stretch of its words to the end (the contract of op12)."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    planned = docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    a = (g % n).cast("int")
+    p = (F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + g % 8))).cast("int")
+    placed = planned.withColumn("a", F.when(n > 0, a)).withColumn("p", F.when(n > 0, p))
+    word = lambda i: F.when(i < F.col("a"), F.get("words", i)).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    again = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")
+    return placed.select("doc_id", F.when((F.col("h") % 10 == 0) & (n > 0), again).otherwise(F.col("text")).alias("text"))
+
+
+@_query(
+    "op12_periodic_runs",
+    rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w0, {_SQL_CRC} AS h FROM documents),
+    m AS (SELECT doc_id, w0, h, len(w0) AS n, CASE WHEN len(w0) > 0 THEN ((h // 10) % len(w0))::BIGINT END AS a, (h // 10) % 8 AS e FROM d),
+    k AS (SELECT *, 1 + (n - a) // (3 + e)::BIGINT AS p FROM m),
+    t AS (SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w0[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w0 END AS w FROM k),
+    s AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS i FROM t),
+    e AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM s x JOIN s y ON x.doc_id = y.doc_id AND x.word = y.word WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    g AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+    o AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM g GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+    r AS (SELECT * FROM o x WHERE NOT EXISTS (SELECT 1 FROM o y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.start <= x.start AND y.start + y.length >= x.start + x.length)),
+    b AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed FROM r GROUP BY doc_id),
+    f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / q DESC, start, q) = 1),
+    x AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM r),
+    c AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM s ANTI JOIN x USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, q::BIGINT AS period, (1000 * length // q)::BIGINT AS exponent_milli,
+           sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM t LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN c USING (doc_id)
+    """,
+)
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_periods(_table(spark, folder, "documents")))
+    # the runs come by start and period, so the first of equals stays
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda a, x: F.when(x["length"] * a["period"] > a["length"] * x["period"], x).otherwise(a))
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        sha(listed).alias("runs_sha256"),
+        sha(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+@_query(
+    "op13_fill_middle",
+    """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS s FROM documents),
+    h AS (SELECT doc_id, t, length(t) AS n, ('0x' || s[1:8])::UBIGINT AS h1, ('0x' || s[9:16])::UBIGINT AS h2, ('0x' || s[17:24])::UBIGINT AS h3, ('0x' || s[25:32])::UBIGINT AS h4 FROM d),
+    c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a, greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+    p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p
+    """,
+)
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    forms = fill_middle.restore(fill_middle.arrange(_table(spark, folder, "documents"), seed=1))
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return forms.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha("output").alias("output_sha256"), sha("restored").alias("restored_sha256"))
