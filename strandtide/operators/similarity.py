@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandtide.functions import sequence as seqfn
 from strandtide.operators.dedup import top_n
+from strandtide.operators.nearest import best_in_groups
 from strandtide.operators.seeds import sequence_key
 
 
@@ -48,26 +49,27 @@ def identity_pairs(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def neighbours(seqs: DataFrame, k: int, min_identity: float = 0.995) -> DataFrame:
     """The k nearest sequences with identity of at least `min_identity`: (id, neighbour, identity, rank).
 
-    A text without a partner at the bound has no row, and one with fewer than k has as many.
+    A text without a partner at the bound has no row, and one with fewer than k has as many. Letters are bytes.
 
     Exact for that bound. Copies are grouped first and only k + 1 ids of a group can ever be
     neighbours, so groups of copies produce no pairs. For the rest, texts are cut into blocks by
-    position: partners differ in few blocks, so they share one of the rarest blocks of each, and only
-    those few rare blocks are joined (prefix filter). Common blocks are never joined for long.
+    position: partners differ in few blocks, so they share one of the rarest blocks of each (prefix filter).
+    Texts that share such a block are compared in their group (`nearest.best_in_groups`), which gives the k best
+    of each text and never the pairs of a cluster.
     """
     if not 0.5 < min_identity <= 1.0:
         raise ValueError("min_identity must be above 0.5: below it texts need not share a block")
     slack = 1.0 - min_identity
     width = max(int(1.0 / (2.0 * slack)), 1) if slack > 0 else 1 << 30
     keyed = seqs.select("id", sequence_key("seq"), "seq")
-    texts = keyed.groupBy("key").agg(F.first("seq").alias("seq"))
-    texts = texts.withColumn("_n", F.length("seq")).filter("_n > 0")
+    texts = keyed.groupBy("key").agg(F.encode(F.first("seq"), "utf-8").alias("raw"), F.min("id").alias("first")).filter(F.length("raw") > 0)
     # ids worth naming: the first k + 1 of each group of copies
     named = top_n(keyed.select("key", "id"), ["key"], ["id"], k + 1)
 
+    sized = texts.withColumn("_n", F.length("raw"))
     starts = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / width).cast("int"))
-    cut = texts.select("key", "_n", F.encode("seq", "utf-8").alias("_raw"), F.explode(starts).alias("at"))
-    block = F.xxhash64(F.substr("_raw", F.col("at") * width + 1, F.lit(width)))
+    cut = sized.select("key", "_n", "raw", F.explode(starts).alias("at"))
+    block = F.xxhash64(F.substr("raw", F.col("at") * width + 1, F.lit(width)))
     blocks = cut.select("key", "_n", "at", block.alias("block"))
     frequency = blocks.groupBy("at", "block").agg(F.count(F.lit(1)).alias("_df"))
     # partners of a text of n letters have at most n / min_identity letters
@@ -75,32 +77,11 @@ def neighbours(seqs: DataFrame, k: int, min_identity: float = 0.995) -> DataFram
     budget = F.floor(slack * longest + F.lit(1e-9)).cast("int")
     rarity = Window.partitionBy("key").orderBy("_df", "at", "block")
     shared = blocks.join(frequency.filter("_df > 1"), ["at", "block"], "left").withColumn("_df", F.coalesce("_df", F.lit(1)))
-    prefix = (
-        shared.withColumn("_r", F.row_number().over(rarity))
-        .filter((F.col("_r") <= budget + 1) & (F.col("_df") > 1))
-        .select("key", "_n", "at", "block")
-    )
-    left = prefix.select(F.col("key").alias("key_a"), F.col("_n").alias("n_a"), "at", "block")
-    right = prefix.select(F.col("key").alias("key_b"), F.col("_n").alias("n_b"), "at", "block")
-    fits = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * min_identity - 1e-9
-    candidates = (
-        left.join(right, ["at", "block"]).filter((F.col("key_a") < F.col("key_b")) & fits).select("key_a", "key_b").distinct()
-    )
-    text = lambda s: texts.select(F.col("key").alias(f"key_{s}"), F.col("seq").alias(f"seq_{s}"))
-    scored = (
-        candidates.join(text("a"), "key_a")
-        .join(text("b"), "key_b")
-        .select("key_a", "key_b", seqfn.pairwise_identity(F.col("seq_a"), F.col("seq_b")).alias("identity"))
-        .filter(F.col("identity") >= min_identity)
-    )
-    # both directions from one row: the scoring runs once
-    way = lambda a, b: F.struct(F.col(a).alias("key_a"), F.col(b).alias("key_b"), "identity")
-    both = scored.select(F.inline(F.array(way("key_a", "key_b"), way("key_b", "key_a"))))
+    prefix = shared.withColumn("_r", F.row_number().over(rarity)).filter((F.col("_r") <= budget + 1) & (F.col("_df") > 1))
+    members = prefix.select(F.xxhash64("at", "block").alias("g"), "key")
+    both = best_in_groups(members, texts, k, min_identity)
     # a text needs only its k best partner texts, each with its first k + 1 ids
-    first_id = named.groupBy("key").agg(F.min("id").alias("_first"))
-    near = top_n(
-        both.join(first_id.withColumnRenamed("key", "key_b"), "key_b"), ["key_a"], [F.desc("identity"), F.asc("_first")], k
-    ).select("key_a", "key_b", "identity")
+    near = top_n(both, ["key_a"], [F.desc("identity"), F.asc("first_b")], k).select("key_a", "key_b", "identity")
     own = texts.select(F.col("key").alias("key_a"), F.col("key").alias("key_b"), F.lit(1.0).alias("identity"))
     partners = near.unionByName(own).join(
         named.select(F.col("key").alias("key_b"), F.col("id").alias("neighbour")), "key_b"

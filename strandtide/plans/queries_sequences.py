@@ -204,6 +204,34 @@ def _(spark, sf):
     return near.withColumn("identity", F.round("identity", 9))
 
 
+# near copies of one text: every customer changes a letter of the first reference, every fifth one a second letter
+SQL_VARIANTS = f"""{SQL_REFS}, base AS (SELECT repeat(seq, 3) AS seq FROM refs WHERE id = (SELECT min(id) FROM refs)),
+  spots AS (SELECT c_custkey AS k, seq, (c_custkey * 7 % length(seq))::BIGINT AS p, (c_custkey // length(seq) + c_custkey % 3)::BIGINT AS l, (CASE WHEN c_custkey % 5 = 0 THEN c_custkey % 11 END)::BIGINT AS q FROM customer, base),
+  once AS (SELECT k, p, q, substr(seq, 1, p) || substr('ACGT', l % 4 + 1, 1) || substr(seq, p + 2) AS seq FROM spots),
+  variants AS (SELECT 'V' || k AS id, CASE WHEN q IS NULL THEN seq ELSE substr(seq, 1, q) || 'T' || substr(seq, q + 2) END AS seq FROM once)"""
+
+
+def variants(spark, sf):
+    """(id, seq): as many near copies of one text as there are customers."""
+    base = references(spark, sf).agg(F.repeat(F.min_by("seq", "id"), F.lit(3)).alias("seq"))
+    k, n = F.col("c_custkey"), F.length("seq")
+    put = lambda seq, p, letter: F.concat(F.substr(seq, F.lit(1), p), letter, F.substr(seq, p + 2))
+    spots = table(spark, sf, "customer").select("c_custkey").join(F.broadcast(base)).withColumns({"p": (k * 7 % n).cast("int"), "l": ((F.floor(k / n) + k % 3) % 4 + 1).cast("int"), "q": (k % 11).cast("int")})
+    once = spots.withColumn("seq", put(F.col("seq"), F.col("p"), F.substr(F.lit("ACGT"), F.col("l"), F.lit(1))))
+    return once.select(F.concat(F.lit("V"), k.cast("string")).alias("id"), F.when(k % 5 == 0, put(F.col("seq"), F.col("q"), F.lit("T"))).otherwise(F.col("seq")).alias("seq"))
+
+
+@query(
+    "neighbours_of_variants",
+    f"""WITH {SQL_VARIANTS}, p AS (SELECT a.id AS id, b.id AS neighbour, {_SAME} / greatest(length(a.seq), length(b.seq)) AS identity FROM variants a JOIN variants b ON a.id <> b.id)
+    SELECT id, neighbour, round(identity, 9) AS identity, row_number() OVER (PARTITION BY id ORDER BY identity DESC, neighbour) AS rank FROM p WHERE identity >= 0.98
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY identity DESC, neighbour) <= 3""",
+)
+def _(spark, sf):
+    near = similarity.neighbours(variants(spark, sf), 3, 0.98)
+    return near.withColumn("identity", F.round("identity", 9))
+
+
 # ---- seed search
 
 SQL_HITS = f"""{SQL_SEQS}, {SQL_REFS},
