@@ -6,13 +6,14 @@
    each minimum are kept, packed into eight longs. At a similarity of 0.85 a pair shares no band with
    probability 6e-11, at 0.8 with 5e-8.
 3. In each band bucket every class is compared with the bucket's first and last class. Bit counts of the packed
-   minima estimate the similarity, corrected for chance collisions; pairs more than five standard
-   deviations below the threshold go, the others are confirmed on their full sets.
+   minima estimate the similarity, corrected for chance collisions; likely pairs are confirmed on their full sets.
+   The pair of a bucket of two is confirmed without an estimate.
 4. What is in one component by then needs no further comparison. Buckets that still hold classes of several
-   components are compared in full, in blocks of bounded size, inside the task: only pairs of different
-   components whose estimate passes leave it, and they are confirmed as well. Here the estimate comes from
-   1536 minima of two bits, made only for classes that share a bucket, so that few pairs below the threshold
-   pass even in a cluster of thousands of near copies. No link is left out by a cap.
+   components are compared in full and exactly, in cells of bounded size inside the task, whatever the
+   estimates said: every class travels as its difference from the smallest class of the bucket, which tells
+   the size of any two members' intersection. Only a spanning forest of the links between components leaves a
+   cell, so no join sees the pairs of a cluster. Classes of a bucket's largest component meet only those outside it.
+   No link of two classes that share a bucket is left out, by an estimate or a cap.
 5. Components are contracted by random order in tables; nothing of them reaches the driver.
 """
 
@@ -27,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandtide.llm.common import NOT_SPACE, bit_filter, blocks, distinct_per_text, group_bounds, in_groups, lists, map_batches, mix, passes, row_key, signed
-from strandtide.runtime import cut_lineage
+from strandtide.runtime import cut_lineage, drop_stored
 
 MINIMA, ROWS_PER_BAND, LOW_BITS = 128, 4, 4
-WIDE_MINIMA, WIDE_BITS = 1536, 2
-BLOCK_CLASSES = 512
+# Most classes, and about the most shingles, of one side of a cell.
+BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1 << 21
+CELL_COLUMNS = 4096
 
 
 def _minima(values: np.ndarray, bounds: np.ndarray, count: int) -> np.ndarray:
@@ -152,8 +154,11 @@ def components(edges: DataFrame) -> DataFrame:
         own = both.select("label", F.col("label").alias("to"))
         moves = cut_lineage(both.union(own).groupBy("label").agg(F.min(F.struct(order("to").alias("o"), F.col("to"))).alias("m")).select("label", F.col("m.to").alias("to")))
         left, right = moves.select(F.col("label").alias("a"), F.col("to").alias("na")), moves.select(F.col("label").alias("b"), F.col("to").alias("nb"))
-        edges = cut_lineage(edges.join(left, "a").join(right, "b").where("na != nb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
-        labels = cut_lineage(labels.join(moves, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+        fewer = edges.join(left, "a").join(right, "b").where("na != nb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
+        edges = cut_lineage(fewer, replaces=edges)
+        labels = cut_lineage(labels.join(moves, "label", "left").select("node", F.coalesce("to", "label").alias("label")), replaces=labels)
+        drop_stored(moves)
+    drop_stored(edges)
     return labels
 
 
@@ -161,60 +166,150 @@ def _joined(labels: DataFrame, more: DataFrame) -> DataFrame:
     """`labels` after the further links `more`: only labels that these connect are contracted again."""
     name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
     between = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
-    met = components(between).select(F.col("node").alias("label"), F.col("label").alias("further"))
+    found = components(between)
+    met = found.select(F.col("node").alias("label"), F.col("label").alias("further"))
     known = labels.union(met.select("label", "label")).distinct()
-    return cut_lineage(known.join(met, "label", "left").select("node", F.coalesce("further", "label").alias("label")).distinct())
+    out = cut_lineage(known.join(met, "label", "left").select("node", F.coalesce("further", "label").alias("label")).distinct())
+    drop_stored(found)
+    return out
+
+
+def _common(left: tuple[np.ndarray, np.ndarray, int], right: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+    """How many values each pair of rows shares; a side is (values, row of each value, rows), values distinct in a row."""
+    (a, row_a, n_a), (b, row_b, n_b) = left, right
+    counts = np.zeros((n_a, n_b), dtype=np.float32)
+    both = np.intersect1d(a, b)
+    if not len(both):
+        return counts.astype(np.int64)
+    if left is right:
+        # a value of one row only is shared with none
+        both, often = np.unique(a, return_counts=True)
+        both = both[often > 1]
+    column = lambda v: np.minimum(np.searchsorted(both, v), max(len(both) - 1, 0))
+    at_a, at_b = column(a), column(b)
+    if len(both):
+        in_a, in_b = both[at_a] == a, both[at_b] == b
+        for lo in range(0, len(both), CELL_COLUMNS):
+            sides = []
+            for at, inside, row, n in ((at_a, in_a, row_a, n_a), (at_b, in_b, row_b, n_b)):
+                some = inside & (at >= lo) & (at < lo + CELL_COLUMNS)
+                part = np.zeros((n, min(CELL_COLUMNS, len(both) - lo)), dtype=np.float32)
+                part[row[some], at[some] - lo] = 1
+                sides.append(part)
+            counts += sides[0] @ sides[1].T
+    counts = counts.astype(np.int64)
+    if left is right:
+        np.fill_diagonal(counts, np.bincount(row_a, minlength=n_a))
+    return counts
+
+
+def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs that are left when those that close a circle go."""
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    kept = []
+    for a, b in pairs.tolist():
+        x, y = root(a), root(b)
+        if x != y:
+            parent[x] = y
+            kept.append((a, b))
+    return kept
+
+
+def _cell_links(label, n, delta, of, left, right, percent: int) -> list[tuple[int, int]]:
+    """Pairs of labels, without circles, that a link between `left` and `right` connects.
+
+    With differences from one base, sets of n and m shingles differ in |x| + |y| - 2 |x and y| shingles, and they are
+    linked if 100 + percent times that is at most 100 - percent times n + m.
+    """
 
+    def side(rows):
+        sizes = of[rows + 1] - of[rows]
+        at = np.arange(sizes.sum()) + np.repeat(of[rows] - (np.cumsum(sizes) - sizes), sizes)
+        return delta[at], np.repeat(np.arange(len(rows)), sizes), len(rows)
 
-def _within_buckets(open_rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket with different labels whose sizes and packed minima pass, found block against block."""
-    floor, chance = estimate_floor(percent, WIDE_MINIMA, WIDE_BITS), 1 / (1 << WIDE_BITS)
-    most = int(WIDE_MINIMA * (1 - (floor * (1 - chance) + chance)))
-    pairs_of_bits = np.uint64(0x5555555555555555)
+    one = side(left)
+    two = one if right is left else side(right)
+    differ = (of[left + 1] - of[left])[:, None] + (of[right + 1] - of[right])[None, :] - 2 * _common(one, two)
+    linked = differ * (100 + percent) <= (n[left][:, None] + n[right][None, :]) * (100 - percent)
+    x, y = np.nonzero(linked & (label[left][:, None] != label[right][None, :]))
+    pairs = np.stack([label[left][x], label[right][y]], axis=1)
+    return _forest(np.unique(np.sort(pairs, axis=1), axis=0)) if len(pairs) else []
 
-    def pairs_of(sig, n, label, left, right):
-        x = sig[left][:, None, :] ^ sig[right][None, :, :]
-        differ = np.bitwise_count((x | (x >> np.uint64(1))) & pairs_of_bits).sum(axis=2)
-        small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
-        return np.nonzero((differ <= most) & (label[left][:, None] != label[right][None, :]) & (small * 100 >= large * percent))
+
+def _within_buckets(labelled: DataFrame, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between labels, a spanning forest for each cell, of all classes that share a bucket.
+
+    `labelled` has bucket, node, n_shingles, label. Classes outside a bucket's largest label meet each other and
+    those of the largest label, block against block; a class is copied once for each block it meets.
+    """
+    per_label = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    top = F.max(F.struct("n", "s", "label"))
+    several = per_label.groupBy("bucket").agg(top.alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s")).where("n > top.n")
+    blocks_of = lambda n, s: F.ceil(F.greatest(n / BLOCK_CLASSES, s / BLOCK_SHINGLES)).cast("int")
+    several = several.select(
+        "bucket",
+        F.col("top.label").alias("most"),
+        blocks_of(F.col("top.n"), F.col("top.s")).alias("n_most"),
+        blocks_of(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("n_rest"),
+    )
+    members = cut_lineage(labelled.join(several, "bucket").join(buckets.select("bucket", "base"), "bucket"))
+    own = sets.select("node", F.col("hashes").alias("own"))
+    base = members.select("bucket", "base").distinct().join(sets.select(F.col("node").alias("base"), "hashes"), "base").select("bucket", F.col("hashes").alias("of_base"))
+    # equal rows of (node, bucket) are one: `labelled` has each class once in a bucket
+    full = members.join(own.hint("merge"), "node").join(base.hint("merge"), "bucket")
+    placed = full.select(
+        "bucket",
+        "label",
+        "n_shingles",
+        (F.col("label") == F.col("most")).alias("big"),
+        "n_most",
+        "n_rest",
+        F.concat(F.array_except("own", "of_base"), F.array_except("of_base", "own")).alias("delta"),
+        F.pmod(F.xxhash64("node"), F.when(F.col("label") == F.col("most"), F.col("n_most")).otherwise(F.col("n_rest"))).cast("int").alias("block"),
+    )
+    cell = lambda with_most, i, j: F.struct(F.lit(with_most).alias("with_most"), i.alias("i"), j.alias("j"))
+    rest, most = F.sequence(F.lit(0), F.col("n_rest") - 1), F.sequence(F.lit(0), F.col("n_most") - 1)
+    cells = F.when(F.col("big"), F.transform(rest, lambda i: cell(True, i, F.col("block")))).otherwise(
+        F.concat(F.transform(rest, lambda k: cell(False, F.least("block", k), F.greatest("block", k))), F.transform(most, lambda j: cell(True, F.col("block"), j)))
+    )
+    dealt = placed.withColumn("cell", F.explode(cells)).select("bucket", "cell.*", "big", "block", "label", "n_shingles", "delta")
+    keys = ["bucket", "with_most", "i", "j"]
 
     def run(batches):
-        for table in in_groups(batches, ["bucket", "i", "j"]):
-            node, n, label, block = (table.column(c).to_numpy() for c in ("node", "n_shingles", "label", "block"))
-            i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-            bands = pc.list_flatten(table.column("bands")).to_numpy().reshape(-1, MINIMA // ROWS_PER_BAND)
-            bucket = table.column("bucket").to_numpy()
-            sig = pc.list_flatten(table.column("wide")).to_numpy().reshape(-1, WIDE_MINIMA * WIDE_BITS // 64).view(np.uint64)
-            bounds = group_bounds(table, ["bucket", "i", "j"])
+        for table in in_groups(batches, keys):
+            label, n, block, i, j = (table.column(c).to_numpy() for c in ("label", "n_shingles", "block", "i", "j"))
+            big, with_most = (table.column(c).to_numpy() for c in ("big", "with_most"))
+            lists_of = table.column("delta").combine_chunks()
+            delta = lists_of.flatten().to_numpy()
+            of = np.concatenate([np.zeros(1, np.int64), np.cumsum(pc.list_value_length(lists_of).to_numpy())])
+            bounds = group_bounds(table, keys)
             found = []
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                if hi - lo < 2:
-                    continue
                 at = np.arange(lo, hi)
-                left, right = at[block[lo:hi] == i[lo]], at[block[lo:hi] == j[lo]]
-                for k in range(0, len(left), 16):
-                    x, y = pairs_of(sig, n, label, left[k : k + 16], right)
-                    x, y = left[k + x], right[y]
-                    # a pair that meets in several buckets is named in that of its first common band
-                    first = (bands[x] == bands[y]).argmax(axis=1)
-                    own = (bands[x, first] == bucket[lo]) & ((i[lo] != j[lo]) | (node[x] < node[y]))
-                    found.append(np.stack([node[x[own]], node[y[own]]]))
+                if with_most[lo]:
+                    left, right = at[~big[lo:hi]], at[big[lo:hi]]
+                else:
+                    left = at[block[lo:hi] == i[lo]]
+                    right = left if i[lo] == j[lo] else at[block[lo:hi] == j[lo]]
+                if len(left) and len(right):
+                    found += _cell_links(label, n, delta, of, left, right, percent)
             if found:
-                a, b = np.concatenate(found, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    # each member goes to the block pairs it takes part in: one, unless a bucket exceeds BLOCK_CLASSES
-    nb = F.ceil(F.col("members") / BLOCK_CLASSES).cast("int")
-    dealt = (
-        open_rows.withColumn("block", F.pmod(F.xxhash64("node"), nb).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), nb - 1)))
-        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n_shingles", "label", "wide", "bands")
-    )
-    return map_batches(dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), run, "a long, b long")
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    links = cut_lineage(map_batches(dealt.repartition(*keys).sortWithinPartitions(*keys), run, "a long, b long"))
+    drop_stored(members)
+    return links
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """Full sets and wide signatures of the classes in `nodes` (node, row of one member), from one more pass over the texts.
+    """Full sets of the classes in `nodes` (node, row of one member), from one more pass over the texts.
 
     A bitmap of fixed size over the members' row keys thins out the texts; the join is exact.
     """
@@ -225,12 +320,10 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             keep = passes(cells, batch.column("row").to_numpy().view(np.uint64))
             batch = batch.filter(pa.array(keep))
             for lo, hi, values, bounds in shingle_sets(batch.column("text"), words):
-                wide = _packed(_minima(values, bounds, WIDE_MINIMA), WIDE_BITS)
-                per = np.arange(hi - lo + 1) * wide.shape[1]
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), lists(signed(values), bounds), lists(signed(wide.ravel()), per)], names=["row", "hashes", "wide"])
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), lists(signed(values), bounds)], names=["row", "hashes"])
 
-    sets = map_batches(docs.select(row_key().alias("row"), "text"), run, "row long, hashes array<long>, wide array<long>")
-    return sets.join(nodes, "row").dropDuplicates(["node"]).select("node", "hashes", "wide")
+    sets = map_batches(docs.select(row_key().alias("row"), "text"), run, "row long, hashes array<long>")
+    return sets.join(nodes, "row").dropDuplicates(["node"]).select("node", "hashes")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -241,7 +334,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     whether it is the row's own. `row` is `common.row_key()`. Rows without words or text are linked with nothing.
     Rows of equal id and text are alike, so all or none of them are kept. A row without id joins its class,
     and is kept only if no member of its component has an id. Other columns are ignored; an empty table
-    gives an empty result.
+    gives an empty result. Two stored tables stay, which the result reads; all others are deleted.
     """
     marks = cut_lineage(fingerprints(docs, words))
     classes = cut_lineage(
@@ -249,36 +342,43 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .groupBy("node", "check", "n_shingles")
         .agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row"), F.first("packed").alias("packed"), F.first("bands").alias("bands"))
     )
-    rows = classes.select("node", F.explode("bands").alias("bucket"))
-    buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("lead"), F.max("node").alias("last")).where("members > 1")
-    shared = cut_lineage(rows.join(buckets, "bucket"))
+    rows = classes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
+    smallest = F.min(F.struct("n_shingles", "node"))["node"]
+    buckets = cut_lineage(
+        rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("lead"), F.max("node").alias("last"), smallest.alias("base")).where("members > 1")
+    )
+    shared = cut_lineage(rows.join(buckets.drop("base"), "bucket"))
     in_buckets = classes.join(shared.select("node").distinct(), "node", "left_semi")
-    slim = cut_lineage(in_buckets.select("node", "n_shingles", "packed", "bands", "row"))
+    slim = cut_lineage(in_buckets.select("node", "n_shingles", "packed", "row"))
     sets = cut_lineage(_sets_of(docs, slim.select("node", "row"), words))
 
-    pair = lambda end: shared.where(F.col("node") != F.col(end)).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b"))
-    stars = pair("lead").union(pair("last")).distinct()
+    def pair(end):
+        ends = [F.least("node", end).alias("a"), F.greatest("node", end).alias("b")]
+        return shared.where(F.col("node") != F.col(end)).select(*ends, (F.col("members") == 2).alias("only"))
+
+    stars = pair("lead").union(pair("last")).groupBy("a", "b").agg(F.max("only").alias("only"))
     side = lambda c: slim.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("packed").alias(f"packed_{c}"))
     likely = (
         stars.join(side("a"), "a")
         .join(side("b"), "b")
-        .where(_similar_sizes(F.col("n_a"), F.col("n_b"), percent) & (estimate("packed_a", "packed_b") >= F.lit(estimate_floor(percent))))
+        .where(_similar_sizes(F.col("n_a"), F.col("n_b"), percent) & (F.col("only") | (estimate("packed_a", "packed_b") >= F.lit(estimate_floor(percent)))))
         .select("a", "b")
     )
     links = cut_lineage(confirm(likely, sets, percent))
     labels = components(links)
 
-    labelled = shared.join(labels, "node", "left").select("bucket", "members", "node", F.coalesce("label", "node").alias("label"))
-    several = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("bucket")
-    # in a bucket of two the only pair has been compared
-    open_rows = labelled.where("members > 2").join(several, "bucket", "left_semi").join(slim.select("node", "n_shingles", "bands"), "node").join(sets.select("node", "wide"), "node")
-    more = cut_lineage(confirm(_within_buckets(open_rows, percent), sets, percent))
+    # the pair of a bucket of two has been confirmed or refused
+    labelled = shared.where("members > 2").join(labels, "node", "left").select("bucket", "node", "n_shingles", F.coalesce("label", "node").alias("label"))
+    more = _within_buckets(labelled, buckets, sets, percent)
     if not more.isEmpty():
-        labels = _joined(labels, more)
+        before, labels = labels, _joined(labels, more)
+        drop_stored(before)
 
     whole = classes.select("node", "check", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = whole.groupBy("label").agg(F.min("least_id").alias("component_id"))
     of_class = cut_lineage(whole.join(least, "label").select("node", "check", "component_id"))
+    for used in (classes, buckets, shared, slim, sets, links, labels, more):
+        drop_stored(used)
     linked = marks.where("n_shingles > 0").select("row", "doc_id", "n_shingles", "node", "check").join(of_class, ["node", "check"])
     alone = marks.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["row", "doc_id", "n_shingles", "component_id"]
@@ -291,8 +391,10 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     Rows without words stay. Columns are those of `docs`, whatever their names.
     """
     kept = near_duplicates(docs, words, percent).where("kept")
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("row"))
-    plain = cut_lineage(kept.groupBy("row").agg(F.max("n_shingles").alias("n_shingles")))
+    # rows are told apart by their id and a hash: two keys of 64 bits
+    identity = lambda c: F.struct(F.col(c).isNull().alias("none"), F.coalesce(F.col(c).cast("long"), F.lit(0)).alias("id"))
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("row"), identity("doc_id").alias("identity"))
+    plain = cut_lineage(kept.groupBy("row", identity("doc_id").alias("identity")).agg(F.max("n_shingles").alias("n_shingles")))
     # the join and the choice of one among equal rows both go by `row`, so texts are shuffled once
-    joined = marked.join(plain, "row").withColumn("copy", F.when(F.col("n_shingles") == 0, F.monotonically_increasing_id()).otherwise(F.lit(0)))
-    return joined.dropDuplicates(["row", "copy"]).select("doc.*")
+    joined = marked.join(plain, ["row", "identity"]).withColumn("copy", F.when(F.col("n_shingles") == 0, F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    return joined.dropDuplicates(["row", "identity", "copy"]).select("doc.*")
