@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandtide.names import quoted
-from strandtide.runtime import cut_lineage, drop_folder, fresh_path
+from strandtide.operators.parsimony import by_contraction
+from strandtide.runtime import cut_lineage, drop_folder, drop_stored, fresh_path
 
 MAX_ROUNDS = 64  # doubling covers 2**64 levels; only a cycle runs longer
+SHALLOW_ROUNDS = 4  # up to so many doublings a tree counts as shallow
 
 
 def _double(state: DataFrame, carry: dict[str, callable]) -> DataFrame:
@@ -53,6 +55,17 @@ def root_paths(tree: DataFrame) -> DataFrame:
     return _to_root(state, {"depth": plus, "divergence": plus})
 
 
+def shallow_depths(tree: DataFrame, rounds: int = SHALLOW_ROUNDS) -> DataFrame | None:
+    """(node, depth) if no path is longer than 2 ** rounds edges, else nothing."""
+    state = cut_lineage(tree.select("node", F.col("parent").alias("ptr"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("int").alias("depth")))
+    for _ in range(rounds + 1):
+        if state.filter(F.col("ptr").isNotNull()).isEmpty():
+            return state.drop("ptr")
+        state = cut_lineage(_double(state, {"depth": lambda a, b: a + F.coalesce(b, F.lit(0))}), replaces=state)
+    drop_stored(state)
+    return None
+
+
 def with_parents(tree: DataFrame) -> DataFrame:
     """Node, parent and depth."""
     return tree.select("node", "parent").join(root_paths(tree).select("node", "depth"), "node")
@@ -139,17 +152,26 @@ UNKNOWN_STATES = ("N", "X", "?", "-")
 
 
 def parsimony_states(tree: DataFrame, tips: DataFrame, by: Sequence[str] = (), unknown: Sequence[str] = UNKNOWN_STATES) -> DataFrame:
-    """States of all nodes by two passes over the levels: (node, *by, state).
+    """States of all nodes by two passes: (node, *by, state).
 
     Up: a node keeps the states that most of its children hold. Down: the parent's state if the node
     has it, else the first in the alphabet. `tips` has (node, *by, state); `by` may name sites or
-    trait columns, which are then handled together. Nodes without any informed tip are absent. Rounds follow the
-    depth of the tree: a vote depends on all votes below it.
+    trait columns, which are then handled together. Nodes without any informed tip are absent, and tips that the tree
+    lacks are left out. A shallow tree takes a round for each level; beyond 2 ** SHALLOW_ROUNDS levels the tree is
+    contracted, in rounds that follow the logarithm of its nodes. The stored table behind the result stays below the
+    shared folder.
     """
-    by, spark = list(by), tree.sparkSession
-    rooted = with_parents(tree)
-    placed = _Levels(spark, "levels").store(rooted)
     informed = tips.filter(F.col("state").isNotNull() & ~F.col("state").isin(list(unknown)))
+    depths = shallow_depths(tree)
+    if depths is None:
+        return by_contraction(tree, informed.select("node", *by, F.col("state").cast("string").alias("state")), by)
+    return _by_levels(tree.select("node", "parent").join(depths, "node"), informed, list(by))
+
+
+def _by_levels(rooted: DataFrame, informed: DataFrame, by: list[str]) -> DataFrame:
+    """The two passes level by level over tables stored by depth; `rooted` has node, parent, depth."""
+    spark = rooted.sparkSession
+    placed = _Levels(spark, "levels").store(rooted)
     tip_sets = _Levels(spark, "tips").store(informed.join(placed.everything(), "node").select("node", "parent", "depth", *by, "state").distinct())
     sets, chosen = _Levels(spark, "sets"), _Levels(spark, "chosen")
     deepest = placed.everything().agg(F.max("depth").alias("d")).first()["d"] or 0

@@ -245,6 +245,30 @@ def _(spark, sf):
     return treeops.parsimony_states(t, first.unionByName(second), ["site"], unknown=("5-LOW", "X"))
 
 
+# a ladder of all events: every rung has one tip and the next rung, two columns of states
+SQL_LADDER = """st AS (SELECT event_id AS e, 'type' AS site, event_type AS s FROM events UNION ALL SELECT event_id, 'size', CASE WHEN value >= 2 THEN CASE WHEN value > 20 THEN 'high' ELSE 'low' END END FROM events),
+  up(e, site, s) AS (SELECT e, site, CASE WHEN s IS NULL THEN []::VARCHAR[] ELSE [s] END FROM st WHERE e = (SELECT max(event_id) FROM events)
+    UNION ALL SELECT st.e, st.site, CASE WHEN st.s IS NULL THEN up.s WHEN list_contains(up.s, st.s) THEN [st.s] ELSE list_append(up.s, st.s) END FROM up JOIN st ON st.e = up.e - 1 AND st.site = up.site),
+  down(e, site, s) AS (SELECT e, site, list_min(s) FROM up WHERE e = (SELECT min(event_id) FROM events)
+    UNION ALL SELECT u.e, u.site, CASE WHEN list_contains(u.s, d.s) THEN d.s ELSE list_min(u.s) END FROM down d JOIN up u ON u.e = d.e + 1 AND u.site = d.site)"""
+
+
+@query(
+    "parsimony_ladder",
+    f"WITH RECURSIVE {SQL_LADDER} SELECT 'I' || e AS node, site, s AS state FROM down WHERE s IS NOT NULL UNION ALL SELECT 'T' || e, site, s FROM st WHERE s IS NOT NULL",
+)
+def _(spark, sf):
+    e = table(spark, sf, "events")
+    name = lambda letter, n: F.concat(F.lit(letter), n.cast("string"))
+    k = F.col("event_id")
+    first = F.lit(e.agg(F.min("event_id")).first()[0])
+    rungs = e.select(name("I", k).alias("node"), F.when(k > first, name("I", k - 1)).alias("parent"))
+    leaves = e.select(name("T", k).alias("node"), name("I", k).alias("parent"))
+    size = F.when(F.col("value") >= 2, F.when(F.col("value") > 20, "high").otherwise("low"))
+    tips = e.select(name("T", k).alias("node"), F.lit("type").alias("site"), F.col("event_type").alias("state")).unionByName(e.select(name("T", k).alias("node"), F.lit("size").alias("site"), size.alias("state")))
+    return treeops.parsimony_states(rungs.unionByName(leaves), tips, ["site"])
+
+
 @query(
     "clock_filter",
     """WITH t AS (SELECT o_orderkey, o_totalprice / 100000.0::DOUBLE - 0.004::DOUBLE * round_even(year(o_orderdate) + (month(o_orderdate) - 1) / 12 + (day(o_orderdate) - 1) / 365.25, 2) AS d FROM orders),
