@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandtide.names import quoted
 from strandtide.functions import sequence as seqfn
 from strandtide.operators.dedup import best_hit
+from strandtide.operators.diagonals import BASES, MOST_K, NOT_HERE, NOT_THERE, by_join, in_task, letter_code
 
 # Search threshold and ungapped scoring.
 MAX_EVALUE = 0.0005
@@ -20,7 +21,7 @@ HIT_COLUMNS = (
     "qseqid sseqid pident length mismatch gapopen qstart qend sstart send evalue bitscore qcovs".split()
 )
 CHUNK_LETTERS = 20_000
-# Most reference letters whose k-mers may be broadcast (about 60 bytes each once hashed).
+# Most reference letters that may travel with a job (about 50 bytes each once indexed).
 BROADCAST_LETTERS = 2_000_000
 
 
@@ -34,42 +35,58 @@ def _distinct_sequences(seqs: DataFrame) -> DataFrame:
     return seqs.select(sequence_key("seq"), "seq").groupBy("key").agg(F.first("seq").alias("seq"))
 
 
-def seed_table(seqs: DataFrame, key: str, k: int) -> DataFrame:
-    """One row per k-mer occurrence: (key, pos, kmer); positions are 1-based, k-mers hold ACGT only.
+def pieces_of(seqs: DataFrame, key: str, k: int) -> DataFrame:
+    """(key, from, raw, qlen): sequences of k letters or more as bytes, in chunks that overlap by k - 1 letters.
+
+    No list of positions, and no task, follows the length of one sequence: chunks of long ones are spread over the tasks.
+    """
+    letters = seqs.select(key, F.encode("seq", "utf-8").alias("_raw")).filter(F.length("_raw") >= k).withColumn("qlen", F.length("_raw"))
+    whole = letters.filter(F.col("qlen") < CHUNK_LETTERS + k).select(key, F.lit(0).alias("from"), F.col("_raw").alias("raw"), "qlen")
+    long = letters.filter(F.col("qlen") >= CHUNK_LETTERS + k)
+    cut = long.withColumn("from", F.explode(F.sequence(F.lit(0), F.col("qlen") - k, F.lit(CHUNK_LETTERS))))
+    chunks = cut.select(key, "from", F.substr("_raw", F.col("from") + 1, F.lit(CHUNK_LETTERS + k - 1)).alias("raw"), "qlen")
+    return whole.unionByName(chunks.repartition(key, "from"))
+
+
+def kmer_table(seqs: DataFrame, key: str, k: int, absent: int) -> DataFrame:
+    """One row per k-mer of ACGT: (key, pos, kmer, before, behind); the codes of the letters beside it, `absent` at a chunk's ends.
 
     Slices are taken from bytes, where they are constant-time; slices of text walk it from its start.
     """
-    letters = seqs.select(
+    placed = pieces_of(seqs, key, k).withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("raw") - k + 1)))
+    letter = lambda at: F.when((at >= 1) & (at <= F.length("raw")), F.substr("raw", at, F.lit(1)).cast("string"))
+    cut = placed.select(
         key,
-        F.encode("seq", "utf-8").alias("_raw"),
-        (F.length(F.translate("seq", "ACGT", "")) == 0).alias("_plain"),
-    ).filter(F.length("_raw") >= k)
-    # first into chunks that overlap by k - 1 letters, spread over the tasks: no list of positions, and no task, follows
-    # the length of one sequence
-    last = F.length("_raw") - k
-    chunks = letters.withColumn("_from", F.explode(F.sequence(F.lit(0), last, F.lit(CHUNK_LETTERS))))
-    pieces = chunks.select(key, "_from", F.substr("_raw", F.col("_from") + 1, F.lit(CHUNK_LETTERS + k - 1)).alias("_raw"), "_plain")
-    placed = pieces.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_raw") - k + 1)))
-    cut = placed.select(key, (F.col("_from") + F.col("_at")).alias("pos"), F.substr("_raw", F.col("_at"), F.lit(k)).alias("kmer"), "_plain")
-    # sequences of nothing but ACGT need no check per slice
-    clean = F.col("_plain") | (F.length(F.translate(F.col("kmer").cast("string"), "ACGT", "")) == 0)
-    return cut.filter(clean).select(key, "pos", "kmer")
-
-
-def segments(queries: DataFrame, refs: DataFrame, k: int = 11) -> DataFrame:
-    """Ungapped segments per (query, reference, diagonal): seeds closer than k letters are joined."""
-    small = (refs.agg(F.sum(F.length("seq")).alias("n")).first()["n"] or 0) <= BROADCAST_LETTERS
-    ref_seeds = seed_table(refs, "id", k).select(F.col("id").alias("sseqid"), F.col("pos").alias("spos"), "kmer")
-    ref_seeds = F.broadcast(ref_seeds) if small else ref_seeds.hint("merge")
-    seeds = seed_table(queries, "key", k).join(ref_seeds, "kmer")
-    line = seeds.select("key", "sseqid", (F.col("spos") - F.col("pos")).alias("diag"), F.col("pos").alias("qpos"))
-    w = Window.partitionBy("key", "sseqid", "diag").orderBy("qpos")
-    fresh = F.coalesce((F.col("qpos") - F.lag("qpos").over(w) > 2 * k).cast("int"), F.lit(1))
+        (F.col("from") + F.col("_at")).alias("pos"),
+        F.substr("raw", F.col("_at"), F.lit(k)).alias("kmer"),
+        letter_code(letter(F.col("_at") - 1), absent).alias("before"),
+        letter_code(letter(F.col("_at") + k), absent).alias("behind"),
+    )
+    return cut.filter(F.length(F.translate(F.col("kmer").cast("string"), BASES, "")) == 0)
+
+
+def segments(queries: DataFrame, refs: DataFrame, k: int = 11, decay: float = 0.0, ceiling: float = math.inf) -> DataFrame:
+    """Ungapped segments per (query, reference, diagonal) of (key, seq) queries: seeds at most 2 k letters apart are joined.
+
+    Runs of seeds are made as a whole (`diagonals`). With `ceiling`, segments for which query letters * reference letters *
+    exp(-decay * length) exceeds it are dropped where they are found. Few references travel with the job; many are
+    joined by k-mer and the letter beside it.
+    """
+    letters = refs.agg(F.sum(F.length("seq")).alias("n")).first()["n"] or 0
+    if letters <= BROADCAST_LETTERS and k <= MOST_K:
+        listed = [(r["id"], r["seq"]) for r in refs.select("id", "seq").dropna().collect()]  # at most BROADCAST_LETTERS letters
+        runs = in_task(pieces_of(queries, "key", k), listed, k, letters, decay, ceiling, CHUNK_LETTERS)
+    else:
+        ref_side = kmer_table(refs, "id", k, NOT_THERE).withColumnRenamed("id", "sseqid")
+        runs = by_join(kmer_table(queries, "key", k, NOT_HERE), ref_side)
+    # runs that chunks have cut, or that lie close together, are one segment
+    w = Window.partitionBy("key", "sseqid", "diag").orderBy("first")
+    fresh = F.coalesce((F.col("first") - F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1)) > 2 * k).cast("int"), F.lit(1))
     return (
-        line.withColumn("_new", fresh)
+        runs.withColumn("_new", fresh)
         .withColumn("_seg", F.sum("_new").over(w))
         .groupBy("key", "sseqid", "diag", "_seg")
-        .agg(F.min("qpos").cast("int").alias("qstart"), (F.max("qpos") + k - 1).cast("int").alias("qend"))
+        .agg(F.min("first").cast("int").alias("qstart"), (F.max("last") + k - 1).cast("int").alias("qend"))
         .drop("_seg")
     )
 
@@ -86,8 +103,8 @@ def kmer_hits(
 ) -> DataFrame:
     """Ungapped local hits of (id, seq, ord) queries on (id, seq) references, in the 13-column hit shape plus `ord`.
 
-    Seeds are an equi join on k-mers. The reference side is broadcast only when its letters are few
-    enough; beyond that it is a sort-merge join, whose hot k-mers the adaptive planner splits.
+    Runs of equal k-mers are found as a whole, inside the tasks when the references have few letters, by a
+    sort-merge join beyond that, and only segments that can reach the threshold leave the task (`segments`).
     """
     keyed = queries.select("id", sequence_key("seq"))
     distinct = _distinct_sequences(queries)
@@ -95,7 +112,7 @@ def kmer_hits(
     # the best a segment can do is to match throughout, and its query is at least qend letters long:
     # segments that fail even so, nearly all of them, are dropped before any sequence is joined
     best_case = kappa * F.col("qend") * db_letters * F.exp(-lam * match * (F.col("qend") - F.col("qstart") + 1))
-    found = segments(distinct, refs.select("id", "seq"), k).filter(best_case <= max_evalue)
+    found = segments(distinct, refs.select("id", "seq"), k, lam * match, max_evalue / kappa).filter(best_case <= max_evalue)
     placed = found.join(distinct, "key").join(
         refs.select(F.col("id").alias("sseqid"), F.col("seq").alias("_ref")), "sseqid"
     )

@@ -234,7 +234,7 @@ def _(spark, sf):
 
 # ---- seed search
 
-SQL_HITS = f"""{SQL_SEQS}, {SQL_REFS},
+_SQL_SEARCH = """
   qs AS (SELECT id, unnest(range(1, length(seq) - 9)) AS pos, seq FROM seqs WHERE length(seq) >= 11),
   rs AS (SELECT id, unnest(range(1, length(seq) - 9)) AS pos, seq FROM refs WHERE length(seq) >= 11),
   qk AS (SELECT id, pos, substr(seq, pos, 11) AS kmer FROM qs), rk AS (SELECT id, pos, substr(seq, pos, 11) AS kmer FROM rs),
@@ -251,6 +251,7 @@ SQL_HITS = f"""{SQL_SEQS}, {SQL_REFS},
     CAST(qs + diag AS INTEGER) AS sstart, CAST(qe + diag AS INTEGER) AS send, ev AS evalue, round_even((0.625::DOUBLE * score - ln(0.41::DOUBLE)) / ln(2.0::DOUBLE), 1) AS bitscore, CAST(floor(100.0::DOUBLE * covered / qlen) AS INTEGER) AS qcovs
     FROM good JOIN cover USING (q, r)),
   best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY qseqid ORDER BY length DESC, evalue, sseqid || '|' || lpad(CAST(qstart AS VARCHAR), 9, '0') || '|' || lpad(CAST(sstart AS VARCHAR), 9, '0')) = 1)"""
+SQL_HITS = f"{SQL_SEQS}, {SQL_REFS},{_SQL_SEARCH}"
 
 
 def search_hits(spark, sf):
@@ -263,6 +264,22 @@ def kmer_hits(spark, sf):
     return hits.withColumn("log_evalue", F.round(F.log10("evalue"), 6)).drop("evalue")
 
 
+# one letter many times over on both sides: nations of many customers against regions of many suppliers
+SQL_HOMOPOLYMERS = """seqs AS (SELECT 'N' || c_nationkey AS id, repeat(substr('ACGT', (c_nationkey % 4 + 1)::BIGINT, 1), 12 * count(*)) AS seq, c_nationkey AS ord FROM customer GROUP BY c_nationkey),
+  refs AS (SELECT 'R' || r_regionkey AS id, repeat(substr('ACGT', (r_regionkey % 4 + 1)::BIGINT, 1), 6 * count(*)) || 'GATTACA' AS seq FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_regionkey)"""
+
+
+@query("kmer_hits_of_repeats", f"WITH {SQL_HOMOPOLYMERS},{_SQL_SEARCH} SELECT qseqid, sseqid, pident, length, mismatch, gapopen, qstart, qend, sstart, send, round(log10(evalue), 6) AS log_evalue, bitscore, qcovs FROM hits")
+def _(spark, sf):
+    c, s, n = (table(spark, sf, t) for t in ("customer", "supplier", "nation"))
+    letter = lambda key: F.substr(F.lit("ACGT"), (F.col(key) % 4 + 1).cast("int"), F.lit(1))
+    name = lambda first, key: F.concat(F.lit(first), F.col(key).cast("string")).alias("id")
+    seqs = c.groupBy("c_nationkey").agg(F.count("*").cast("int").alias("k")).select(name("N", "c_nationkey"), F.repeat(letter("c_nationkey"), F.col("k") * 12).alias("seq"))
+    by_region = s.join(n, s.s_nationkey == n.n_nationkey).groupBy("n_regionkey").agg(F.count("*").cast("int").alias("k"))
+    refs = by_region.select(name("R", "n_regionkey"), F.concat(F.repeat(letter("n_regionkey"), F.col("k") * 6), F.lit("GATTACA")).alias("seq"))
+    return seeds.kmer_hits(seqs, refs).withColumn("log_evalue", F.round(F.log10("evalue"), 6)).drop("evalue")
+
+
 @query("best_hit", f"WITH {SQL_HITS} SELECT qseqid, sseqid, length, qstart, sstart FROM best")
 def _(spark, sf):
     return dedup.best_hit(search_hits(spark, sf)).select("qseqid", "sseqid", "length", "qstart", "sstart")
