@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandtide.functions import sequence as seqfn
+from strandtide.functions.binding import bind
 from strandtide.functions.text import record_url
 from strandtide.operators.dedup import keep_first
 from strandtide.names import quoted
@@ -27,7 +28,8 @@ EPITOPES = {
 ESCAPE_PAIRS = ("SA", "TA", "TX", "TS", "SS", "XX")
 EPITOPE_MIN_COUNT = 6
 UNASSIGNED = "unassigned"
-MOST_SITES = 5000
+# Sites looked up from one copy of a sequence; a longer list takes several.
+SITES_AT_ONCE = 4096
 
 
 def inherited_rules(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,43 +80,62 @@ def site_states(seqs: DataFrame, sites: Sequence[tuple[str, int]], proteins: Map
     return seqs.select("id", F.inline(F.array(*cells))).filter(F.col("alt") != "")
 
 
+def site_blocks(sites: DataFrame, name: str) -> DataFrame:
+    """(name, sites): the sites of each name in blocks of at most SITES_AT_ONCE, from (name, site)."""
+    block = F.floor((F.col("site") - 1) / SITES_AT_ONCE)
+    return sites.groupBy(name, block.alias("_block")).agg(F.array_sort(F.collect_set("site")).alias("sites")).drop("_block")
+
+
+def site_states_of(seqs: DataFrame, sites: DataFrame, proteins: Mapping[str, tuple[int, int]]) -> DataFrame:
+    """`site_states` for a table of sites (gene, site) of any length.
+
+    The sites are a stated set, which every sequence looks up block by block; only the letters there leave its row.
+    """
+    blocks = broadcast_when_small(cut_lineage(site_blocks(sites.distinct(), "gene")))
+    text = F.when(F.col("gene") == "nuc", F.col("seq"))
+    for gene, (lo, hi) in proteins.items():
+        text = text.when(F.col("gene") == gene, seqfn.translate_seq(F.substr("seq", F.lit(lo), F.lit(hi - lo + 1))))
+    cells = bind(
+        F.struct(F.encode(text, "utf-8").alias("raw"), F.col("sites").alias("sites")),
+        lambda x: F.transform(x["sites"], lambda s: F.struct(s.alias("site"), F.when(s >= 1, F.substr(x["raw"], s, F.lit(1)).cast("string")).alias("alt"))),
+    )
+    return seqs.select("id", "seq").crossJoin(blocks).select("id", "gene", F.inline(cells)).filter("alt <> ''")
+
+
 def clades_held(states: DataFrame, rules: DataFrame) -> DataFrame:
     """Every clade whose rules all hold for an id, with its depth.
 
-    The rules of a clade are numbered; an id has the clade when it meets all numbers. Sets of numbers
-    are combined before the one shuffle by (id, clade) and are never longer than the clade's rules.
+    The rules of a clade are numbered; an id has the clade when it meets all numbers. Numbers are bits of words that are or-ed
+    before the shuffle, 63 to a word, so neither a repeated state nor a clade of very many rules makes a long set.
     """
     needed, depth = inherited_rules(rules)
     per_clade = Window.partitionBy("clade")
     numbered = needed.withColumns(
-        {"_i": F.row_number().over(per_clade.orderBy("gene", "site", "alt")), "_wanted": F.count(F.lit(1)).over(per_clade)}
+        {"_i": F.row_number().over(per_clade.orderBy("gene", "site", "alt")) - 1, "_wanted": F.count(F.lit(1)).over(per_clade)}
     ).join(depth, "clade")
     # a curated list as a rule, so that states need no shuffle by site; its size is checked all the same
     small = broadcast_when_small(cut_lineage(numbered))
-    met = (
+    word, bit = F.floor(F.col("_i") / 63).alias("_word"), F.expr("shiftleft(1L, cast(_i % 63 as int))")
+    words = (
         states.join(small, ["gene", "site", "alt"])
-        .groupBy("id", "clade")
-        .agg(F.size(F.collect_set("_i")).alias("_met"), F.first("_wanted").alias("_wanted"), F.first("depth").alias("depth"))
+        .groupBy("id", "clade", word)
+        .agg(F.bit_or(bit).alias("_bits"), F.first("_wanted").alias("_wanted"), F.first("depth").alias("depth"))
     )
+    met = words.groupBy("id", "clade").agg(F.sum(F.bit_count("_bits")).alias("_met"), F.first("_wanted").alias("_wanted"), F.first("depth").alias("depth"))
     return met.filter("_met = _wanted").select("id", "clade", "depth")
 
 
 def clades_from_table(seqs: DataFrame, rules: DataFrame, proteins: Mapping[str, tuple[int, int]]) -> DataFrame:
     """The most derived clade of every sequence, straight from a rule table (clade, gene, site, alt).
 
-    The sites to look at are those of the table, a curated list whose size is checked; genes other than `nuc` must be
-    in `proteins`. Only letters at those sites leave a sequence's row.
+    The sites to look at are those of the table, however many it has; genes other than `nuc` must be in `proteins`. Only
+    letters at those sites leave a sequence's row.
     """
-    needed = rules.filter(F.lower("gene") != "clade").select("gene", F.col("site").cast("int").alias("site")).distinct()
-    sites = needed.orderBy("gene", "site").limit(MOST_SITES + 1).collect()
-    if len(sites) > MOST_SITES:
-        raise ValueError(f"a rule table may name at most {MOST_SITES} sites")
-    absent = sorted({r["gene"] for r in sites} - {"nuc", *proteins})
+    needed = rules.filter(F.lower("gene") != "clade").select("gene", F.col("site").cast("int").alias("site"))
+    absent = [r["gene"] for r in needed.filter(~F.col("gene").isin(["nuc", *proteins])).select("gene").distinct().orderBy("gene").limit(20).collect()]
     if absent:
         raise ValueError(f"the rules name proteins without a window: {absent}")
-    if not sites:
-        return seqs.select("id", F.lit(UNASSIGNED).alias("clade"))
-    return clade_by_rules(seqs, site_states(seqs, [(r["gene"], r["site"]) for r in sites], proteins), rules)
+    return clade_by_rules(seqs, site_states_of(seqs, needed, proteins), rules)
 
 
 def clade_by_rules(ids: DataFrame, states: DataFrame, rules: DataFrame) -> DataFrame:
@@ -138,9 +159,11 @@ def epitope_strings(nodes: DataFrame, epitopes: Mapping[str, Sequence[int]] = EP
     """Residues at the epitope positions per node (node, parent, is_tip, protein).
 
     Unknown residues of the C terminus come from the parent, escape pairs outside the accepted set
-    and strings that are rare among tips become `other`.
+    and strings that are rare among tips become `other`. Sequences are read once: what is inherited, counted and
+    joined back are the short strings.
     """
     wide = nodes.select("node", "parent", "is_tip", *[seqfn.positions_string(F.col("protein"), p).alias(e) for e, p in epitopes.items()])
+    wide = cut_lineage(wide)
     if "CTERM" in epitopes:
         wide = inherit_when_unknown(wide, "CTERM")
     if "Esc_CHN" in epitopes:
@@ -163,6 +186,32 @@ def key_mutation_strings(nodes: DataFrame, positions: Mapping[str, Sequence[int]
     return _collapse_columns(wide, list(positions), min_count)
 
 
+def key_mutations_at(nodes: DataFrame, positions: DataFrame, min_count: int = 1) -> DataFrame:
+    """`key_mutation_strings` for a table of positions (feature_set, position) of any length, one column for each set.
+
+    Only the names of the sets, which name the result's columns, come to the driver.
+    """
+    names = sorted(r["feature_set"] for r in positions.select("feature_set").distinct().collect())
+    if not names:
+        return nodes.select("node")
+    blocks = broadcast_when_small(cut_lineage(site_blocks(positions.select("feature_set", F.col("position").cast("int").alias("site")).distinct(), "feature_set")))
+    protein = cut_lineage(nodes.select("node", "is_tip", F.encode(seqfn.translate_seq(F.col("seq")), "utf-8").alias("_raw")))
+    letters = bind(
+        F.struct(F.col("_raw").alias("raw"), F.col("sites").alias("sites")),
+        lambda x: F.concat_ws("", F.transform(x["sites"], lambda s: F.when(s >= 1, F.substr(x["raw"], s, F.lit(1)).cast("string")))),
+    )
+    parts = protein.crossJoin(blocks).select("node", "is_tip", F.col("feature_set").alias("feature"), F.get("sites", F.lit(0)).alias("_first"), letters.alias("value"))
+    in_order = F.array_sort(F.collect_list(F.struct("_first", "value")))
+    long = parts.groupBy("node", "is_tip", "feature").agg(F.concat_ws("", F.transform(in_order, lambda p: p["value"])).alias("value"))
+    collapsed = collapse_rare(long, "value", min_count, F.col("is_tip"), ["feature"])
+    return collapsed.groupBy("node").agg(*[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(c) for c in names])
+
+
+def trim_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns without white space at both ends; a label of white space only is empty, a null stays."""
+    return df.withColumns({c: F.regexp_replace(F.col(f"`{c}`"), r"^\s+|\s+$", "") for c in columns})
+
+
 def clade_label(meta: DataFrame, seqs: DataFrame, clades: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clade into the metadata and into sequence names; ids without clade or sequence leave both tables."""
     shown = F.when(F.col("clade") == UNASSIGNED, F.lit("")).otherwise(F.col("clade"))

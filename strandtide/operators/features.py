@@ -13,7 +13,6 @@ from strandtide.functions.text import safe_feature_name
 from strandtide.operators.dedup import rank_in_group
 
 WHOLE_GENOME = "whole_genome"
-MOST_POSITIONS = 5000
 
 
 def _names_feature(col, name: str):
@@ -32,7 +31,8 @@ def _with_spans(features: DataFrame) -> DataFrame:
 def find_feature(features: DataFrame, name: str) -> DataFrame:
     """First CDS per record that holds the name as a whole word in any of its products, else in any of its genes.
 
-    Returns (seqid, start, end, spans); the spans are the feature's parts in reading order.
+    Returns (seqid, start, end, spans, elsewhere); the spans are the feature's parts in reading order, `elsewhere` says
+    that it has parts in other records.
     """
     with_spans = _with_spans(features)
     if "values" in features.columns:
@@ -41,7 +41,8 @@ def find_feature(features: DataFrame, name: str) -> DataFrame:
         every = lambda key: F.array_compact(F.array(F.try_element_at("attrs", F.lit(key))))
     labels = F.when(F.size(every("product")) > 0, every("product")).otherwise(every("gene"))
     hits = with_spans.filter((F.col("type") == "CDS") & F.exists(labels, lambda x: _names_feature(x, name)))
-    return hits.groupBy("seqid").agg(F.min_by(F.struct("start", "end", "spans"), "ord").alias("_f")).select("seqid", "_f.*")
+    elsewhere = (F.size("remote") > 0) if "remote" in features.columns else F.lit(False)
+    return hits.groupBy("seqid").agg(F.min_by(F.struct("start", "end", "spans", elsewhere.alias("elsewhere")), "ord").alias("_f")).select("seqid", "_f.*")
 
 
 def extract_feature(seqs: DataFrame, features: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -49,14 +50,15 @@ def extract_feature(seqs: DataFrame, features: DataFrame, name: str) -> tuple[Da
 
     Parts are joined in reading order; a part on the minus strand is reverse-complemented, and features in it change
     their strand. A feature that lies within one part moves with it, the named feature itself spans the whole cut, and
-    features across parts stay out.
+    features across parts stay out. A feature with parts in other records cannot be cut from its own: the record stays, with a null
+    sequence and without features.
     """
     if name.lower() == WHOLE_GENOME:
         return seqs, features
     found = find_feature(features, name)
     cut = seqs.join(found.withColumnRenamed("seqid", "id"), "id")
-    cut = cut.withColumn("seq", seqfn.cut_spans(F.col("seq"), F.col("spans"))).select(quoted(seqs.columns))
-    parts = found.select("seqid", F.posexplode("spans").alias("_at", "_part"), F.col("spans").alias("_all"), F.col("start").alias("_from"), F.col("end").alias("_to"))
+    cut = cut.withColumn("seq", F.when(~F.col("elsewhere"), seqfn.cut_spans(F.col("seq"), F.col("spans")))).select(quoted(seqs.columns))
+    parts = found.filter(~F.col("elsewhere")).select("seqid", F.posexplode("spans").alias("_at", "_part"), F.col("spans").alias("_all"), F.col("start").alias("_from"), F.col("end").alias("_to"))
     length = lambda p: p["end"] - p["start"] + 1
     before = F.aggregate(F.slice("_all", F.lit(1), F.col("_at")), F.lit(0), lambda n, p: n + length(p))
     total = F.aggregate("_all", F.lit(0), lambda n, p: n + length(p))
@@ -117,17 +119,6 @@ def mutation_positions(muts: DataFrame, features: DataFrame) -> DataFrame:
     return joined.select("feature_set", position.cast("int").alias("position")).distinct()
 
 
-def position_sets(positions: DataFrame) -> dict[str, list[int]]:
-    """Ascending positions of each feature set, from `mutation_positions`: a curated list, whose size is checked."""
-    listed = positions.orderBy("feature_set", "position").limit(MOST_POSITIONS + 1).collect()
-    if len(listed) > MOST_POSITIONS:
-        raise ValueError(f"at most {MOST_POSITIONS} positions can be listed")
-    sets: dict[str, list[int]] = {}
-    for row in listed:
-        sets.setdefault(row["feature_set"], []).append(row["position"])
-    return sets
-
-
 def unique_feature_names(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
     """Names without forbidden characters; from its second occurrence on a name gets `_002`, `_003`, ..."""
     safe = df.withColumn(name, safe_feature_name(F.col(name)))

@@ -13,7 +13,7 @@ from strandtide.operators.dedup import assign_sequential_ids, keep_last, rmdup_s
 from strandtide.operators.grouping import change_class, max_numeric_suffix
 from strandtide.operators.joins import replace_ids
 from strandtide.operators.select import drop_sparse
-from strandtide.runtime import fresh_path
+from strandtide.runtime import cut_lineage, fresh_path
 
 NO_ACCESSION = "NA"
 
@@ -24,7 +24,11 @@ def file_date() -> Column:
 
 
 def first_seen_ledger(ledger: DataFrame, ids: DataFrame, date: str | None = None) -> DataFrame:
-    """Append ids that are not in the ledger; `ids` carries `date_added` (such as `file_date()`), or `date` is used for all."""
+    """Append ids that are not in the ledger; `ids` carries `date_added` (such as `file_date()`), or `date` is used for all.
+
+    A null is no id and is never appended.
+    """
+    ids = ids.dropna(subset=["accession"])
     dated = ids if date is None else ids.withColumn("date_added", F.lit(date).cast("date"))
     fresh = dated.groupBy("accession").agg(F.min("date_added").alias("date_added"))
     return ledger.unionByName(fresh.join(ledger.select("accession"), "accession", "left_anti"))
@@ -54,26 +58,79 @@ def upsert_table(target: str | None, batch: DataFrame, key: str, order: str | No
     return path
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row's values by column name; a null counts by its column, too."""
+    return F.xxhash64(*[x for c in sorted(df.columns) for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
+
+
+def _shape(df: DataFrame) -> str:
+    """Names and types of the columns, in order of the names."""
+    return "; ".join(f"{f.name}: {f.dataType.simpleString()}" for f in sorted(df.schema.fields, key=lambda f: f.name))
+
+
+def _digest(h: Column) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("hash_sum"), F.bit_xor(h).alias("hash_xor")]
+
+
 def snapshot_digest(df: DataFrame) -> DataFrame:
-    """Order-free digest of a table: row count, sum and xor of row hashes. A null counts by its column, too."""
-    h = F.xxhash64(*[x for c in quoted(sorted(df.columns)) for x in (c.isNull(), c)])
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(h.cast("decimal(38,0)")).alias("hash_sum"),
-        F.bit_xor(h).alias("hash_xor"),
-    )
+    """Order-free digest of a table: its columns, row count, sum and xor of row hashes."""
+    return df.agg(*_digest(_row_hash(df))).withColumn("columns", F.lit(_shape(df)))
 
 
 def snapshot_unchanged(old: DataFrame, new: DataFrame) -> DataFrame:
-    """One row, one boolean: both tables hold the same rows."""
+    """One row, one boolean: both tables hold the same rows in columns of the same names and types, in any order."""
     sides = snapshot_digest(old).unionByName(snapshot_digest(new))
-    return sides.agg(
-        (
-            (F.min("n") == F.max("n"))
-            & F.equal_null(F.min("hash_sum"), F.max("hash_sum"))
-            & F.equal_null(F.min("hash_xor"), F.max("hash_xor"))
-        ).alias("unchanged")
-    )
+    same = [F.equal_null(F.min(c), F.max(c)) for c in ("columns", "n", "hash_sum", "hash_xor")]
+    return sides.agg((same[0] & same[1] & same[2] & same[3]).alias("unchanged"))
+
+
+def _range(key: Sequence[str], levels: int) -> Column:
+    """The leading bits of the key's hash."""
+    if not 0 <= levels <= 20:
+        raise ValueError("a digest tree has 0 to 20 levels")
+    return F.shiftrightunsigned(F.xxhash64(*quoted(key)), 64 - levels) if levels else F.lit(0).cast("long")
+
+
+def digest_tree(df: DataFrame, key: Sequence[str], levels: int = 12) -> DataFrame:
+    """(level, range, columns, n, hash_sum, hash_xor): digests of the rows by ranges of the hash of their key.
+
+    Level l has 2 ** l ranges, each half of one on the level before; level 0 is the whole table. Rows are read once: the
+    finest level is grouped, combined before its shuffle, and the coarser ones are sums of it. Store the tree with a
+    snapshot, and the next one is compared without reading the old rows again.
+    """
+    finest = df.groupBy(_range(key, levels).alias("range")).agg(*_digest(_row_hash(df)))
+    spread = finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    up = spread.groupBy("level", F.expr(f"shiftright(range, {levels} - level)").alias("range"))
+    return up.agg(F.sum("n").alias("n"), F.sum("hash_sum").alias("hash_sum"), F.bit_xor("hash_xor").alias("hash_xor")).withColumn("columns", F.lit(_shape(df)))
+
+
+def differing_ranges(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(level, range) in which two trees of the same number of levels differ; other columns make all of them differ."""
+    names = ["columns", "n", "hash_sum", "hash_xor"]
+    both = old.select("level", "range", F.struct(*names).alias("o")).join(new.select("level", "range", F.struct(*names).alias("w")), ["level", "range"], "full")
+    return both.where(~F.equal_null("o", "w")).select("level", "range")
+
+
+def snapshot_changes(old: DataFrame, new: DataFrame, key: Sequence[str], levels: int = 12, old_tree: DataFrame | None = None) -> DataFrame:
+    """(*key, change): keys whose rows were `added`, `removed` or `changed` between two snapshots.
+
+    Only rows in ranges where the digest trees differ are shuffled; `old_tree` is the stored tree of `old`, if there is one. Keys
+    may be null and may have several rows, which count as a whole. A renamed column or another type changes every row.
+    """
+    mine, theirs = digest_tree(new, key, levels), old_tree if old_tree is not None else digest_tree(old, key, levels)
+    ranges = cut_lineage(differing_ranges(theirs, mine).where(F.col("level") == levels).select("range"))
+
+    def inside(df: DataFrame, side: int) -> DataFrame:
+        hashed = df.select(*quoted(key), _range(key, levels).alias("range"), F.lit(side).alias("_side"), _row_hash(df).alias("_h"))
+        # at most 2 ** 20 ranges
+        return hashed.join(F.broadcast(ranges), "range", "left_semi").drop("range")
+
+    digest = F.struct("n", "hash_sum", "hash_xor")
+    sides = inside(old, 0).unionByName(inside(new, 1)).groupBy(*quoted(key), "_side").agg(*_digest(F.col("_h")))
+    both = sides.groupBy(*quoted(key)).agg(F.max(F.when(F.col("_side") == 0, digest)).alias("_old"), F.max(F.when(F.col("_side") == 1, digest)).alias("_new"))
+    differs = F.lit(_shape(old) != _shape(new)) | (F.col("_old") != F.col("_new"))
+    change = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").when(differs, "changed")
+    return both.select(*quoted(key), change.alias("change")).where("change is not null")
 
 
 def snapshot_report(old: DataFrame, new: DataFrame) -> DataFrame:

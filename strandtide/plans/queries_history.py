@@ -81,7 +81,7 @@ def _(spark, sf):
 # ---- snapshots
 
 
-@query("snapshot_unchanged", "SELECT 'same rows' AS pair, true AS unchanged UNION ALL SELECT 'one removed', false UNION ALL SELECT 'null moved', false")
+@query("snapshot_unchanged", "SELECT 'same rows' AS pair, true AS unchanged UNION ALL SELECT 'one removed', false UNION ALL SELECT 'null moved', false UNION ALL SELECT 'renamed', false UNION ALL SELECT 'other type', false UNION ALL SELECT 'other order of columns', true")
 def _(spark, sf):
     o = table(spark, sf, "orders")
     shuffled = o.repartition(7, "o_custkey")
@@ -90,7 +90,30 @@ def _(spark, sf):
     key, none = F.col("o_orderkey"), F.lit(None).cast("string")
     ahead, behind = o.select(key, none.alias("a"), F.col("o_orderstatus").cast("string").alias("b")), o.select(key, F.col("o_orderstatus").cast("string").alias("a"), none.alias("b"))
     moved = history.snapshot_unchanged(ahead, behind).withColumn("pair", F.lit("null moved"))
-    return same.unionByName(fewer).unionByName(moved).select("pair", "unchanged")
+    more = {
+        "renamed": o.withColumnsRenamed({"o_orderstatus": "status"}),
+        "other type": o.withColumn("o_custkey", F.col("o_custkey").cast("decimal(20,0)")),
+        "other order of columns": o.select(sorted(o.columns, reverse=True)),
+    }
+    out = same.unionByName(fewer).unionByName(moved)
+    for pair, other in more.items():
+        out = out.unionByName(history.snapshot_unchanged(o, other).withColumn("pair", F.lit(pair)))
+    return out.select("pair", "unchanged")
+
+
+@query(
+    "snapshot_changes",
+    """WITH a AS (SELECT o_orderkey AS k, o_custkey AS c, count(*) AS n, string_agg(o_orderstatus, '') AS s FROM orders WHERE o_orderkey % 90 <> 7 GROUP BY ALL),
+    b AS (SELECT o_orderkey AS k, o_custkey AS c, count(*) AS n, string_agg(CASE WHEN o_orderkey % 70 = 5 THEN 'Z' ELSE o_orderstatus END, '') AS s FROM orders WHERE o_orderkey % 80 <> 3 GROUP BY ALL)
+    SELECT coalesce(a.k, b.k) AS o_orderkey, coalesce(a.c, b.c) AS o_custkey, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM a FULL JOIN b ON a.k = b.k AND a.c = b.c WHERE a.k IS NULL OR b.k IS NULL OR a.s <> b.s""",
+)
+def _(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    changed = F.when(F.col("o_orderkey") % 70 == 5, "Z").otherwise(F.col("o_orderstatus")).alias("o_orderstatus")
+    old, new = o.filter("o_orderkey % 90 <> 7"), o.filter("o_orderkey % 80 <> 3").select("o_orderkey", "o_custkey", changed)
+    key = ["o_orderkey", "o_custkey"]
+    return history.snapshot_changes(old, new, key, old_tree=history.digest_tree(old, key))
 
 
 @query(
@@ -404,3 +427,40 @@ def _(spark, sf):
     letters = seqs.select(F.col("id").alias("seqid"), F.lit("source").alias("type"), "seq").unionByName(cut.select(F.col("id").alias("seqid"), F.lit("CDS").alias("type"), "seq"))
     named = records.select(F.col("version").alias("seqid"), "definition")
     return feats.join(named, "seqid").join(letters, ["seqid", "type"]).select("seqid", "definition", "type", "start", "end", "strand", label.alias("label"), "seq")
+
+
+@query(
+    "genbank_locations",
+    f"""WITH {SQL_SEQS}, d AS (SELECT id, seq, ord % 5 AS k, translate(seq, 'ACGT', 'TGCA') AS c FROM seqs)
+    SELECT 'D' || id || '.1' AS seqid, CASE k WHEN 0 THEN '1-30+ 61-70+ 41-50+ 81-90-' WHEN 1 THEN '21-30+ 1-10-' WHEN 2 THEN '4-6+' WHEN 3 THEN '5-9+ 1-3+' ELSE '7-9-' END AS spans,
+      CASE WHEN k = 2 THEN 'X' || id || '.7:1-9-' ELSE '' END AS remote,
+      CASE k WHEN 0 THEN substr(seq, 1, 30) || substr(seq, 61, 10) || substr(seq, 41, 10) || reverse(substr(c, 81, 10)) WHEN 1 THEN substr(seq, 21, 10) || reverse(substr(c, 1, 10))
+        WHEN 3 THEN substr(seq, 5, 5) || substr(seq, 1, 3) WHEN 4 THEN reverse(substr(c, 7, 3)) END AS seq FROM d""",
+)
+def _(spark, sf):
+    k, name = F.col("ord") % 5, F.col("id")
+    location = (
+        F.when(k == 0, F.lit("join(1..30,complement(join(complement(41..50),complement(61..70))),order(complement(81..90)))"))
+        .when(k == 1, "complement(join(1..10,complement(21..30)))")
+        .when(k == 2, F.concat(F.lit("join(complement(X"), name, F.lit(".7:1..9),4..>6)")))
+        .when(k == 3, F.concat(F.lit("order(D"), name, F.lit(".1:5..9,join(D"), name, F.lit(":<1..3))")))
+        .otherwise("complement(7^9)")
+    )
+    blocks = F.regexp_replace(F.lower("seq"), "(.{1,60})", "\n        1 $1")
+    pad = " " * 21
+    # locations go on in the next line after a comma, as flat files have them
+    wrapped = F.regexp_replace(location, r"\),", f"),\n{pad}")
+    record = F.concat(
+        F.lit("LOCUS       D"), name, F.lit("\nACCESSION   D"), name, F.lit("\nVERSION     D"), name, F.lit(".1\nFEATURES             Location/Qualifiers\n     CDS             "), wrapped,
+        F.lit(f'\n{pad}/product="P9"\nORIGIN'), blocks, F.lit("\n//"),
+    )
+    path = fresh_path(spark, "genbank")
+    sequences(spark, sf).select(record.alias("value")).write.text(path)
+    records = seqio.read_genbank(spark, path)
+    feats = seqio.genbank_features(records)
+    cut, _inside = extract_feature(seqio.genbank_sequences(records), feats, "p9")
+    part = lambda p: F.concat(p["start"].cast("string"), F.lit("-"), p["end"].cast("string"), p["strand"])
+    shown = feats.select(
+        "seqid", F.concat_ws(" ", F.transform("spans", part)).alias("spans"), F.concat_ws(" ", F.transform("remote", lambda p: F.concat(p["record"], F.lit(":"), part(p)))).alias("remote")
+    )
+    return shown.join(cut.select(F.col("id").alias("seqid"), "seq"), "seqid")

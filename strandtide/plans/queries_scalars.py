@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strandtide.functions import dates, mining, precedence, text
 from strandtide.names import quoted
 from strandtide.operators import select
+from strandtide.operators.clades import trim_labels
 from strandtide.plans.registry import query
 from strandtide.plans.standins import (
     SQL_CUSTOMER_NAMES,
@@ -339,7 +340,7 @@ def _(spark, sf):
 
 @query("trim_labels", "SELECT p_partkey, p_type AS label FROM part")
 def _(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", F.trim(F.concat(F.lit("  "), "p_type", F.lit("   "))).alias("label"))
+    return trim_labels(table(spark, sf, "part").select("p_partkey", F.concat(F.lit("  "), "p_type", F.lit(" \t ")).alias("label")), ["label"])
 
 
 @query(

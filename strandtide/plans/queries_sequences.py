@@ -184,11 +184,12 @@ _SAME = "(least(length(a.seq), length(b.seq)) - hamming(left(a.seq, least(length
 
 @query(
     "dedup_near_identical",
-    f"""WITH {SQL_SEQS}, s AS (SELECT *, left(seq, 20) AS strain FROM seqs), rep AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY strain ORDER BY length(seq) DESC, id) = 1)
+    f"""WITH {SQL_SEQS}, s AS (SELECT seqs.*, CAST(n_chars AS VARCHAR) AS strain FROM seqs JOIN documents ON doc_id = ord), rep AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY strain ORDER BY length(seq) DESC, id) = 1)
     SELECT id, strain FROM s a WHERE NOT EXISTS (SELECT 1 FROM rep b WHERE b.strain = a.strain AND b.id <> a.id AND {_SAME} / greatest(length(a.seq), length(b.seq)) > 0.995)""",
 )
 def _(spark, sf):
-    s = sequences(spark, sf).withColumn("strain", F.left("seq", F.lit(20)))
+    named = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("n_chars").cast("string").alias("strain"))
+    s = sequences(spark, sf).join(named, "ord")
     return similarity.dedup_near_identical(s, "strain", 0.995).select("id", "strain")
 
 

@@ -10,9 +10,9 @@ from strandtide.operators import clades, features, grouping, tree as treeops
 from strandtide.operators.joins import dimension_attach
 from strandtide.plans.queries_sequences import SQL_HITS, search_hits, sql_protein
 from strandtide.plans.registry import query
-from strandtide.plans.standins import GAPPED, SQL_GAPPED, SQL_TREE, sequences, table, tree
+from strandtide.plans.standins import GAPPED, SQL_GAPPED, SQL_TREE, as_bases, sequences, table, tree
 from strandtide.operators.seeds import hit_lengths
-from strandtide.runtime import fresh_path
+from strandtide.runtime import cut_lineage, fresh_path, spread_when_few
 from strandtide.sources.tables import read_rule_table
 
 # ---- paths
@@ -40,19 +40,20 @@ def _(spark, sf):
 
 
 def document_tree(spark, sf):
-    """(node, parent, is_tip, seq)."""
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), "lang", "source")
-    s = sequences(spark, sf, GAPPED).select("ord", "seq").join(d, "ord")
-    first = F.min_by("seq", "ord").alias("seq")
-    # the first documents of groups are few; the letters of the rest are not touched
+    """(node, parent, is_tip, seq), stored once: queries read the node table several times and `documents` once."""
+    d = spread_when_few(table(spark, sf, "documents").select("doc_id", "lang", "source", "text"))
+    cells = lambda node, parent, tip: [node.alias("node"), parent.cast("string").alias("parent"), F.lit(tip).alias("is_tip")]
     source = F.concat(F.lit("S-"), "lang", F.lit("-"), "source")
     lang = F.concat(F.lit("L-"), "lang")
-    cells = lambda node, parent, tip: [node.alias("node"), parent.cast("string").alias("parent"), F.lit(tip).alias("is_tip")]
-    tips = s.select(*cells(F.concat(F.lit("D"), F.col("ord").cast("string")), source, True), "seq")
-    by_source = s.groupBy("lang", "source").agg(first).select(*cells(source, lang, False), "seq")
-    by_lang = s.groupBy("lang").agg(first).select(*cells(lang, F.lit("root"), False), "seq")
-    root = s.agg(first).select(*cells(F.lit("root"), F.lit(None), False), "seq")
-    return tips.unionByName(by_source).unionByName(by_lang).unionByName(root)
+    seq = as_bases(F.col("text"), GAPPED).alias("seq")
+    tips = cut_lineage(d.select(F.col("doc_id").alias("ord"), "lang", "source", seq))
+    # inner nodes carry the letters of their first document, found by number: no letters are grouped
+    firsts = cut_lineage(tips.groupBy("lang", "source").agg(F.min("ord").alias("ord")))
+    by_source = firsts.select(*cells(source, lang, False), "ord")
+    by_lang = firsts.groupBy("lang").agg(F.min("ord").alias("ord")).select(*cells(lang, F.lit("root"), False), "ord")
+    root = firsts.agg(F.min("ord").alias("ord")).where("ord is not null").select(*cells(F.lit("root"), F.lit(None), False), "ord")
+    inner = by_source.unionByName(by_lang).unionByName(root).join(tips.select("ord", "seq"), "ord").drop("ord")
+    return cut_lineage(tips.select(*cells(F.concat(F.lit("D"), F.col("ord").cast("string")), source, True), "seq").unionByName(inner))
 
 
 SQL_DOC_TREE = f"""{SQL_GAPPED}, sd AS (SELECT ord, seq, lang, source FROM seqs JOIN documents ON doc_id = ord),
@@ -63,12 +64,12 @@ SQL_DOC_TREE = f"""{SQL_GAPPED}, sd AS (SELECT ord, seq, lang, source FROM seqs
 
 @query(
     "inherit_when_unknown",
-    f"""WITH RECURSIVE {SQL_DOC_TREE}, c AS (SELECT node, parent, substr(seq, 20, 12) AS v FROM nodes),
+    f"""WITH RECURSIVE {SQL_DOC_TREE}, c AS (SELECT node, parent, array_to_string(list_transform([{', '.join(map(str, clades.EPITOPES["CTERM"]))}], lambda p: substr(seq, p, 1)), '') AS v FROM nodes),
     walk AS (SELECT node, v FROM c WHERE parent IS NULL UNION ALL SELECT c.node, CASE WHEN contains(c.v, 'N') THEN w.v ELSE c.v END FROM c JOIN walk w ON c.parent = w.node)
     SELECT node, parent, walk.v AS cterm FROM walk JOIN c USING (node)""",
 )
 def _(spark, sf):
-    n = document_tree(spark, sf).select("node", "parent", F.substr("seq", F.lit(20), F.lit(12)).alias("cterm"))
+    n = document_tree(spark, sf).select("node", "parent", seqfn.positions_string(F.col("seq"), clades.EPITOPES["CTERM"]).alias("cterm"))
     return treeops.inherit_when_unknown(n, "cterm", "N")
 
 
@@ -137,7 +138,7 @@ def _(spark, sf):
     late = part.select(F.lit("VP4").alias("feature_set"), F.lit("VP4").alias("protein"), label(size).alias("label")).filter("cast(replace(label, 'M', '') as int) <= 30")
     muts = late.unionByName(part.select(F.lit("VP1").alias("feature_set"), F.lit("VP1").alias("protein"), label(size % 4 + 1).alias("label")))
     coords = spark.createDataFrame([("VP1", 1696, 2586), ("VP4", 1, 207)], "protein string, start int, end int")
-    return clades.key_mutation_strings(document_tree(spark, sf), features.position_sets(features.mutation_positions(muts, coords)))
+    return clades.key_mutations_at(document_tree(spark, sf), features.mutation_positions(muts, coords))
 
 
 # ---- clade rules

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandtide.functions.binding import bind
+from strandtide.functions.locations import location_parts
 from strandtide.functions.text import parse_attributes
 
 
@@ -78,30 +79,26 @@ def genbank_sequences(records: DataFrame) -> DataFrame:
 
 
 def genbank_features(records: DataFrame) -> DataFrame:
-    """(seqid, type, start, end, strand, spans, attrs, values, ord), 1-based closed.
+    """(seqid, type, start, end, strand, spans, remote, attrs, values, ord), 1-based closed.
 
     `start` and `end` are the outermost positions, `spans` (start, end, strand) the parts of the location in reading
-    order: those of `complement(join(..))` come last first. `attrs` has the first value of each qualifier, `values`
-    all of them.
+    order, however its operators are nested: those of `complement(join(..))` come last first. Parts that lie in another
+    record are in `remote` (start, end, strand, record) and in none of the other columns. `attrs` has the first value of each
+    qualifier, `values` all of them.
     """
     block = F.regexp_extract("record", r"(?s)\nFEATURES[^\n]*(\n.*?)(?:\n[A-Z]|$)", 1)
     # continuation lines of a qualifier or location join the line before them
     joined = F.regexp_replace(block, r"\n {21}(?!/)", " ")
     items = F.filter(F.split(joined, r"\n {5}(?=\S)"), lambda x: F.trim(x) != "")
-    rows = records.select(F.col("version").alias("seqid"), "ord", F.posexplode(items).alias("pos", "item"))
+    rows = records.select(F.col("version").alias("seqid"), "accession", "ord", F.posexplode(items).alias("pos", "item"))
     location = F.regexp_extract("item", r"^\S+\s+([^\n]*)", 1)
-    # continuation lines are joined with blanks; positions in other records have those records' names before a colon
-    plain = F.regexp_replace(location, r"\s+|[A-Za-z0-9_.]+:", "")
-    numbers = F.transform(F.regexp_extract_all(plain, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("int"))
-    turned = plain.rlike(r"^complement\((join|order)\(")
-    pieces = F.regexp_extract_all(F.regexp_replace(plain, r"^complement\((?=join|order)", ""), F.lit(r"((?:complement\()?[<>]?\d+(?:(?:\.\.|\^)[<>]?\d+)?)"), F.lit(1))
-
-    def part(piece: Column) -> Column:
-        first, last = F.regexp_extract(piece, r"(\d+)", 1).cast("int"), F.regexp_extract(piece, r"(\d+)\D*$", 1).cast("int")
-        minus = F.startswith(piece, F.lit("complement")) != turned
-        return F.struct(first.alias("start"), last.alias("end"), F.when(minus, "-").otherwise("+").alias("strand"))
-
-    in_order = bind(F.transform(pieces, part), lambda parts: F.when(turned, F.reverse(parts)).otherwise(parts))
+    # parts that name this record are its own
+    own_names = [F.col("seqid"), F.col("accession")]
+    own = lambda p: p["record"].isNull() | F.coalesce(p["record"] == own_names[0], F.lit(False)) | F.coalesce(p["record"] == own_names[1], F.lit(False))
+    rows = rows.withColumn("_parts", location_parts(location))
+    here, elsewhere = F.filter("_parts", own), F.filter("_parts", lambda p: ~own(p))
+    spans = F.transform(here, lambda p: F.struct(p["start"], p["end"], p["strand"]))
+    numbers = F.flatten(F.transform(here, lambda p: F.array(p["start"], p["end"])))
     pattern = F.lit(r'\n {21}/([^=\n]+)(?:="?((?:[^"\n]|"")*)"?)?')
     keys = F.regexp_extract_all("item", pattern, F.lit(1))
     values = F.regexp_extract_all("item", pattern, F.lit(2))
@@ -122,7 +119,8 @@ def genbank_features(records: DataFrame) -> DataFrame:
         F.array_min(numbers).alias("start"),
         F.array_max(numbers).alias("end"),
         F.when(F.contains(location, F.lit("complement")), "-").otherwise("+").alias("strand"),
-        in_order.alias("spans"),
+        spans.alias("spans"),
+        elsewhere.alias("remote"),
         F.map_from_entries(first).alias("attrs"),
         all_values.alias("values"),
         F.struct("ord", "pos").alias("ord"),
