@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandtide.names import quoted
@@ -13,7 +14,7 @@ from strandtide.operators.dedup import assign_sequential_ids, keep_last, rmdup_s
 from strandtide.operators.grouping import change_class, max_numeric_suffix
 from strandtide.operators.joins import replace_ids
 from strandtide.operators.select import drop_sparse
-from strandtide.runtime import cut_lineage, fresh_path
+from strandtide.runtime import cut_lineage, drop_stored, fresh_path, stored_folders
 
 NO_ACCESSION = "NA"
 
@@ -58,6 +59,45 @@ def upsert_table(target: str | None, batch: DataFrame, key: str, order: str | No
     return path
 
 
+def upsert_buckets(path: str, batch: DataFrame, key: str, order: str | None = None, buckets: int = 64) -> list[int]:
+    """Upsert a batch into the table below `path` in place; only buckets that the batch changes are written again.
+
+    The table is partitioned by a hash of the key into `buckets` folders; the first call makes it, and later ones take its own
+    number. Of the stored rows only the buckets that the batch has keys for are read. Returns the buckets that were
+    written: none if the batch changes nothing. A call that fails half way is repeated as it is: each bucket is
+    replaced as a whole, and the same batch gives the same rows.
+    """
+    spark = batch.sparkSession
+    known = [int(p.rsplit("-", 1)[1]) for p in stored_folders(spark, path) if re.search(r"/buckets-\d+$", p)]
+    count = known[0] if known else buckets
+    table = f"{path}/buckets-{count}"
+    placed = batch.withColumn("_bucket", F.pmod(F.xxhash64(F.col(f"`{key}`").cast("string")), F.lit(count)).cast("int"))
+    # at most `count` numbers
+    touched = sorted(r["_bucket"] for r in placed.select("_bucket").distinct().collect())
+    if not touched:
+        return []
+    history = spark.read.parquet(table).where(F.col("_bucket").isin(touched)) if known else placed.limit(0)
+    without = lambda df: df.select(quoted(c for c in df.columns if c != "_bucket"))
+    merged = cut_lineage(upsert_latest(without(history), batch, key, 1, order))
+    merged_in = merged.withColumn("_bucket", F.pmod(F.xxhash64(F.col(f"`{key}`").cast("string")), F.lit(count)).cast("int"))
+    sums = lambda df: df.groupBy("_bucket").agg(*_digest(_row_hash(without(df))))
+    # with other columns than before every bucket at hand has changed
+    before = sums(history if set(history.columns) == set(merged_in.columns) else merged_in.limit(0))
+    same = sums(merged_in).join(before, ["_bucket", "n", "hash_sum", "hash_xor"], "left_anti")
+    changed = sorted(r["_bucket"] for r in same.select("_bucket").collect())
+    if changed:
+        writer = merged_in.where(F.col("_bucket").isin(changed)).repartition("_bucket").write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(table)
+    drop_stored(merged)
+    return changed
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The table that `upsert_buckets` keeps below `path`; a column that only some buckets have is null in the others."""
+    table = spark.read.option("mergeSchema", "true").parquet(*[p for p in stored_folders(spark, path) if re.search(r"/buckets-\d+$", p)])
+    return table.select(quoted(c for c in table.columns if c != "_bucket"))
+
+
 def _row_hash(df: DataFrame) -> Column:
     """A hash of the row's values by column name; a null counts by its column, too."""
     return F.xxhash64(*[x for c in sorted(df.columns) for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])

@@ -106,7 +106,9 @@ def equals_ci(col: Column, value: str) -> Column:
 
 
 def drop_sparse(df: DataFrame, min_non_null: int = 2) -> DataFrame:
-    return df.dropna(thresh=min_non_null)
+    """Rows with so many values at least; a NaN is none. Names may have dots."""
+    has = lambda f: F.col(f"`{f.name}`").isNotNull() & ~F.isnan(f"`{f.name}`") if f.dataType.typeName() in ("float", "double") else F.col(f"`{f.name}`").isNotNull()
+    return df.filter(sum((has(f).cast("int") for f in df.schema.fields), F.lit(0)) >= min_non_null)
 
 
 def drop_null_key(df: DataFrame, key: str) -> DataFrame:

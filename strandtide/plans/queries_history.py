@@ -78,6 +78,15 @@ def _(spark, sf):
     return spark.read.parquet(history.upsert_table(first, new, "accession", "ord"))
 
 
+@query("upsert_buckets", _UPSERT_SQL + " SELECT accession, kind, ord FROM l")
+def _(spark, sf):
+    old, new = _history_and_batch(spark, sf)
+    path = fresh_path(spark, "buckets")
+    history.upsert_buckets(path, old, "accession", "ord", buckets=8)
+    history.upsert_buckets(path, new, "accession", "ord")
+    return history.read_buckets(spark, path)
+
+
 # ---- snapshots
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strandtide.functions.locations import location_parts
 from strandtide.operators import clades, features, history
 from strandtide.sources import sequences as seqio
+from strandtide.streaming import flows
 
 RULES = "clade string, gene string, site string, alt string"
 
@@ -110,3 +111,54 @@ def test_key_mutations_at_positions_of_any_number(spark):
 def test_trimmed_labels(spark):
     made = spark.createDataFrame([(" a b\t", 1), ("\n", 2), (None, 3)], "`l.x` string, n int")
     assert [r[0] for r in clades.trim_labels(made, ["l.x"]).orderBy("n").collect()] == ["a b", "", None]
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_an_upsert_writes_only_the_buckets_it_changes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(f"k{i}", i, "a") for i in range(400)], "`k.y` string, ord int, v string").repartition(3)
+    assert history.upsert_buckets(path, first, "k.y", "ord", buckets=16) == list(range(16))
+    before = files_of(tmp_path / "t")
+    batch = spark.createDataFrame([("k7", 1000, "b"), ("new", 1, "c"), ("new", 2, "d")], first.schema)
+    touched = history.upsert_buckets(path, batch, "k.y", "ord")
+    after = files_of(tmp_path / "t")
+    assert 1 <= len(touched) <= 2
+    written = {p.split("/")[1] for p in set(after) - set(before)}
+    assert written == {f"_bucket={b}" for b in touched} == {p.split("/")[1] for p in set(before) - set(after)}
+    got = {r["k.y"]: (r["ord"], r["v"]) for r in history.read_buckets(spark, path).collect()}
+    assert got == {**{f"k{i}": (i, "a") for i in range(400)}, "k7": (1000, "b"), "new": (2, "d")}
+    # the same batch again, an older one and an empty one change nothing
+    assert history.upsert_buckets(path, batch, "k.y", "ord") == []
+    assert history.upsert_buckets(path, batch.limit(0), "k.y", "ord") == []
+    assert files_of(tmp_path / "t") == after
+    wider = spark.createDataFrame([("k8", 5000, "z", 1.5), (None, 1, None, None)], "`k.y` string, ord int, v string, extra double")
+    history.upsert_buckets(path, wider, "k.y", "ord")
+    wide = {r["k.y"]: (r["v"], r["extra"]) for r in history.read_buckets(spark, path).collect()}
+    assert wide["k8"] == ("z", 1.5) and wide["k9"] == ("a", None) and wide[None] == (None, None) and len(wide) == 402
+
+
+def test_a_ledger_of_200_batches_is_written_a_few_times(spark, tmp_path, monkeypatch):
+    folder, written = str(tmp_path / "ledger"), []
+    least = flows._least
+    monkeypatch.setattr(flows, "_least", lambda *a: written.append(len(a[1])) or least(*a))
+    for i in range(200):
+        batch = spark.range(i % 50, i % 50 + 3, 1, 1).select("id", F.lit(1000 - i).alias("ts"))
+        flows.add_to_ledger(batch, folder, i, fan=4)
+    # 200 tables at fan 4: 50 merges of the lowest tier, 12 of the next, 3 of the third
+    assert len(written) == 65 and max(written) == 4
+    assert {d.name: len(list(d.iterdir())) for d in (tmp_path / "ledger").iterdir()} == {"parts": 0, "tier1": 2, "tier2": 0, "tier3": 3} or sum(len(list(d.iterdir())) for d in (tmp_path / "ledger").iterdir()) <= 12
+    want = {}
+    for i in range(200):
+        for k in range(i % 50, i % 50 + 3):
+            want[k] = min(want.get(k, 10**9), 1000 - i)
+    assert {r["id"]: r["first_seen"] for r in flows.compact_ledger(spark, folder).collect()} == want
+    # a merge whose sources were not yet deleted when it failed is finished, not repeated
+    for i in range(200, 204):
+        spark.range(1).select("id", F.lit(0).alias("first_seen")).write.parquet(f"{folder}/parts/{i}")
+    spark.range(1).select("id", F.lit(0).alias("first_seen")).write.parquet(f"{folder}/tier1/203")
+    count = len(written)
+    flows._merge_tiers(spark, folder, "id", 4)
+    assert len(written) == count and not list((tmp_path / "ledger" / "parts").iterdir())
