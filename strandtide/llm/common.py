@@ -7,6 +7,7 @@ words are hashed the same way. No Python loop touches single words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -77,6 +78,18 @@ NOT_SPACE = _table([0x20, *range(0x09, 0x0E)])
 LETTERS = _table([b for b in range(128) if not chr(b).isalnum()])
 
 
+# Scripts that are written without blanks between words.
+UNSPACED = "Han Hiragana Katakana Thai Lao Khmer Myanmar".split()
+
+
+def only_words(text: Column) -> Column:
+    """`text` with blanks for everything beyond ASCII that is no letter, digit or mark on a letter, and between the
+    letters of scripts that have no blanks: with LETTERS its words are then runs of letters and digits of any script."""
+    alone = "".join(rf"\p{{Is{script}}}" for script in UNSPACED)
+    plain = F.regexp_replace(text, r"[^\x00-\x7F\p{L}\p{N}\p{M}]+", " ")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(plain, f"([{alone}])", " $1 ")).otherwise(text)
+
+
 class Block:
     """Word positions of some texts: `starts`, `stops` in bytes; words of text i are `first[i]` to `first[i + 1]`."""
 
@@ -156,6 +169,8 @@ def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches of a task; what they took is given back to the system at its end, as workers live on between tasks."""
     yield from batches
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def map_batches(df: DataFrame, function, schema) -> DataFrame:

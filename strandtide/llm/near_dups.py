@@ -248,9 +248,13 @@ def _within_buckets(labelled: DataFrame, buckets: DataFrame, sets: DataFrame, pe
     `labelled` has bucket, node, n_shingles, label. Classes outside a bucket's largest label meet each other and
     those of the largest label, block against block; a class is copied once for each block it meets.
     """
-    per_label = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    # buckets of the same classes, which a cluster has in many bands, are compared once: two hashes tell their members
+    mark, other = F.xxhash64("node"), F.xxhash64("node", F.lit(1))
+    per_label = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"), F.bit_xor(mark).alias("x"), F.bit_xor(other).alias("y"))
     top = F.max(F.struct("n", "s", "label"))
-    several = per_label.groupBy("bucket").agg(top.alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s")).where("n > top.n")
+    whole = per_label.groupBy("bucket").agg(top.alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).where("n > top.n")
+    one = F.min(F.struct("bucket", "top"))
+    several = whole.groupBy("n", "s", "x", "y").agg(one.alias("one")).select("one.bucket", "one.top", "n", "s")
     blocks_of = lambda n, s: F.ceil(F.greatest(n / BLOCK_CLASSES, s / BLOCK_SHINGLES)).cast("int")
     several = several.select(
         "bucket",

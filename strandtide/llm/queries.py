@@ -48,10 +48,11 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 @_query(
     "op3_decontamination",
     r"""
-    WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
-    b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
-    ds AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)),
-    bs AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM b)),
+    WITH d AS (SELECT doc_id, regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[\p{L}\p{N}\p{M}]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'), '[\p{L}\p{N}\p{M}]+') AS w FROM benchmark),
+    k AS (SELECT 5 AS k UNION SELECT DISTINCT len(w) FROM b WHERE len(w) BETWEEN 1 AND 4),
+    ds AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + k - 1], ' ') AS s FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, k)),
+    bs AS (SELECT DISTINCT item_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS s FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 4, least(len(w), 1)))) AS i FROM b)),
     n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
     f AS (SELECT doc_id, item_id, count(*) AS n_found FROM ds JOIN bs USING (s) GROUP BY ALL)
     SELECT doc_id, item_id, n_item, n_found, n_found / n_item AS containment FROM f JOIN n USING (item_id) WHERE n_found * 5 >= n_item * 4

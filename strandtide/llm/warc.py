@@ -9,20 +9,22 @@ member on any file system that Spark writes to, and a lost task leaves no half f
 
 from __future__ import annotations
 
-import gzip
+import base64
 import hashlib
 import io
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandtide.llm.common import map_batches
-from strandtide.runtime import cut_lineage
+from strandtide.llm.near_dups import components
+from strandtide.runtime import cut_lineage, drop_stored
 
 END = "\r\n\r\n"
 RECORDS_PER_FILE = 1536
-RECORDS_PER_BATCH = 256
+RECORDS_PER_BATCH, BYTES_PER_BATCH = 256, 16 << 20
 _CAPTURE = ["page_id", "url", "payload_digest", "payload_bytes"]
 
 
@@ -111,69 +113,270 @@ def write(pages: DataFrame, path: str, least_bytes: int = 1000, records_per_file
     lines.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
+class _Unpacked:
+    """A gzip file of any number of members as a stream. What was unpacked before a damaged place is given out before the exception."""
+
+    CHUNK, PIECE = 1 << 16, 1 << 18
+
+    def __init__(self, content: bytes):
+        self._content, self._at, self._member = content, 0, None
+        self._held, self._from, self._fault = bytearray(), 0, None
+
+    def _unpacked(self) -> bytes:
+        """A little more, nothing at the end."""
+        while True:
+            if self._member is None:
+                # zeros may fill a file up
+                while self._content[self._at : self._at + 1] == b"\0":
+                    self._at += 1
+                if self._at >= len(self._content):
+                    return b""
+                self._member = zlib.decompressobj(31)
+            chunk = self._content[self._at : self._at + self.CHUNK]
+            if not chunk:
+                raise EOFError("the file ends inside a gzip member")
+            out = self._member.decompress(chunk, self.PIECE)
+            left = self._member.unused_data if self._member.eof else self._member.unconsumed_tail
+            self._at += len(chunk) - len(left)
+            if self._member.eof:
+                self._member = None
+            if out:
+                return out
+
+    def _fill(self) -> bool:
+        if self._fault is None:
+            try:
+                if out := self._unpacked():
+                    if self._from > self.PIECE:
+                        del self._held[: self._from]
+                        self._from = 0
+                    self._held += out
+                    return True
+            except (EOFError, zlib.error) as e:
+                self._fault = e
+        if self._fault is not None and self._from == len(self._held):
+            raise self._fault
+        return False
+
+    def _given(self, stop: int) -> bytes:
+        out = bytes(self._held[self._from : stop])
+        self._from += len(out)
+        return out
+
+    def readline(self) -> bytes:
+        looked = 0
+        while (at := self._held.find(b"\n", self._from + looked)) < 0:
+            looked = len(self._held) - self._from
+            if not self._fill():
+                return self._given(len(self._held))
+        return self._given(at + 1)
+
+    def read(self, size: int) -> bytes:
+        while len(self._held) - self._from < size and self._fill():
+            pass
+        return self._given(self._from + size)
+
+
+def opened(content: bytes):
+    """The bytes of a file, plain or gzip of one or more members, as a stream; what is unpacked is never held as a whole."""
+    return _Unpacked(content) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+
+
+def header_fields(lines) -> dict[str, str]:
+    """Names (lower case) and values of header lines in bytes. A line that begins with white space goes on from the one before, bytes
+    that are no UTF-8 become a replacement sign, a line without colon is left out; ids of a repeated concurrent-to are joined by a blank."""
+    found: dict[str, str] = {}
+    name = None
+    for line in lines:
+        text = line.decode("utf-8", "replace").rstrip("\r\n")
+        if text[:1] in (" ", "\t") and name is not None:
+            found[name] = f"{found[name]} {text.strip()}".strip()
+            continue
+        name, colon, value = text.partition(":")
+        name = name.strip().lower()
+        if not colon or not name:
+            name = None
+        elif name == "warc-concurrent-to" and name in found:
+            found[name] += f" {value.strip()}"
+        else:
+            found[name] = value.strip()
+    return found
+
+
+def entries(stream, strict: bool = False):
+    """(headers, block, error) of each record of a stream; lengths come from Content-Length alone.
+
+    What is no record gives one row with an error and the search goes on at the next line that begins a record: bytes outside
+    records, a record without a length, the end of a file that was cut, a damaged gzip member (after which nothing can be
+    read). `strict` makes these exceptions. One record is held at a time.
+    """
+    line, headers = b"", {}
+    try:
+        while True:
+            while line in (b"", b"\r\n", b"\n"):
+                line = stream.readline()
+                if not line:
+                    return
+            headers = {}
+            if not line.startswith(b"WARC/"):
+                if strict:
+                    raise ValueError(f"no record: {line[:20]!r}")
+                skipped = 0
+                while line and not line.startswith(b"WARC/"):
+                    skipped += len(line)
+                    line = stream.readline()
+                yield {}, None, f"{skipped} bytes outside records"
+                continue
+            lines = []
+            while (line := stream.readline()) not in (b"", b"\r\n", b"\n"):
+                lines.append(line)
+            headers = header_fields(lines)
+            length = headers.get("content-length", "")
+            if not line:
+                raise EOFError("the file ends inside a header")
+            if not length.isascii() or not length.isdigit():
+                if strict:
+                    raise ValueError("a record without a length")
+                yield headers, None, "no length"
+                line = stream.readline()
+                while line and not line.startswith(b"WARC/"):
+                    line = stream.readline()
+                continue
+            block = stream.read(int(length))
+            if len(block) < int(length):
+                raise EOFError("the file ends inside a record")
+            yield headers, block, None
+            line = b""
+    except (EOFError, zlib.error) as e:
+        if strict:
+            raise
+        yield headers, None, f"{e}"
+
+
 def parse(content: bytes):
-    """(headers, block) of each record of one file, plain or gzip of one or more members; lengths come from Content-Length alone."""
-    # GzipFile goes on after the end of a member; zlib.decompress would stop there.
-    data = gzip.GzipFile(fileobj=io.BytesIO(content)).read() if content[:2] == b"\x1f\x8b" else content
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:stop].decode().split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = {k.lower(): v.strip() for k, v in (line.split(":", 1) for line in lines)}
-        size = int(headers["content-length"])
-        yield headers, data[stop + 4 : stop + 4 + size]
-        at = stop + 8 + size
-
-
-_COLUMNS = ["transaction", "record_id", "record_type", "refers_to", "target_uri", "payload_digest", "payload_bytes", "intact", "fields", "block"]
-_SCHEMA = "transaction string, record_id string, record_type string, refers_to string, target_uri string, payload_digest string, payload_bytes long, intact boolean, fields map<string, string>, block binary"
-_TYPES = pa.schema([(c, t) for c, t in zip(_COLUMNS, [*[pa.string()] * 6, pa.int64(), pa.bool_(), pa.map_(pa.string(), pa.string()), pa.binary()], strict=True)])
-
-
-def _row(headers: dict[str, str], block: bytes) -> tuple:
-    plain = lambda name: headers[name].strip("<>") if name in headers else None
-    kind, digest, size, intact, fields = headers["warc-type"], None, None, None, None
-    if kind in ("response", "revisit"):
-        said, size = headers.get("warc-payload-digest", "").removeprefix("sha1:"), int(headers["payload-length"]) if "payload-length" in headers else None
+    """(headers, block) of each record of one file; anything that is no record is an exception."""
+    for headers, block, _ in entries(opened(content), strict=True):
+        yield headers, block
+
+
+_COLUMNS = ["transaction", "record_id", "concurrent_to", "record_type", "refers_to", "target_uri", "payload_digest", "payload_bytes", "intact", "fields", "block", "error"]
+_SCHEMA = "transaction string, record_id string, concurrent_to array<string>, record_type string, refers_to string, target_uri string, payload_digest string, payload_bytes long, intact boolean, fields map<string, string>, block binary, error string"
+_TYPES = pa.schema(
+    [
+        (c, t)
+        for c, t in zip(_COLUMNS, [pa.string(), pa.string(), pa.list_(pa.string()), *[pa.string()] * 4, pa.int64(), pa.bool_(), pa.map_(pa.string(), pa.string()), pa.binary(), pa.string()], strict=True)
+    ]
+)
+
+
+def _digest(said: str | None) -> str | None:
+    """A SHA-1 as a header gives it, in hex; base 32 is usual, too. None for other kinds."""
+    kind, _, value = (said or "").rpartition(":")
+    if kind.lower() not in ("", "sha1", "sha-1"):
+        return None
+    if len(value) == 32:
+        try:
+            return base64.b32decode(value.upper()).hex()
+        except ValueError:
+            return None
+    return value.lower() or None
+
+
+def _payload(headers: dict[str, str], block: bytes) -> bytes:
+    """What follows the HTTP head; the whole block of a response that has none, such as a DNS record."""
+    kind = headers.get("content-type", "")
+    if not (kind.lower().startswith("application/http") or (not kind and block.startswith(b"HTTP/"))):
+        return block
+    at = block.find(b"\r\n\r\n")
+    if at >= 0:
+        return block[at + 4 :]
+    at = block.find(b"\n\n")
+    return block[at + 2 :] if at >= 0 else b""
+
+
+def _row(headers: dict[str, str], block: bytes | None, error: str | None) -> tuple:
+    plain = lambda name: headers[name].strip("<> ") if name in headers else None
+    concurrent = [x.strip("<>") for x in headers.get("warc-concurrent-to", "").split()]
+    kind, digest, size, intact, fields = headers.get("warc-type", "").lower() or None, None, None, None, None
+    if error is None and kind is None:
+        error = "no type"
+    if kind in ("response", "revisit") and block is not None:
+        said, length = headers.get("warc-payload-digest"), headers.get("payload-length", "")
+        size = int(length) if length.isascii() and length.isdigit() else None
+        digest = _digest(said)
         if kind == "response":
-            payload = block[block.index(b"\r\n\r\n") + 4 :]
-            digest = hashlib.sha1(payload).hexdigest()
-            intact, size = digest == said and size in (None, len(payload)), len(payload)
+            payload = _payload(headers, block)
+            own = hashlib.sha1(payload).hexdigest()
+            # nothing is said of other kinds of digests
+            intact = None if said and digest is None else digest == own and size in (None, len(payload))
+            digest, size = own, len(payload)
         else:
-            digest, intact = said, True
-    elif kind == "metadata":
-        fields = [tuple(x.split(": ", 1)) for x in block.decode().split("\r\n") if x]
-    return plain("warc-concurrent-to") or plain("warc-record-id"), plain("warc-record-id"), kind, plain("warc-refers-to"), headers.get("warc-target-uri"), digest, size, intact, fields, block
+            intact = True
+    elif kind == "metadata" and block is not None:
+        fields = list(header_fields(x for x in block.split(b"\n") if x.strip()).items())
+    return (concurrent[0] if concurrent else plain("warc-record-id")), plain("warc-record-id"), concurrent, kind, plain("warc-refers-to"), headers.get("warc-target-uri"), digest, size, intact, fields, block, error
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of all files below `path`, one row each. Digest and length of a response are those of the payload
-    as read; `intact` says whether its headers agree. Those of a revisit are what its headers say of the full payload."""
+    as read; `intact` says whether its headers agree (null for digests that are not SHA-1). Those of a revisit are what its headers
+    say of the full payload. What is no record is a row with an `error` (see `entries`); nothing ends the job.
+
+    A task holds a file as it is stored, at most 2 GB, and one record of it.
+    """
 
     def run(batches):
         for batch in batches:
             for content in batch.column("content"):
-                held = []
-                for headers, block in parse(content.as_py()):
-                    held.append(_row(headers, block))
-                    if len(held) == RECORDS_PER_BATCH:
+                held, size = [], 0
+                for entry in entries(opened(content.as_py())):
+                    held.append(_row(*entry))
+                    size += len(entry[1] or b"")
+                    if len(held) == RECORDS_PER_BATCH or size > BYTES_PER_BATCH:
                         yield pa.RecordBatch.from_pylist([dict(zip(_COLUMNS, r, strict=True)) for r in held], schema=_TYPES)
-                        held = []
+                        held, size = [], 0
                 if held:
                     yield pa.RecordBatch.from_pylist([dict(zip(_COLUMNS, r, strict=True)) for r in held], schema=_TYPES)
 
     return map_batches(spark.read.format("binaryFile").load(path).select("content"), run, _SCHEMA)
 
 
+def connected(pointers: DataFrame) -> DataFrame | None:
+    """(id, transaction) of ids that one step of concurrent-to does not bring together; None if there are none.
+
+    `pointers` has record_id and target. In the usual case requests and metadata name a response that names nobody, and every
+    target is its transaction. Ids that name others and are named, or name several, are connected as far as it goes.
+    """
+    roles = pointers.select(F.col("record_id").alias("id"), F.lit(1).alias("names"), F.lit(0).alias("named")).union(pointers.select("target", F.lit(0), F.lit(1)))
+    odd = cut_lineage(roles.groupBy("id").agg(F.sum("names").alias("names"), F.sum("named").alias("named")).where("names > 1 or (names > 0 and named > 0)").select("id"))
+    if odd.isEmpty():
+        drop_stored(odd)
+        return None
+    near = pointers.join(odd.select(F.col("id").alias("record_id")), "record_id", "left_semi").union(pointers.join(odd.select(F.col("id").alias("target")), "target", "left_semi").select("record_id", "target"))
+    edges = near.select(F.least("record_id", "target").alias("a"), F.greatest("record_id", "target").alias("b"))
+    return components(edges).select(F.col("node").alias("id"), F.col("label").alias("transaction"))
+
+
 def assemble(found: DataFrame, blocks: bool = True) -> DataFrame:
     """One nested row for each capture: `transaction`, `response`, `request`, `metadata`.
 
-    Records meet through the id that request and metadata give as concurrent-to and the response has itself, in
-    one shuffle. A part that is missing is null. Records about a file (warcinfo) are no capture. `blocks=False`
-    leaves the records' contents out of it.
+    Records meet through concurrent-to ids, whoever names whom: those that one step brings together in one shuffle, chains and
+    records that name each other through `connected`. A part that is missing is null; of several the one with the
+    smallest id is taken. Records about a file (warcinfo) and rows with an error are no capture. `blocks=False` leaves the
+    records' contents out of it and reads the archives once.
     """
-    keep = [c for c in _COLUMNS if c != "transaction" and (blocks or c != "block")]
-    part = lambda *kinds: F.first(F.when(F.col("record_type").isin(*kinds), F.struct(*keep)), ignorenulls=True)
-    return found.where("record_type <> 'warcinfo'").groupBy("transaction").agg(part("response", "revisit").alias("response"), part("request").alias("request"), part("metadata").alias("metadata"))
+    keep = [c for c in _COLUMNS if c not in ("transaction", "concurrent_to", "error") and (blocks or c != "block")]
+    records_ = found.where("record_type <> 'warcinfo' and error is null").select("transaction", "concurrent_to", *keep)
+    if not blocks:
+        records_ = cut_lineage(records_)
+    pointers = cut_lineage(records_.where("record_id is not null").select("record_id", F.explode(F.array_distinct("concurrent_to")).alias("target")).where("target <> record_id"))
+    met = connected(pointers)
+    drop_stored(pointers)
+    if met is not None:
+        own = met.select(F.col("id").alias("record_id"), F.col("transaction").alias("_own"))
+        named = met.select(F.col("id").alias("transaction"), F.col("transaction").alias("_named"))
+        both = records_.join(own, "record_id", "left").join(named, "transaction", "left")
+        records_ = both.select(F.coalesce("_own", "_named", "transaction").alias("transaction"), *keep)
+    part = lambda *kinds: F.min_by(F.struct(*keep), F.when(F.col("record_type").isin(*kinds), F.coalesce("record_id", F.lit(""))))
+    whole = records_.groupBy("transaction").agg(part("response", "revisit").alias("response"), part("request").alias("request"), part("metadata").alias("metadata"))
+    return whole.where("transaction is not null")
