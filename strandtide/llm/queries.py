@@ -163,8 +163,9 @@ def tokenizer_words(name: str = "word_bpe_49k.json") -> frozenset[str]:
 
 @_query("op8_secrets")
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    findings = cut_lineage(secrets.candidates(_table(spark, folder, "documents"), tokenizer_words()))
-    return secrets.scan(findings, secrets.fit(findings))
+    known = tokenizer_words()
+    findings = cut_lineage(secrets.candidates(_table(spark, folder, "documents"), known))
+    return secrets.scan(findings, secrets.fit(findings, known=known))
 
 
 @_query("op9_token_files")

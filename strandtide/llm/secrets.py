@@ -19,14 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandtide.llm import exercises
 from strandtide.llm.common import map_batches
 from strandtide.llm.trees import Trees, forest
 
-#: At most so many labelled findings are used for fitting, chosen by a hash of their content.
-TRAINING_FINDINGS = 20_000
+#: At most so many labelled findings of a corpus are used for fitting, chosen by a hash of their content, and so many
+#: exercises of each kind (see `exercises`).
+TRAINING_FINDINGS, EXERCISES = 20_000, 120
 THRESHOLD = 0.5
 LEAST = 8
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*[0-9]|[A-Z0-9_+/\-]{{{LEAST},}}(?![A-Za-z0-9_+/\-]))[A-Za-z0-9_+/\-]{{{LEAST},}}")
+# Signed tokens of two or three parts, whose dots are no ends.
+SIGNED = re.compile(r"(?<![\w\-])eyJ[\w\-]{8,}(?:\.[\w\-]{8,}){1,2}(?![\w\-])")
 _AROUND = 48
 # Names of settings that hold secrets, and words in paths of files that hold settings or examples.
 SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "access_key", "private_key", "credential", "auth", "bearer", "key", "pass", "cred")
@@ -121,7 +125,7 @@ _HASH_SETTING = re.compile(r"(?i)(?<![a-z])(commit|sha-?\d*|etag|md5|checksum|di
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _DATED = re.compile(r"([A-Za-z]+[_/\-])*(19|20)\d\d([_/\-]?)(0[1-9]|1[0-2])\3(0[1-9]|[12]\d|3[01])(T\d{2,6}Z?)?([_/\-][A-Za-z]*)*")
 # Variables, calls, placeholders and short words.
-_DOUBTFUL = re.compile(rf"[$<({{%\[*].*|\w*[.\w]*[(\[].*|[A-Za-z_]+(\.[A-Za-z_]+)+|[A-Za-z]{{0,{LEAST - 1}}}|(?i:(your|change|example|placeholder|insert|xxx).*)", re.DOTALL)
+_DOUBTFUL = re.compile(rf"[$<({{%\[*].*|[\w.]*[(\[].*|[A-Za-z_]+(\.[A-Za-z_]+)+|[A-Za-z]{{0,{LEAST - 1}}}|(?i:(your|change|example|placeholder|insert|xxx).*)", re.DOTALL)
 
 
 def known_label(value: str, before: str, after: str = "") -> int | None:
@@ -154,6 +158,7 @@ def spans(text: str) -> list[tuple[int, int]]:
     first of them, too. Quotes elsewhere hold no white space.
     """
     found = {m.span() for m in CANDIDATE.finditer(text)}
+    found.update(m.span() for m in SIGNED.finditer(text))
     found.update(m.span(m.lastindex) for m in URL_CREDENTIAL.finditer(text))
     found.update(m.span(m.lastindex) for q in _QUOTE.finditer(text) if (m := QUOTED.match(text, q.start())))
     past = 0
@@ -182,7 +187,11 @@ def _named_at(text: str) -> list[int]:
 
 
 def candidates(docs: DataFrame, known: frozenset[str], path: str = "source") -> DataFrame:
-    """`doc_id`, `start` (code points), `length`, `value_sha256`, `label` (see `known_label`), `x` for every candidate of every text."""
+    """`doc_id`, `start` (code points), `length`, `value_sha256`, `label` (see `known_label`), `x` for every candidate of every text.
+
+    Null and empty texts have none; a null path counts as empty. Repeated rows give repeated findings, other columns are
+    ignored, an empty table gives an empty result. Time follows the length of a text and of a value.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
@@ -204,16 +213,39 @@ def candidates(docs: DataFrame, known: frozenset[str], path: str = "source") ->
     return map_batches(source, run, "doc_id long, start long, length long, value_sha256 string, label int, x array<float>")
 
 
-def fit(findings: DataFrame, bound: int = TRAINING_FINDINGS) -> Trees:
+def exercised(known: frozenset[str], seed: int, each: int, kinds=lambda kind: True) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of all candidates of exercises: those that are most of the value have its label, those beside it are no
+    secrets, and small parts of a secret are left out."""
+    x, y = [], []
+    for _, text, start, stop, label, path in exercises.lines(seed, each, kinds):
+        for a, b in spans(text):
+            shared = min(b, stop) - max(a, start)
+            if label and 0 < shared <= 0.6 * (stop - start):
+                continue
+            x.append(describe(text[a:b], text[max(0, a - _AROUND) : a], text[b : b + _AROUND], path, known))
+            y.append(label if shared > 0 else 0)
+    return np.array(x, dtype=np.float32).reshape(-1, FEATURES), np.array(y, dtype=float)
+
+
+def fit(findings: DataFrame, bound: int = TRAINING_FINDINGS, known: frozenset[str] | None = None, each: int = EXERCISES) -> Trees:
     """A forest for `label` of `findings` (as from `candidates`); null labels are left out. At most `bound` distinct
-    findings are used, first in the order of their values' hashes. Without labels every score is 0.5."""
+    findings are used, first in the order of their values' hashes; equal ones count once.
+
+    With `known` (the dictionary) `each` exercises of every kind are learned, too: forms whose label no rule tells. Without
+    any labels every score is 0.5.
+    """
     rows = findings.where("label is not null").select("value_sha256", "label", "x").distinct().orderBy("value_sha256", "label", "x").limit(bound).toArrow()
     x = np.asarray(rows.column("x").combine_chunks().flatten(), dtype=np.float32).reshape(-1, FEATURES) if rows.num_rows else np.zeros((0, FEATURES), np.float32)
-    return forest(x, rows.column("label").to_numpy().astype(float))
+    y = rows.column("label").to_numpy().astype(float)
+    if known is not None:
+        more, labels = exercised(known, 1, each)
+        x, y = np.concatenate([x, more]), np.concatenate([y, labels])
+    return forest(x, y)
 
 
 def scan(findings: DataFrame, model: Trees, threshold: float = THRESHOLD) -> DataFrame:
-    """`findings` with `score` and `is_secret`, without the features. Nothing is dropped: false positives are marked."""
+    """`findings` with `score` and `is_secret`, without the features. Nothing is dropped: false positives are marked. A score of exactly
+    `threshold` counts as a secret; a null id stays null."""
     shared = findings.sparkSession.sparkContext.broadcast(model)
     keep = ["doc_id", "start", "length", "value_sha256"]
 
