@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import LETTERS, lists, map_batches, mix, utf8
+from strandtide.llm.common import LETTERS, lists, map_batches, mix, row_count, utf8
+from strandtide.runtime import cut_lineage
 
 FEATURES = 4096
 LONGEST = 4
@@ -170,14 +171,20 @@ def fit(docs: DataFrame, bound: int = TRAINING_ROWS) -> Languages:
     """Learns the languages of `docs` (doc_id, text, lang) from texts with a letter and non-null `lang`.
 
     At most `bound` rows are fetched, as many of each language as its share of the bound allows (one at least), those
-    whose ids come first in hash order; only ids and languages are sorted. Rows without id are not used. Without
+    whose ids come first in hash order; only ids and languages are sorted, and of a frequent language only those whose
+    hash is small enough to come first. Rows without id are not used. Without
     rows nothing is learned and every text is undecided.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where("lang is not null").where(has_letters(F.col("text")))
-    kinds = rows.agg(F.count_distinct("lang").alias("n")).first()["n"]
-    each = max(1, bound // max(kinds, 1))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").where("doc_id is not null").distinct().withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= each).drop("_r")
+    ids = rows.select("doc_id", "lang").where("doc_id is not null")
+    # one row for each language
+    kinds = cut_lineage(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    each = max(1, bound // max(row_count(kinds), 1))
+    # three times the share that is needed and a hundred rows more: the first ones are always among them
+    small = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.least(F.lit(1.0), (3 * each + 100) / F.col("n")) * (1 << 20)
+    near = ids.join(kinds, "lang").where(small).select("doc_id", "lang").distinct()
+    first = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")
+    chosen = near.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= each).drop("_r")
     sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "text")
 
     def run(batches):
@@ -190,7 +197,7 @@ def fit(docs: DataFrame, bound: int = TRAINING_ROWS) -> Languages:
 
     found = map_batches(sample, run, "doc_id long, lang string, at array<short>, x array<float>")
     # ids may be repeated in `docs`: the bound holds for what is fetched, too
-    again = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "at", "x")
+    again = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id", "at", "x")
     table = found.withColumn("_r", F.row_number().over(again)).where(F.col("_r") <= each).orderBy("lang", "_r").select("lang", "at", "x").toArrow()
     x = np.zeros((table.num_rows, FEATURES), dtype=np.float32)
     at, value = table.column("at").combine_chunks(), table.column("x").combine_chunks()

@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandtide.llm.common import group_bounds, in_groups
 from strandtide.runtime import cut_lineage
 
 GRAINS_PER_SHARD = 256
+SHARDS_PER_REGION = 64
 
 
 class CapacityTree:
@@ -127,9 +130,9 @@ def shard(docs: DataFrame, shards: int | None = 24, capacity: int | None = None,
     """`doc_id`, `size`, `text_crc32`, `text_key`, `shard`, `slot` for every row of `docs` (doc_id, text, more).
 
     With `shards`, the sizes of that many shards are made nearly equal; with `capacity` (bytes), as few shards
-    of that size as best fit finds are filled. A size is the text's UTF-8 bytes plus `overhead`; null counts
-    as empty text, and both are one group. `slot` numbers a shard's rows without gaps, by doc_id (nulls first).
-    Equal rows are interchangeable. Other columns are ignored; an empty table gives an empty result.
+    of that size as best fit finds are filled, region by region (see `_by_capacity`). A size is the text's UTF-8 bytes plus
+    `overhead`; null counts as empty text, and both are one group. `slot` numbers a shard's rows without gaps, by doc_id
+    (nulls first). Equal rows are interchangeable. Other columns are ignored; an empty table gives an empty result.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lean = cut_lineage(
@@ -141,27 +144,71 @@ def shard(docs: DataFrame, shards: int | None = 24, capacity: int | None = None,
         )
     )
     total = lean.agg(F.sum("size").alias("n")).first()["n"] or 0
-    grain = max(1, (total // shards if capacity is None else capacity) // GRAINS_PER_SHARD)
-    bins = max(1, total // grain)
+    placed = _by_capacity(lean, total, capacity) if capacity is not None else _by_count(lean, total, shards)
+    return number(placed, "shard", ["doc_id", "text_key"], "slot")
+
+
+def _items(lean: DataFrame, grain: int, bucket: Column, *by: Column) -> DataFrame:
+    """(*by, kind, key, bytes): groups of at least `grain` bytes (kind 0), and the hash bins of smaller ones (kind 1)."""
     groups = lean.groupBy("text_key").agg(F.sum("size").alias("bytes"))
-    bucket = F.pmod(F.xxhash64("text_key"), F.lit(bins))
-    # at most total / grain groups reach the grain, and there are as many hash bins
+    # at most total / grain groups reach the grain
     marked = cut_lineage(groups.where(F.col("bytes") >= grain).select("text_key", "bytes"))
-    large = marked.select(F.lit(0).alias("kind"), F.hex("text_key").alias("key"), "bytes")
-    small = groups.where(F.col("bytes") < grain).groupBy(bucket.cast("string").alias("key")).agg(F.sum("bytes").alias("bytes")).select(F.lit(1).alias("kind"), "key", "bytes")
-    found = _packed(large.union(small).collect(), shards, capacity)
-    spark = docs.sparkSession
+    large = marked.select(*by, F.lit(0).alias("kind"), F.hex("text_key").alias("key"), "bytes")
+    names = [c for c in large.columns if c not in ("kind", "key", "bytes")]
+    small = groups.where(F.col("bytes") < grain).groupBy(*by, bucket.cast("string").alias("key")).agg(F.sum("bytes").alias("bytes")).select(*names, F.lit(1).alias("kind"), "key", "bytes")
+    return large.union(small)
+
+
+def _by_count(lean: DataFrame, total: int, shards: int) -> DataFrame:
+    grain = max(1, (total // shards) // GRAINS_PER_SHARD)
+    bins = max(1, total // grain)
+    bucket = F.pmod(F.xxhash64("text_key"), F.lit(bins))
+    # there are as many hash bins as groups that reach the grain
+    found = _packed(_items(lean, grain, bucket).collect(), shards, None)
+    spark = lean.sparkSession
     names = "key string, shard int"
     of_large = spark.createDataFrame([(k, b) for kind, k, b in found if kind == 0], names).select(F.unhex("key").alias("text_key"), F.col("shard").alias("own"))
     of_small = spark.createDataFrame([(int(k), b) for kind, k, b in found if kind == 1], "bucket long, shard int").select("bucket", F.col("shard").alias("shared"))
-    placed = (
+    return (
         lean.join(F.broadcast(of_large), "text_key", "left")
         .withColumn("bucket", bucket)
         .join(F.broadcast(of_small), "bucket", "left")
         .withColumn("shard", F.coalesce("own", "shared"))
         .drop("own", "shared", "bucket")
     )
-    return number(placed, "shard", ["doc_id", "text_key"], "slot")
+
+
+def _by_capacity(lean: DataFrame, total: int, capacity: int) -> DataFrame:
+    """Shards of `capacity` bytes, packed in the tasks.
+
+    Groups are dealt by hash into regions of about SHARDS_PER_REGION shards, each of which one task packs on its own: at
+    most 2 * GRAINS_PER_SHARD items for a shard, whatever the table holds. Shards are numbered through region after region.
+    Against packing everything together a region may have one shard more that is not full.
+    """
+    regions = max(1, -(-total // (capacity * SHARDS_PER_REGION)))
+    grain = max(1, capacity // GRAINS_PER_SHARD)
+    region = F.pmod(F.xxhash64("text_key", F.lit("region")), F.lit(regions)).cast("int").alias("region")
+    bucket = F.pmod(F.xxhash64("text_key"), F.lit(max(1, total // grain // regions)))
+
+    def run(batches):
+        for table in in_groups(batches, ["region"]):
+            bounds = group_bounds(table, ["region"])
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                part = table.slice(lo, hi - lo).to_pylist()
+                kinds, keys, bins = zip(*_packed(part, None, capacity), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([part[0]["region"]] * len(kinds), pa.int32()), pa.array(kinds, pa.int32()), pa.array(keys), pa.array(bins, pa.int64())], names=["region", "kind", "key", "bin"])
+
+    items = _items(lean, grain, bucket, region).repartition("region").sortWithinPartitions("region")
+    bins = cut_lineage(items.mapInArrow(run, "region int, kind int, key string, bin long"))
+    # one row for each region
+    counts = bins.groupBy("region").agg((F.max("bin") + 1).alias("n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("region").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("region", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    numbered = bins.join(first, "region").withColumn("shard", (F.col("first") + F.col("bin")).cast("int"))
+    of_large = numbered.where("kind = 0").select(F.unhex("key").alias("text_key"), F.col("shard").alias("own"))
+    of_small = numbered.where("kind = 1").select("region", F.col("key").cast("long").alias("bucket"), F.col("shard").alias("shared"))
+    placed = lean.join(of_large, "text_key", "left").withColumns({"region": region, "bucket": bucket}).join(of_small, ["region", "bucket"], "left")
+    return placed.withColumn("shard", F.coalesce("own", "shared")).drop("own", "shared", "bucket", "region")
 
 
 def number(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:

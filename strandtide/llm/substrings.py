@@ -29,14 +29,16 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import NOT_SPACE, Block, bit_filter, blocks, map_batches, passes, signed
+from strandtide.llm.common import NOT_SPACE, Block, bit_filter, blocks, group_bounds, in_groups, map_batches, passes, signed
 from strandtide.runtime import cut_lineage
 
 RUN_WORDS = 18
 FILTER_BITS = 1 << 27
+# Most words of all references that `against_references` takes.
+MOST_REFERENCE_WORDS = 20_000_000
 
 
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -251,25 +253,36 @@ class SuffixAutomaton:
 def against_references(docs: DataFrame, references: DataFrame, length: int = 50, shard_words: int = 200_000, earlier_only: bool = False) -> DataFrame:
     """As `remove_repeats`, but windows are looked for in `references` (doc_id, text), a stated set of bounded size.
 
-    A shard holds whole references of about `shard_words` words; one automaton at a time is fetched and broadcast.
+    More than MOST_REFERENCE_WORDS words are an error. References are dealt by hash to shards of about `shard_words` words, whose
+    automata are built in one job; one at a time is fetched, in as many bytes as its words make, and broadcast.
     With `earlier_only`, a window counts only if a reference with a smaller id than the document's has it.
     """
     spark = docs.sparkSession
 
     def build(batches):
-        automaton = SuffixAutomaton()
-        for batch in batches:
-            for number, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                automaton.add((text or "").encode().split(), number)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(automaton.close())])], names=["automaton"])
+        for table in in_groups(batches, ["shard"]):
+            bounds = group_bounds(table, ["shard"])
+            numbers, texts, shards_of = (table.column(c).to_pylist() for c in ("doc_id", "text", "shard"))
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                automaton = SuffixAutomaton()
+                for i in range(lo, hi):
+                    automaton.add((texts[i] or "").encode().split(), numbers[i])
+                yield pa.RecordBatch.from_arrays([pa.array([shards_of[lo]], pa.int64()), pa.array([pickle.dumps(automaton.close())])], names=["shard", "automaton"])
 
     sized = references.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.size(F.split("text", r"\s+")).cast("long").alias("n"))
-    sized = cut_lineage(sized.withColumn("shard", F.floor(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("doc_id", "text")) / shard_words)))
+    words = sized.agg(F.sum("n").alias("n")).first()["n"] or 0
+    if words > MOST_REFERENCE_WORDS:
+        raise ValueError(f"references of {words} words; at most {MOST_REFERENCE_WORDS} can be looked for")
+    shards = max(1, -(-words // shard_words))
+    dealt = sized.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard"), "doc_id", "text").repartition("shard").sortWithinPartitions("shard", "doc_id")
+    automata = cut_lineage(map_batches(dealt, build, "shard long, automaton binary"))
     source = cut_lineage(docs.select(F.monotonically_increasing_id().alias("at"), F.col("doc_id").cast("long").alias("doc_id"), "text"))
     hits = None
-    for shard in [r["shard"] for r in sized.select("shard").distinct().orderBy("shard").toLocalIterator()]:
-        blob = map_batches(sized.where(F.col("shard") == shard).coalesce(1).select("doc_id", "text"), build, "automaton binary").first()["automaton"]
-        held = spark.sparkContext.broadcast(bytes(blob))
+    for shard in range(shards):
+        blob = automata.where(F.col("shard") == shard).select("automaton").first()
+        if blob is None:
+            continue
+        held = spark.sparkContext.broadcast(bytes(blob["automaton"]))
 
         def look(batches, held=held):
             automaton = pickle.loads(held.value)
