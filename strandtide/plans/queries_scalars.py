@@ -18,8 +18,8 @@ from strandtide.plans.standins import (
     short_accession,
     table,
 )
-from strandtide.runtime import spread_when_few
-from strandtide.sources.tables import node_rows, parse_json
+from strandtide.runtime import fresh_path, spread_when_few
+from strandtide.sources.tables import node_rows, parse_json, read_node_documents
 
 # word characters and title case as SQL sees them
 _WORD = r"[\p{L}\p{M}\p{N}\p{Pc}]"
@@ -563,6 +563,22 @@ def _(spark, sf):
     return node_rows(table(spark, sf, "events").select(doc.alias("doc")), "doc")
 
 
+@query(
+    "read_node_documents",
+    """SELECT 'E' || event_id AS node, 'k' AS key, json_extract_string(props, '$.k') AS value FROM events
+    UNION ALL SELECT 'E' || event_id, 'said', event_type || ' }"{ \\ ' || user_id FROM events""",
+)
+def _(spark, sf):
+    said = F.concat("event_type", F.lit(' }"{ \\ '), F.col("user_id").cast("string"))
+    node = F.concat(F.lit('"E'), F.col("event_id").cast("string"), F.lit('": '), F.to_json(F.struct(F.get_json_object("props", "$.k").alias("k"), said.alias("said"))))
+    # a document for each user, all below one folder; other objects and braces in strings stand around the nodes
+    docs = table(spark, sf, "events").select("user_id", node.alias("node")).groupBy("user_id").agg(F.concat_ws(",\n  ", F.collect_list("node")).alias("nodes"))
+    text = F.concat(F.lit('{"version": "a}{\\"", "meta": {"nodes": {"x": "1"}, "y": {"z": "2"}}, "list": [{"a": 1}],\n "nodes": {'), "nodes", F.lit('}, "after": {"E": {"k": "no"}}}'))
+    path = fresh_path(spark, "node-documents")
+    docs.select(text.alias("value")).write.text(path)
+    return read_node_documents(spark, path)
+
+
 @query(
     "rename_fields",
     "SELECT o_orderkey AS accession, o_orderstatus AS strain, o_totalprice AS length FROM orders",

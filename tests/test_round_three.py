@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from strandtide.functions.locations import location_parts
 from strandtide.operators import clades, features, history
 from strandtide.sources import sequences as seqio
+from strandtide.sources import tables as tabio
 from strandtide.streaming import flows
 
 RULES = "clade string, gene string, site string, alt string"
@@ -162,3 +164,27 @@ def test_a_ledger_of_200_batches_is_written_a_few_times(spark, tmp_path, monkeyp
     count = len(written)
     flows._merge_tiers(spark, folder, "id", 4)
     assert len(written) == count and not list((tmp_path / "ledger" / "parts").iterdir())
+
+
+@pytest.mark.parametrize("splits", [1, 40])
+def test_one_document_is_read_by_several_tasks(spark, tmp_path, splits):
+    rng = random.Random(splits)
+    odd = ['}', '{', '"', "\\", '\\"}', "é}", "", "a\nb", "[", ',"x":{']
+    nodes = {f"N{i}{rng.choice(odd)}": {f"k{j}": rng.choice(odd) * rng.randrange(4) for j in range(rng.randrange(4))} for i in range(400)}
+    document = {"version": '}{"', "meta": {"nodes": {"N": {"k": "wrong"}}, "m": {"n": 1}}, "flat": {}, "list": [{"a": {"b": "c"}}, [], "}"], "n": None, "nodes": nodes, "after": {"N1": {"k": "wrong"}}, "end": "}}"}
+    (tmp_path / "a.json").write_text(json.dumps(document, indent=2 if splits > 1 else None))
+    (tmp_path / "b.json").write_text(json.dumps({"nodes": {}}) + "\n" + json.dumps({"nodes": {"only": {"k": "v", "deep": {"x": [1, "}"]}}}}) + "\n")
+    size = (tmp_path / "a.json").stat().st_size
+    settings = {"spark.sql.files.maxPartitionBytes": str(size // splits + 1), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        parts = spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions()
+        assert parts >= splits
+        got = rows(tabio.read_node_documents(spark, str(tmp_path)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = [(n, k, v) for n, values in nodes.items() for k, v in values.items()] + [("only", "k", "v"), ("only", "deep", '{"x":[1,"}"]}')]
+    assert got == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
