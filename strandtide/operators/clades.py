@@ -89,9 +89,13 @@ def site_blocks(sites: DataFrame, name: str) -> DataFrame:
 def site_states_of(seqs: DataFrame, sites: DataFrame, proteins: Mapping[str, tuple[int, int]]) -> DataFrame:
     """`site_states` for a table of sites (gene, site) of any length.
 
-    The sites are a stated set, which every sequence looks up block by block; only the letters there leave its row.
+    The sites are a stated set, which every sequence looks up gene by gene and block by block; only the letters there leave
+    its row.
     """
-    blocks = broadcast_when_small(cut_lineage(site_blocks(sites.distinct(), "gene")))
+    stored = cut_lineage(site_blocks(sites.distinct(), "gene"))
+    # at most as many names as there are windows
+    genes = sorted(r["gene"] for r in stored.where(F.col("gene").isin(["nuc", *proteins])).select("gene").distinct().collect())
+    blocks = broadcast_when_small(stored)
     text = F.when(F.col("gene") == "nuc", F.col("seq"))
     for gene, (lo, hi) in proteins.items():
         text = text.when(F.col("gene") == gene, seqfn.translate_seq(F.substr("seq", F.lit(lo), F.lit(hi - lo + 1))))
@@ -99,7 +103,8 @@ def site_states_of(seqs: DataFrame, sites: DataFrame, proteins: Mapping[str, tup
         F.struct(F.encode(text, "utf-8").alias("raw"), F.col("sites").alias("sites")),
         lambda x: F.transform(x["sites"], lambda s: F.struct(s.alias("site"), F.when(s >= 1, F.substr(x["raw"], s, F.lit(1)).cast("string")).alias("alt"))),
     )
-    return seqs.select("id", "seq").crossJoin(blocks).select("id", "gene", F.inline(cells)).filter("alt <> ''")
+    named = seqs.select("id", "seq", F.explode(F.array(*map(F.lit, genes)).cast("array<string>")).alias("gene"))
+    return named.join(blocks, "gene").select("id", "gene", F.inline(cells)).filter("alt <> ''")
 
 
 def clades_held(states: DataFrame, rules: DataFrame) -> DataFrame:
@@ -200,7 +205,8 @@ def key_mutations_at(nodes: DataFrame, positions: DataFrame, min_count: int = 1)
         F.struct(F.col("_raw").alias("raw"), F.col("sites").alias("sites")),
         lambda x: F.concat_ws("", F.transform(x["sites"], lambda s: F.when(s >= 1, F.substr(x["raw"], s, F.lit(1)).cast("string")))),
     )
-    parts = protein.crossJoin(blocks).select("node", "is_tip", F.col("feature_set").alias("feature"), F.get("sites", F.lit(0)).alias("_first"), letters.alias("value"))
+    asked = protein.select("*", F.explode(F.array(*map(F.lit, names))).alias("feature_set"))
+    parts = asked.join(blocks, "feature_set").select("node", "is_tip", F.col("feature_set").alias("feature"), F.get("sites", F.lit(0)).alias("_first"), letters.alias("value"))
     in_order = F.array_sort(F.collect_list(F.struct("_first", "value")))
     long = parts.groupBy("node", "is_tip", "feature").agg(F.concat_ws("", F.transform(in_order, lambda p: p["value"])).alias("value"))
     collapsed = collapse_rare(long, "value", min_count, F.col("is_tip"), ["feature"])

@@ -120,8 +120,9 @@ def source_record(
     with_name = F.nullif(F.concat_ws("; ", before, standard), F.lit(""))
     diagnosis = F.when(F.col("_n").isNotNull(), F.col("_n")["diagnosis"]).otherwise(with_name)
     diagnosis = mining.mine_severity(diagnosis, note)
-    diagnosis = F.replace(diagnosis, F.lit("HFMD; HFMD"), F.lit("HFMD"))
-    diagnosis = F.replace(diagnosis, F.lit("AFP; AFP"), F.lit("AFP"))
+    # Two findings that are named twice.
+    for finding in ("HFMD", "AFP"):
+        diagnosis = F.replace(diagnosis, F.lit(f"{finding}; {finding}"), F.lit(finding))
     where = F.trim(F.get(place, F.lit(1)))
     isolation_out = F.when(F.coalesce("_n", "_h").isNotNull(), isolation).when(F.col("_i").isNotNull(), F.col("_i")["isolation"]).otherwise(isolation)
     origin = F.when(F.col("_n").isNull() & F.col("_h").isNotNull(), F.col("_h")["host"]).otherwise(host)

@@ -441,7 +441,7 @@ def _(spark, sf):
 @query(
     "genbank_locations",
     f"""WITH {SQL_SEQS}, d AS (SELECT id, seq, ord % 5 AS k, translate(seq, 'ACGT', 'TGCA') AS c FROM seqs)
-    SELECT 'D' || id || '.1' AS seqid, CASE k WHEN 0 THEN '1-30+ 61-70+ 41-50+ 81-90-' WHEN 1 THEN '21-30+ 1-10-' WHEN 2 THEN '4-6+' WHEN 3 THEN '5-9+ 1-3+' ELSE '7-9-' END AS spans,
+    SELECT 'D' || id || '.1' AS seqid, CASE k WHEN 0 THEN '1-30+ 61-70+ 41-50+ 81-90-' WHEN 1 THEN '21-30+ 1-10-' WHEN 2 THEN '1-9- 4-6+' WHEN 3 THEN '5-9+ 1-3+' ELSE '7-9-' END AS spans,
       CASE WHEN k = 2 THEN 'X' || id || '.7:1-9-' ELSE '' END AS remote,
       CASE k WHEN 0 THEN substr(seq, 1, 30) || substr(seq, 61, 10) || substr(seq, 41, 10) || reverse(substr(c, 81, 10)) WHEN 1 THEN substr(seq, 21, 10) || reverse(substr(c, 1, 10))
         WHEN 3 THEN substr(seq, 5, 5) || substr(seq, 1, 3) WHEN 4 THEN reverse(substr(c, 7, 3)) END AS seq FROM d""",

@@ -83,7 +83,8 @@ def genbank_features(records: DataFrame) -> DataFrame:
 
     `start` and `end` are the outermost positions, `spans` (start, end, strand) the parts of the location in reading
     order, however its operators are nested: those of `complement(join(..))` come last first. Parts that lie in another
-    record are in `remote` (start, end, strand, record) and in none of the other columns. `attrs` has the first value of each
+    record are in `remote` (start, end, strand, record), too, and say nothing about `start` and `end`; a feature that has any is not
+    cut (`features.extract_feature`). `attrs` has the first value of each
     qualifier, `values` all of them.
     """
     block = F.regexp_extract("record", r"(?s)\nFEATURES[^\n]*(\n.*?)(?:\n[A-Z]|$)", 1)
@@ -97,7 +98,7 @@ def genbank_features(records: DataFrame) -> DataFrame:
     own = lambda p: p["record"].isNull() | F.coalesce(p["record"] == own_names[0], F.lit(False)) | F.coalesce(p["record"] == own_names[1], F.lit(False))
     rows = rows.withColumn("_parts", location_parts(location))
     here, elsewhere = F.filter("_parts", own), F.filter("_parts", lambda p: ~own(p))
-    spans = F.transform(here, lambda p: F.struct(p["start"], p["end"], p["strand"]))
+    spans = F.transform("_parts", lambda p: F.struct(p["start"], p["end"], p["strand"]))
     numbers = F.flatten(F.transform(here, lambda p: F.array(p["start"], p["end"])))
     pattern = F.lit(r'\n {21}/([^=\n]+)(?:="?((?:[^"\n]|"")*)"?)?')
     keys = F.regexp_extract_all("item", pattern, F.lit(1))
