@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strandtide.llm import decontaminate, mixing, near_dups, quality, token_files
 from strandtide.llm.queries import thirds, tokenizer_definition
-from strandtide.runtime import fresh_path
+from strandtide.runtime import drop_folder, fresh_path, tables_for_a_while
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the documents of `sf_dir`."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows for the documents of `sf_dir`. What stays below the shared folder are the token files and these rows."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"stage-{name.replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with tables_for_a_while(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            drop_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Folders that the innermost open `tables_for_a_while` will delete, one list for each.
+_ENDING: list[list[str]] = []
+
+
+@contextmanager
+def tables_for_a_while(spark: SparkSession):
+    """Tables that `cut_lineage` stores inside are deleted at the end: write what depends on them before that."""
+    _ENDING.append([])
+    try:
+        yield
+    finally:
+        for path in _ENDING.pop():
+            drop_folder(spark, path)
+
+
 def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     """Write `df` as a table below the shared folder and read it back.
 
@@ -56,6 +72,8 @@ def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     the caller's result and stays below the shared folder.
     """
     path = fresh_path(df.sparkSession, "cut")
+    if _ENDING:
+        _ENDING[-1].append(path)
     df.write.parquet(path)
     if replaces is not None:
         drop_stored(replaces)
