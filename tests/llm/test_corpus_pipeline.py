@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -16,6 +17,7 @@ from test_text_operators import WORDS, plain_components, prose
 import corpus_pipeline
 from strandtide.llm import quality
 from strandtide.llm.queries import QUERIES, SQL, tokenizer_definition
+from strandtide.runtime import shared_folder
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -105,13 +107,16 @@ def test_stages_and_run(spark, folder):
         ids = [*library.encode(d[1] or "", add_special_tokens=False).ids, 1]
         rows.append((d[0], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
+    before = set(os.listdir(shared_folder(spark)))
     got = corpus_pipeline.run(spark, folder)
+    # the token files and the result
+    assert len(set(os.listdir(shared_folder(spark))) - before) == 2
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted(map(tuple, got.collect())) == rows
 
 
 def test_there_is_a_query_for_each_operator():
-    assert [re.match(r"op(\d+)_", name)[1] for name in sorted(QUERIES, key=lambda n: int(re.match(r"op(\d+)", n)[1]))] == [str(i) for i in range(1, 11)]
+    assert [re.match(r"op(\d+)_", name)[1] for name in sorted(QUERIES, key=lambda n: int(re.match(r"op(\d+)", n)[1]))] == [str(i) for i in range(1, 14)]
     assert set(SQL) <= set(QUERIES)
 
 
@@ -134,6 +139,9 @@ def test_contract_columns(spark):
         "op6_mixing": [("doc_id", "bigint"), ("size", "bigint"), ("source_size", "bigint"), ("target", "double"), ("taken", "bigint")],
         "op7_substrings": [("doc_id", "bigint"), ("n_words", "bigint"), ("n_removed", "bigint"), ("kept_sha256", "string")],
         "op9_token_files": [("doc_id", "bigint"), ("start", "bigint"), ("n_tokens", "bigint"), ("ids_crc32", "bigint")],
+        "op11_languages": [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean")],
+        "op12_periodic_runs": [("doc_id", "bigint"), ("n_runs", "bigint"), ("start", "bigint"), ("length", "bigint"), ("period", "bigint"), ("exponent_milli", "bigint"), ("runs_sha256", "string"), ("collapsed_sha256", "string")],
+        "op13_fill_middle": [("doc_id", "bigint"), ("n", "bigint"), ("form", "string"), ("prefix_chars", "bigint"), ("middle_chars", "bigint"), ("output_sha256", "string"), ("restored_sha256", "string")],
         "op10_near_duplicates": [("doc_id", "bigint"), ("n_shingles", "bigint"), ("component_id", "bigint"), ("kept", "boolean")],
     }
     for name, columns in kinds.items():
