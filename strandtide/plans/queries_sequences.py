@@ -214,10 +214,10 @@ SQL_VARIANTS = f"""{SQL_REFS}, base AS (SELECT repeat(seq, 3) AS seq FROM refs W
 
 def variants(spark, sf):
     """(id, seq): as many near copies of one text as there are customers."""
-    base = references(spark, sf).agg(F.repeat(F.min_by("seq", "id"), F.lit(3)).alias("seq"))
+    base = references(spark, sf).agg(F.repeat(F.min_by("seq", "id"), F.lit(3)).alias("seq")).withColumn("one", F.length("seq") % 1)
     k, n = F.col("c_custkey"), F.length("seq")
     put = lambda seq, p, letter: F.concat(F.substr(seq, F.lit(1), p), letter, F.substr(seq, p + 2))
-    spots = table(spark, sf, "customer").select("c_custkey").join(F.broadcast(base)).withColumns({"p": (k * 7 % n).cast("int"), "l": ((F.floor(k / n) + k % 3) % 4 + 1).cast("int"), "q": (k % 11).cast("int")})
+    spots = table(spark, sf, "customer").select("c_custkey", (k % 1).cast("int").alias("one")).join(base, "one").withColumns({"p": (k * 7 % n).cast("int"), "l": ((F.floor(k / n) + k % 3) % 4 + 1).cast("int"), "q": (k % 11).cast("int")})
     once = spots.withColumn("seq", put(F.col("seq"), F.col("p"), F.substr(F.lit("ACGT"), F.col("l"), F.lit(1))))
     return once.select(F.concat(F.lit("V"), k.cast("string")).alias("id"), F.when(k % 5 == 0, put(F.col("seq"), F.col("q"), F.lit("T"))).otherwise(F.col("seq")).alias("seq"))
 

@@ -27,7 +27,7 @@ PYTHON_ALLOWED = {
     # canonical composition of text beyond ASCII
     "normalize_strings", "curate_chain", "curate_stream",
     # comparing two byte arrays
-    "pairwise_identity", "dedup_near_identical", "neighbours", "kmer_hits", "best_hit", "abs_span", "hit_lengths", "cut_region", "project_ungapped", "published_clades",
+    "pairwise_identity", "dedup_near_identical", "neighbours", "kmer_hits", "kmer_hits_of_repeats", "best_hit", "abs_span", "hit_lengths", "cut_region", "project_ungapped", "published_clades",
 }
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
