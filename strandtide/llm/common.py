@@ -222,6 +222,11 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id), F.col(text).isNull(), F.col(text))
 
 
+def known_id(doc_id: str = "doc_id") -> Column:
+    """An id that can be joined on; a row without one has the empty text."""
+    return F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit(""))
+
+
 def in_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of whole groups from batches sorted by `keys`; a group is never cut between two tables."""
     held: list[pa.RecordBatch] = []

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import WORD, row_count, row_key
+from strandtide.llm.common import WORD, known_id, row_count, row_key
 from strandtide.runtime import cut_lineage
 
 ROWS_PER_SLICE = 4096
@@ -122,9 +122,8 @@ def _before(turn: int, end) -> Column:
 def mixed(docs: DataFrame, weight_of: Callable[[Column], Column], budget: float = 1.5, passes: int = 2, seed: int = 7) -> DataFrame:
     """The documents of the mix, each as often as `mix` takes it, with the columns of `docs` unchanged."""
     # rows are told apart by their id and a hash: two keys of 64 bits
-    identity = lambda c: F.struct(F.col(c).isNull().alias("none"), F.coalesce(F.col(c).cast("long"), F.lit(0)).alias("id")).alias("identity")
-    taken = mix(docs, weight_of, budget, passes, seed).groupBy("row", identity("doc_id")).agg(F.sum("copies").cast("int").alias("copies"))
+    taken = mix(docs, weight_of, budget, passes, seed).groupBy("row", known_id().alias("id")).agg(F.sum("copies").cast("int").alias("copies"))
     copies = cut_lineage(taken.where("copies > 0"))
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("row"), identity("doc_id"))
-    one = marked.join(copies, ["row", "identity"]).dropDuplicates(["row", "identity"])
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("row"), known_id().alias("id"))
+    one = marked.join(copies, ["row", "id"]).dropDuplicates(["row", "id"])
     return one.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandtide.llm.common import NOT_SPACE, bit_filter, blocks, distinct_per_text, group_bounds, in_groups, lists, map_batches, mix, passes, row_key, signed
+from strandtide.llm.common import NOT_SPACE, bit_filter, blocks, distinct_per_text, group_bounds, in_groups, known_id, lists, map_batches, mix, passes, row_key, signed
 from strandtide.runtime import cut_lineage, drop_stored
 
 MINIMA, ROWS_PER_BAND, LOW_BITS = 128, 4, 4
@@ -396,9 +396,8 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """
     kept = near_duplicates(docs, words, percent).where("kept")
     # rows are told apart by their id and a hash: two keys of 64 bits
-    identity = lambda c: F.struct(F.col(c).isNull().alias("none"), F.coalesce(F.col(c).cast("long"), F.lit(0)).alias("id"))
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("row"), identity("doc_id").alias("identity"))
-    plain = cut_lineage(kept.groupBy("row", identity("doc_id").alias("identity")).agg(F.max("n_shingles").alias("n_shingles")))
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("row"), known_id().alias("id"))
+    plain = cut_lineage(kept.groupBy("row", known_id().alias("id")).agg(F.max("n_shingles").alias("n_shingles")))
     # the join and the choice of one among equal rows both go by `row`, so texts are shuffled once
-    joined = marked.join(plain, ["row", "identity"]).withColumn("copy", F.when(F.col("n_shingles") == 0, F.monotonically_increasing_id()).otherwise(F.lit(0)))
-    return joined.dropDuplicates(["row", "identity", "copy"]).select("doc.*")
+    joined = marked.join(plain, ["row", "id"]).withColumn("copy", F.when(F.col("n_shingles") == 0, F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    return joined.dropDuplicates(["row", "id", "copy"]).select("doc.*")
