@@ -191,7 +191,10 @@ def best_in_groups(members: DataFrame, texts: DataFrame, k: int, bound: float) -
     slack = 1.0 - bound
     sized = texts.withColumn("n", F.length("raw"))
     placed = members.join(sized.select("key", "n"), "key")
-    sizes = cut_lineage(placed.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("longest"), F.min("key").alias("lead_key")).where("m > 1"))
+    # near copies share many groups of the same members, of which one is enough: two hashes tell the members
+    marks = [F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y")]
+    groups = placed.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("longest"), F.min("key").alias("lead_key"), *marks).where("m > 1")
+    sizes = cut_lineage(groups.groupBy("m", "longest", "lead_key", "x", "y").agg(F.min("g").alias("g")))
     small = (F.col("m") <= CELL_MEMBERS) & (F.col("m") * F.col("longest") <= CELL_LETTERS)
     inside = members.join(sizes.where(small).select("g"), "g", "left_semi").join(sized.select("key", "first", "raw"), "key")
     found = [inside.select("g", "key", "first", "raw").repartition("g").sortWithinPartitions("g").mapInArrow(_text_groups(k, bound), _PAIRS)]
