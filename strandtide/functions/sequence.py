@@ -133,14 +133,10 @@ def differences(seq: Column, ref: Column, skip: str = "-N") -> Column:
 @F.pandas_udf(T.IntegerType())
 def _equal_positions(a: pd.Series, b: pd.Series) -> pd.Series:
 
-    # both sides cut to the shorter length and laid end to end: one comparison for the whole batch
-    sizes = np.minimum(a.map(len, na_action="ignore").fillna(0).to_numpy(np.int64), b.map(len, na_action="ignore").fillna(0).to_numpy(np.int64))
-    left = b"".join([x[:n] for x, n in zip(a, sizes.tolist()) if n])
-    right = b"".join([x[:n] for x, n in zip(b, sizes.tolist()) if n])
-    same = np.frombuffer(left, np.uint8) == np.frombuffer(right, np.uint8)
-    total = np.concatenate([np.zeros(1, np.int64), np.cumsum(same)])
-    ends = np.cumsum(sizes)
-    return pd.Series((total[ends] - total[ends - sizes]).astype("int32"))
+    # row by row on the texts as they are: nothing that grows with the letters of a batch is made
+    view = lambda x, n: np.frombuffer(x, np.uint8, n)
+    sizes = [0 if x is None or y is None else min(len(x), len(y)) for x, y in zip(a, b, strict=True)]
+    return pd.Series([np.count_nonzero(view(x, n) == view(y, n)) if n else 0 for x, y, n in zip(a, b, sizes, strict=True)], dtype="int32")
 
 
 def equal_positions(a: Column, b: Column) -> Column:
