@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +62,8 @@ def neighbours(seqs: DataFrame, k: int, min_identity: float = 0.995) -> DataFram
     if not 0.5 < min_identity <= 1.0:
         raise ValueError("min_identity must be above 0.5: below it texts need not share a block")
     slack = 1.0 - min_identity
-    width = max(int(1.0 / (2.0 * slack)), 1) if slack > 0 else 1 << 30
+    # the widest blocks of which every text has more than a partner's differing positions can spoil: n / width > slack * n / min_identity
+    width = max(math.ceil(min_identity / slack - 1e-9) - 1, 1) if slack > 0 else 1 << 30
     keyed = seqs.select("id", sequence_key("seq"), "seq")
     texts = keyed.groupBy("key").agg(F.encode(F.first("seq"), "utf-8").alias("raw"), F.min("id").alias("first")).filter(F.length("raw") > 0)
     # ids worth naming: the first k + 1 of each group of copies
