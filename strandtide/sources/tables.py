@@ -71,6 +71,10 @@ def read_node_data(spark: SparkSession, path: str) -> DataFrame:
     return node_rows(spark.read.text(path, wholetext=True), "value")
 
 
+#: Entries that are looked through in one go for the object they belong to.
+ENTRIES_PER_SLICE = 1 << 16
+
+
 def read_node_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Node data of JSON documents of any size as (node, key, value); one document is read by as many tasks as it has splits.
 
@@ -130,9 +134,14 @@ def read_node_documents(spark: SparkSession, path: str | list[str]) -> DataFrame
     head = F.regexp_replace(F.regexp_replace(F.regexp_extract("text", opening, 0), r"\\.", ""), '"[^"]*"', "")
     at_top = F.col("depth") + count(head, "{[") - count(head, "]}") == 2
     named = entries.withColumn("object", F.when(F.col("low") < 2, F.when(at_top, F.regexp_extract("text", opening, 1)).otherwise("")))
-    opened = named.where("object is not null").groupBy("file").agg(F.array_sort(F.collect_list(F.struct("entry", "object"))).alias("opened"))
-    last = F.element_at(F.filter("opened", lambda o: o["entry"] <= F.col("entry")), -1)["object"]
-    of_nodes = named.join(opened, "file").where(last == "nodes")
+    # the object opened last: inside a slice of the entries, else in the slices before it
+    sliced = named.withColumn("slice", F.floor(F.col("entry") / ENTRIES_PER_SLICE))
+    of_slice = sliced.groupBy("file", "slice").agg(F.max_by("object", F.when(F.col("object").isNotNull(), F.col("entry"))).alias("o"))
+    along = Window.partitionBy("file").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = of_slice.select("file", "slice", F.last("o", ignorenulls=True).over(along).alias("carried"))
+    inside = Window.partitionBy("file", "slice").orderBy("entry").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.coalesce("own", "carried")
+    of_nodes = sliced.withColumn("own", F.last("object", ignorenulls=True).over(inside)).join(carried, ["file", "slice"]).where(last == "nodes")
     body = F.when(F.col("low") < 2, F.regexp_replace("text", opening, "")).otherwise(F.regexp_replace("text", r"^[\s,]+", ""))
     # the piece behind the last entry closes the object and holds nothing
     whole = of_nodes.select(F.concat(F.lit('{"nodes": {'), body, F.when(F.trim(body) != "", "}").otherwise(""), F.lit("}}")).alias("doc"))
