@@ -72,7 +72,7 @@ def test_unlike_texts_share_few_groups(spark, monkeypatch):
     seen = []
     compare = similarity.best_in_groups
     monkeypatch.setattr(similarity, "best_in_groups", lambda members, *rest: (seen.append(members.count()), compare(members, *rest))[1])
-    data = [(f"t{i}", "".join(rng.choice("AC") for _ in range(100))) for i in range(3000)]
+    data = [(f"t{i}", "".join(rng.choice("AC") for _ in range(90))) for i in range(3000)]
     similarity.neighbours(spark.createDataFrame(data, "id string, seq string"), 3, 0.95)
     # nearly all blocks of half the width that the bound allows are shared: five for each text
     assert seen[0] < 1000
