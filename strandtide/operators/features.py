@@ -56,7 +56,8 @@ def extract_feature(seqs: DataFrame, features: DataFrame, name: str) -> tuple[Da
     if name.lower() == WHOLE_GENOME:
         return seqs, features
     found = find_feature(features, name)
-    cut = seqs.join(found.withColumnRenamed("seqid", "id"), "id")
+    # a hash of the named features, few of each record: sequences and features stream past it and are not sorted
+    cut = seqs.join(found.withColumnRenamed("seqid", "id").hint("shuffle_hash"), "id")
     cut = cut.withColumn("seq", F.when(~F.col("elsewhere"), seqfn.cut_spans(F.col("seq"), F.col("spans")))).select(quoted(seqs.columns))
     parts = found.filter(~F.col("elsewhere")).select("seqid", F.posexplode("spans").alias("_at", "_part"), F.col("spans").alias("_all"), F.col("start").alias("_from"), F.col("end").alias("_to"))
     length = lambda p: p["end"] - p["start"] + 1
@@ -64,7 +65,7 @@ def extract_feature(seqs: DataFrame, features: DataFrame, name: str) -> tuple[Da
     total = F.aggregate("_all", F.lit(0), lambda n, p: n + length(p))
     window = parts.select("seqid", "_at", "_part", "_from", "_to", before.alias("_before"), total.alias("_total"), F.size("_all").alias("_parts"))
     full = _with_spans(features)
-    joined = full.join(window, "seqid")
+    joined = full.join(window.hint("shuffle_hash"), "seqid")
     itself = (F.col("start") == F.col("_from")) & (F.col("end") == F.col("_to")) & (F.col("_parts") > 1)
     inside = (F.col("start") >= F.col("_part.start")) & (F.col("end") <= F.col("_part.end")) & ~itself
     turned = F.col("_part.strand") == "-"
