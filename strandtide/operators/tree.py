@@ -1,8 +1,8 @@
 """Tree tables (node, parent, is_tip, branch_length): paths, inheritance, parsimony.
 
 Paths to the root are followed by doubling: each round every node jumps twice as far, so a tree of
-any shape needs about log2(depth) joins. Finished nodes leave the join, and the side that is looked
-up has one row per node, so a node with very many children is a skew the adaptive planner can split.
+any shape needs about log2(depth) joins. Finished nodes leave the join, and only nodes that are pointed at are
+looked up. The few that very many nodes point at are broadcast, so their rows are neither shuffled nor sorted.
 """
 
 from __future__ import annotations
@@ -19,18 +19,30 @@ from strandtide.runtime import cut_lineage, drop_folder, drop_stored, fresh_path
 
 MAX_ROUNDS = 64  # doubling covers 2**64 levels; only a cycle runs longer
 SHALLOW_ROUNDS = 4  # up to so many doublings a tree counts as shallow
+MANY_POINTERS = 100_000  # a node that more nodes point at is broadcast: at most one in so many rows
 
 
 def _double(state: DataFrame, carry: dict[str, callable]) -> DataFrame:
-    """One round: replace each pointer by the pointer of its target, combining what is carried."""
+    """One round, stored in place of `state`: each pointer becomes the pointer of its target, combining what is carried."""
     open_rows = state.filter(F.col("ptr").isNotNull())
     target = state.select(
         F.col("node").alias("ptr"), F.col("ptr").alias("_ptr"), *[F.col(c).alias(f"_{c}") for c in carry]
     )
-    moved = open_rows.join(target, "ptr", "left").select(
-        "node", F.col("_ptr").alias("ptr"), *[f(F.col(c), F.col(f"_{c}")).alias(c) for c, f in carry.items()]
-    )
-    return moved.unionByName(state.filter(F.col("ptr").isNull()))
+    # every pointer that occurs has a row here, whether or not there is such a node
+    pointed = cut_lineage(open_rows.groupBy("ptr").agg(F.count(F.lit(1)).alias("_n")).join(target, "ptr", "left"))
+    many, few = pointed.filter(F.col("_n") > MANY_POINTERS).drop("_n"), pointed.filter(F.col("_n") <= MANY_POINTERS).drop("_n")
+    parts = [open_rows.join(few, "ptr")]
+    if not many.isEmpty():
+        crowded = F.broadcast(many.select("ptr").distinct())
+        parts = [open_rows.join(crowded, "ptr", "left_anti").join(few, "ptr"), open_rows.join(F.broadcast(many), "ptr")]
+    done = state.filter(F.col("ptr").isNull())
+    for part in parts:
+        done = done.unionByName(
+            part.select("node", F.col("_ptr").alias("ptr"), *[f(F.col(c), F.col(f"_{c}")).alias(c) for c, f in carry.items()])
+        )
+    out = cut_lineage(done, replaces=state)
+    drop_stored(pointed)
+    return out
 
 
 def _to_root(state: DataFrame, carry: dict[str, callable]) -> DataFrame:
@@ -38,7 +50,7 @@ def _to_root(state: DataFrame, carry: dict[str, callable]) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if state.filter(F.col("ptr").isNotNull()).isEmpty():
             return state.drop("ptr")
-        state = cut_lineage(_double(state, carry), replaces=state)
+        state = _double(state, carry)
     raise ValueError("the parent pointers form a cycle")
 
 
@@ -61,7 +73,7 @@ def shallow_depths(tree: DataFrame, rounds: int = SHALLOW_ROUNDS) -> DataFrame |
     for _ in range(rounds + 1):
         if state.filter(F.col("ptr").isNotNull()).isEmpty():
             return state.drop("ptr")
-        state = cut_lineage(_double(state, {"depth": lambda a, b: a + F.coalesce(b, F.lit(0))}), replaces=state)
+        state = _double(state, {"depth": lambda a, b: a + F.coalesce(b, F.lit(0))})
     drop_stored(state)
     return None
 
