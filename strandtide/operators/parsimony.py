@@ -6,7 +6,8 @@ such nodes are composed by doubling (compress). Each round finishes or halves a
 
 A case (a, c, b) reads: if the child has a state of `a` (null: always), the result is `c` and what the child has
 of `b` (null: all it has). The first case that holds counts. The `a` of a list are disjoint and hold their `b`, so a
-list is never longer than the alphabet and one, and neither is a composition.
+list is never longer than the alphabet and one, and neither is a composition. A list whose cases all give the same is
+written as one case, and no further one is composed with it.
 
 Down. A node takes its parent's state if it holds it, else the first of its own. For each state of the parent that is
 a row; rows are joined by doubling until they meet a node whose state is settled.
@@ -19,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandtide.functions.binding import bind
 from strandtide.runtime import cut_lineage, drop_folder, drop_stored, fresh_path
 
 _CASES = "array<struct<a: array<string>, c: array<string>, b: array<string>>>"
@@ -40,6 +42,29 @@ def identity() -> Column:
     return F.array(_case(_none(), _empty(), _none()))
 
 
+def simplified(cases: Column) -> Column:
+    """The same function; if every case gives the same whatever the child has, that is its one case."""
+
+    def plain(r: Column) -> Column:
+        # the child has the state of `a` if that is one
+        one = F.coalesce(F.size(r["a"]) == 1, F.lit(False))
+        c = F.when(one, F.array_union(r["c"], F.when(r["b"].isNull(), r["a"]).otherwise(F.array_intersect(r["a"], r["b"])))).otherwise(r["c"])
+        return _case(r["a"], F.array_sort(c), F.when(one, _empty()).otherwise(F.array_except(r["b"], c)))
+
+    def one_case(plain_cases: Column) -> Column:
+        first = F.get(plain_cases, F.lit(0))["c"]
+        same = F.forall(plain_cases, lambda r: r["b"].isNotNull() & (F.size(r["b"]) == 0) & (r["c"] == first))
+        return F.when(same, F.array(_case(_none(), first, _empty()))).otherwise(plain_cases)
+
+    return bind(F.transform(cases, plain), one_case)
+
+
+def is_constant(cases: Column) -> Column:
+    """Whether `simplified` cases give the same for every child."""
+    case = F.get(cases, F.lit(0))
+    return (F.size(cases) == 1) & case["a"].isNull() & case["b"].isNotNull() & (F.size(case["b"]) == 0)
+
+
 def votes_as_cases(votes: Column, own: Column) -> Column:
     """The function of a node's open child, from `votes` (state, n) of the others and the node's own states."""
     most = F.coalesce(F.array_max(F.transform(votes, lambda v: v["n"])), F.lit(0))
@@ -78,7 +103,7 @@ def composed(outer: Column, inner: Column) -> Column:
         return F.when(acc["closed"], acc).when(x["a"].isNull(), last).when(F.size(fresh) > 0, more).otherwise(acc)
 
     start = F.struct(F.array().cast(_CASES).alias("out"), _empty().alias("seen"), F.lit(False).alias("closed"))
-    return F.aggregate(every, start, add, lambda acc: acc["out"])
+    return simplified(F.aggregate(every, start, add, lambda acc: acc["out"]))
 
 
 class _Store:
@@ -134,7 +159,7 @@ def _sets(tree: DataFrame, own: DataFrame, by: list[str], store: _Store) -> Data
         told = held.join(mine, keys, "full").withColumns(
             {"votes": F.coalesce("votes", F.array().cast("array<struct<state: string, n: bigint>>")), "own": F.coalesce("own", _empty())}
         )
-        functions = cut_lineage(told.select(*keys, votes_as_cases(F.col("votes"), F.col("own")).alias("f")).join(leaving, "node"))
+        functions = cut_lineage(told.select(*keys, simplified(votes_as_cases(F.col("votes"), F.col("own"))).alias("f")).join(leaving, "node"))
         ready = functions.where("left = 0").select("node", "parent", *by, applied(F.col("f"), _empty()).alias("states"))
 
         # chains whose end is finished; the other chains jump to the end of what they point at
@@ -157,7 +182,7 @@ def _sets(tree: DataFrame, own: DataFrame, by: list[str], store: _Store) -> Data
         outer = cases.join(going.select("node"), "node", "left_semi")
         beyond = moved.where("past is not null").select("node", "past").join(cases.withColumnsRenamed({"node": "past", "f": "_g"}), "past").select(*keys, "_g")
         joined = outer.join(beyond, keys, "full")
-        longer = joined.select(*keys, F.when(F.col("_g").isNull(), F.col("f")).when(F.col("f").isNull(), F.col("_g")).otherwise(composed(F.col("f"), F.col("_g"))).alias("f"))
+        longer = joined.select(*keys, F.when(F.col("_g").isNull(), F.col("f")).when(F.col("f").isNull(), F.col("_g")).when(is_constant(F.col("f")), F.col("f")).otherwise(composed(F.col("f"), F.col("_g"))).alias("f"))
         new_cases = cut_lineage(longer.unionByName(functions.where("left = 1").select(*keys, "f")))
         for used in (pending, functions, chains, cases, *held_back):
             drop_stored(used)
