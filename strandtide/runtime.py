@@ -63,18 +63,18 @@ def tables_for_a_while(spark: SparkSession):
             drop_folder(spark, path)
 
 
-def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, replaces: DataFrame | None = None, codec: str | None = None) -> DataFrame:
     """Write `df` as a table below the shared folder and read it back.
 
     Iterative plans stay short and survive lost executors, and the planner knows the size of the
     result, which it would not know of a checkpointed RDD. `replaces` is a result of this function that nothing
     needs once `df` is written, such as the round before; its folder is deleted then. The last table of a loop belongs to
-    the caller's result and stays below the shared folder.
+    the caller's result and stays below the shared folder. `codec` is Parquet's compression, by default the session's.
     """
     path = fresh_path(df.sparkSession, "cut")
     if _ENDING:
         _ENDING[-1].append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     if replaces is not None:
         drop_stored(replaces)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
