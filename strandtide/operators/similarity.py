@@ -126,8 +126,9 @@ def neighbours(seqs: DataFrame, k: int, min_identity: float = 0.995) -> DataFram
     if not 0.5 < min_identity <= 1.0:
         raise ValueError("min_identity must be above 0.5: below it texts need not share a block")
     slack = 1.0 - min_identity
-    # the widest blocks of which every text has more than a partner's differing positions can spoil: n / width > slack * n / min_identity
-    width = max(math.ceil(min_identity / slack - 1e-9) - 1, 1) if slack > 0 else 1 << 30
+    # with n / width > slack * n / min_identity every text has more blocks than a partner's differing positions can spoil; three
+    # quarters of that width leave a quarter of its blocks over, so a text that shares fewer with any other has no candidates
+    width = max((math.ceil(min_identity / slack - 1e-9) - 1) * 3 // 4, 1) if slack > 0 else 1 << 30
     # the letters are made and stored once; a text is told by its digest, which is numbered below
     stored = cut_lineage(seqs.select("id", sequence_key("seq"), F.encode("seq", "utf-8").alias("raw")).withColumn("n", F.length("raw")).filter("n > 0"), codec="zstd")
     firsts = stored.groupBy("key").agg(F.min("id").alias("first"), F.first("n").alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import tracemalloc
 
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
@@ -76,3 +77,56 @@ def test_unlike_texts_share_few_groups(spark, monkeypatch):
     similarity.neighbours(spark.createDataFrame(data, "id string, seq string"), 3, 0.95)
     # nearly all blocks of half the width that the bound allows are shared: five for each text
     assert seen[0] < 1000
+
+
+def _candidates(spark, monkeypatch, data):
+    seen = []
+    compare = similarity.best_in_groups
+    with monkeypatch.context() as patch:
+        patch.setattr(similarity, "best_in_groups", lambda members, texts, *rest: (seen.append((members.count(), texts.count())), compare(members, texts, *rest))[1])
+        got = similarity.neighbours(spark.createDataFrame(data, "id string, seq string"), 3, 0.95)
+    return seen[0], sorted((r.id, r.neighbour) for r in got.collect())
+
+
+def test_texts_with_common_passages_are_no_candidates(spark, monkeypatch):
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    passages = [some(36) for _ in range(2)]
+    data = [(f"t{i}", passages[i % 2] + some(288) + passages[i % 2]) for i in range(200)]
+    near = data[7][1][:100] + ("C" if data[7][1][100] != "C" else "G") + data[7][1][101:]
+    members, found = _candidates(spark, monkeypatch, [*data, ("near", near)])
+    assert found == [("near", "t7"), ("t7", "near")]
+    assert members[1] == 2
+
+
+def test_lengths_that_no_pair_within_the_bound_spans_share_no_group(spark, monkeypatch):
+    rng = random.Random(9)
+    one = "".join(rng.choice("ACGT") for _ in range(4000))
+    data = [(f"t{i:02}", one[: int(40 * 1.06**i)]) for i in range(80)] + [("near", "A" + one[1:2000]), ("long", one[:2000] + "T")]
+    members, found = _candidates(spark, monkeypatch, data)
+    n = {i: len(t) for i, t in data}
+    assert ("near", "long") in found and all(min(n[a], n[b]) >= 0.95 * max(n[a], n[b]) for a, b in found)
+    assert members[1] < 10
+
+
+def test_blocks_are_told_by_place_and_letters():
+    text = np.frombuffer(b"ACGTACGTAC", dtype=np.uint8)
+    whole = similarity.block_hashes(text, 4)
+    assert len(set(whole.tolist())) == 3
+    assert (similarity.block_hashes(text[:8], 4) == whole[:2]).all()
+    # the last block is shorter, and no letter counts as none
+    assert similarity.block_hashes(text[:9], 4)[2] != whole[2]
+    assert similarity.block_hashes(np.zeros(2, np.uint8), 4)[0] != similarity.block_hashes(np.zeros(1, np.uint8), 4)[0]
+    assert (similarity.block_hashes(text, 1 << 30) == similarity.block_hashes(text, 10)).all()
+
+
+def test_numbers_of_keys_differ(spark):
+    keys = spark.range(1000).selectExpr("unhex(sha2(cast(id as string), 256)) as key")
+    assert keys.select(similarity.distinct_number(keys, "key").alias("t")).distinct().count() == 1000
+
+
+def test_nulls_empty_texts_and_copies_keep_their_neighbours(spark):
+    text = "ACGTTGCAAC" * 8
+    data = [("a", text), ("a", text), ("b", text), ("c", "C" + text[1:]), ("e", ""), ("f", None), ("g", "TTTT")]
+    got = similarity.neighbours(spark.createDataFrame(data, "id string, seq string"), 2, 0.95)
+    assert {(r.id, r.neighbour) for r in got.collect()} == {("a", "b"), ("a", "c"), ("b", "a"), ("c", "a"), ("c", "b")}
