@@ -1,28 +1,34 @@
-"""Parsimony on trees of any shape by contraction: rounds follow the logarithm of the nodes, not the depth.
+"""Parsimony on trees of any shape by contraction: phases follow the logarithm of the nodes, not the depth.
 
-Up. A node keeps the states that most of its children hold. A node whose children are all known is finished (rake). A
-node with one open child is a function of that child's states, written as a short list of cases; chains of
-such nodes are composed by doubling (compress). Each round finishes or halves a fixed share of what is open.
+Up. A node keeps the states that most of its children hold. In each phase the leaves are finished (rake); a node with
+one child left is a function of that child's states, written as a short list of cases. Chains of such nodes are cut
+into runs (compress): in each round a node whose hash is below its neighbours' joins the run above it, which takes a third
+of the nodes away, until few runs are left. A run is composed inside a task and is one node of the next phase. What is left
+after the phases, at most CELL_NODES nodes, is ordered once and then done site by site, a site in a task.
 
 A case (a, c, b) reads: if the child has a state of `a` (null: always), the result is `c` and what the child has
 of `b` (null: all it has). The first case that holds counts. The `a` of a list are disjoint and hold their `b`, so a
 list is never longer than the alphabet and one, and neither is a composition. A list whose cases all give the same is
 written as one case, and no further one is composed with it.
 
-Down. A node takes its parent's state if it holds it, else the first of its own. For each state of the parent that is
-a row; rows are joined by doubling until they meet a node whose state is settled.
+Down. A node takes its parent's state if it holds it, else the first of its own. A run is a short table of the state
+above it and the state of its last node; the phases are walked back and the members of a run are told inside a task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandtide.functions.binding import bind
-from strandtide.runtime import cut_lineage, drop_folder, drop_stored, fresh_path
+from strandtide.operators.runs_of_nodes import cell_choices, cell_sets, run_choices, run_functions, run_sets, run_tables
+from strandtide.runtime import broadcast_when_small, cut_lineage, drop_folder, fresh_path, tables_for_a_while
 
+# So many nodes are ordered on the driver and done site by site; chains are cut into runs in at most so many rounds.
+CELL_NODES, RUN_ROUNDS = 1 << 18, 12
 _CASES = "array<struct<a: array<string>, c: array<string>, b: array<string>>>"
 
 
@@ -125,114 +131,214 @@ class _Store:
         drop_folder(self.spark, self.path)
 
 
-def most_rounds(nodes: DataFrame) -> int:
-    """Several times the logarithm of the number of nodes; only a cycle takes more rounds."""
-    return 8 * nodes.count().bit_length() + 16
-
-
-def _sets(tree: DataFrame, own: DataFrame, by: list[str], store: _Store) -> DataFrame:
-    """(node, parent, *by, states) of every node with an informed tip below it or states of its own."""
-    kids = tree.groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("left"))
-    begin = cut_lineage(tree.select("node", "parent").join(kids, "node", "left").withColumn("left", F.coalesce("left", F.lit(0).cast("long"))))
-    open_, held_back = begin, []
-    own = cut_lineage(own)
-    spark = tree.sparkSession
-    limit = most_rounds(begin)
-    keys = ["node", *by]
-    text = {f.name: f.dataType.simpleString() for f in own.schema}
-    typed = ", ".join(f"`{c}` {text[c]}" for c in keys)
-    pending = spark.createDataFrame([], typed + ", state string, n long")
-    chains = spark.createDataFrame([], f"node {text['node']}, parent {text['node']}, ptr {text['node']}")
-    cases = spark.createDataFrame([], typed + f", f {_CASES}")
-    done = spark.createDataFrame([], f"node {text['node']}, parent {text['node']}")
-    values = spark.createDataFrame([], ", ".join([f"node {text['node']}", f"parent {text['node']}", *[f"`{c}` {text[c]}" for c in by], "states array<string>"]))
-    for number in range(limit):
-        finished = done.groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("_n"))
-        now = cut_lineage(open_.join(finished, "node", "left").withColumn("left", F.col("left") - F.coalesce("_n", F.lit(0))).drop("_n"))
-        # votes of the children that are finished; a chain takes none, it waits for the child at its end
-        fresh = values.select(F.col("parent").alias("node"), *by, F.explode("states").alias("state"), F.lit(1).cast("long").alias("n"))
-        counted = pending.unionByName(fresh).join(now.select("node"), "node", "left_semi")
-        votes = cut_lineage(counted.groupBy(*keys, "state").agg(F.sum("n").alias("n")))
-        leaving = now.where("left < 2")
-        held = votes.join(leaving.select("node"), "node", "left_semi").groupBy(*keys).agg(F.collect_list(F.struct("state", "n")).alias("votes"))
-        mine = own.join(leaving.select("node"), "node", "left_semi")
-        told = held.join(mine, keys, "full").withColumns(
-            {"votes": F.coalesce("votes", F.array().cast("array<struct<state: string, n: bigint>>")), "own": F.coalesce("own", _empty())}
-        )
-        functions = cut_lineage(told.select(*keys, simplified(votes_as_cases(F.col("votes"), F.col("own"))).alias("f")).join(leaving, "node"))
-        ready = functions.where("left = 0").select("node", "parent", *by, applied(F.col("f"), _empty()).alias("states"))
-
-        # chains whose end is finished; the other chains jump to the end of what they point at
-        ends = done.select(F.col("node").alias("ptr"), F.lit(True).alias("_ends"))
-        marked = cut_lineage(chains.join(ends, "ptr", "left").select("node", "parent", "ptr", F.coalesce("_ends", F.lit(False)).alias("ends")))
-        ending, going = marked.where("ends").drop("ends"), marked.where("not ends").drop("ends")
-        at_end = values.select(F.col("node").alias("ptr"), *by, "states")
-        here = ending.select("node").join(cases, "node")
-        there = ending.select("node", "ptr").join(at_end, "ptr").drop("ptr")
-        ended = here.join(there, keys, "full").select(*keys, applied(F.coalesce("f", identity()), F.coalesce("states", _empty())).alias("states"))
-        ended = ended.join(ending.select("node", "parent"), "node").select("node", "parent", *by, "states")
-        values = store.put(number, ready.unionByName(ended).where(F.size("states") > 0))
-
-        # a node with one open child begins a chain there
-        waiting = now.select(F.col("node").alias("ptr"), F.col("parent").alias("node")).unionByName(marked.select(F.col("node").alias("ptr"), F.col("parent").alias("node")))
-        begun = now.where("left = 1").select("node", "parent").join(waiting, "node").select("node", "parent", "ptr", F.lit(None).cast(text["node"]).alias("past"))
-        target = going.select(F.col("node").alias("ptr"), F.col("ptr").alias("_to"))
-        jumped = going.join(target, "ptr", "left").select("node", "parent", F.coalesce("_to", "ptr").alias("ptr"), F.when(F.col("_to").isNotNull(), F.col("ptr")).alias("past"))
-        moved = cut_lineage(jumped.unionByName(begun))
-        outer = cases.join(going.select("node"), "node", "left_semi")
-        beyond = moved.where("past is not null").select("node", "past").join(cases.withColumnsRenamed({"node": "past", "f": "_g"}), "past").select(*keys, "_g")
-        joined = outer.join(beyond, keys, "full")
-        longer = joined.select(*keys, F.when(F.col("_g").isNull(), F.col("f")).when(F.col("f").isNull(), F.col("_g")).when(is_constant(F.col("f")), F.col("f")).otherwise(composed(F.col("f"), F.col("_g"))).alias("f"))
-        new_cases = cut_lineage(longer.unionByName(functions.where("left = 1").select(*keys, "f")))
-        for used in (pending, functions, chains, cases, *held_back):
-            drop_stored(used)
-        # what is read once more in the next round goes after it
-        held_back = [now, marked]
-        open_, pending, chains, cases = now.where("left > 1"), votes, moved, new_cases
-        done = now.where("left = 0").select("node", "parent").unionByName(ending.select("node", "parent"))
-        if open_.isEmpty() and chains.isEmpty():
-            for used in (own, begin, pending, chains, cases, *held_back):
-                drop_stored(used)
-            return store.everything()
-    raise ValueError("the parent pointers form a cycle")
-
-
-def _choices(sets: DataFrame, by: list[str], store: _Store) -> DataFrame:
-    """(node, *by, state): the parent's state where a node holds it, else the first of its own."""
-    keys = ["node", *by]
-    first = F.array_min("states")
-    above = sets.select(F.col("node").alias("parent"), *by, F.col("states").alias("_up"))
-    joined = sets.join(above, ["parent", *by], "left")
-    one = joined.withColumn("_one", (F.size("states") == 1) | F.col("_up").isNull())
-    rows = cut_lineage(
-        one.select("node", "parent", *by, "_one", first.alias("_first"), "states", F.explode(F.when(F.col("_one"), _empty()).otherwise(F.col("_up"))).alias("p")).select(
-            "node", F.col("parent").alias("above"), *by, "p", F.when(F.array_contains("states", F.col("p")), F.col("p")).otherwise(F.col("_first")).alias("s")
-        )
-    )
-    settled = store.put(0, one.where("_one").select(*keys, first.alias("state")))
-    for number in range(1, most_rounds(sets)):
-        if rows.isEmpty():
-            drop_stored(rows)
-            return store.everything()
-        known = settled.select(F.col("node").alias("above"), *by, F.col("state").alias("_state"))
-        met = cut_lineage(rows.join(known, ["above", *by], "left"))
-        settled = store.put(number, met.where("_state = p").select(*keys, F.col("s").alias("state")))
-        still = met.where("_state is null").drop("_state")
-        beyond = still.select(F.col("node").alias("above"), *by, F.col("s").alias("p"), F.col("above").alias("_above"), F.col("p").alias("_p"))
-        jumped = still.join(beyond, ["above", *by, "p"], "left")
-        # what points at a node settled in this round stays for the next one
-        rows = cut_lineage(
-            jumped.select("node", F.coalesce("_above", "above").alias("above"), *by, F.coalesce("_p", "p").alias("p"), "s"), replaces=rows
-        )
-        drop_stored(met)
-    raise ValueError("the parent pointers form a cycle")
+class _Phase(NamedTuple):
+    """What one phase took away: its leaves with their states, and the runs it made with what their members hold."""
+
+    leaves: DataFrame  # node, up, _site, states
+    runs: DataFrame  # run, kid, nodes
+    held: DataFrame  # run, _site, entries, funcs
+
+
+class _Tree(NamedTuple):
+    """What is left: nodes, what finished children and the nodes themselves say, and the functions of runs."""
+
+    nodes: DataFrame  # node, up
+    said: DataFrame  # node, _site, state, n, own
+    funcs: DataFrame  # node, _site, f
+
+
+def _with_kids(nodes: DataFrame) -> DataFrame:
+    """(node, up, leaf); a parent that is no node is none."""
+    count = nodes.where("up is not null").groupBy(F.col("up").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    both = cut_lineage(nodes.join(count, F.col("node") == F.col("_of"), "full"))
+    lost = both.where("node is null").select(F.col("_of").alias("up"))
+    if not lost.isEmpty():
+        rooted = nodes.join(lost.withColumn("_lost", F.lit(True)), "up", "left")
+        return _with_kids(cut_lineage(rooted.select("node", F.when(F.col("_lost").isNull(), F.col("up")).alias("up"))))
+    return both.select("node", "up", F.col("_n").isNull().alias("leaf"))
+
+
+def _runs(inner: DataFrame) -> DataFrame:
+    """(run, kid, nodes): the nodes with one child in runs from above; `run` is the first of them and `kid` the child of the last."""
+    only = inner.where("up is not null").groupBy(F.col("up").alias("node")).agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("kid")).where("_n = 1").drop("_n")
+    only = cut_lineage(only)
+    above = only.select(F.col("kid").alias("node"), F.col("node").alias("prev"))
+    chains = cut_lineage(only.join(above, "node", "left").withColumn("nodes", F.array("node")))
+    for number in range(RUN_ROUNDS):
+        if chains.count() <= CELL_NODES // 4:
+            break
+        place = lambda c: F.xxhash64(c, F.lit(number))  # noqa: E731, B023
+        joins = F.coalesce((place("node") < place("prev")) & (place("node") < place("kid")), F.lit(False))
+        going = chains.where(joins)
+        longer = going.select(F.col("prev").alias("node"), F.col("kid").alias("_kid"), F.col("nodes").alias("_nodes"))
+        moved = going.select(F.col("kid").alias("node"), F.col("prev").alias("_prev"))
+        left = chains.where(~joins).join(longer, "node", "left").join(moved, "node", "left")
+        grown = F.when(F.col("_nodes").isNull(), F.col("nodes")).otherwise(F.concat("nodes", "_nodes"))
+        chains = cut_lineage(left.select("node", F.coalesce("_kid", "kid").alias("kid"), F.coalesce("_prev", "prev").alias("prev"), grown.alias("nodes")), replaces=chains)
+    return chains.select(F.col("node").alias("run"), "kid", "nodes")
+
+
+def _contracted(tree: _Tree, begins: bool) -> tuple[_Phase, _Tree]:
+    """One phase: leaves are finished, and chains become runs."""
+    known = _with_kids(tree.nodes)
+    told = tree.said.join(known, "node")
+    if begins:
+        # nothing is finished yet: a leaf has its own states only
+        finished = told.where("leaf").groupBy("node", "up", "_site").agg(F.collect_set("state").alias("states"))
+    else:
+        of_leaves = told.where("leaf").groupBy("node", "up", "_site").agg(F.collect_list(F.struct("state", "n", "own")).alias("all"))
+        composed_ = tree.funcs.join(known.where("leaf"), "node").select("node", F.col("up").alias("_up"), "_site", "f")
+        both = of_leaves.join(composed_, ["node", "_site"], "full").select("node", "_site", F.coalesce("up", "_up").alias("up"), "f", F.coalesce("all", F.array().cast("array<struct<state: string, n: bigint, own: boolean>>")).alias("all"))
+        states = lambda those: F.transform(those, lambda v: v["state"])
+        votes = F.transform(F.filter("all", lambda v: v["n"] > 0), lambda v: F.struct(v["state"].alias("state"), v["n"].alias("n")))
+        value = F.when(F.col("f").isNull(), applied(votes_as_cases(votes, states(F.filter("all", lambda v: v["own"]))), _empty())).otherwise(applied(F.col("f"), states(F.col("all"))))
+        finished = both.select("node", "up", "_site", value.alias("states")).where(F.size("states") > 0)
+    leaves = cut_lineage(finished)
+    votes = leaves.where("up is not null").select(F.col("up").alias("node"), "_site", F.explode("states").alias("state"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("own"))
+    inner = cut_lineage(known.where("not leaf").select("node", "up"))
+    runs = cut_lineage(_runs(inner))
+    members = runs.select("run", F.posexplode("nodes").alias("pos", "node"))
+    below = runs.select(F.col("kid").alias("node"), F.col("run").alias("_up"))
+    nodes = cut_lineage(inner.join(members.where("pos > 0"), "node", "left_anti").join(below, "node", "left").select("node", F.coalesce("_up", "up").alias("up")))
+    said = told.where("not leaf").select("node", "_site", "state", "n", "own").unionByName(votes).join(members, "node", "left")
+    said = cut_lineage(said.groupBy("node", "run", "pos", "_site", "state").agg(F.sum("n").alias("n"), F.bool_or("own").alias("own")))
+    entries = said.where("run is not null").groupBy("run", "_site").agg(F.collect_list(F.struct("pos", "state", "n", "own")).alias("entries"))
+    if begins:
+        held, kept = entries.withColumn("funcs", F.lit(None).cast(f"array<struct<pos: int, f: {_CASES}>>")), tree.funcs
+    else:
+        inside = tree.funcs.join(members, "node").groupBy("run", "_site").agg(F.collect_list(F.struct("pos", "f")).alias("funcs"))
+        held = entries.join(inside, ["run", "_site"], "full")
+        kept = tree.funcs.join(members, "node", "left_anti").join(known.where("leaf"), "node", "left_anti")
+    held = cut_lineage(held)
+    funcs = held.mapInArrow(run_functions, f"node {_type(inner, 'node')}, _site long, f {_CASES}").unionByName(kept)
+    return _Phase(leaves, runs, held), _Tree(nodes, said.where("run is null").drop("run", "pos"), cut_lineage(funcs))
+
+
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def _ordered(nodes: DataFrame, runs: set) -> list[tuple]:
+    """(node, its parent, whether it is a run), parents first; at most CELL_NODES."""
+    kids, order = {}, []
+    rows = nodes.collect()
+    for r in rows:
+        kids.setdefault(r["up"], []).append(r["node"])
+    order = [(v, None) for v in kids.get(None, [])]
+    for v, _ in order:
+        order.extend((c, v) for c in kids.get(v, ()))
+    if len(order) < len(rows):
+        raise ValueError("the parent pointers form a cycle")
+    return [(v, up, v in runs) for v, up in order]
+
+
+def _with_members(phase: _Phase, sets: DataFrame) -> DataFrame:
+    """A row for each run and site that has states: what the run's members hold, the states of the child below, the nodes."""
+    informed = phase.runs.join(sets.select(F.col("node").alias("run"), "_site"), "run")
+    child = sets.select(F.col("node").alias("kid"), "_site", F.col("states").alias("below"))
+    return informed.join(phase.held, ["run", "_site"], "left").join(child, ["kid", "_site"], "left").drop("kid")
+
+
+def _with_tables(rows: DataFrame, phase: _Phase, tables: DataFrame | None) -> DataFrame:
+    """The same with the tables of members that are runs themselves."""
+    if tables is None:
+        return rows.withColumn("tables", F.lit(None).cast("array<struct<pos: int, other: string, held: map<string, string>>>"))
+    members = phase.runs.select("run", F.posexplode("nodes").alias("pos", "node"))
+    inside = tables.join(members, "node").groupBy("run", "_site").agg(F.collect_list(F.struct("pos", "other", "held")).alias("tables"))
+    return rows.join(inside, ["run", "_site"], "left")
+
+
+def _but_runs(df: DataFrame, phase: _Phase) -> DataFrame:
+    return df.join(phase.runs.select(F.col("run").alias("node")), "node", "left_anti")
+
+
+def _states(tree: _Tree, chosen: Callable[[DataFrame], None]) -> None:
+    """Gives `chosen` tables of (node, _site, state), which together hold every informed node."""
+    node = _type(tree.nodes, "node")
+    phases: list[_Phase] = []
+    size = tree.nodes.count()
+    while size > CELL_NODES:
+        phase, tree = _contracted(tree, not phases)
+        phases.append(phase)
+        before, size = size, tree.nodes.count()
+        if size == before:
+            raise ValueError("the parent pointers form a cycle")
+        if len(phases) == 1:
+            # what needs no look at the parent
+            chosen(phase.leaves.where("size(states) = 1 or up is null").select("node", "_site", F.array_min("states").alias("state")))
+
+    # the nodes that are left, site by site
+    last = {r["run"] for r in phases[-1].runs.select("run").collect()} if phases else set()
+    order = _ordered(tree.nodes, last | {r["node"] for r in tree.funcs.select("node").distinct().collect()})
+    said = tree.said.withColumn("f", F.lit(None).cast(_CASES)).unionByName(tree.funcs, allowMissingColumns=True)
+    sets = [cut_lineage(said.groupBy("_site").applyInArrow(cell_sets(order), f"node {node}, _site long, states array<string>"))]
+
+    # states inside the runs, from the last phase to the second; the first one's are made where they are read
+    for phase in reversed(phases[1:]):
+        inside = _with_members(phase, sets[0]).mapInArrow(run_sets, f"node {node}, _site long, states array<string>")
+        sets.insert(0, cut_lineage(phase.leaves.select("node", "_site", "states").unionByName(_but_runs(sets[0], phase)).unionByName(inside)))
+    tables: list[DataFrame | None] = [None]
+    for phase, known in zip(phases, sets, strict=False):
+        made = _with_tables(_with_members(phase, known), phase, tables[-1]).mapInArrow(run_tables, f"node {node}, _site long, other string, held map<string, string>")
+        if tables[-1] is not None:
+            # a run that is left to the next phase as it is
+            made = made.unionByName(tables[-1].join(known, ["node", "_site"], "left_semi").join(phase.runs.select(F.explode("nodes").alias("node")), "node", "left_anti"))
+        tables.append(cut_lineage(made))
+
+    # down
+    known = sets[-1] if tables[-1] is None else sets[-1].join(tables[-1], ["node", "_site"], "left")
+    known = known if tables[-1] is not None else known.withColumn("other", F.lit(None).cast("string")).withColumn("held", F.lit(None).cast("map<string, string>"))
+    result = f"node {node}, _site long, above string, state string"
+    here = cut_lineage(known.groupBy("_site").applyInArrow(cell_choices(order), result))
+    for number in range(len(phases) - 1, -1, -1):
+        phase = phases[number]
+        rows = _with_tables(_with_members(phase, sets[number]), phase, tables[number])
+        given = here.select(F.col("node").alias("run"), "_site", "above")
+        inside = rows.join(given, ["run", "_site"]).mapInArrow(run_choices, result)
+        kept = _but_runs(here, phase)
+        here = cut_lineage(inside.unionByName(kept))
+        open_ = phase.leaves.where("size(states) > 1 and up is not null") if number == 0 else phase.leaves
+        up = here.select(F.col("node").alias("up"), "_site", F.col("state").alias("above"))
+        met = open_.join(up, ["up", "_site"], "left")
+        own = F.when(F.array_contains("states", F.col("above")), F.col("above")).otherwise(F.array_min("states"))
+        if number:
+            met = met.join(tables[number], ["node", "_site"], "left")
+            own = F.when(F.col("other").isNull(), own).otherwise(F.coalesce(F.col("held")[F.col("above")], F.col("other")))
+        leaves = met.select("node", "_site", "above", own.alias("state"))
+        if number:
+            here = cut_lineage(here.unionByName(leaves))
+        else:
+            chosen(leaves.select("node", "_site", "state"))
+    chosen(here.select("node", "_site", "state"))
 
 
 def by_contraction(tree: DataFrame, informed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """States of all nodes of a tree of any depth: (node, *by, state), from informed states (node, *by, state)."""
+    """States of all nodes of a tree of any depth: (node, *by, state), from informed states (node, *by, state).
+
+    A row that comes twice counts once.
+    """
     by, spark = list(by), tree.sparkSession
-    own = informed.join(tree.select("node"), "node", "left_semi").groupBy("node", *by).agg(F.collect_set("state").alias("own"))
-    sets, chosen = _Store(spark, "sets"), _Store(spark, "chosen")
-    out = _choices(_sets(tree, own, by, sets), by, chosen)
-    sets.drop()
-    return out
+    store = _Store(spark, "chosen")
+    with tables_for_a_while(spark):
+        edges = tree.where("node is not null").select("node", F.col("parent").cast(_type(tree, "node")).alias("up"))
+        nodes = cut_lineage(edges.distinct())
+        # sites are told by a number; null is a site like any other
+        sites = cut_lineage(informed.select(*by).distinct().withColumn("_site", F.monotonically_increasing_id())) if by else None
+        said = informed.select(F.col("node").cast(_type(tree, "node")).alias("node"), *by, F.col("state").cast("string").alias("state"))
+        if by:
+            few = broadcast_when_small(sites.select(F.col("_site"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]))
+            alike = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
+            said = said.join(few, alike)
+        else:
+            said = said.withColumn("_site", F.lit(0).cast("long"))
+        said = said.select("node", "_site", "state", F.lit(0).cast("long").alias("n"), F.lit(True).alias("own"))
+        funcs = spark.createDataFrame([], f"node {_type(tree, 'node')}, _site long, f {_CASES}")
+
+        def chosen(df: DataFrame) -> None:
+            named = df.join(broadcast_when_small(sites), "_site") if by else df
+            store.put(len(put), named.select("node", *by, "state"))
+            put.append(True)
+
+        put: list[bool] = []
+        _states(_Tree(nodes, said, funcs), chosen)
+    return store.everything()

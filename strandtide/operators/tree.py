@@ -19,6 +19,7 @@ from strandtide.runtime import cut_lineage, drop_folder, drop_stored, fresh_path
 
 MAX_ROUNDS = 64  # doubling covers 2**64 levels; only a cycle runs longer
 SHALLOW_ROUNDS = 4  # up to so many doublings a tree counts as shallow
+PROBES, PROBED_NODES = 64, 1 << 20  # so many paths are walked in a tree of more than so many nodes, to see whether it is deep
 MANY_POINTERS = 100_000  # a node that more nodes point at is broadcast: at most one in so many rows
 
 
@@ -78,6 +79,19 @@ def shallow_depths(tree: DataFrame, rounds: int = SHALLOW_ROUNDS) -> DataFrame |
     return None
 
 
+def shows_deep(tree: DataFrame, levels: int) -> bool:
+    """Whether one of a few nodes has a path of more than `levels` edges; a walk over them spares a deep tree the doubling of all its nodes."""
+    if tree.count() <= PROBED_NODES:
+        return False
+    first = tree.where("parent is not null").orderBy(F.xxhash64("node")).select("parent").limit(PROBES)
+    at = {r["parent"] for r in first.collect()}
+    for _ in range(levels):
+        if not at:
+            return False
+        at = {r["parent"] for r in tree.where(F.col("node").isin(list(at)) & F.col("parent").isNotNull()).select("parent").distinct().limit(PROBES).collect()}
+    return bool(at)
+
+
 def with_parents(tree: DataFrame) -> DataFrame:
     """Node, parent and depth."""
     return tree.select("node", "parent").join(root_paths(tree).select("node", "depth"), "node")
@@ -170,11 +184,11 @@ def parsimony_states(tree: DataFrame, tips: DataFrame, by: Sequence[str] = (), u
     has it, else the first in the alphabet. `tips` has (node, *by, state); `by` may name sites or
     trait columns, which are then handled together. Nodes without any informed tip are absent, and tips that the tree
     lacks are left out. A shallow tree takes a round for each level; beyond 2 ** SHALLOW_ROUNDS levels the tree is
-    contracted, in rounds that follow the logarithm of its nodes. The stored table behind the result stays below the
+    contracted, in phases that follow the logarithm of its nodes. The stored table behind the result stays below the
     shared folder.
     """
     informed = tips.filter(F.col("state").isNotNull() & ~F.col("state").isin(list(unknown)))
-    depths = shallow_depths(tree)
+    depths = None if shows_deep(tree, 2**SHALLOW_ROUNDS) else shallow_depths(tree)
     if depths is None:
         return by_contraction(tree, informed.select("node", *by, F.col("state").cast("string").alias("state")), by)
     return _by_levels(tree.select("node", "parent").join(depths, "node"), informed, list(by))

@@ -122,3 +122,62 @@ def test_a_cycle_is_an_error(spark):
     loop = spark.createDataFrame([("a", "c"), ("b", "a"), ("c", "b"), ("t", "a")], TREE)
     with pytest.raises(ValueError, match="cycle"):
         treeops.parsimony_states(loop, spark.createDataFrame([("t", "x", "a")], TIPS), ["site"])
+
+
+@pytest.mark.parametrize(("kind", "cell", "rounds"), [("caterpillar", 12, 1), ("ladder", 8, 3), ("any", 6, 2)])
+def test_phases_of_leaves_and_runs_equal_recursion(spark, monkeypatch, kind, cell, rounds):
+    monkeypatch.setattr(parsimony, "CELL_NODES", cell)
+    monkeypatch.setattr(parsimony, "RUN_ROUNDS", rounds)
+    rng = random.Random(kind)
+    edges = shaped(rng, 60, kind) + [("other", None), ("o1", "other"), ("o2", "o1")]
+    tips = informed(rng, edges, "abcd") + [("o2", "x", "q"), ("gone", "x", "a")]
+    want = plain(edges, [t for t in tips if t[0] != "gone"], ["x", "y", "z"])
+    # rows that come twice count once; a parent that is no node is none
+    told = [e if e[0] != "other" else ("other", "nobody") for e in [*edges, *edges[5:9]]]
+    got = parsimony.by_contraction(spark.createDataFrame(told, TREE).repartition(3), spark.createDataFrame([*tips, *tips[:3]], TIPS), ["site"])
+    assert sorted(map(tuple, got.select("node", "site", "state").collect())) == want
+
+
+def test_the_chain_of_a_ladder_is_cut_into_runs(spark, monkeypatch):
+    """All rungs are one chain: one phase is enough, and what is carried is two rows a rung, not one a rung and round."""
+    monkeypatch.setattr(parsimony, "CELL_NODES", 40)
+    sizes = []
+    made = parsimony._contracted
+    monkeypatch.setattr(parsimony, "_contracted", lambda tree, begins: (lambda out: (sizes.append((out[0].runs.count(), out[1].nodes.count())), out)[1])(made(tree, begins)))
+    n = 300
+    edges = [(f"i{k}", f"i{k - 1}" if k else None) for k in range(n)] + [(f"t{k}", f"i{k}") for k in range(n)]
+    tips = [(f"t{k}", "x", random.Random(k).choice("abc")) for k in range(n)]
+    got = parsimony.by_contraction(spark.createDataFrame(edges, TREE), spark.createDataFrame(tips, TIPS), ["site"])
+    assert sorted(map(tuple, got.select("node", "site", "state").collect())) == plain(edges, tips, ["x"])
+    assert len(sizes) == 1 and sizes[0][0] <= 40 and sizes[0][1] <= 40
+
+
+def test_a_cycle_is_an_error_in_any_phase(spark, monkeypatch):
+    monkeypatch.setattr(parsimony, "CELL_NODES", 3)
+    loop = spark.createDataFrame([(f"a{i}", f"a{(i + 1) % 7}") for i in range(7)] + [("t", "a0"), ("u", "t")], TREE)
+    with pytest.raises(ValueError, match="cycle"):
+        parsimony.by_contraction(loop, spark.createDataFrame([("u", "x", "a")], TIPS), ["site"])
+
+
+def test_a_walk_tells_deep_trees(spark, monkeypatch):
+    monkeypatch.setattr(treeops, "PROBED_NODES", 0)
+    chain = lambda n: spark.createDataFrame([(f"n{i}", f"n{i - 1}" if i else None) for i in range(n)], TREE)
+    assert treeops.shows_deep(chain(18), 16) and not treeops.shows_deep(chain(17), 16)
+    assert not treeops.shows_deep(spark.createDataFrame([], TREE), 16)
+
+
+def test_run_functions_equal_one_after_the_other():
+    from strandtide.operators import runs_of_nodes as runs
+
+    rng = random.Random(6)
+    for _ in range(300):
+        made = [runs.of_votes([(1 << i, rng.randrange(1, 4)) for i in rng.sample(range(4), rng.randrange(0, 4))], rng.choice((0, 0, 0, 1 << rng.randrange(4)))) for _ in range(4)]
+        whole = runs.IDENTITY
+        for f in made:
+            whole = runs.composed(f, whole)
+        assert len(whole) <= 5
+        for states in range(16):
+            one = states
+            for f in made:
+                one = runs.applied(f, one)
+            assert runs.applied(whole, states) == one
