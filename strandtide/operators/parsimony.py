@@ -44,10 +44,6 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
-def identity() -> Column:
-    return F.array(_case(_none(), _empty(), _none()))
-
-
 def simplified(cases: Column) -> Column:
     """The same function; if every case gives the same whatever the child has, that is its one case."""
 
@@ -210,14 +206,10 @@ def _contracted(tree: _Tree, begins: bool) -> tuple[_Phase, _Tree]:
         held = entries.join(inside, ["run", "_site"], "full")
         kept = tree.funcs.join(members, "node", "left_anti").join(known.where("leaf"), "node", "left_anti")
     held = cut_lineage(held)
-    funcs = held.mapInArrow(run_functions, f"node {_type(inner, 'node')}, _site long, f {_CASES}").unionByName(kept)
+    funcs = held.mapInArrow(run_functions, f"node string, _site long, f {_CASES}").unionByName(kept)
     return _Phase(leaves, runs, held), _Tree(nodes, said.where("run is null").drop("run", "pos"), cut_lineage(funcs))
 
 
-def _type(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
-
-
 def _ordered(nodes: DataFrame, runs: set) -> list[tuple]:
     """(node, its parent, whether it is a run), parents first; at most CELL_NODES."""
     kids, order = {}, []
@@ -254,7 +246,6 @@ def _but_runs(df: DataFrame, phase: _Phase) -> DataFrame:
 
 def _states(tree: _Tree, chosen: Callable[[DataFrame], None]) -> None:
     """Gives `chosen` tables of (node, _site, state), which together hold every informed node."""
-    node = _type(tree.nodes, "node")
     phases: list[_Phase] = []
     size = tree.nodes.count()
     while size > CELL_NODES:
@@ -271,15 +262,15 @@ def _states(tree: _Tree, chosen: Callable[[DataFrame], None]) -> None:
     last = {r["run"] for r in phases[-1].runs.select("run").collect()} if phases else set()
     order = _ordered(tree.nodes, last | {r["node"] for r in tree.funcs.select("node").distinct().collect()})
     said = tree.said.withColumn("f", F.lit(None).cast(_CASES)).unionByName(tree.funcs, allowMissingColumns=True)
-    sets = [cut_lineage(said.groupBy("_site").applyInArrow(cell_sets(order), f"node {node}, _site long, states array<string>"))]
+    sets = [cut_lineage(said.groupBy("_site").applyInArrow(cell_sets(order), "node string, _site long, states array<string>"))]
 
     # states inside the runs, from the last phase to the second; the first one's are made where they are read
     for phase in reversed(phases[1:]):
-        inside = _with_members(phase, sets[0]).mapInArrow(run_sets, f"node {node}, _site long, states array<string>")
+        inside = _with_members(phase, sets[0]).mapInArrow(run_sets, "node string, _site long, states array<string>")
         sets.insert(0, cut_lineage(phase.leaves.select("node", "_site", "states").unionByName(_but_runs(sets[0], phase)).unionByName(inside)))
     tables: list[DataFrame | None] = [None]
     for phase, known in zip(phases, sets, strict=False):
-        made = _with_tables(_with_members(phase, known), phase, tables[-1]).mapInArrow(run_tables, f"node {node}, _site long, other string, held map<string, string>")
+        made = _with_tables(_with_members(phase, known), phase, tables[-1]).mapInArrow(run_tables, "node string, _site long, other string, held map<string, string>")
         if tables[-1] is not None:
             # a run that is left to the next phase as it is
             made = made.unionByName(tables[-1].join(known, ["node", "_site"], "left_semi").join(phase.runs.select(F.explode("nodes").alias("node")), "node", "left_anti"))
@@ -288,7 +279,7 @@ def _states(tree: _Tree, chosen: Callable[[DataFrame], None]) -> None:
     # down
     known = sets[-1] if tables[-1] is None else sets[-1].join(tables[-1], ["node", "_site"], "left")
     known = known if tables[-1] is not None else known.withColumn("other", F.lit(None).cast("string")).withColumn("held", F.lit(None).cast("map<string, string>"))
-    result = f"node {node}, _site long, above string, state string"
+    result = "node string, _site long, above string, state string"
     here = cut_lineage(known.groupBy("_site").applyInArrow(cell_choices(order), result))
     for number in range(len(phases) - 1, -1, -1):
         phase = phases[number]
@@ -320,11 +311,11 @@ def by_contraction(tree: DataFrame, informed: DataFrame, by: Sequence[str] = ())
     by, spark = list(by), tree.sparkSession
     store = _Store(spark, "chosen")
     with tables_for_a_while(spark):
-        edges = tree.where("node is not null").select("node", F.col("parent").cast(_type(tree, "node")).alias("up"))
+        edges = tree.where("node is not null").select(F.col("node").cast("string").alias("node"), F.col("parent").cast("string").alias("up"))
         nodes = cut_lineage(edges.distinct())
         # sites are told by a number; null is a site like any other
         sites = cut_lineage(informed.select(*by).distinct().withColumn("_site", F.monotonically_increasing_id())) if by else None
-        said = informed.select(F.col("node").cast(_type(tree, "node")).alias("node"), *by, F.col("state").cast("string").alias("state"))
+        said = informed.select(F.col("node").cast("string").alias("node"), *by, F.col("state").cast("string").alias("state"))
         if by:
             few = broadcast_when_small(sites.select(F.col("_site"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]))
             alike = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
@@ -332,11 +323,11 @@ def by_contraction(tree: DataFrame, informed: DataFrame, by: Sequence[str] = ())
         else:
             said = said.withColumn("_site", F.lit(0).cast("long"))
         said = said.select("node", "_site", "state", F.lit(0).cast("long").alias("n"), F.lit(True).alias("own"))
-        funcs = spark.createDataFrame([], f"node {_type(tree, 'node')}, _site long, f {_CASES}")
+        funcs = spark.createDataFrame([], f"node string, _site long, f {_CASES}")
 
         def chosen(df: DataFrame) -> None:
             named = df.join(broadcast_when_small(sites), "_site") if by else df
-            store.put(len(put), named.select("node", *by, "state"))
+            store.put(len(put), named.select(F.col("node").cast(tree.schema["node"].dataType).alias("node"), *by, "state"))
             put.append(True)
 
         put: list[bool] = []

@@ -306,7 +306,7 @@ def cell_sets(order: list[tuple]):
                 sets.append(sorted(states))
                 if up is not None:
                     below.setdefault(up, Counter()).update(states)
-        return pa.table({"node": nodes, "_site": pa.array([key[0].as_py()] * len(nodes), pa.int64()), "states": pa.array(sets, pa.list_(pa.string()))}) if nodes else _no_rows(table, [("states", pa.list_(pa.string()))])
+        return pa.table({"node": pa.array(nodes, pa.string()), "_site": pa.array([key[0].as_py()] * len(nodes), pa.int64()), "states": pa.array(sets, pa.list_(pa.string()))}) if nodes else _no_rows(table, [("states", pa.list_(pa.string()))])
 
     return run
 
@@ -335,6 +335,6 @@ def cell_choices(order: list[tuple]):
         if not out:
             return _no_rows(table, [("above", pa.string()), ("state", pa.string())])
         nodes, above, states = zip(*out, strict=True)
-        return pa.table({"node": nodes, "_site": pa.array([key[0].as_py()] * len(out), pa.int64()), "above": pa.array(above, pa.string()), "state": pa.array(states, pa.string())})
+        return pa.table({"node": pa.array(nodes, pa.string()), "_site": pa.array([key[0].as_py()] * len(out), pa.int64()), "above": pa.array(above, pa.string()), "state": pa.array(states, pa.string())})
 
     return run

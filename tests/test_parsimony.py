@@ -152,6 +152,14 @@ def test_the_chain_of_a_ladder_is_cut_into_runs(spark, monkeypatch):
     assert len(sizes) == 1 and sizes[0][0] <= 40 and sizes[0][1] <= 40
 
 
+def test_numbers_as_nodes_and_sites(spark):
+    tree = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 2)], "node int, parent long")
+    tips = spark.createDataFrame([(3, 7, 1, "b"), (4, 7, 1, "b"), (4, 8, None, "c")], "node long, x int, y int, state string")
+    got = parsimony.by_contraction(tree, tips, ["x", "y"])
+    assert got.schema["node"].dataType == tree.schema["node"].dataType
+    assert rows(got) == rows(spark.createDataFrame([(i, 7, 1, "b") for i in (1, 2, 3, 4)] + [(i, 8, None, "c") for i in (1, 2, 4)], "node int, x int, y int, state string"))
+
+
 def test_a_cycle_is_an_error_in_any_phase(spark, monkeypatch):
     monkeypatch.setattr(parsimony, "CELL_NODES", 3)
     loop = spark.createDataFrame([(f"a{i}", f"a{(i + 1) % 7}") for i in range(7)] + [("t", "a0"), ("u", "t")], TREE)
